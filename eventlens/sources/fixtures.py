@@ -26,7 +26,7 @@ def _first_line(c: str) -> Column:
 def _second_line(c: str) -> Column:
     # split_part(text, '\n', 2): '' when there is no second line
     parts = F.split(F.col(c), "\n")
-    return F.coalesce(F.element_at(parts, 2), F.lit(""))
+    return F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
 
 
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
