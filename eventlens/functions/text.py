@@ -216,3 +216,13 @@ def strip_dateline(c) -> Column:
 def preview(c, n: int = 120) -> Column:
     """First ``n`` characters."""
     return F.left(_c(c), F.lit(n))
+
+
+def ordered_concat(value, order, sep: str) -> Column:
+    """Aggregate: ``value`` strings joined by ``sep`` in ``order`` order.
+
+    Only for groups whose size is bounded by construction (a conversation's
+    turns, the <= budget rows of a packed input).
+    """
+    pairs = F.array_sort(F.collect_list(F.struct(_c(order).alias("k"), _c(value).alias("v"))))
+    return F.array_join(F.transform(pairs, lambda e: e["v"]), sep)

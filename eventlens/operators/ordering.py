@@ -47,3 +47,28 @@ def head_per_group(df: DataFrame, group_cols: list[str], ordinal: str, n, bucket
     edge = (j.where(~full).withColumn("_r", F.row_number().over(inner))
             .where(F.col("_before") + F.col("_r") <= F.col("_lim")).drop("_r"))
     return whole.unionByName(edge).drop("_b", "_before", "_c", "_lim")
+
+
+def global_ordinal(df: DataFrame, order_cols: list, name: str = "row", partitions: int | None = None) -> DataFrame:
+    """dense 0-based ids in a stated total order, computed in parallel.
+
+    ``row_number()`` over an unpartitioned window would pull every row into
+    one task.  Instead rows are range-partitioned and sorted on the key, each
+    row's position inside its partition is pinned by a reliable checkpoint,
+    and per-partition counts (one row per partition, a proven bound) give the
+    offsets.  ``order_cols`` must form a unique key.
+    """
+    from eventlens.session import cut_lineage
+
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    s = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    s = cut_lineage(s)
+    per = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    out = s.join(F.broadcast(per.select("_pid", "_off", "_first")), "_pid")
+    return out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_off", "_first")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlens.functions.text import ordered_concat
 from eventlens.sources.tables import read_table
 
 CATEGORIES = ("business", "entertainment", "general", "health", "science", "sports", "technology")
@@ -89,7 +90,7 @@ def raw_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     c = read_table(spark, sf_dir, "conversations")
     return c.groupBy("conv_id").agg(
-        F.listagg("text", "|||||").withinGroup(F.col("turn")).alias("document"),
+        ordered_concat("text", "turn", "|||||").alias("document"),
         F.concat(F.lit("– "), F.max_by("text", "turn")).alias("summary"),
     )
 
