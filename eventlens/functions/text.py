@@ -14,6 +14,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Whitespace class equal to Python's ``str.isspace`` set.
 WS = r"[\s\x1c-\x1f]"
@@ -76,7 +77,7 @@ def strip_truncation_marker(c) -> Column:
     return rstrip_ws(F.regexp_replace(x, TRUNCATION_MARKER, ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _html_unescape_udf(s: pd.Series) -> pd.Series:
     mask = s.str.contains("&", regex=False).fillna(False)
     if mask.any():
