@@ -38,14 +38,17 @@ def dedup_first_url(df: DataFrame, order_cols=("category_rank", "ord")) -> DataF
             .select(*df.columns))
 
 
-def clean_flags(df: DataFrame) -> DataFrame:
-    """B11 without the length filter: every cleaned field plus ``keep``."""
+def clean_flags(df: DataFrame, carry: tuple = ()) -> DataFrame:
+    """B11 without the length filter: every cleaned field plus ``keep``.
+
+    ``carry`` names extra input columns passed through unchanged.
+    """
     src = F.coalesce(F.col("source.name"), F.lit(""))
     title = T.strip_title_suffix(T.normalize_text("title"), src)
     desc = T.normalize_text("description")
     content = T.normalize_text(T.strip_truncation_marker("content"))
     staged = df.select(
-        *[c for c in df.columns if c in ("ord", "category_rank")],
+        *[c for c in df.columns if c in ("ord", "category_rank") or c in carry],
         title.alias("title"), desc.alias("description"), content.alias("content"),
         "url", "publishedAt", src.alias("source"), "category", "author",
     )
@@ -55,10 +58,10 @@ def clean_flags(df: DataFrame) -> DataFrame:
     return staged.withColumn("keep", F.col("word_count") >= MIN_TEXT_WORDS)
 
 
-def clean_articles(df: DataFrame, keep_order: bool = True) -> DataFrame:
+def clean_articles(df: DataFrame, keep_order: bool = True, carry: tuple = ()) -> DataFrame:
     """B11 + C1: cleaned articles with at least 20 words."""
     extra = ["ord"] if keep_order and "ord" in df.columns else []
-    return clean_flags(df).where("keep").select(*extra, *CLEAN_COLUMNS)
+    return clean_flags(df, carry).where("keep").select(*extra, *carry, *CLEAN_COLUMNS)
 
 
 def clean_stats(df: DataFrame) -> DataFrame:

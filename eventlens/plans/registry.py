@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-PLAN_MODULES = ("ingest", "prep", "groups", "scoring", "vectors", "summaries", "entities")
+PLAN_MODULES = ("ingest", "prep", "groups", "scoring", "vectors", "summaries", "entities", "io")
 
 
 def _modules():
