@@ -55,12 +55,12 @@ def soft_means(df: DataFrame, id_col: str, pred: str, ref: str, table: DataFrame
                    for c, k in (("precision", "p"), ("recall", "r"), ("f1", "f1"))])
 
 
-def rouge_means(df: DataFrame, id_col: str, pred: str, ref: str, stem: bool = False) -> DataFrame:
+def rouge_means(df: DataFrame, id_col: str, pred: str, ref: str, stem: bool = True) -> DataFrame:
     scores = SC.rouge_all(df, id_col, pred, ref, stem)
     return SC.mean_score(scores, ["rouge1", "rouge2", "rougeL", "rougeLsum"])
 
 
-def evaluate_groups(results: DataFrame, table: DataFrame, id_col: str = "cluster_id", stem: bool = False) -> DataFrame:
+def evaluate_groups(results: DataFrame, table: DataFrame, id_col: str = "cluster_id", stem: bool = True) -> DataFrame:
     """N, summary vs reference (ROUGE + soft match), headline-summary consistency.
 
     Headline vs reference is deliberately not scored for pre-grouped data.
@@ -73,7 +73,7 @@ def evaluate_groups(results: DataFrame, table: DataFrame, id_col: str = "cluster
             .unionByName(long_form("headline_summary_consistency", cons)))
 
 
-def evaluate_chained(results: DataFrame, table: DataFrame, id_col: str = "cluster_id", stem: bool = False) -> DataFrame:
+def evaluate_chained(results: DataFrame, table: DataFrame, id_col: str = "cluster_id", stem: bool = True) -> DataFrame:
     """Adds headline vs reference headline scores."""
     n = results.agg(F.count(F.lit(1)).alias("n_examples"))
     head = rouge_means(results, id_col, "generated_headline", "reference_headline", stem) \

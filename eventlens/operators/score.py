@@ -51,9 +51,11 @@ def prf(overlap: Column, n_pred: Column, n_ref: Column) -> list[Column]:
 def rouge_n(pairs: DataFrame, n: int, id_col: str = "pair_id", pred: str = "prediction",
             ref: str = "reference", stem: bool = False) -> DataFrame:
     """Clipped n-gram overlap -> precision / recall / F per pair."""
-    sides = pairs.select(id_col, F.explode(F.array(
-        F.struct(F.lit(1).alias("p"), ngrams(rouge_tokens(pred, stem), n).alias("g")),
-        F.struct(F.lit(0).alias("p"), ngrams(rouge_tokens(ref, stem), n).alias("g")))).alias("_s"))
+    # Tokens become plain columns first: lambdas may not wrap a Python UDF.
+    base = pairs.select(id_col, rouge_tokens(pred, stem).alias("_pt"), rouge_tokens(ref, stem).alias("_rt"))
+    sides = base.select(id_col, F.explode(F.array(
+        F.struct(F.lit(1).alias("p"), ngrams(F.col("_pt"), n).alias("g")),
+        F.struct(F.lit(0).alias("p"), ngrams(F.col("_rt"), n).alias("g")))).alias("_s"))
     grams = sides.select(id_col, "_s.p", F.explode("_s.g").alias("gram"))
     per_gram = grams.groupBy(id_col, "gram").agg(F.sum("p").alias("cp"), F.sum(1 - F.col("p")).alias("cr"))
     per_pair = per_gram.groupBy(id_col).agg(F.sum(F.least("cp", "cr")).alias("overlap"),
@@ -150,7 +152,11 @@ def rouge_l(pairs: DataFrame, id_col: str = "pair_id", pred: str = "prediction",
 
 
 def _sentence_tokens(c, stem: bool) -> Column:
-    return F.transform(T.sentences(c), lambda s: rouge_tokens(s, stem))
+    nested = F.transform(T.sentences(c), lambda s: rouge_tokens(s, False))
+    if stem:
+        from eventlens.functions.stem import porter_stem_nested
+        nested = porter_stem_nested(nested)
+    return nested
 
 
 def rouge_lsum(pairs: DataFrame, id_col: str = "pair_id", pred: str = "prediction", ref: str = "reference",

@@ -117,3 +117,10 @@ def q_eval_human_means(spark, d):
     r = FX.ratings(spark, d)
     return r.groupBy("criterion").agg(F.round(F.avg("rating"), 6).alias("mean_rating"),
                                       F.count(F.lit(1)).alias("n"))
+
+
+@register("rouge_stemmed")
+def q_rouge_stemmed(spark, d):
+    """J9-J12 with Porter stemming (the reference's scoring mode)."""
+    r = SC.rouge_all(scored(spark, d), stem=True)
+    return r.select("pair_id", r6("rouge1"), r6("rouge2"), r6("rougeL"), r6("rougeLsum"))

@@ -151,7 +151,7 @@ def q_eval_ablation_delta(spark, d):
     arms = None
     for arm, items in (("single_doc", single), ("multi_doc", multi)):
         res = items.join(SU.extractive(items), "cluster_id")
-        sc = SC.rouge_all(res, "cluster_id", "generated_summary", "reference_summary")
+        sc = SC.rouge_all(res, "cluster_id", "generated_summary", "reference_summary", stem=True)
         m = EV.long_form(arm, SC.mean_score(sc, ["rouge1", "rouge2", "rougeL", "rougeLsum"])) \
             .withColumnRenamed("section", "arm")
         arms = m if arms is None else arms.unionByName(m)
