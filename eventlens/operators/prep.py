@@ -155,3 +155,26 @@ def eda_lengths_long(pairs: DataFrame) -> DataFrame:
         "headline": T.word_count(T.strip_dateline("article")),
         "summary_target": T.word_count(summary_v1),
     })
+
+
+def tokenize_truncate(rows: DataFrame, src: str, tgt: str, max_in: int, max_out: int,
+                      tokenizer=None) -> DataFrame:
+    """``id, input_ids, labels`` token lists truncated, source columns dropped, no padding.
+
+    ``tokenizer`` maps a string Column to an array Column (L3 plug-in);
+    the default is the whitespace word tokenizer.
+    """
+    tok = tokenizer or T.word_tokens
+    extra = [c for c in ("split",) if c in rows.columns]
+    return rows.select(*extra, "id", F.slice(tok(F.col(src)), 1, max_in).alias("input_ids"),
+                       F.slice(tok(F.col(tgt)), 1, max_out).alias("labels"))
+
+
+def sample_seeded(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
+    """Deterministic sample of ``n`` rows: order by ``md5(seed || id)``.
+
+    The same rows come back on any partitioning; the top-n is a partial
+    (per-partition) top-k, so no full sort happens.
+    """
+    key = F.md5(F.concat(F.lit(str(seed)), F.lit("|"), F.col(id_col).cast("string")))
+    return df.withColumn("_k", key).orderBy("_k", id_col).limit(n).drop("_k")

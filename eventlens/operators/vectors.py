@@ -191,3 +191,24 @@ def encode_hashing(df: DataFrame, text: str = "text", id_col: str = "id", dim: i
                             Normalizer(inputCol="_idf", outputCol="_n", p=2.0)])
     model = pipe.fit(toks)
     return model.transform(toks).select(id_col, vector_to_array("_n", "float32").alias("vec"))
+
+
+def encode_with(df: DataFrame, factory, text: str = "text", id_col: str = "id") -> DataFrame:
+    """I1 / L2 plug-in: ``factory()`` returns ``encode(list[str]) -> ndarray (n, d)``.
+
+    The encoder is built once per task (model load) and applied to Arrow
+    batches; rows are L2-normalised to float32 unit vectors.
+    """
+    from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, StructType
+
+    schema = StructType([StructField(id_col, LongType()), StructField("vec", ArrayType(FloatType()))])
+
+    def run(batches):
+        enc = factory()
+        for b in batches:
+            m = np.asarray(enc(b[text].fillna("").tolist()), dtype=np.float64)
+            norms = np.linalg.norm(m, axis=1, keepdims=True)
+            m = np.where(norms > 0, m / np.where(norms > 0, norms, 1), 0.0).astype(np.float32)
+            yield pd.DataFrame({id_col: b[id_col].astype("int64"), "vec": list(m)})
+
+    return df.select(id_col, text).mapInPandas(run, schema)

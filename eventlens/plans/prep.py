@@ -160,3 +160,21 @@ def q_union_splits(spark, d):
     for x in parts[1:]:
         out = out.unionByName(x)
     return out
+
+
+@register("prep_tokenize_truncate", W + f"""SELECT split, id, CAST(len(list_slice({S.tokens("headline || chr(10) || article")}, 1, 1024)) AS INTEGER) AS n_input,
+  CAST(len(list_slice({S.tokens('target')}, 1, 128)) AS INTEGER) AS n_labels,
+  array_to_string(list_slice({S.tokens('target')}, 1, 128), ' ') AS labels
+FROM (SELECT *, {S.headline('highlights')} AS headline, {S.summary_target('highlights')} AS target FROM v_pairs)
+WHERE headline <> '' AND target <> ''""")
+def q_prep_tokenize_truncate(spark, d):
+    s2 = PR.stage2_rows(pairs(spark, d))
+    t = PR.tokenize_truncate(s2, "input", "target", 1024, 128)
+    return t.select("split", "id", F.size("input_ids").alias("n_input"), F.size("labels").alias("n_labels"),
+                    F.array_join("labels", " ").alias("labels"))
+
+
+@register("sample_seeded", W + """SELECT id, split FROM v_pairs
+ORDER BY md5('42' || '|' || cast(id AS varchar)), id LIMIT 10""")
+def q_sample_seeded(spark, d):
+    return PR.sample_seeded(pairs(spark, d), "id", 10, 42).select("id", "split")
