@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlens.functions import text as T
+from eventlens.operators.ordering import rank_within_group
 
 # ---- fixed values -------------------------------------------------------------
 ARTICLE_SEPARATOR = "|||||"
@@ -119,16 +120,18 @@ def published_order() -> list:
 
 
 def rank_by_published(labelled: DataFrame, group: str = "label") -> DataFrame:
-    """position of each article inside its cluster (noise excluded)."""
-    w = Window.partitionBy(group).orderBy(*published_order())
-    return labelled.where(F.col(group) != -1).withColumn("position", F.row_number().over(w))
+    """position of each article inside its cluster (noise excluded).
+
+    Skew-safe: ranks come from a range-partitioned global ordinal, so a
+    cluster holding most articles is still ranked by many tasks.
+    """
+    return rank_within_group(labelled.where(F.col(group) != -1), [group], published_order(), "position")
 
 
 def group_members(labelled: DataFrame, group: str = "label") -> DataFrame:
-    """E13 (+C5): members per cluster in first-seen order, long form."""
-    w = Window.partitionBy(group).orderBy("ord")
-    return (labelled.where(F.col(group) != -1)
-            .select(F.col(group).alias("cluster_id"), "ord", F.row_number().over(w).alias("member_pos")))
+    """E13 (+C5): members per cluster in first-seen order, long form (skew-safe)."""
+    r = rank_within_group(labelled.where(F.col(group) != -1).select(group, "ord"), [group], ["ord"], "member_pos")
+    return r.select(F.col(group).alias("cluster_id"), "ord", "member_pos")
 
 
 def cluster_sizes(labelled: DataFrame, group: str = "label") -> DataFrame:
@@ -136,10 +139,29 @@ def cluster_sizes(labelled: DataFrame, group: str = "label") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("size")))
 
 
+def pack_ranked(ranked: DataFrame, group: str, rank: str, text: str = "text",
+                budget: int = MAX_INPUT_TOKENS) -> DataFrame:
+    """F3 over rows that already carry their in-group rank (1-based).
+
+    Only ranks <= ``budget`` can contribute (every packed article has at
+    least one token), so the running-sum window sees at most ``budget`` rows
+    per group whatever the group size.
+    """
+    x = ranked.where(F.col(rank) <= budget).withColumn("_toks", T.word_tokens(text))
+    x = x.withColumn("_n", F.size("_toks").cast("long")).where(F.col("_n") > 0)
+    w = Window.partitionBy(group).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_p", F.coalesce(F.sum("_n").over(w), F.lit(0).cast("long"))).where(F.col("_p") < budget)
+    piece = F.when(F.col("_p") + F.col("_n") <= budget, F.col(text)).otherwise(
+        F.array_join(F.slice("_toks", F.lit(1), (F.lit(budget) - F.col("_p")).cast("int")), " "))
+    return x.withColumn("_piece", piece).groupBy(group).agg(
+        T.ordered_concat("_piece", rank, PACK_SEPARATOR).alias("multi_doc_input"),
+        F.count(F.lit(1)).alias("n_packed"))
+
+
 def live_cluster_entries(labelled: DataFrame, budget: int = MAX_INPUT_TOKENS, group: str = "label") -> DataFrame:
     """E14 entries: ``cluster_id, size, multi_doc_input`` in published order."""
-    members = labelled.where(F.col(group) != -1)
-    packed = pack_rows(members.select(group, "publishedAt", "ord", "text"), group, published_order(), "text", budget)
+    ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "text"), group)
+    packed = pack_ranked(ranked, group, "position", "text", budget)
     sizes = cluster_sizes(labelled, group)
     return (sizes.join(packed.withColumnRenamed(group, "cluster_id"), "cluster_id", "left")
             .select("cluster_id", "size", F.coalesce("multi_doc_input", F.lit("")).alias("multi_doc_input")))

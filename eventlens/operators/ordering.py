@@ -72,3 +72,21 @@ def global_ordinal(df: DataFrame, order_cols: list, name: str = "row", partition
     per = per.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
     out = s.join(F.broadcast(per.select("_pid", "_off", "_first")), "_pid")
     return out.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_off", "_first")
+
+
+def rank_within_group(df: DataFrame, group_cols: list[str], order_cols: list, name: str = "rank") -> DataFrame:
+    """1-based rank inside each group, safe when one group holds most rows.
+
+    The global ordinal over ``(group, order)`` is computed in parallel by
+    range partitioning (a hot group is spread over many range partitions);
+    a group's rank is its global ordinal minus the group's first ordinal,
+    taken from a per-group ``min`` aggregate (map-side combined).  The join
+    back is on the group key against one row per group; AQE splits a skewed
+    partition of the large side.  ``order_cols`` must make the order total.
+    """
+    keys = [F.col(c) for c in group_cols]
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    g = global_ordinal(df, [*keys, *order], name="_g")
+    first = g.groupBy(*group_cols).agg(F.min("_g").alias("_g0"))
+    return g.join(first, group_cols).withColumn(name, (F.col("_g") - F.col("_g0") + 1).cast("int")) \
+        .drop("_g", "_g0")

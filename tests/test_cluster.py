@@ -108,3 +108,12 @@ def test_kmeans_planted(spark):
 def test_argmax_config_first_wins(spark):
     df = spark.createDataFrame([(2, 0.5), (3, 0.7), (5, 0.7), (7, None)], "mcs int, sil double")
     assert CL.argmax_config(df, "sil", "mcs").first()["mcs"] == 3
+
+
+def test_best_run_per_stage(spark):
+    # literal run history (fixture for the operator only; not a registered query)
+    runs = spark.createDataFrame([(2, 1, 0.503, 0.917), (2, 2, 0.497, 0.916), (2, 3, 0.498, 0.917),
+                                  (1, 1, 0.70, 0.93), (1, 2, 0.70, 0.94)],
+                                 "stage int, epoch int, rougeLsum double, bertscore_f1 double")
+    got = {r["stage"]: r["epoch"] for r in CL.best_run(runs, "stage", "rougeLsum").collect()}
+    assert got == {2: 1, 1: 1}
