@@ -67,7 +67,16 @@ def q_sum_extractive(spark, d):
     return SU.extractive(group_items(spark, d))
 
 
-@register("sum_two_stage")
+def _lead_sql(x, n):
+    return S.strip(f"array_to_string(list_slice({S.tokens(S.first_sentence(x))}, 1, {n}), ' ')")
+
+
+@register("sum_two_stage", FX.with_views(FX.SQL_GROUPS, SQL_PARSED, sql_pack(1024)) + f"""
+SELECT cluster_id, n_articles, generated_headline,
+  {_lead_sql("generated_headline || chr(10) || doc", 128)} AS generated_summary FROM (
+  SELECT cast(v.cluster_id AS varchar) AS cluster_id, CAST(len(v.articles) AS INTEGER) AS n_articles,
+    coalesce(p.multi_doc_input, '') AS doc, {_lead_sql("coalesce(p.multi_doc_input, '')", 48)} AS generated_headline
+  FROM v_parsed v LEFT JOIN v_packed p USING (cluster_id))""")
 def q_sum_two_stage(spark, d):
     items = group_items(spark, d)
     out = SU.two_stage(items, SU.lead_generator(SU.HEADLINE_MAX_TOKENS), SU.lead_generator(SU.SUMMARY_MAX_TOKENS))
@@ -81,7 +90,10 @@ def group_results(spark, d):
     return items.join(gen, "cluster_id")
 
 
-@register("sum_end_to_end")
+@register("sum_end_to_end", FX.with_views(FX.SQL_GROUPS, SQL_PARSED, sql_pack(1024), SQL_EXTRACTIVE) + f"""
+SELECT cast(v.cluster_id AS varchar) AS cluster_id, CAST(len(v.articles) AS INTEGER) AS n_articles,
+  {S.first_sentence('v.reference_summary')} AS reference_headline, g.generated_headline, g.generated_summary
+FROM v_parsed v JOIN v_gen g ON g.cluster_id = cast(v.cluster_id AS varchar)""")
 def q_sum_end_to_end(spark, d):
     r = group_results(spark, d)
     return r.select("cluster_id", "n_articles", "reference_headline", "generated_headline", "generated_summary")
