@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.operators import score as SC
+from eventlens.session import cut_lineage
 
 EM_DASH = "—"  # fixed value: shown for a metric missing on one side
 
@@ -65,6 +66,8 @@ def evaluate_groups(results: DataFrame, table: DataFrame, id_col: str = "cluster
 
     Headline vs reference is deliberately not scored for pre-grouped data.
     """
+    # One materialisation feeds every metric branch (no per-branch recompute).
+    results = cut_lineage(results.select(id_col, "generated_headline", "generated_summary", "reference_summary"))
     n = results.agg(F.count(F.lit(1)).alias("n_clusters"))
     summ = rouge_means(results, id_col, "generated_summary", "reference_summary", stem) \
         .join(soft_means(results, id_col, "generated_summary", "reference_summary", table), how="inner", on=F.lit(True))
@@ -75,6 +78,8 @@ def evaluate_groups(results: DataFrame, table: DataFrame, id_col: str = "cluster
 
 def evaluate_chained(results: DataFrame, table: DataFrame, id_col: str = "cluster_id", stem: bool = True) -> DataFrame:
     """Adds headline vs reference headline scores."""
+    results = cut_lineage(results.select(id_col, "generated_headline", "generated_summary",
+                                         "reference_headline", "reference_summary"))
     n = results.agg(F.count(F.lit(1)).alias("n_examples"))
     head = rouge_means(results, id_col, "generated_headline", "reference_headline", stem) \
         .join(soft_means(results, id_col, "generated_headline", "reference_headline", table), how="inner", on=F.lit(True))

@@ -158,9 +158,11 @@ def pack_ranked(ranked: DataFrame, group: str, rank: str, text: str = "text",
         F.count(F.lit(1)).alias("n_packed"))
 
 
-def live_cluster_entries(labelled: DataFrame, budget: int = MAX_INPUT_TOKENS, group: str = "label") -> DataFrame:
+def live_cluster_entries(labelled: DataFrame, budget: int = MAX_INPUT_TOKENS, group: str = "label",
+                         ranked: DataFrame | None = None) -> DataFrame:
     """E14 entries: ``cluster_id, size, multi_doc_input`` in published order."""
-    ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "text"), group)
+    if ranked is None:
+        ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "text"), group)
     packed = pack_ranked(ranked, group, "position", "text", budget)
     sizes = cluster_sizes(labelled, group)
     return (sizes.join(packed.withColumnRenamed(group, "cluster_id"), "cluster_id", "left")
@@ -174,8 +176,8 @@ def live_inputs(labelled: DataFrame, budget: int = MAX_INPUT_TOKENS, group: str
     The preview list holds one entry per member, so it is as long as the
     cluster; it is built from ``(position, title[:120])`` pairs only.
     """
-    entries = live_cluster_entries(labelled, budget, group)
-    ranked = rank_by_published(labelled, group)
+    ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "text", "title"), group)
+    entries = live_cluster_entries(labelled, budget, group, ranked)
     prev = ranked.groupBy(F.col(group).alias("cluster_id")).agg(
         F.array_sort(F.collect_list(F.struct("position", F.left("title", F.lit(PREVIEW_CHARS)).alias("t"))))
         .alias("_p"))

@@ -176,6 +176,8 @@ def rouge_lsum(pairs: DataFrame, id_col: str = "pair_id", pred: str = "predictio
 def rouge_all(pairs: DataFrame, id_col: str = "pair_id", pred: str = "prediction", ref: str = "reference",
               stem: bool = False) -> DataFrame:
     """Per pair F-measures of rouge1, rouge2, rougeL, rougeLsum (wide)."""
+    from eventlens.session import cut_lineage
+    pairs = cut_lineage(pairs.select(id_col, pred, ref))  # four metric plans share one input
     parts = {
         "rouge1": rouge_n(pairs, 1, id_col, pred, ref, stem),
         "rouge2": rouge_n(pairs, 2, id_col, pred, ref, stem),

@@ -71,6 +71,22 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(sq, 0.0))
 
 
+def exact_distances(a: np.ndarray, b: np.ndarray, budget: float = 2e7) -> np.ndarray:
+    """``sqrt(sum((a_i - b_j)^2))``: exactly symmetric and independent of block shape.
+
+    Used where one edge is evaluated in two blocks and both results must be
+    bit-identical (spanning-tree edge order).  Chunked to bound memory.
+    """
+    if not len(a) or not len(b):
+        return np.zeros((len(a), len(b)))
+    out = np.empty((len(a), len(b)))
+    step = max(1, int(budget // max(1, len(b) * a.shape[1])))
+    for s in range(0, len(a), step):
+        diff = a[s:s + step, None, :] - b[None, :, :]
+        out[s:s + step] = np.sqrt((diff * diff).sum(-1))
+    return out
+
+
 def knn(df: DataFrame, k: int, id_col: str = "id", vec: str = "vec", blocks: int | None = None) -> DataFrame:
     """Exact ``k`` nearest other points per point: ``id, nbr, dist, rank``.
 

@@ -119,11 +119,15 @@ def q_clu_hdbscan(spark, d):
 
 
 def sweep(spark, d):
+    from eventlens.session import cut_lineage
     v = vectors(spark, d).select("id", "vec")
     n = v.count()
+    # one exact k-NN pass serves every min_cluster_size of the sweep
+    nn = cut_lineage(V.knn(v, max(MCS_SWEEP)))
     rows = None
     for mcs in MCS_SWEEP:
-        lab = CL.hdbscan_labels(v, mcs)
+        core = nn.where(F.col("rank") == mcs).select("id", F.col("dist").alias("core"))
+        lab = CL.hdbscan_labels(v, mcs, core=core)
         rep = CL.cluster_report(lab)
         sil = V.silhouette(lab.join(v, "id"))
         r = rep.join(sil, how="inner", on=F.lit(True)).select(
