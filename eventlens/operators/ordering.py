@@ -60,13 +60,19 @@ def global_ordinal(df: DataFrame, order_cols: list, name: str = "row", partition
     """
     from eventlens.session import cut_lineage
 
+    from pyspark import StorageLevel
+
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    s = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # Range partitioning samples its input before shuffling it; persisting
+    # the input keeps the upstream plan from running twice.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    s = (src.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_mid", F.monotonically_increasing_id()))
     s = cut_lineage(s)
+    src.unpersist()
     per = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))

@@ -81,25 +81,41 @@ def lcs_length(a: list, b: list) -> int:
     return int(row[-1])
 
 
-def _lcs_table(a, b):
-    tbl = np.zeros((len(a) + 1, len(b) + 1), dtype=np.int64)
-    bi = np.array(b, dtype=object)
-    for i, t in enumerate(a, 1):
-        cand = np.maximum(tbl[i - 1, 1:], tbl[i - 1, :-1] + (bi == t))
-        tbl[i, 1:] = np.maximum.accumulate(cand)
-    return tbl
+def _lcs_rows(a, b) -> list[int]:
+    """Bit-parallel LCS rows (Hyyro 2004): ``V_i`` for i = 0..len(a).
+
+    A zero bit j in ``V_i`` marks a step of the DP row, so the table cell is
+    ``T[i][j] = j - popcount(V_i & (2^j - 1))``.
+    """
+    n = len(b)
+    full = (1 << n) - 1
+    match: dict = {}
+    for j, t in enumerate(b):
+        match[t] = match.get(t, 0) | (1 << j)
+    v = full
+    rows = [v]
+    for t in a:
+        u = v & match.get(t, 0)
+        v = ((v + u) | (v - u)) & full
+        rows.append(v)
+    return rows
 
 
 def _lcs_indices(a, b):
-    """Positions in ``a`` of one LCS (standard backtrack, ties move up)."""
-    tbl = _lcs_table(a, b)
+    """Positions in ``a`` of one LCS, with the standard ROUGE backtrack
+    (diagonal on a match, else left if strictly larger, else up)."""
+    rows = _lcs_rows(a, b)
+
+    def cell(i, j):
+        return j - (rows[i] & ((1 << j) - 1)).bit_count()
+
     i, j, out = len(a), len(b), []
     while i > 0 and j > 0:
         if a[i - 1] == b[j - 1]:
             out.append(i - 1)
             i -= 1
             j -= 1
-        elif tbl[i, j - 1] > tbl[i - 1, j]:
+        elif cell(i, j - 1) > cell(i - 1, j):
             j -= 1
         else:
             i -= 1

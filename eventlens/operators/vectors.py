@@ -178,13 +178,19 @@ def kmeans_labels(df: DataFrame, k: int = 20, n_init: int = 10, seed: int = 42,
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    from concurrent.futures import ThreadPoolExecutor
+
     data = df.select(id_col, array_to_vector(F.col(vec).cast("array<double>")).alias("features")).cache()
-    best, best_cost = None, None
-    for s in range(seed, seed + n_init):
+
+    def fit(s):
         model = KMeans(k=k, seed=s, maxIter=max_iter, tol=1e-4).fit(data)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
+        return model.summary.trainingCost, s, model
+
+    # Restarts are independent Spark jobs: submit them concurrently and keep
+    # the lowest cost (ties: lowest seed, so the choice is deterministic).
+    with ThreadPoolExecutor(max_workers=min(n_init, 4)) as pool:
+        fits = list(pool.map(fit, range(seed, seed + n_init)))
+    best_cost, _, best = min(fits, key=lambda t: (t[0], t[1]))
     out = best.transform(data).select(id_col, F.col("prediction").cast("int").alias("label"))
     return out, best_cost
 
