@@ -64,9 +64,25 @@ def clean_articles(df: DataFrame, keep_order: bool = True, carry: tuple = ()) ->
     return clean_flags(df, carry).where("keep").select(*extra, *carry, *CLEAN_COLUMNS)
 
 
-def clean_stats(df: DataFrame) -> DataFrame:
+def unique_flags(raw: DataFrame) -> DataFrame:
+    """F1 then B11, evaluated as B11 then F1 (cleaning is row-wise).
+
+    The text work runs at scan parallelism before the URL shuffle, and the
+    shuffle carries normalised text instead of raw markup.  Winners are
+    chosen on the raw ordering columns, so the result equals cleaning the
+    deduplicated articles.
+    """
+    return dedup_first_url(clean_flags(raw))
+
+
+def clean_unique(raw: DataFrame, carry: tuple = ()) -> DataFrame:
+    """Deduplicated, cleaned articles with at least 20 words (F1 + B11 + C1)."""
+    return unique_flags(raw).where("keep").select("ord", *carry, *CLEAN_COLUMNS)
+
+
+def clean_stats(df: DataFrame, flagged: bool = False) -> DataFrame:
     """Input / dropped_short / paywall_flagged (kept rows) / kept, one row."""
-    f = clean_flags(df)
+    f = df if flagged else clean_flags(df)
     return f.agg(
         F.count(F.lit(1)).alias("input"),
         F.count_if(~F.col("keep")).alias("dropped_short"),

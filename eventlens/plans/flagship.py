@@ -12,7 +12,7 @@ from eventlens.sources import fixtures as FX
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One lazy plan: F1 -> B11 -> D1 -> F2/F3 (J5) -> J7."""
-    articles = C.clean_articles(C.dedup_first_url(FX.raw_articles(spark, sf_dir)))
+    articles = C.clean_unique(FX.raw_articles(spark, sf_dir))
     labelled = G.attach_labels(articles, FX.vectors(spark, sf_dir).select("id", "label"))
     items = G.live_inputs(labelled, G.MAX_INPUT_TOKENS)
     generated = SU.extractive(items)

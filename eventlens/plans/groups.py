@@ -123,7 +123,7 @@ W_LIVE = FX.with_views(FX.SQL_RAW_ARTICLES, SQL_DEDUP, SQL_CLEAN, FX.SQL_VECTORS
 
 
 def labelled(spark, d):
-    arts = C.clean_articles(C.dedup_first_url(FX.raw_articles(spark, d)))
+    arts = C.clean_unique(FX.raw_articles(spark, d))
     labels = FX.vectors(spark, d).select("id", "label")
     return G.attach_labels(arts, labels)
 
@@ -187,6 +187,6 @@ def q_build_live_inputs(spark, d):
 SELECT row_number() OVER (ORDER BY c.category_rank, c.ord) - 1 AS row, c.url, c.title
 FROM (SELECT a.*, d.category_rank FROM v_clean_all a JOIN v_dedup d USING (ord) WHERE a.word_count >= 20) c""")
 def q_rank_dense_id(spark, d):
-    f = C.clean_flags(C.dedup_first_url(FX.raw_articles(spark, d))).where("keep")
+    f = C.unique_flags(FX.raw_articles(spark, d)).where("keep")
     return O.global_ordinal(f.select("category_rank", "ord", "url", "title"), ["category_rank", "ord"]) \
         .select("row", "url", "title")

@@ -50,7 +50,7 @@ def deduped(spark, d):
 
 
 def cleaned(spark, d):
-    return C.clean_articles(deduped(spark, d))
+    return C.clean_unique(raw(spark, d))
 
 
 @register("dedup_first_url", W_RAW + """, v_d AS (SELECT * FROM v_raw_articles WHERE coalesce(url,'') <> ''
@@ -72,7 +72,7 @@ SELECT count(*) AS input, count(*) FILTER (WHERE word_count < 20) AS dropped_sho
   count(*) FILTER (WHERE word_count >= 20 AND is_paywall_preview) AS paywall_flagged,
   count(*) FILTER (WHERE word_count >= 20) AS kept FROM v_clean_all""")
 def q_agg_clean_stats(spark, d):
-    return C.clean_stats(deduped(spark, d))
+    return C.clean_stats(C.unique_flags(raw(spark, d)), flagged=True)
 
 
 @register("agg_source_diversity", W_RAW + """, v_d AS (SELECT * FROM v_raw_articles WHERE coalesce(url,'') <> ''

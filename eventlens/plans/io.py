@@ -55,16 +55,16 @@ def q_scan_articles_json(spark, d):
 @register("scan_latest_snapshot", W_CLEAN + "SELECT ord, url FROM v_clean_all WHERE word_count >= 20")
 def q_scan_latest_snapshot(spark, d):
     root = IO.scratch_dir(spark, "snapshots")
-    dedup = C.dedup_first_url(FX.raw_articles(spark, d))
-    IO.save_snapshot(C.clean_articles(dedup.where(F.col("category") == "sports")), root, "articles_00000000T000000Z")
-    IO.save_snapshot(C.clean_articles(dedup), root)
+    clean = C.clean_unique(FX.raw_articles(spark, d))
+    IO.save_snapshot(clean.where(F.col("category") == "sports"), root, "articles_00000000T000000Z")
+    IO.save_snapshot(clean, root)
     return IO.read_latest_snapshot(spark, root, CLEAN_ARTICLE).select("ord", "url")
 
 
 @register("sink_snapshot_roundtrip", W_CLEAN + """SELECT ord, title, text, word_count, is_paywall_preview
 FROM v_clean_all WHERE word_count >= 20""")
 def q_sink_snapshot_roundtrip(spark, d):
-    clean = C.clean_articles(C.dedup_first_url(FX.raw_articles(spark, d)))
+    clean = C.clean_unique(FX.raw_articles(spark, d))
     path = IO.save_snapshot(clean, IO.scratch_dir(spark, "clean"))
     return IO.read_articles(spark, path, CLEAN_ARTICLE).select("ord", "title", "text", "word_count", "is_paywall_preview")
 
@@ -107,7 +107,7 @@ SELECT (SELECT count(*) FROM a) AS n_articles, (SELECT count(*) FROM v_vectors)
   (SELECT count(*) FROM a WHERE ord NOT IN (SELECT id FROM v_vectors)) AS missing_vectors,
   (SELECT count(*) FROM v_vectors WHERE id NOT IN (SELECT ord FROM a)) AS missing_articles""")
 def q_check_embedding_alignment(spark, d):
-    clean = C.clean_articles(C.dedup_first_url(FX.raw_articles(spark, d)))
+    clean = C.clean_unique(FX.raw_articles(spark, d))
     return IO.alignment_counts(clean, FX.vectors(spark, d))
 
 
@@ -141,6 +141,6 @@ def q_cluster_payload(spark, d):
 
 @register("vec_encode")
 def q_vec_encode(spark, d):
-    clean = C.clean_articles(C.dedup_first_url(FX.raw_articles(spark, d)))
+    clean = C.clean_unique(FX.raw_articles(spark, d))
     enc = V.encode_hashing(clean, "text", "ord", 384)
     return enc.select("ord", F.size("vec").alias("dim"), F.round(V.l2_norm("vec"), 4).alias("norm"))
