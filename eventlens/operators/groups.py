@@ -49,8 +49,13 @@ def parse_clusters(raw: DataFrame, id_col: str = "conv_id") -> DataFrame:
 
 
 def pack_array(articles, budget: int = MAX_INPUT_TOKENS) -> Column:
-    """F3 on an in-row array of article texts (whitespace tokenizer)."""
-    arts = T._c(articles)
+    """F3 on an in-row array of article texts (whitespace tokenizer).
+
+    Only the first ``budget`` articles that have a token can ever be packed
+    (each uses at least one token), so the array is cut to them first; the
+    per-element prefix sums then cost at most ``budget^2`` per row.
+    """
+    arts = F.slice(F.filter(T._c(articles), lambda a: F.size(T.word_tokens(a)) > 0), 1, budget)
     toks = F.transform(arts, lambda a: T.word_tokens(a))
     counts = F.transform(toks, lambda t: F.size(t).cast("long"))
     prior = F.transform(counts, lambda _x, i: F.aggregate(F.slice(counts, 1, i), F.lit(0).cast("long"),
