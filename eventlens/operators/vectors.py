@@ -44,8 +44,13 @@ def norm_check(df: DataFrame, vec: str = "vec") -> DataFrame:
 
 # ---- blocked pairwise execution ----------------------------------------------
 
-def n_blocks(df: DataFrame, block_rows: int = BLOCK_ROWS) -> int:
-    return max(1, math.ceil(df.count() / block_rows))
+def n_blocks(df: DataFrame, block_rows: int = BLOCK_ROWS, n: int | None = None) -> int:
+    """Blocks per side: enough that a block holds <= ``block_rows`` points,
+    and at least ``sqrt(parallelism)`` so the ``B^2`` block pairs keep every
+    core busy on small inputs."""
+    n = df.count() if n is None else n
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(n / block_rows), math.ceil(math.sqrt(par)))
 
 
 def block_pairs(df: DataFrame, id_col: str, blocks: int) -> DataFrame:
