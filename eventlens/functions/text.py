@@ -89,9 +89,9 @@ def _html_unescape_udf(s: pd.Series) -> pd.Series:
 def html_unescape(c) -> Column:
     """B2: HTML5 character references (named and numeric) decoded."""
     x = _c(c)
-    # Only rows with an ampersand need the Python side; the rest pass through
-    # the Arrow batch untouched.
-    return _html_unescape_udf(x)
+    # Only values containing '&' are shipped to Python; every other row
+    # crosses the Arrow boundary as a null and keeps its JVM value.
+    return F.coalesce(_html_unescape_udf(F.when(x.contains("&"), x)), x)
 
 
 def strip_tags(c) -> Column:
