@@ -89,7 +89,7 @@ def _cards_sql():
     return SQL_CARDS.replace("{head}", S.first_sentence("t.text"))
 
 
-W_CARDS = FX.with_views(FX.SQL_ENTITY_TEXT, FX.SQL_RAW_ARTICLES, SQL_TOKENS.replace("v_ents AS (", "v_ents AS (", 1), _cards_sql())
+W_CARDS = FX.with_views(FX.SQL_ENTITY_TEXT, FX.SQL_RAW_ARTICLES, SQL_TOKENS, _cards_sql())
 
 
 def cards(spark, d):
