@@ -48,11 +48,8 @@ def prf(overlap: Column, n_pred: Column, n_ref: Column) -> list[Column]:
     return [p.cast("double"), r.cast("double"), f.cast("double")]
 
 
-def rouge_n(pairs: DataFrame, n: int, id_col: str = "pair_id", pred: str = "prediction",
-            ref: str = "reference", stem: bool = False) -> DataFrame:
-    """Clipped n-gram overlap -> precision / recall / F per pair."""
-    # Tokens become plain columns first: lambdas may not wrap a Python UDF.
-    base = pairs.select(id_col, rouge_tokens(pred, stem).alias("_pt"), rouge_tokens(ref, stem).alias("_rt"))
+def _rouge_n_tokens(base: DataFrame, n: int, id_col: str) -> DataFrame:
+    """ROUGE-N from token columns ``_pt`` (prediction) and ``_rt`` (reference)."""
     sides = base.select(id_col, F.explode(F.array(
         F.struct(F.lit(1).alias("p"), ngrams(F.col("_pt"), n).alias("g")),
         F.struct(F.lit(0).alias("p"), ngrams(F.col("_rt"), n).alias("g")))).alias("_s"))
@@ -60,11 +57,28 @@ def rouge_n(pairs: DataFrame, n: int, id_col: str = "pair_id", pred: str = "pred
     per_gram = grams.groupBy(id_col, "gram").agg(F.sum("p").alias("cp"), F.sum(1 - F.col("p")).alias("cr"))
     per_pair = per_gram.groupBy(id_col).agg(F.sum(F.least("cp", "cr")).alias("overlap"),
                                             F.sum("cp").alias("n_pred"), F.sum("cr").alias("n_ref"))
-    j = pairs.select(id_col).join(per_pair, id_col, "left").fillna(0, ["overlap", "n_pred", "n_ref"])
+    j = base.select(id_col).join(per_pair, id_col, "left").fillna(0, ["overlap", "n_pred", "n_ref"])
     p, r, f = prf(F.col("overlap"), F.col("n_pred"), F.col("n_ref"))
     return j.select(id_col, p.alias("precision"), r.alias("recall"), f.alias("fmeasure"))
 
 
+def _token_base(pairs: DataFrame, id_col: str, pred: str, ref: str, stem: bool, sentences: bool = False) -> DataFrame:
+    """Token columns for both sides (and sentence token lists when asked).
+
+    Tokens become plain columns first: lambdas may not wrap a Python UDF.
+    """
+    cols = [id_col, rouge_tokens(pred, stem).alias("_pt"), rouge_tokens(ref, stem).alias("_rt")]
+    if sentences:
+        cols += [_sentence_tokens(pred, stem).alias("_ps"), _sentence_tokens(ref, stem).alias("_rs")]
+    return pairs.select(*cols)
+
+
+def rouge_n(pairs: DataFrame, n: int, id_col: str = "pair_id", pred: str = "prediction",
+            ref: str = "reference", stem: bool = False) -> DataFrame:
+    """Clipped n-gram overlap -> precision / recall / F per pair."""
+    return _rouge_n_tokens(_token_base(pairs, id_col, pred, ref, stem), n, id_col)
+
+
 # ---- longest common subsequence ---------------------------------------------
 
 def lcs_length(a: list, b: list) -> int:
@@ -156,15 +170,18 @@ def _lsum_udf(r: pd.Series, p: pd.Series) -> pd.Series:
                      dtype="int64")
 
 
+def _rouge_l_tokens(base: DataFrame, id_col: str) -> DataFrame:
+    x = base.withColumn("_l", _lcs_udf("_pt", "_rt"))
+    p = F.when(F.size("_pt") > 0, F.col("_l") / F.size("_pt")).otherwise(F.lit(0.0))
+    r = F.when(F.size("_rt") > 0, F.col("_l") / F.size("_rt")).otherwise(F.lit(0.0))
+    f = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+    return x.select(id_col, p.alias("precision"), r.alias("recall"), f.alias("fmeasure"))
+
+
 def rouge_l(pairs: DataFrame, id_col: str = "pair_id", pred: str = "prediction", ref: str = "reference",
             stem: bool = False) -> DataFrame:
     """LCS-based precision / recall / F per pair (map-only)."""
-    x = pairs.select(id_col, rouge_tokens(pred, stem).alias("_p"), rouge_tokens(ref, stem).alias("_r"))
-    x = x.withColumn("_l", _lcs_udf("_p", "_r"))
-    p = F.when(F.size("_p") > 0, F.col("_l") / F.size("_p")).otherwise(F.lit(0.0))
-    r = F.when(F.size("_r") > 0, F.col("_l") / F.size("_r")).otherwise(F.lit(0.0))
-    f = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
-    return x.select(id_col, p.alias("precision"), r.alias("recall"), f.alias("fmeasure"))
+    return _rouge_l_tokens(_token_base(pairs, id_col, pred, ref, stem), id_col)
 
 
 def _sentence_tokens(c, stem: bool) -> Column:
@@ -175,11 +192,8 @@ def _sentence_tokens(c, stem: bool) -> Column:
     return nested
 
 
-def rouge_lsum(pairs: DataFrame, id_col: str = "pair_id", pred: str = "prediction", ref: str = "reference",
-               stem: bool = False) -> DataFrame:
-    """Summary-level LCS over sentence-split texts (map-only)."""
-    x = pairs.select(id_col, _sentence_tokens(pred, stem).alias("_ps"), _sentence_tokens(ref, stem).alias("_rs"))
-    x = x.withColumn("_h", _lsum_udf("_rs", "_ps"))
+def _rouge_lsum_tokens(base: DataFrame, id_col: str) -> DataFrame:
+    x = base.withColumn("_h", _lsum_udf("_rs", "_ps"))
     n_p = F.aggregate("_ps", F.lit(0), lambda a, s: a + F.size(s))
     n_r = F.aggregate("_rs", F.lit(0), lambda a, s: a + F.size(s))
     x = x.withColumn("_np", n_p).withColumn("_nr", n_r)
@@ -189,18 +203,28 @@ def rouge_lsum(pairs: DataFrame, id_col: str = "pair_id", pred: str = "predictio
     return x.select(id_col, p.alias("precision"), r.alias("recall"), f.alias("fmeasure"))
 
 
+def rouge_lsum(pairs: DataFrame, id_col: str = "pair_id", pred: str = "prediction", ref: str = "reference",
+               stem: bool = False) -> DataFrame:
+    """Summary-level LCS over sentence-split texts (map-only)."""
+    return _rouge_lsum_tokens(_token_base(pairs, id_col, pred, ref, stem, sentences=True), id_col)
+
+
 def rouge_all(pairs: DataFrame, id_col: str = "pair_id", pred: str = "prediction", ref: str = "reference",
               stem: bool = False) -> DataFrame:
-    """Per pair F-measures of rouge1, rouge2, rougeL, rougeLsum (wide)."""
+    """Per pair F-measures of rouge1, rouge2, rougeL, rougeLsum (wide).
+
+    Tokenisation (and stemming) runs once; one checkpoint of the token
+    columns feeds all four metric plans.
+    """
     from eventlens.session import cut_lineage
-    pairs = cut_lineage(pairs.select(id_col, pred, ref))  # four metric plans share one input
+    base = cut_lineage(_token_base(pairs, id_col, pred, ref, stem, sentences=True))
     parts = {
-        "rouge1": rouge_n(pairs, 1, id_col, pred, ref, stem),
-        "rouge2": rouge_n(pairs, 2, id_col, pred, ref, stem),
-        "rougeL": rouge_l(pairs, id_col, pred, ref, stem),
-        "rougeLsum": rouge_lsum(pairs, id_col, pred, ref, stem),
+        "rouge1": _rouge_n_tokens(base, 1, id_col),
+        "rouge2": _rouge_n_tokens(base, 2, id_col),
+        "rougeL": _rouge_l_tokens(base, id_col),
+        "rougeLsum": _rouge_lsum_tokens(base, id_col),
     }
-    out = pairs.select(id_col)
+    out = base.select(id_col)
     for k, v in parts.items():
         out = out.join(v.select(id_col, F.col("fmeasure").alias(k)), id_col, "left")
     return out
