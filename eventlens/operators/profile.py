@@ -51,9 +51,9 @@ def quantile_row(df: DataFrame, value: str) -> DataFrame:
     q = F.percentile(F.col(value), [0.25, 0.5, 0.75, 0.95])
     r = df.agg(F.min(value).alias("min"), q.alias("_q"), F.max(value).alias("max"),
                F.round(F.avg(value), 1).alias("mean"))
-    it = lambda i: F.col("_q")[i].cast("int")  # noqa: E731  (truncation toward zero)
-    return r.select(F.col("min").cast("int").alias("min"), it(0).alias("p25"), it(1).alias("median"),
-                    it(2).alias("p75"), it(3).alias("p95"), F.col("max").cast("int").alias("max"), "mean")
+    q_int = [F.col("_q")[i].cast("int") for i in range(4)]  # cast truncates toward zero
+    return r.select(F.col("min").cast("int").alias("min"), q_int[0].alias("p25"), q_int[1].alias("median"),
+                    q_int[2].alias("p75"), q_int[3].alias("p95"), F.col("max").cast("int").alias("max"), "mean")
 
 
 def length_percentiles(long_df: DataFrame, field: str = "field", value: str = "words",

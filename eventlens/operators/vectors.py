@@ -212,7 +212,7 @@ def encode_hashing(df: DataFrame, text: str = "text", id_col: str = "id", dim: i
     from pyspark.ml.feature import IDF, HashingTF, Normalizer
     from pyspark.ml.functions import vector_to_array
 
-    toks = df.select(id_col, F.transform(T.word_tokens(F.lower(F.col(text))), lambda w: w).alias("_toks"))
+    toks = df.select(id_col, T.word_tokens(F.lower(F.col(text))).alias("_toks"))
     pipe = Pipeline(stages=[HashingTF(inputCol="_toks", outputCol="_tf", numFeatures=dim),
                             IDF(inputCol="_tf", outputCol="_idf"),
                             Normalizer(inputCol="_idf", outputCol="_n", p=2.0)])
