@@ -37,3 +37,27 @@ def test_partition_count_invariance(spark):
         assert results[0] == results[1] == results[2]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_rank_within_group_hot_group(spark):
+    from eventlens.operators.ordering import rank_within_group
+    n = 9000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 10 < 8, F.lit(7)).otherwise(F.col("id") % 5).alias("g"),  # 80% in one group
+        F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise((F.col("id") * 37 % 101).cast("string")).alias("ts"),
+        F.col("id").alias("ord"))
+    order = [F.col("ts").asc_nulls_last(), F.col("ord").asc()]
+    got = rank_within_group(df, ["g"], order, "pos")
+    want = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
+    assert rows(got, "g", "ord", "pos") == rows(want, "g", "ord", "pos")
+
+
+def test_dedup_hot_url(spark):
+    from eventlens.operators.clean import dedup_first_url
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("https://hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 500).cast("string"))).alias("url"),
+        (F.col("id") % 7).alias("category_rank"), F.col("id").alias("ord"), (F.col("id") * 13 % 17).alias("payload"))
+    got = dedup_first_url(df)
+    w = Window.partitionBy("url").orderBy("category_rank", "ord")
+    want = df.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    assert rows(got, "url", "ord", "payload") == rows(want, "url", "ord", "payload")
