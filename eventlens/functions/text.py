@@ -79,7 +79,7 @@ def strip_truncation_marker(c) -> Column:
 
 @F.pandas_udf(StringType())
 def _html_unescape_udf(s: pd.Series) -> pd.Series:
-    mask = s.str.contains("&", regex=False).fillna(False)
+    mask = s.notna() & s.fillna("").str.contains("&", regex=False)
     if mask.any():
         s = s.copy()
         s[mask] = s[mask].map(html.unescape)
