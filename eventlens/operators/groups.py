@@ -175,22 +175,28 @@ def live_cluster_entries(labelled: DataFrame, budget: int = MAX_INPUT_TOKENS, gr
 
 
 def live_inputs(labelled: DataFrame, budget: int = MAX_INPUT_TOKENS, group: str = "label",
-                preview_limit: int | None = None) -> DataFrame:
-    """Pipeline items for live clusters; previews are title prefixes in order.
+                ranked: DataFrame | None = None) -> DataFrame:
+    """One pipeline item per live cluster (packed input, null references).
 
-    The preview list holds one entry per member, so it is as long as the
-    cluster; it is built from ``(position, title[:120])`` pairs only.
+    The per-article title previews are a separate long table
+    (``live_previews``): a cluster may hold a large share of all articles,
+    so its previews are never folded into one row.
     """
-    ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "text", "title"), group)
+    if ranked is None:
+        ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "text", "title"), group)
     entries = live_cluster_entries(labelled, budget, group, ranked)
-    prev = ranked.groupBy(F.col(group).alias("cluster_id")).agg(
-        F.array_sort(F.collect_list(F.struct("position", F.left("title", F.lit(PREVIEW_CHARS)).alias("t"))))
-        .alias("_p"))
-    return entries.join(prev, "cluster_id").select(
+    return entries.select(
         F.col("cluster_id").cast("string").alias("cluster_id"), F.lit("newsapi").alias("source"),
         F.col("size").alias("n_articles"), "multi_doc_input",
-        F.lit(None).cast("string").alias("reference_summary"), F.lit(None).cast("string").alias("reference_headline"),
-        F.transform("_p", lambda e: e["t"]).alias("source_articles_preview"))
+        F.lit(None).cast("string").alias("reference_summary"), F.lit(None).cast("string").alias("reference_headline"))
+
+
+def live_previews(labelled: DataFrame, group: str = "label", ranked: DataFrame | None = None) -> DataFrame:
+    """J5 previews in long form: ``cluster_id, position, preview`` (title[:120])."""
+    if ranked is None:
+        ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "title"), group)
+    return ranked.select(F.col(group).cast("string").alias("cluster_id"), "position",
+                         F.left("title", F.lit(PREVIEW_CHARS)).alias("preview"))
 
 
 def top_cluster_titles(labelled: DataFrame, k: int = 10, chars: int = 85, group: str = "label") -> DataFrame:

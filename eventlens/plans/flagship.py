@@ -17,5 +17,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = G.live_inputs(labelled, G.MAX_INPUT_TOKENS)
     generated = SU.extractive(items)
     return items.join(generated, "cluster_id").select(
-        "cluster_id", "source", "n_articles", "multi_doc_input", "source_articles_preview",
-        "generated_headline", "generated_summary")
+        "cluster_id", "source", "n_articles", "multi_doc_input", "generated_headline", "generated_summary")

@@ -176,11 +176,17 @@ v_prev AS (SELECT label, count(*) AS size, string_agg(left(title, 120), chr(1) O
 @register("build_live_inputs", W_LIVE + ", " + sql_live_pack(TEST_BUDGET) + """
 SELECT cast(v.label AS varchar) AS cluster_id, 'newsapi' AS source, v.size AS n_articles,
   coalesce(p.multi_doc_input, '') AS multi_doc_input, CAST(NULL AS varchar) AS reference_summary,
-  CAST(NULL AS varchar) AS reference_headline, v.previews AS source_articles_preview
+  CAST(NULL AS varchar) AS reference_headline
 FROM v_prev v LEFT JOIN v_lpacked p USING (label)""")
 def q_build_live_inputs(spark, d):
-    li = G.live_inputs(labelled(spark, d), TEST_BUDGET)
-    return li.withColumn("source_articles_preview", F.array_join("source_articles_preview", "\x01"))
+    return G.live_inputs(labelled(spark, d), TEST_BUDGET)
+
+
+@register("build_live_previews", W_LIVE + """SELECT cast(label AS varchar) AS cluster_id,
+  CAST(row_number() OVER (PARTITION BY label ORDER BY "publishedAt" ASC NULLS LAST, ord) AS INTEGER) AS position,
+  left(title, 120) AS preview FROM v_labelled WHERE label <> -1""")
+def q_build_live_previews(spark, d):
+    return G.live_previews(labelled(spark, d))
 
 
 @register("rank_dense_id", FX.with_views(FX.SQL_RAW_ARTICLES, SQL_DEDUP, SQL_CLEAN) + """
