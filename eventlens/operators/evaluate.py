@@ -29,13 +29,15 @@ def token_vectors(df: DataFrame, id_col: str, side: str, text: str, table: DataF
                   table_id: str = "vec_id", table_vec: str = "embedding") -> DataFrame:
     """Soft-matching inputs: each token's vector looked up in an embedding table.
 
-    Token -> row ``pmod(xxhash64(token), size)`` of ``table`` (a hashing
-    lookup: deterministic and model-free).  Output ``id, side, pos, vec``.
+    Token -> row ``(first 32 bits of md5(token)) mod size`` of ``table`` (a
+    hashing lookup: deterministic, model-free, and reproducible in any SQL
+    engine).  Output ``id, side, pos, vec``.
     """
     size = table.agg((F.max(table_id) + 1).alias("_size"))
     toks = df.select(id_col, F.lit(side).alias("side"), F.posexplode(SC.rouge_tokens(text)).alias("pos", "tok"))
+    h = F.conv(F.substring(F.md5("tok"), 1, 8), 16, 10).cast("long")
     toks = toks.join(F.broadcast(size), how="inner", on=F.lit(True)) \
-        .withColumn("_b", F.pmod(F.xxhash64("tok"), F.col("_size")))
+        .withColumn("_b", F.pmod(h, F.col("_size")))
     vecs = table.select(F.col(table_id).alias("_b"), F.col(table_vec).alias("vec"))
     return toks.join(vecs, "_b").select(id_col, "side", "pos", "vec")
 

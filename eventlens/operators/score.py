@@ -274,5 +274,6 @@ def greedy_match(token_vectors: DataFrame, id_col: str = "pair_id", side: str =
         return pd.DataFrame({id_col: [pdf[id_col].iloc[0]], "precision": [p], "recall": [r], "f1": [f]})
 
     cols = [id_col, side, vec] + (["pos"] if "pos" in token_vectors.columns else [])
-    schema = f"{id_col} bigint, precision double, recall double, f1 double"
+    id_type = token_vectors.schema[id_col].dataType.simpleString()  # ids keep their type
+    schema = f"{id_col} {id_type}, precision double, recall double, f1 double"
     return token_vectors.select(*cols).groupBy(id_col).applyInPandas(fn, schema)

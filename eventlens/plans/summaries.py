@@ -103,7 +103,23 @@ def embeddings(spark, d):
     return read_table(spark, d, "embeddings")
 
 
-@register("score_consistency")
+SQL_CONSISTENCY = f"""v_sz AS (SELECT max(vec_id) + 1 AS size FROM embeddings),
+v_side AS (SELECT cluster_id, 'pred' AS side, {_sql_rtoks('generated_headline')} AS toks FROM v_gen
+  UNION ALL SELECT cluster_id, 'ref', {_sql_rtoks('generated_summary')} FROM v_gen),
+v_tv AS (SELECT s.cluster_id, s.side, s.pos, CAST(e.embedding AS DOUBLE[]) AS vec
+  FROM (SELECT cluster_id, side, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM v_side) s, v_sz
+  JOIN embeddings e ON e.vec_id = ('0x' || left(md5(s.tok), 8))::BIGINT % v_sz.size),
+v_sim AS (SELECT p.cluster_id, p.pos AS ppos, r.pos AS rpos, list_cosine_similarity(p.vec, r.vec) AS sim
+  FROM v_tv p JOIN v_tv r ON p.cluster_id = r.cluster_id AND p.side = 'pred' AND r.side = 'ref'),
+v_pm AS (SELECT cluster_id, avg(m) AS pr FROM (SELECT cluster_id, ppos, max(sim) AS m FROM v_sim GROUP BY 1, 2) GROUP BY 1),
+v_rm AS (SELECT cluster_id, avg(m) AS rc FROM (SELECT cluster_id, rpos, max(sim) AS m FROM v_sim GROUP BY 1, 2) GROUP BY 1),
+v_any AS (SELECT DISTINCT cluster_id FROM v_tv)"""
+
+
+@register("score_consistency", FX.with_views(FX.SQL_GROUPS, SQL_PARSED, sql_pack(1024), SQL_EXTRACTIVE, SQL_CONSISTENCY) + """
+SELECT a.cluster_id, round(coalesce(pr, 0.0), 6) AS consistency_bertscore_p, round(coalesce(rc, 0.0), 6) AS consistency_bertscore_r,
+  round(CASE WHEN coalesce(pr, 0) + coalesce(rc, 0) <> 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END, 6) AS consistency_bertscore_f1
+FROM v_any a LEFT JOIN v_pm USING (cluster_id) LEFT JOIN v_rm USING (cluster_id)""")
 def q_score_consistency(spark, d):
     r = group_results(spark, d)
     g = EV.greedy_pairs(r, "cluster_id", "generated_headline", "generated_summary", embeddings(spark, d))
