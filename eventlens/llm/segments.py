@@ -33,13 +33,13 @@ from pyspark.sql.functions import arrow_udf
 
 from eventlens.llm import words as W
 
-BUCKET_BYTES = 24 << 20
-MEMORY_BYTES = 48 << 20
+BUCKET_BYTES = 12 << 20
+MEMORY_BYTES = 32 << 20
 CUT_SCHEMA = "bucket int, n int, raw long, segs binary, text binary, known binary"
 HIT_SCHEMA = "id long, th int, lo int, hi int"
 NULL_ID = -(2**63)
 
-_codec = pa.Codec("zstd", compression_level=3)
+_codec = pa.Codec("zstd", compression_level=9)
 
 
 def pack_bytes(b: bytes) -> bytes:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventlens.llm import segments as S
 
 WINDOW = 20
-GRAM = 6
+GRAM = 4
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

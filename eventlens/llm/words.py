@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 #: Random odd 64-bit value for each byte, and the multipliers of the two sums.
@@ -121,7 +121,17 @@ class Words:
         return np.repeat(np.arange(len(self.rows) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return Spans(BYTE_CODE[self.buf], _BYTES).hash(self.start, self.end)
+        """64-bit hash of each word, worked out over about ``SLICE_BYTES`` at a time."""
+        n = len(self.start)
+        out = np.empty(n, np.uint64)
+        i = 0
+        while i < n:
+            a = int(self.start[i])
+            j = max(i + 1, int(np.searchsorted(self.end, a + SLICE_BYTES, "right")))
+            codes = BYTE_CODE[self.buf[a:int(self.end[j - 1])]]
+            out[i:j] = Spans(codes, _BYTES).hash(self.start[i:j] - a, self.end[i:j] - a)
+            i = j
+        return out
 
     def joined(self, tail: bool = True) -> Words:
         """The same words with exactly one space after each (``tail``: also a row's last), as a new buffer."""
