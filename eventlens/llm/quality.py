@@ -59,25 +59,16 @@ def _size(array: Column) -> Column:
     return F.size(array).cast("long")
 
 
-def measures(text: Column) -> list[Column]:
-    """Stage one: words and lines of a text and plain counts of characters."""
-    return [
-        F.array_remove(F.split(text, SEPARATORS), "").alias("_words"),
-        F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("_lines"),
-        F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.length(text) - F.length(F.translate(text, "!", ""))).cast("long").alias("n_exclamations"),
-        F.length(F.regexp_replace(text, "[^\\p{L}]+", "")).cast("long").alias("n_letters"),
-        F.length(F.regexp_replace(text, "[^\\p{Lu}]+", "")).cast("long").alias("n_upper"),
-    ]
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, wherever the optimiser moves the expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def windows(words: Column) -> Column:
-    """Every run of five words as one string (words hold no space, so runs and strings correspond)."""
-    at = lambda i: F.get(words, i)
+    """A hash of every run of five words, in order."""
     return F.when(F.size(words) >= WINDOW, F.transform(
         F.sequence(F.lit(0), F.size(words) - WINDOW),
-        lambda i: F.xxhash64(*[at(i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
+        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
 
 
 def repeated_words(windows_: Column) -> Column:
@@ -87,12 +78,33 @@ def repeated_words(windows_: Column) -> Column:
     and sorted positions p count min(5, next p - p) words each.
     """
     placed = F.array_sort(F.transform(windows_, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    pairs = F.zip_with(placed, F.slice(placed, 2, F.size(windows_)), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
-    marked = F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull()))))
-    steps = F.zip_with(marked, F.slice(marked, 2, F.size(windows_)), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))))
+    pairs = lambda p: F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
+    marked = _let(placed, lambda p: F.array_sort(F.array_distinct(F.flatten(F.filter(pairs(p), lambda x: x.isNotNull())))))
+    steps = _let(marked, lambda m: F.zip_with(m, F.slice(m, 2, F.size(m)), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW)))))
     return F.aggregate(steps, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
 
+def measures(text: Column) -> Column:
+    """All counts of a text as one struct; words, lines and windows are made once."""
+    words = F.array_remove(F.split(text, SEPARATORS), "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    chars = lambda out: (F.length(text) - F.length(F.translate(text, out, ""))).cast("long")
+
+    def counted(s: Column, w: Column) -> Column:
+        # Most texts repeat no window: those skip the sort.
+        repeats = F.when(F.size(F.array_distinct(w)) < F.size(w), repeated_words(w)).otherwise(F.lit(0).cast("long"))
+        return F.struct(
+            _size(s["words"]).alias("n_words"), F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
+            chars("#*$%&|<>").alias("n_symbols"), _size(s["lines"]).alias("n_lines"),
+            (_size(s["lines"]) - _size(F.array_distinct(s["lines"]))).alias("n_dup_lines"), repeats.alias("n_repeat_words"),
+            _size(F.filter(s["words"], lambda x: F.lower(x).isin(*sorted(set(STOP_WORDS))))).alias("n_stop_words"),
+            F.length(F.regexp_replace(text, "[^\\p{L}]+", "")).cast("long").alias("n_letters"),
+            F.length(F.regexp_replace(text, "[^\\p{Lu}]+", "")).cast("long").alias("n_upper"),
+            chars("!").alias("n_exclamations"))
+
+    return _let(F.struct(words.alias("words"), lines.alias("lines")), lambda s: _let(windows(s["words"]), lambda w: counted(s, w)))
+
+
 def quality_rules(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Add the measures and the verdict of every rule to each document.
 
@@ -114,16 +126,9 @@ def quality_rules(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ..
     own = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words",
            "n_letters", "n_upper", "n_exclamations", "base_failed", "failed_rules", "kept"]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(row, F.col(f"`{text_col}`").cast("string").alias("text")).select("row", *measures(text))
-    counted = base.select(
-        "row", "word_chars", "n_symbols", "n_exclamations", "n_letters", "n_upper", windows(F.col("_words")).alias("_windows"),
-        _size(F.col("_words")).alias("n_words"), _size(F.col("_lines")).alias("n_lines"),
-        (_size(F.col("_lines")) - _size(F.array_distinct("_lines"))).alias("n_dup_lines"),
-        _size(F.filter("_words", lambda w: F.lower(w).isin(*sorted(set(STOP_WORDS))))).alias("n_stop_words"))
-    # Most texts repeat no window: those skip the sort.
-    repeats = F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), repeated_words(F.col("_windows"))).otherwise(F.lit(0))
-    judged = counted.withColumn("n_repeat_words", repeats.cast("long")).drop("_windows")
+    base = docs.select(row, F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    # A generator of one row: filters on the verdict stay above it instead of repeating the work.
+    judged = base.select("row", F.explode(F.array(measures(F.col("text")))).alias("m")).select("row", "m.*")
     failed = F.filter(F.array(*[F.when(r.failed(), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
     judged = judged.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))) \
                    .withColumn("failed_rules", failed)

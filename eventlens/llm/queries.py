@@ -20,6 +20,21 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.to_json("spans").alias("spans"), F.sha2("text", 256).alias("text_sha256"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.llm import lm_score
+    docs = lm_score.with_target(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    model = lm_score.fit(docs)
+    return lm_score.score_documents(read_table(spark, sf_dir, "documents"), model).select(
+        "doc_id", "n_tokens", "target_loss", "background_loss", "score")
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.llm import lattice
+    done = lattice.encode(read_table(spark, sf_dir, "documents"))
+    back = F.when(F.col("text").isNotNull(), lattice.decode(F.col("ids")))
+    return done.select(F.col("id").alias("doc_id"), "n_tokens", "ids", F.col("text").eqNullSafe(back).alias("exact"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventlens.llm.decontaminate import contamination
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -27,18 +42,51 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def _fold(parts: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.llm import toxicity
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    index = toxicity.fit(docs.join(labels.where(_fold(5) != 0), "doc_id"))
+    return toxicity.score_toxicity(docs, index).select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventlens.llm.jaccard import jaccard_join
     return jaccard_join(read_table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "class_id", "n_links", "class_size")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.llm import langid
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(_fold(4) != 2))
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.llm.chat import format_chats, read_back
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], turns.schema)
+    return read_back(format_chats(turns.unionByName(more)))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventlens.llm.substring import dedup_substrings
     return dedup_substrings(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op5_decontaminate, op7_jaccard_join, op10_substring_dedup)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_lm_scoring, op4_sentencepiece, op5_decontaminate, op6_toxicity,
+                                 op7_jaccard_join, op8_language_id, op9_chat_formatting, op10_substring_dedup, pipeline)}
 
 ORACLES: dict[str, str] = {}
