@@ -89,4 +89,34 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_lm_scoring, op4_sentencepiece, op5_decontaminate, op6_toxicity,
                                  op7_jaccard_join, op8_language_id, op9_chat_formatting, op10_substring_dedup, pipeline)}
 
-ORACLES: dict[str, str] = {}
+_OP1 = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+spans AS (SELECT doc_id, unnest(range(1, greatest(1, len(words) - 3))) AS i, words FROM w),
+grams AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS g FROM spans),
+marked AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
+steps AS (SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS s FROM marked),
+rep AS (SELECT doc_id, sum(s)::BIGINT AS n FROM steps GROUP BY doc_id),
+c AS (SELECT w.doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+             (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+             len(lines) AS n_lines, len(list_filter(words, lambda x: list_contains([{stop}], lower(x)))) AS n_stop,
+             length(regexp_replace(text, '[^\p{{L}}]+', '', 'g')) AS n_letters, length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) AS n_upper,
+             length(text) - length(replace(text, '!', '')) AS n_bang
+      FROM w LEFT JOIN rep USING (doc_id)),
+v AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       (NOT base_failed AND NOT (n_words >= 1 AND (100 * word_chars < 200 * n_words OR 100 * word_chars > 1500 * n_words))
+        AND NOT (word_chars >= 1 AND 100 * n_symbols > 10 * word_chars) AND NOT (n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)
+        AND NOT (n_words >= 50 AND 100 * n_stop < 2 * n_words) AND NOT (n_letters >= 50 AND 100 * n_upper > 60 * n_letters)
+        AND NOT (n_words >= 20 AND 100 * n_bang > 50 * n_words)) AS kept
+FROM v"""
+
+
+def _op1_sql() -> str:
+    from eventlens.llm.quality import STOP_WORDS
+    return _OP1.format(stop=", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS))))
+
+
+ORACLES: dict[str, str] = {"op1_quality_rules": _op1_sql()}
