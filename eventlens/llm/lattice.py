@@ -75,8 +75,25 @@ def encode_units(units: DataFrame, path: str | None = None) -> DataFrame:
     return grouped.select("unit", *others, best.alias("ids"))
 
 
-def _units(text: np.ndarray, offsets: np.ndarray) -> W.Words:
-    """Units of each text with a space before it: a run of spaces with the word after it, or one control character.
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[0x21:0x7F] = True
+_SIGN &= ~_LETTER
+
+
+def splits_signs(path: str | None = None) -> bool:
+    """Whether no piece joins an ASCII letter to an ASCII sign or digit, so that units may end between them."""
+    for p in read_pieces(path):
+        raw = np.frombuffer(p.text.encode(), np.uint8)
+        if p.kind == NORMAL and ((_LETTER[raw[1:]] & _SIGN[raw[:-1]]) | (_SIGN[raw[1:]] & _LETTER[raw[:-1]])).any():
+            return False
+    return True
+
+
+def _units(text: np.ndarray, offsets: np.ndarray, signs: bool) -> W.Words:
+    """Units of each text with a space before it: a run of spaces with the letters after it, a run of signs
+    (``signs``: where no piece joins them to letters), or one control character.
 
     No piece reaches over the start of a unit, so units are encoded one by one.
     """
@@ -89,6 +106,8 @@ def _units(text: np.ndarray, offsets: np.ndarray) -> W.Words:
     prev[1:] = buf[:-1]
     prev[:1] = 0
     head = ((buf == 0x20) & (prev != 0x20)) | (buf < 0x20) | (prev < 0x20)
+    if signs:
+        head |= (_LETTER[buf] & _SIGN[prev]) | (_SIGN[buf] & _LETTER[prev])
     head[at[:-1][lens > 0]] = True
     start = np.flatnonzero(head)
     rows = np.searchsorted(start, at)
@@ -116,15 +135,17 @@ def _parts(batches):
             yield int.from_bytes(key.digest(), "little", signed=True), b.slice(i, j - i), text, at[i:j + 1] - at[i]
 
 
-def _distinct_units(batches):
-    for part, _, text, offsets in _parts(batches):
-        u = _units(np.frombuffer(text, np.uint8), offsets)
-        _, first = np.unique(u.hashes(), return_index=True)
-        raw = u.buf.tobytes()
-        for a in range(0, len(first), 1 << 17):
-            f = first[a:a + (1 << 17)]
-            found = pa.array([raw[s:e] for s, e in zip(u.start[f].tolist(), u.end[f].tolist())], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(f), part)), found], ["part", "unit"])
+def _distinct_units(signs: bool):
+    def run(batches):
+        for part, _, text, offsets in _parts(batches):
+            u = _units(np.frombuffer(text, np.uint8), offsets, signs)
+            _, first = np.unique(u.hashes(), return_index=True)
+            raw = u.buf.tobytes()
+            for a in range(0, len(first), 1 << 17):
+                f = first[a:a + (1 << 17)]
+                found = pa.array([raw[s:e] for s, e in zip(u.start[f].tolist(), u.end[f].tolist())], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(f), part)), found], ["part", "unit"])
+    return run
 
 
 def _packed(batches):
@@ -135,7 +156,7 @@ def _packed(batches):
             pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("offsets", pa.binary()), ("text", pa.binary())]))
 
 
-def _apply(parts: pa.Table, units: pa.Table) -> pa.Table:
+def _apply(parts: pa.Table, units: pa.Table, signs: bool) -> pa.Table:
     """The documents of one slice with the ids of their units put together."""
     column = units.column("unit").combine_chunks() if units.num_rows else pa.array([], pa.string())
     data, at = W.string_buffers(column)
@@ -149,7 +170,7 @@ def _apply(parts: pa.Table, units: pa.Table) -> pa.Table:
     for i in range(parts.num_rows):
         get = lambda c, t: np.frombuffer(unpack_bytes(parts.column(c)[i].as_py()), t)  # noqa: B023, E731
         text, offsets = unpack_bytes(parts.column("text")[i].as_py()), get("offsets", np.int64)
-        u = _units(np.frombuffer(text, np.uint8), offsets)
+        u = _units(np.frombuffer(text, np.uint8), offsets, signs)
         mine = u.hashes()
         if len(mine):
             k = np.minimum(np.searchsorted(h[by], mine), max(0, len(by) - 1))
@@ -190,11 +211,12 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.coalesce(text, F.lit("")).alias("text"), text.isNull().alias("null_text"))
-    asked = rows.mapInArrow(_distinct_units, "part long, unit string").groupBy("unit").agg(F.collect_list("part").alias("parts"))
+    signs = splits_signs(path)
+    asked = rows.mapInArrow(_distinct_units(signs), "part long, unit string").groupBy("unit").agg(F.collect_list("part").alias("parts"))
     answers = encode_units(asked, path).select(F.explode("parts").alias("part"), "unit", "ids")
     packed = rows.mapInArrow(_packed, "part long, ids binary, nulls binary, offsets binary, text binary")
     done = packed.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        lambda key, a, b: _apply(a, b.select(["unit", "ids"])), "id long, text string, ids array<int>")
+        lambda key, a, b: _apply(a, b.select(["unit", "ids"]), signs), "id long, text string, ids array<int>")
     return done.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("id"), "text", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 
@@ -202,7 +224,8 @@ def decode(ids: Column, path: str | None = None) -> Column:
     """The text of an array of ids, as one native expression; unknown ids and control pieces give nothing."""
     pieces = read_pieces(path)
     first = min(p.id for p in pieces if p.kind == BYTE)
-    table = F.split(F.lit("\x01".join(p.text.replace(SPACE, " ") if p.kind == NORMAL else "" for p in pieces)), "\x01")
+    mark = next(c for c in map(chr, range(1, 32)) if not any(c in p.text for p in pieces))
+    table = F.split(F.lit(mark.join(p.text.replace(SPACE, " ") if p.kind == NORMAL else "" for p in pieces)), mark)
     one = lambda i: F.when(i.between(first, first + 255), F.unhex(F.lpad(F.hex(i - first), 2, "0")).cast("string")) \
                      .otherwise(F.coalesce(F.get(table, i), F.lit("")))
     joined = F.array_join(F.transform(ids, one), "")

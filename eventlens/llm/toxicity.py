@@ -47,7 +47,7 @@ class Index:
         self.ids, self.toxic = np.pad(ids, (0, pad), constant_values=-1), np.pad(toxic, (0, pad))
         self.real = np.arange(len(self.ids)) < len(ids)
         self.term, self.idf = term, idf
-        self.post = np.ascontiguousarray(vectors.reshape(-1, BLOCK, len(term)).transpose(0, 2, 1)).astype(np.float32)
+        self.post = np.ascontiguousarray(vectors.reshape(len(vectors) // BLOCK, BLOCK, len(term)).transpose(0, 2, 1)).astype(np.float32)
         self.most = np.ascontiguousarray(self.post.max(2).T)
         self.prior = 0.5
         self.slope, self.offset = 1.0, 0.0
@@ -105,8 +105,8 @@ class Index:
             x.append(self.vote(*self.search(t, col[t], NEIGHBOURS, skip=i)))
             y.append(self.toxic[i])
         x, y = np.array(x), np.array(y, float)
-        share = y.mean() if len(y) else 0.5
-        if not 0 < share < 1:
+        share = y.mean() if len(y) else 0.0
+        if not 0 < share < 1:  # one label only, or none
             self.slope, self.offset = 0.0, 8.0 if share else -8.0
             return
         # Weight the balanced examples back to the labelled share.
