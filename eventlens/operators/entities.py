@@ -100,13 +100,13 @@ def highlight(text_col, entities_col):
 
 
 def build_cards(summaries: DataFrame, ranked: DataFrame, sources: DataFrame, id_col: str = "cluster_id",
-                top: int = 10) -> DataFrame:
+                top: int | None = None) -> DataFrame:
     """J19 + D3: headline, summary, top entities and sources per event.
 
-    Entity lists are cut to ``top`` by rank before collection, and sources
-    are distinct names, so every collected list is bounded per event.
+    ``top`` cuts the entity lists by rank; by default all of an event's distinct
+    entities and source names are listed.
     """
-    ents = ranked.where(F.col("rank") <= top).groupBy(id_col).agg(
+    ents = (ranked if top is None else ranked.where(F.col("rank") <= top)).groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("rank", "text", "label", "count"))).alias("entities"))
     srcs = sources.groupBy(id_col).agg(F.array_sort(F.collect_set("source")).alias("sources"))
     return (summaries.join(ents, id_col, "left").join(srcs, id_col, "left")

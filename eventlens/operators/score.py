@@ -185,7 +185,9 @@ def rouge_l(pairs: DataFrame, id_col: str = "pair_id", pred: str = "prediction",
 
 
 def _sentence_tokens(c, stem: bool) -> Column:
-    nested = F.transform(T.sentences(c), lambda s: rouge_tokens(s, False))
+    # Every newline ends a sentence too, also one that was in the text.
+    lines = F.filter(F.flatten(F.transform(T.sentences(c), lambda s: F.split(s, "\n"))), lambda s: s != "")
+    nested = F.transform(lines, lambda s: rouge_tokens(s, False))
     if stem:
         from eventlens.functions.stem import porter_stem_nested
         nested = porter_stem_nested(nested)
@@ -248,8 +250,8 @@ def best_worst(scores: DataFrame, score: str, id_col: str, k: int = 5) -> DataFr
 def _greedy(pred: np.ndarray, ref: np.ndarray) -> tuple[float, float, float]:
     if not len(pred) or not len(ref):
         return 0.0, 0.0, 0.0
-    a = pred / np.linalg.norm(pred, axis=1, keepdims=True)
-    b = ref / np.linalg.norm(ref, axis=1, keepdims=True)
+    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), np.finfo(float).tiny)
+    a, b = unit(pred), unit(ref)  # a zero vector is similar to nothing
     sim = a @ b.T
     p = float(sim.max(axis=1).mean())
     r = float(sim.max(axis=0).mean())

@@ -26,8 +26,10 @@ BLOCK_ROWS = 4096
 def l2_normalize(c) -> Column:
     """Unit-length float32 vector (zero vectors stay zero)."""
     v = T._c(c)
-    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    return F.transform(v, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)).cast("float"))
+    # The one-element array binds the norm to a lambda variable, so it is evaluated once per vector.
+    scaled = F.transform(F.array(l2_norm(c)), lambda norm: F.transform(
+        v, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)).cast("float")))
+    return F.element_at(scaled, 1)
 
 
 def l2_norm(c) -> Column:

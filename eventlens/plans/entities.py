@@ -79,7 +79,7 @@ SQL_CARDS = """v_rank AS (SELECT cluster_id, text, label, count,
   row_number() OVER (PARTITION BY cluster_id ORDER BY count DESC, text, label) AS rank
   FROM (SELECT cluster_id, text, label, count(*) AS count FROM v_ents GROUP BY 1, 2, 3)),
 v_cards AS (SELECT t.cluster_id, """ + "{head} AS headline, t.text AS summary," + """
-  (SELECT string_agg(r.text || ':' || r.label || ':' || r.count, '; ' ORDER BY r.rank) FROM v_rank r WHERE r.cluster_id = t.cluster_id AND r.rank <= 10) AS entities,
+  (SELECT string_agg(r.text || ':' || r.label || ':' || r.count, '; ' ORDER BY r.rank) FROM v_rank r WHERE r.cluster_id = t.cluster_id) AS entities,
   (SELECT string_agg(DISTINCT a.source_name, '; ' ORDER BY a.source_name) FROM v_raw_articles a WHERE a.ord = t.cluster_id) AS sources
   FROM v_entity_text t)"""
 

@@ -15,7 +15,7 @@ from eventlens.sources import fixtures as FX
 QUERIES = {}
 ORACLES = {}
 
-TEST_BUDGET = 60  # fixture packing budget (FIXTURES.md); product default is 1024
+TEST_BUDGET = G.MAX_INPUT_TOKENS  # the configured budget
 
 
 def register(name, sql=None):

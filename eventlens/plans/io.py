@@ -75,7 +75,7 @@ def q_sink_payload_roundtrip(spark, d):
     lab = labelled(spark, d)
     root = IO.scratch_dir(spark, "payload")
     # Payload as two tables: one row per cluster, one row per member.
-    entries = G.live_cluster_entries(lab, 60)
+    entries = G.live_cluster_entries(lab, G.MAX_INPUT_TOKENS)
     members = G.rank_by_published(lab).select(F.col("label").alias("cluster_id"), "position", "ord", "title",
                                               "publishedAt", "source", "url")
     IO.save_nested(entries, f"{root}/clusters")

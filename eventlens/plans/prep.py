@@ -38,7 +38,14 @@ def pairs(spark, d):
 
 @register("head_per_split", W_HEAD + "SELECT split, id FROM v_head")
 def q_head_per_split(spark, d):
-    return PR.head_per_split(pairs(spark, d)).select("split", "id")
+    return PR.head_per_split(pairs(spark, d), PR.SPLIT_SIZES).select("split", "id")
+
+
+@register("head_per_split_cut", W + """SELECT split, id FROM (
+SELECT split, id, row_number() OVER (PARTITION BY split ORDER BY ord) AS rn FROM v_pairs)
+WHERE rn <= CASE split WHEN 'train' THEN 333 WHEN 'validation' THEN 21 ELSE 1000 END""")
+def q_head_per_split_cut(spark, d):
+    return PR.head_per_split(pairs(spark, d), {"train": 333, "validation": 21, "test": 1000}).select("split", "id")
 
 
 @register("flt_min_words", W + f"""SELECT split, id FROM v_pairs

@@ -94,14 +94,13 @@ def read_articles(spark: SparkSession, path: str, schema: StructType, multi_line
 
 def read_latest_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     """A2: rows of the snapshot whose files were modified last; none -> error."""
-    df = spark.read.schema(schema).json(f"{root.rstrip('/')}/articles_*")
-    tagged = df.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"(articles_[^/]+)/", 1).alias("_snap"),
-                       F.col("_metadata.file_modification_time").alias("_mtime"))
-    latest = tagged.groupBy("_snap").agg(F.max("_mtime").alias("_m")) \
-        .orderBy(F.col("_m").desc(), F.col("_snap").desc()).limit(1)
-    if latest.count() == 0:
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/articles_*")
+    found = pattern.getFileSystem(conf).globStatus(pattern) or []
+    newest = max(((f.getModificationTime(), f.getPath().toString()) for f in found if f.isDirectory()), default=None)
+    if newest is None:
         raise FileNotFoundError(f"No articles_* snapshots in {root}")
-    return tagged.join(latest.select("_snap"), "_snap").drop("_snap", "_mtime")
+    return spark.read.schema(schema).json(newest[1])
 
 
 # ---- A7 / A8: nested payloads and split datasets ---------------------------------

@@ -45,23 +45,23 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("https://n.example/"), F.col("doc_id").cast("string")))
     )
     source_name = F.when(_mod("doc_id", 13) == 0, F.lit(None).cast("string")).otherwise(F.col("source"))
-    head80 = F.left(_first_line("text"), F.lit(80))
+    head = _first_line("text")
     title = F.concat(
-        F.when(_mod("doc_id", 4) == 0, F.concat(F.lit("<b>"), head80, F.lit("</b> &amp; more"))).otherwise(head80),
+        F.when(_mod("doc_id", 4) == 0, F.concat(F.lit("<b>"), head, F.lit("</b> &amp; more"))).otherwise(head),
         F.when(_mod("doc_id", 2) == 0, F.concat(F.lit(" - "), F.upper("source")))
         .when(_mod("doc_id", 3) == 0, F.concat(F.lit(" | "), F.col("source")))
         .otherwise(F.lit("...")),
     )
     description = (
-        F.when(_mod("doc_id", 3) == 0, F.left("text", F.lit(90)))
+        F.when(_mod("doc_id", 3) == 0, F.col("text"))
         .when(_mod("doc_id", 3) == 1, F.lit("“Then” it’s more — details…"))
         .otherwise(F.lit(None).cast("string"))
     )
     content = (
-        F.when(_mod("doc_id", 17) == 0, F.concat(F.lit("Subscribe for unlimited access. "), F.left("text", F.lit(120))))
-        .when(F.col("n_chars") > 200, F.concat(F.left("text", F.lit(200)), F.lit("… [+"),
+        F.when(_mod("doc_id", 17) == 0, F.concat(F.lit("Subscribe for unlimited access. "), F.col("text")))
+        .when(F.col("n_chars") > 200, F.concat(F.col("text"), F.lit("… [+"),
                                                 (F.col("n_chars") - 200).cast("string"), F.lit(" chars]")))
-        .otherwise(F.left("text", F.lit(40)))
+        .otherwise(F.col("text"))
     )
     published = (
         F.when(_mod("doc_id", 11) == 0, F.lit(None).cast("string"))
@@ -105,9 +105,8 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                .otherwise(F.col("text")))
     highlights = (
         F.when(_mod("doc_id", 29) == 0, F.lit(""))
-        .when(_mod("doc_id", 31) == 0, F.concat(F.lit("\n"), F.left("text", F.lit(60))))
-        .otherwise(F.concat(F.left(_first_line("text"), F.lit(90)), F.lit(" .\n"),
-                            F.left(_second_line("text"), F.lit(90)), F.lit(" , too .")))
+        .when(_mod("doc_id", 31) == 0, F.concat(F.lit("\n"), _first_line("text")))
+        .otherwise(F.concat(_first_line("text"), F.lit(" .\n"), _second_line("text"), F.lit(" , too .")))
     )
     return d.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), split.alias("split"),
                     article.alias("article"), highlights.alias("highlights"))
@@ -149,7 +148,7 @@ def entity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = d.join(F.broadcast(n), F.col("n_nationkey") == (F.col("doc_id") % 25))
     return j.select(
         F.col("doc_id").alias("cluster_id"),
-        F.concat(F.left("text", F.lit(120)), F.lit(" "), F.col("n_name"), F.lit(" 2024-01-"),
+        F.concat(F.col("text"), F.lit(" "), F.col("n_name"), F.lit(" 2024-01-"),
                  F.lpad((1 + F.col("doc_id") % 28).cast("string"), 2, "0"), F.lit(" "), F.col("n_name")).alias("text"),
     )
 
@@ -183,14 +182,14 @@ SELECT doc_id AS ord, doc_id % 7 AS category_rank,
     ELSE 'https://n.example/' || cast(doc_id AS varchar) END AS url,
   CASE WHEN doc_id % 13 = 0 THEN NULL ELSE source END AS source_name,
   CAST(NULL AS varchar) AS author,
-  CASE WHEN doc_id % 4 = 0 THEN '<b>' || left(split_part(text, chr(10), 1), 80) || '</b> &amp; more'
-    ELSE left(split_part(text, chr(10), 1), 80) END
+  CASE WHEN doc_id % 4 = 0 THEN '<b>' || split_part(text, chr(10), 1) || '</b> &amp; more'
+    ELSE split_part(text, chr(10), 1) END
     || CASE WHEN doc_id % 2 = 0 THEN ' - ' || upper(source)
        WHEN doc_id % 3 = 0 THEN ' | ' || source ELSE '...' END AS title,
-  CASE doc_id % 3 WHEN 0 THEN left(text, 90) WHEN 1 THEN '“Then” it’s more — details…' ELSE NULL END AS description,
-  CASE WHEN doc_id % 17 = 0 THEN 'Subscribe for unlimited access. ' || left(text, 120)
-    WHEN n_chars > 200 THEN left(text, 200) || '… [+' || cast(n_chars - 200 AS varchar) || ' chars]'
-    ELSE left(text, 40) END AS content,
+  CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN '“Then” it’s more — details…' ELSE NULL END AS description,
+  CASE WHEN doc_id % 17 = 0 THEN 'Subscribe for unlimited access. ' || text
+    WHEN n_chars > 200 THEN text || '… [+' || cast(n_chars - 200 AS varchar) || ' chars]'
+    ELSE text END AS content,
   CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 23 = 0 THEN ''
     ELSE '2024-01-' || lpad(cast(1 + doc_id % 28 AS varchar), 2, '0') || 'T00:00:00Z' END AS "publishedAt"
 FROM documents)"""
@@ -203,8 +202,8 @@ SQL_PAIRS = """v_pairs AS (
 SELECT doc_id AS id, doc_id AS ord,
   CASE WHEN doc_id % 10 < 8 THEN 'train' WHEN doc_id % 10 = 8 THEN 'validation' ELSE 'test' END AS split,
   CASE WHEN doc_id % 6 = 0 THEN 'LONDON, England (CNN) -- ' || text WHEN doc_id % 6 = 1 THEN '(CNN) -- ' || text ELSE text END AS article,
-  CASE WHEN doc_id % 29 = 0 THEN '' WHEN doc_id % 31 = 0 THEN chr(10) || left(text, 60)
-    ELSE left(split_part(text, chr(10), 1), 90) || ' .' || chr(10) || left(split_part(text, chr(10), 2), 90) || ' , too .' END AS highlights
+  CASE WHEN doc_id % 29 = 0 THEN '' WHEN doc_id % 31 = 0 THEN chr(10) || split_part(text, chr(10), 1)
+    ELSE split_part(text, chr(10), 1) || ' .' || chr(10) || split_part(text, chr(10), 2) || ' , too .' END AS highlights
 FROM documents)"""
 
 SQL_SCORED = """v_scored AS (
@@ -220,7 +219,7 @@ SELECT vec_id % 20 AS pos, cast(floor(vec_id / 20) AS bigint) AS pair_id,
   CASE WHEN vec_id % 2 = 0 THEN 'pred' ELSE 'ref' END AS side, embedding AS vec FROM embeddings)"""
 
 SQL_ENTITY_TEXT = """v_entity_text AS (
-SELECT d.doc_id AS cluster_id, left(d.text, 120) || ' ' || n.n_name || ' 2024-01-' || lpad(cast(1 + d.doc_id % 28 AS varchar), 2, '0') || ' ' || n.n_name AS text
+SELECT d.doc_id AS cluster_id, d.text || ' ' || n.n_name || ' 2024-01-' || lpad(cast(1 + d.doc_id % 28 AS varchar), 2, '0') || ' ' || n.n_name AS text
 FROM documents d JOIN nation n ON n.n_nationkey = d.doc_id % 25)"""
 
 SQL_RATINGS = """v_ratings AS (
