@@ -20,10 +20,9 @@ SLICE_BYTES = 8 << 20
 
 
 def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """``(piece, piece_id, score)`` of the vocabulary's normal pieces, spaces written as such: a table of fixed size."""
-    rows = [(p.text.replace(SPACE, " "), p.id, float(p.score)) for p in read_pieces(path) if p.kind == NORMAL]
-    return spark.createDataFrame(pa.table({"piece": [r[0] for r in rows], "piece_id": pa.array([r[1] for r in rows], pa.int32()),
-                                           "score": [r[2] for r in rows]}))
+    """``(piece, piece_id)`` of the vocabulary's normal pieces, spaces written as such: a table of fixed size."""
+    rows = [(p.text.replace(SPACE, " "), p.id) for p in read_pieces(path) if p.kind == NORMAL]
+    return spark.createDataFrame(pa.table({"piece": [r[0] for r in rows], "piece_id": pa.array([r[1] for r in rows], pa.int32())}))
 
 
 def _bytes_of(char: Column, first: int) -> Column:
@@ -53,22 +52,28 @@ def encode_units(units: DataFrame, path: str | None = None) -> DataFrame:
     subs = starts.select("unit", *others, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("len"))
     subs = subs.select("unit", *others, "start", "len", F.substring(F.col("unit"), F.col("start") + 1, F.col("len")).alias("sub"))
     edges = subs.join(F.broadcast(piece_table(spark, path)), F.col("sub") == F.col("piece"), "left").where("piece_id is not null or len = 1")
-    edge = F.struct((F.col("start") + F.col("len")).alias("end"), F.col("start").alias("start"),
-                    F.coalesce("score", F.lit(unknown)).alias("score"),
-                    F.when(F.col("piece_id").isNotNull(), F.array("piece_id")).otherwise(_bytes_of(F.col("sub"), first_byte)).alias("ids"))
+    # An edge is one long, end | start | piece, so that sorting the longs sorts by end, then start.
+    nobody = len(pieces)  # stands for a character outside the vocabulary
+    edge = F.shiftleft((F.col("start") + F.col("len")).cast("long"), 40).bitwiseOR(F.shiftleft(F.col("start").cast("long"), 20)) \
+            .bitwiseOR(F.coalesce("piece_id", F.lit(nobody)).cast("long"))
     grouped = edges.groupBy("unit").agg(F.array_sort(F.collect_list(edge)).alias("edges"), *[F.first(c).alias(c) for c in others])
+    scores = F.split(F.lit(",".join(repr(float(p.score)) for p in pieces) + f",{unknown!r}"), ",").cast("array<double>")
 
     # State: best paths to positions 0..k-1 (done) and to position k (now); an edge ends at k or k + 1.
     start = F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))
     none = F.array().cast("array<struct<score:double,ids:array<int>>>")
 
     def relax(acc, x):
-        moves = x["end"] > F.size(acc["done"])
-        before = F.when(x["start"] == F.size(acc["done"]), acc["now"]).otherwise(F.get(acc["done"], x["start"]))
-        score = before["score"] + x["score"]
+        low = F.lit((1 << 20) - 1).cast("long")
+        end, begin = F.shiftright(x, 40).cast("int"), F.shiftright(x, 20).bitwiseAND(low).cast("int")
+        piece = x.bitwiseAND(low).cast("int")
+        moves = end > F.size(acc["done"])
+        before = F.when(begin == F.size(acc["done"]), acc["now"]).otherwise(F.get(acc["done"], begin))
+        score = before["score"] + F.get(scores, piece)
+        own = F.when(piece == nobody, _bytes_of(F.substring(F.col("unit"), begin + 1, F.lit(1)), first_byte)).otherwise(F.array(piece))
         return F.struct(
             F.when(moves, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]).alias("done"),
-            F.when(moves | (score > acc["now"]["score"]), F.struct(score.alias("score"), F.concat(before["ids"], x["ids"]).alias("ids")))
+            F.when(moves | (score > acc["now"]["score"]), F.struct(score.alias("score"), F.concat(before["ids"], own).alias("ids")))
             .otherwise(acc["now"]).alias("now"))
 
     best = F.aggregate("edges", F.struct(none.alias("done"), start.alias("now")), relax, lambda acc: acc["now"]["ids"])
