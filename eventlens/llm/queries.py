@@ -50,7 +50,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventlens.llm import toxicity
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    index = toxicity.fit(docs.join(labels.where(_fold(5) != 0), "doc_id"))
+    index = toxicity.fit(docs, labels.where(_fold(5) != 0))
     return toxicity.score_toxicity(docs, index).select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted", "evidence")
 
 

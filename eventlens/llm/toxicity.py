@@ -128,23 +128,23 @@ class Index:
         return float(1 / (1 + np.exp(-np.clip(self.slope * log_odds + self.offset, -30, 30))))
 
 
-def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         examples: int = EXAMPLES, terms: int = TERMS) -> Index:
-    """Index of labelled examples: ``examples`` rows of each label at most, by smallest hash of the text.
+    """Index of labelled examples: the texts of ``examples`` labels of each kind at most, by smallest hash of the id.
 
-    Both bounds are parameters; TF-IDF is worked out over the examples.  Only
-    the examples' term counts reach the driver.  Equal texts count once; rows
-    with a null label or null text are left out.
+    Both bounds are parameters; TF-IDF is worked out over the examples.  They
+    are drawn from the labels alone, so no text is shuffled: the documents are
+    scanned once against a broadcast of 2 x examples ids, and only the examples'
+    term counts reach the driver.  An id labelled twice counts once, as toxic if
+    any label says so; null ids, labels and texts are left out.
     """
-    rows = train.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
-                        F.col(f"`{label_col}`").cast("int").alias("toxic")).where("text is not null and toxic is not null")
-    counts = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    chosen = None
-    for label in (0, 1):
-        one = rows.where(F.col("toxic") == label).withColumn("h", F.xxhash64("text")).select("h", "id").orderBy("h", "id").limit(examples)
-        chosen = one.withColumn("label", F.lit(label)) if chosen is None else chosen.union(one.withColumn("label", F.lit(label)))
-    chosen = F.broadcast(chosen.withColumnRenamed("id", "_id"))  # 2 x examples rows
-    sample = rows.join(chosen, (rows["id"] == F.col("_id")) & (F.xxhash64("text") == F.col("h")) & (rows["toxic"] == F.col("label")), "left_semi")
+    one = labels.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{label_col}`").cast("int").alias("toxic")) \
+                .where("_id is not null and toxic in (0, 1)").groupBy("_id").agg(F.max("toxic").alias("toxic"))
+    counts = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
+    drawn = [one.where(F.col("toxic") == k).orderBy(F.xxhash64("_id"), "_id").limit(examples) for k in (0, 1)]
+    chosen = F.broadcast(drawn[0].union(drawn[1]))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text is not null")
+    sample = rows.join(chosen, F.col("id") == F.col("_id")).select("id", "toxic", "text")
 
     def vectorise(batches):
         for b in batches:

@@ -154,8 +154,7 @@ def held(doc_id, parts):
 @pytest.fixture(scope="module")
 def index(spark):
     docs, labels = read_table(spark, SF_MID, "documents"), read_table(spark, SF_MID, "labels")
-    train = docs.join(labels, "doc_id").where(toxicity.F.crc32(docs["doc_id"].cast("string").cast("binary")) % 5 != 0)
-    return toxicity.fit(train.select(docs["doc_id"], "text", "toxic"), examples=300)
+    return toxicity.fit(docs, labels.where("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0"), examples=300)
 
 
 def test_block_max_search_is_exact(spark, index):
@@ -187,7 +186,7 @@ def test_toxicity_edges(spark, index):
     got = rows_of(toxicity.score_toxicity(df, index))
     assert len(got) == 4 and len({r["score"] for r in got}) == 1 and all(r["evidence"] == [] for r in got)
     assert toxicity.score_toxicity(df.limit(0), index).collect() == []
-    none = toxicity.fit(spark.createDataFrame([], "doc_id long, text string, toxic int"))
+    none = toxicity.fit(df.withColumnRenamed("score", "toxic"), spark.createDataFrame([(1, 1), (None, 0), (2, None)], "doc_id long, toxic int"))
     assert len(rows_of(toxicity.score_toxicity(df, none))) == 4
 
 
