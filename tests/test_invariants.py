@@ -30,8 +30,10 @@ def test_funnel_arithmetic(spark):
 def test_packed_inputs_within_budget(spark):
     packed = Q["pack_multidoc"](spark, SF_MID)
     words = packed.select(F.size(T.word_tokens("multi_doc_input")).alias("w")).agg(F.max("w")).first()[0]
-    assert words <= 60
+    assert words <= G.MAX_INPUT_TOKENS
     clusters = G.parse_clusters(FX.raw_groups(spark, SF_MID))
+    small = G.group_inputs(clusters, 60).select(F.size(T.word_tokens("multi_doc_input")).alias("w"))
+    assert small.agg(F.max("w")).first()[0] == 60
     big = G.group_inputs(clusters, 1024).select(F.size(T.word_tokens("multi_doc_input")).alias("w"))
     assert big.agg(F.max("w")).first()[0] <= 1024
 
