@@ -33,7 +33,7 @@ def _bytes_of(char: Column, first: int) -> Column:
 
 
 def encode_units(units: DataFrame, path: str | None = None) -> DataFrame:
-    """Best segmentation of each distinct ``unit``: adds ``ids``; other columns stay.
+    """``(unit, ids)``: the best segmentation of each distinct ``unit``.
 
     The lattice as relations: substrings of bounded length are exploded, joined
     with the piece table (fixed size, broadcast), grouped by unit again, and one
@@ -46,38 +46,44 @@ def encode_units(units: DataFrame, path: str | None = None) -> DataFrame:
     longest = max(len(p.text) for p in pieces if p.kind == NORMAL)
     unknown = min(p.score for p in pieces if p.kind == NORMAL) - 10.0
     first_byte = min(p.id for p in pieces if p.kind == BYTE)
-    others = [c for c in units.columns if c != "unit"]
     n = F.length("unit")
-    starts = units.select("unit", *others, F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
-    subs = starts.select("unit", *others, "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("len"))
-    subs = subs.select("unit", *others, "start", "len", F.substring(F.col("unit"), F.col("start") + 1, F.col("len")).alias("sub"))
+    starts = units.select("unit", F.explode(F.sequence(F.lit(0), n - 1)).alias("start"))
+    subs = starts.select("unit", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), n - F.col("start")))).alias("len"))
+    subs = subs.select("unit", "start", "len", F.substring(F.col("unit"), F.col("start") + 1, F.col("len")).alias("sub"))
     edges = subs.join(F.broadcast(piece_table(spark, path)), F.col("sub") == F.col("piece"), "left").where("piece_id is not null or len = 1")
-    # An edge is one long, end | start | piece, so that sorting the longs sorts by end, then start.
+    # An edge is one long, end | start | piece | whether it is the last into its end, so that sorting the longs sorts
+    # by end, then start.  Every position has an edge of one character into it, which sorts last.
     nobody = len(pieces)  # stands for a character outside the vocabulary
     edge = F.shiftleft((F.col("start") + F.col("len")).cast("long"), 40).bitwiseOR(F.shiftleft(F.col("start").cast("long"), 20)) \
-            .bitwiseOR(F.coalesce("piece_id", F.lit(nobody)).cast("long"))
-    grouped = edges.groupBy("unit").agg(F.array_sort(F.collect_list(edge)).alias("edges"), *[F.first(c).alias(c) for c in others])
+            .bitwiseOR(F.shiftleft(F.coalesce("piece_id", F.lit(nobody)).cast("long"), 1)).bitwiseOR((F.col("len") == 1).cast("long"))
+    grouped = edges.groupBy("unit").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
     scores = F.split(F.lit(",".join(repr(float(p.score)) for p in pieces) + f",{unknown!r}"), ",").cast("array<double>")
 
-    # State: best paths to positions 0..k-1 (done) and to position k (now); an edge ends at k or k + 1.
-    start = F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))
-    none = F.array().cast("array<struct<score:double,ids:array<int>>>")
+    low = F.lit((1 << 20) - 1).cast("long")
+    begin_of = lambda x: F.shiftright(x, 20).bitwiseAND(low).cast("int")
+    piece_of = lambda x: F.shiftright(x.bitwiseAND(low), 1).cast("int")
+
+    # State: the best paths to positions 0..k (done) and the best edge into k + 1 so far (now), held as (score, -edge):
+    # of equal scores the smaller start is the greater.
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
+    none = F.lit(None).cast("struct<score:double,edge:bigint>")
 
     def relax(acc, x):
-        low = F.lit((1 << 20) - 1).cast("long")
-        end, begin = F.shiftright(x, 40).cast("int"), F.shiftright(x, 20).bitwiseAND(low).cast("int")
-        piece = x.bitwiseAND(low).cast("int")
-        moves = end > F.size(acc["done"])
-        before = F.when(begin == F.size(acc["done"]), acc["now"]).otherwise(F.get(acc["done"], begin))
-        score = before["score"] + F.get(scores, piece)
-        own = F.when(piece == nobody, _bytes_of(F.substring(F.col("unit"), begin + 1, F.lit(1)), first_byte)).otherwise(F.array(piece))
-        return F.struct(
-            F.when(moves, F.concat(acc["done"], F.array(acc["now"]))).otherwise(acc["done"]).alias("done"),
-            F.when(moves | (score > acc["now"]["score"]), F.struct(score.alias("score"), F.concat(before["ids"], own).alias("ids")))
-            .otherwise(acc["now"]).alias("now"))
-
-    best = F.aggregate("edges", F.struct(none.alias("done"), start.alias("now")), relax, lambda acc: acc["now"]["ids"])
-    return grouped.select("unit", *others, best.alias("ids"))
+        done = acc["done"]
+        score = F.get(done, begin_of(x))["score"] + F.get(scores, piece_of(x))
+        now = F.greatest(acc["now"], F.struct(score.alias("score"), F.negative(x).alias("edge")))
+        last = x.bitwiseAND(F.lit(1).cast("long")) == 1
+
+        def path(best):
+            e = F.negative(best["edge"])
+            own = F.when(piece_of(e) == nobody, _bytes_of(F.substring(F.col("unit"), begin_of(e) + 1, F.lit(1)), first_byte)).otherwise(F.array(piece_of(e)))
+            return F.struct(best["score"].alias("score"), F.concat(F.get(done, begin_of(e))["ids"], own).alias("ids"))
+
+        return F.struct(F.when(last, F.concat(done, F.transform(F.array(now), path))).otherwise(done).alias("done"),
+                        F.when(last, none).otherwise(now).alias("now"))
+
+    best = F.aggregate("edges", F.struct(first.alias("done"), none.alias("now")), relax, lambda acc: F.element_at(acc["done"], -1)["ids"])
+    return grouped.select("unit", best.alias("ids"))
 
 
 _LETTER = np.zeros(256, bool)
@@ -217,8 +223,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.coalesce(text, F.lit("")).alias("text"), text.isNull().alias("null_text"))
     signs = splits_signs(path)
-    asked = rows.mapInArrow(_distinct_units(signs), "part long, unit string").groupBy("unit").agg(F.collect_list("part").alias("parts"))
-    answers = encode_units(asked, path).select(F.explode("parts").alias("part"), "unit", "ids")
+    # Both sides of the join read one shuffle by unit; the smallest slice is asked for so that their columns agree.
+    asked = rows.mapInArrow(_distinct_units(signs), "part long, unit string").repartition("unit")
+    units = asked.groupBy("unit").agg(F.min("part").alias("least")).where("least is not null")
+    answers = asked.join(encode_units(units, path), "unit").select("part", "unit", "ids")
     packed = rows.mapInArrow(_packed, "part long, ids binary, nulls binary, offsets binary, text binary")
     done = packed.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
         lambda key, a, b: _apply(a, b.select(["unit", "ids"]), signs), "id long, text string, ids array<int>")
