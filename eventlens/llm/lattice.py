@@ -16,7 +16,8 @@ from eventlens.llm.segments import NULL_ID, pack_bytes, unpack_bytes
 
 SPACE = "▁"  # the vocabulary's mark for a space
 MAX_UNIT = 512  # characters; a longer run without a space is cut
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 16 << 20
+HELD_ROWS = 1 << 19  # answers packed at a time
 
 
 def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -111,8 +112,7 @@ def _units(text: np.ndarray, offsets: np.ndarray, signs: bool) -> W.Words:
     lens = np.diff(offsets)
     some = (lens > 0).astype(np.int64)
     at = offsets + np.concatenate(([0], np.cumsum(some)))
-    buf = np.full(int(at[-1]), 0x20, np.uint8)
-    buf[np.arange(len(text)) + np.repeat(np.cumsum(some), lens)] = text
+    buf = np.insert(text, offsets[:-1][lens > 0], 0x20)
     prev = np.empty_like(buf)
     prev[1:] = buf[:-1]
     prev[:1] = 0
@@ -167,15 +167,46 @@ def _packed(batches):
             pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("offsets", pa.binary()), ("text", pa.binary())]))
 
 
-def _apply(parts: pa.Table, units: pa.Table, signs: bool) -> pa.Table:
+_ANSWERS = pa.schema([("part", pa.int64()), ("units", pa.binary()), ("unit_bytes", pa.binary()), ("ids", pa.binary()), ("id_counts", pa.binary())])
+
+
+def _by_slice(batches: list[pa.RecordBatch]):
+    """One packed row for each slice among these answers."""
+    table = pa.Table.from_batches(batches)
+    table = table.take(pc.sort_indices(table, [("part", "ascending"), ("unit", "ascending")])).combine_chunks()
+    part = table.column("part").to_numpy()
+    units, lists = (table.column(c).combine_chunks() for c in ("unit", "ids"))
+    data, at = W.string_buffers(units)
+    flat, to = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+    to = to - to[0]
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(part)]))
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        yield pa.RecordBatch.from_pydict({
+            "part": [int(part[i])], "units": [pack_bytes(data[at[i]:at[j]].tobytes())], "unit_bytes": [pack_bytes(np.diff(at[i:j + 1]).astype(np.uint16).tobytes())],
+            "ids": [pack_bytes(flat[to[i]:to[j]].astype(np.int32).tobytes())], "id_counts": [pack_bytes(np.diff(to[i:j + 1]).astype(np.uint16).tobytes())]}, _ANSWERS)
+
+
+def _packed_answers(batches):
+    """Answers packed by slice, a bounded number of rows at a time, so that the way back moves little."""
+    held, rows = [], 0
+    for b in batches:
+        if b.num_rows:
+            held.append(b)
+            rows += b.num_rows
+        if rows >= HELD_ROWS:
+            yield from _by_slice(held)
+            held, rows = [], 0
+    if held:
+        yield from _by_slice(held)
+
+
+def _apply(parts: pa.Table, answers: pa.Table, signs: bool) -> pa.Table:
     """The documents of one slice with the ids of their units put together."""
-    column = units.column("unit").combine_chunks() if units.num_rows else pa.array([], pa.string())
-    data, at = W.string_buffers(column)
-    h = W.Words(data, at[:-1], at[1:], np.array([0, len(column)])).hashes()
+    read = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(unpack_bytes(x.as_py()), t) for x in answers.column(c))])
+    at = np.concatenate(([0], np.cumsum(read("unit_bytes", np.uint16).astype(np.int64))))
+    h = W.Words(read("units", np.uint8), at[:-1], at[1:], np.array([0, len(at) - 1])).hashes()
+    flat, size = read("ids", np.int32), read("id_counts", np.uint16).astype(np.int64)
     by = np.argsort(h)
-    lists = units.column("ids").combine_chunks() if units.num_rows else pa.array([], pa.list_(pa.int32()))
-    flat = lists.flatten().to_numpy(zero_copy_only=False) if len(lists) else np.zeros(0, np.int32)
-    size = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, np.int64)
     begin = np.cumsum(size) - size
     out = []
     for i in range(parts.num_rows):
@@ -211,7 +242,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
     Texts are cut into units that no piece crosses.  Each distinct unit of the
     corpus is encoded once, by ``encode_units``.  To move little, every slice of
-    about 8 MB of text asks for its distinct units only; the answers meet the
+    about 16 MB of text asks for its distinct units only; the answers meet the
     packed slice again by its id.
 
     Defined results: null text -> null text and no ids; empty text -> no ids;
@@ -226,10 +257,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     # Both sides of the join read one shuffle by unit; the smallest slice is asked for so that their columns agree.
     asked = rows.mapInArrow(_distinct_units(signs), "part long, unit string").repartition("unit")
     units = asked.groupBy("unit").agg(F.min("part").alias("least")).where("least is not null")
-    answers = asked.join(encode_units(units, path), "unit").select("part", "unit", "ids")
+    answers = asked.join(encode_units(units, path), "unit").select("part", "unit", "ids").mapInArrow(
+        _packed_answers, "part long, units binary, unit_bytes binary, ids binary, id_counts binary")
     packed = rows.mapInArrow(_packed, "part long, ids binary, nulls binary, offsets binary, text binary")
     done = packed.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        lambda key, a, b: _apply(a, b.select(["unit", "ids"]), signs), "id long, text string, ids array<int>")
+        lambda key, a, b: _apply(a, b, signs), "id long, text string, ids array<int>")
     return done.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("id"), "text", "ids", F.size("ids").cast("long").alias("n_tokens"))
 
 
