@@ -17,7 +17,8 @@ from eventlens.llm.segments import NULL_ID, pack_bytes, unpack_bytes
 SPACE = "▁"  # the vocabulary's mark for a space
 MAX_UNIT = 512  # characters; a longer run without a space is cut
 SLICE_BYTES = 16 << 20
-HELD_ROWS = 1 << 19  # answers packed at a time
+HELD_ROWS = 1 << 18  # answers packed, or units looked up, at a time
+OUT_BYTES = 2 << 20  # text in one batch of results
 
 
 def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -207,6 +208,7 @@ def _apply(parts: pa.Table, answers: pa.Table, signs: bool) -> pa.Table:
     h = W.Words(read("units", np.uint8), at[:-1], at[1:], np.array([0, len(at) - 1])).hashes()
     flat, size = read("ids", np.int32), read("id_counts", np.uint16).astype(np.int64)
     by = np.argsort(h)
+    ordered = h[by]
     begin = np.cumsum(size) - size
     out = []
     for i in range(parts.num_rows):
@@ -215,19 +217,24 @@ def _apply(parts: pa.Table, answers: pa.Table, signs: bool) -> pa.Table:
         u = _units(np.frombuffer(text, np.uint8), offsets, signs)
         mine = u.hashes()
         if len(mine):
-            k = np.minimum(np.searchsorted(h[by], mine), max(0, len(by) - 1))
-            if not len(by) or (h[by][k] != mine).any():
+            k = np.minimum(np.searchsorted(ordered, mine), max(0, len(by) - 1))
+            if not len(by) or (ordered[k] != mine).any():
                 raise RuntimeError("the documents changed between two reads; checkpoint them first")
             k = by[k]
         else:
             k = np.zeros(0, np.int64)
-        n = size[k].astype(np.int64)
-        ids = flat[np.repeat(begin[k] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        ends = np.concatenate(([0], np.cumsum(n)))[u.rows]
+        to = np.concatenate(([0], np.cumsum(size[k])))
+        ids = np.empty(int(to[-1]), np.int32)
+        for a in range(0, len(k), HELD_ROWS):
+            some = k[a:a + HELD_ROWS]
+            first, last = int(to[a]), int(to[a + len(some)])
+            ids[first:last] = flat[np.repeat(begin[some] - to[a:a + len(some)], size[some]) + np.arange(first, last)]
+        ends = to[u.rows]
         nulls = get("nulls", bool)
         texts = pa.StringArray.from_buffers(len(nulls), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(text))
-        out.append(pa.table({"id": get("ids", np.int64), "text": pc.if_else(pa.array(nulls), pa.scalar(None, pa.string()), texts),
-                             "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))}))
+        done = pa.table({"id": get("ids", np.int64), "text": pc.if_else(pa.array(nulls), pa.scalar(None, pa.string()), texts),
+                         "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))})
+        out.append(pa.Table.from_batches(done.to_batches(max(1, done.num_rows * OUT_BYTES // max(OUT_BYTES, len(text)))), done.schema))
     return pa.concat_tables(out) if out else pa.table({"id": pa.array([], pa.int64()), "text": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
 
 
