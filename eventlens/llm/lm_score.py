@@ -2,25 +2,72 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
 
 from eventlens.llm import words as W
-from eventlens.session import cut_lineage
+from eventlens.llm.segments import NULL_ID, pack_bytes, unpack_bytes
+from eventlens.session import cut_lineage, ensure_checkpoint_dir
 
 #: A word enters the shared vocabulary with this share of all words or more: at most 1 / share entries.
 WORD_SHARE = 1e-5
-#: A word pair gets a probability of its own with this share or more: at most 1 / share entries.
-PAIR_SHARE = 1e-6
 DISCOUNT = 0.75
 FLUSH = 1 << 20
+SLICE_BYTES = 8 << 20
+#: Pair occurrences counted in one group, and the groups that small inputs are dealt to all the same.
+GROUP_WORDS, LEAST_GROUPS = 1 << 20, 64
+#: Target ids that are broadcast (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
 
 START, UNKNOWN = 0, 1  # ids 2.. are words
+START_KEY = np.uint64(1)  # counts row starts among the words' hashes
+
+_SLICE = pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("flags", pa.binary()), ("offsets", pa.binary()), ("text", pa.binary())])
+_SLICE_DDL = "part long, ids binary, flags binary, offsets binary, text binary"
+_SUMS = ["h0", "h1", "own0", "own1", "seen0", "seen1"]
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers, compressed byte by byte of equal rank."""
+    return pack_bytes(np.ascontiguousarray(x.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _whole(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(unpack_bytes(b), np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
+def _pack_slices(batches):
+    """Slices of a task's documents; flags: 1 counted, 2 target (and counted)."""
+    for b in batches:
+        data, at = W.string_buffers(b.column("text"))
+        for i, j in W.slices(at, SLICE_BYTES):
+            text, ids = data[at[i]:at[j]].tobytes(), b.column("id").slice(i, j - i).to_numpy().tobytes()
+            key = hashlib.blake2b(ids, digest_size=8)
+            key.update(text)
+            flags = b.column("flags").slice(i, j - i).to_numpy().astype(np.uint8)
+            yield pa.RecordBatch.from_pydict({
+                "part": [int.from_bytes(key.digest(), "little", signed=True)], "ids": [pack_bytes(ids)], "flags": [pack_bytes(flags.tobytes())],
+                "offsets": [pack_bytes((at[i:j + 1] - at[i]).tobytes())], "text": [pack_bytes(text)]}, _SLICE)
+
+
+def _slices(batches) -> Iterator[tuple[int, np.ndarray, W.Words]]:
+    """(part, flags, words) of packed slices."""
+    for b in batches:
+        for k in range(b.num_rows):
+            get = lambda c, t: np.frombuffer(unpack_bytes(b.column(c)[k].as_py()), t)  # noqa: B023, E731
+            yield b.column("part")[k].as_py(), get("flags", np.uint8), W.find_words(get("text", np.uint8), get("offsets", np.int64))
+
+
+def _weights(flags: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Of each word: counted by the target, by the background."""
+    return [np.repeat(flags == 3, counts).astype(float), np.repeat(flags & 1, counts).astype(float)]
 
 
 class Counts:
@@ -53,163 +100,217 @@ class Counts:
 
 
 def _word_counts(batches):
-    counts = Counts(1)
-    for b in batches:
-        data, at = W.string_buffers(b.column("text"))
-        for i, j in W.slices(at):
-            h = W.find_words(data[at[i]:at[j]], at[i:j + 1] - at[i]).hashes()
-            yield from counts.add(h, [np.ones(len(h))])
+    counts = Counts(3)
+    for _, flags, words in _slices(batches):
+        h = words.hashes()
+        yield from counts.add(h, [*_weights(flags, words.counts), np.ones(len(h))])
+        begun = (words.counts > 0).astype(np.int64)
+        first = np.full(int(begun.sum()), START_KEY)
+        yield from counts.add(first, [*_weights(flags, begun), np.ones(len(first))])
     yield from counts.flush()
 
 
 class Model:
-    """Both bigram models over one vocabulary, as sorted arrays (a broadcast of bounded size).
+    """What both bigram models share, as arrays of one entry for each word of the vocabulary (a broadcast of bounded size).
 
     Absolute discounting with back-off: p(w | u) = (c(u, w) - d) / c(u) for pairs
-    with an entry, else backoff(u) * p(w); backoff(u) is the mass that the
-    entries of u leave, and p(w) is the share of w with one added.  Both models
-    have the same words and the same pairs.
+    that the model has seen, else backoff(u) * p(w); backoff(u) is the mass that
+    the pairs of u leave, and p(w) is the share of w with one added.  Pair counts
+    are no part of it: they are as many as the corpus has pairs, stay dealt out,
+    and each slice of documents is sent those of its own pairs.
     """
 
-    def __init__(self, vocabulary: np.ndarray):
-        self.vocabulary = np.sort(vocabulary)
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.vocabulary):
-            return np.full(len(hashes), UNKNOWN)
-        i = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
-        return np.where(self.vocabulary[i] == hashes, i + 2, UNKNOWN)
+    def __init__(self, vocabulary: np.ndarray, single: np.ndarray, starts: int, occurrences: np.ndarray):
+        """single: counts of each id as a word under (target, background); occurrences: of each id in all rows."""
+        self.vocabulary = vocabulary
+        self.up = np.array([single[1].sum() / single[0].sum() if single[0].sum() else 1.0, 1.0])
+        scaled = single * self.up[:, None]
+        self.log_word = np.log((scaled + 1.0) / (scaled.sum(1, keepdims=True) + self.size))
+        self.log_back = self.history = None
+        self.bounds = self._cut(occurrences, starts)
 
     @property
     def size(self) -> int:
         return len(self.vocabulary) + 2
 
-    def pairs(self, words: W.Words) -> tuple[np.ndarray, np.ndarray]:
-        """Code of (previous word, word) for each word, the first after START; and the word ids."""
-        ids = self.ids(words.hashes())
+    def _cut(self, occurrences: np.ndarray, starts: int) -> np.ndarray:
+        """First pair code of each group but the first, so that a group has about GROUP_WORDS occurrences at most.
+
+        Groups are ranges of codes; a history that fills more than one group is cut by its next words.
+        """
+        as_history = occurrences.copy()
+        as_history[START] = starts
+        total = int(as_history.sum())
+        most = max(1, min(GROUP_WORDS, total // LEAST_GROUPS))
+        before = np.cumsum(as_history) - as_history
+        group = before // most
+        own = np.flatnonzero(np.append(True, group[1:] != group[:-1])) * self.size
+        shares = np.cumsum(occurrences) / max(1, occurrences.sum())
+        split = [own]
+        for u in np.flatnonzero(as_history > most).tolist():  # at most total / most of them
+            k = int(-(-as_history[u] // most))
+            split.append(u * self.size + np.searchsorted(shares, np.arange(1, k) / k, "right"))
+            split.append(np.array([u * self.size, (u + 1) * self.size]))
+        return np.unique(np.concatenate(split))[1:]
+
+    def pairs(self, words: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct codes (previous word, word), sorted; which of them each word has; where the groups cut them."""
+        h = words.hashes()
+        if len(self.vocabulary):
+            i = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+            ids = np.where(self.vocabulary[i] == h, i + 2, UNKNOWN)
+        else:
+            ids = np.full(len(h), UNKNOWN)
         prev = np.empty_like(ids)
         prev[1:] = ids[:-1]
         prev[words.rows[:-1][words.counts > 0]] = START
-        return prev.astype(np.int64) * self.size + ids, ids
-
-    def fit(self, single: np.ndarray, code: np.ndarray, count: np.ndarray, history: np.ndarray) -> None:
-        """single, history: counts of each word and of each history (2 x size); code, count: pairs and (2 x n)."""
-        by = np.argsort(code)
-        self.code = code[by]
-        count = count[:, by].astype(float)
-        self.log_word = np.log((single + 1.0) / (single.sum(1, keepdims=True) + self.size))
-        u, w = self.code // self.size, self.code % self.size
-        own = np.maximum(count - DISCOUNT, 0)
-        h = np.maximum(history, 1.0)
-        mass = np.stack([np.bincount(u, own[k], self.size) for k in (0, 1)]) / h
-        seen = np.stack([np.bincount(u, np.where(own[k] > 0, np.exp(self.log_word[k][w]), 0), self.size) for k in (0, 1)])
-        # What the entries leave goes to the words without an entry.
-        self.log_back = np.log(np.maximum(1 - mass, 1e-9) / np.maximum(1 - seen, 1e-9))
-        p = own / h[:, u]
-        back = self.log_back[:, u] + self.log_word[:, w]
-        self.log_pair = np.where(own > 0, np.log(np.maximum(p, 1e-300)), back)
-
-    def losses(self, words: W.Words) -> tuple[np.ndarray, np.ndarray]:
-        """Loss of each word under (target, background)."""
-        code, ids = self.pairs(words)
-        u = code // self.size
-        out = -(self.log_back[:, u] + self.log_word[:, ids])
-        if len(self.code):
-            i = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
-            hit = self.code[i] == code
-            out[:, hit] = -self.log_pair[:, i[hit]]
-        return out[0], out[1]
+        code, of = np.unique(prev.astype(np.int64) * self.size + ids, return_inverse=True)
+        return code, of, np.concatenate(([0], np.searchsorted(code, self.bounds), [len(code)]))
+
+    def finish(self, u: np.ndarray, sums: np.ndarray) -> None:
+        """Histories' counts, discounted mass and unigram mass of the pairs seen (rows of ``_SUMS``), by history."""
+        dense = np.zeros((6, self.size))
+        dense[:, u] = sums
+        self.history = np.maximum(dense[0:2], 1.0)
+        # What the pairs seen leave goes to the words not seen after u.
+        self.log_back = np.log(np.maximum(1 - dense[2:4] / self.history, 1e-9) / np.maximum(1 - dense[4:6], 1e-9))
+
+    def own(self, counts: np.ndarray) -> np.ndarray:
+        return np.maximum(counts * self.up[:, None] - DISCOUNT, 0)
+
+    def losses(self, code: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Loss of a word with each pair code under (target, background), from the pair's counts."""
+        u, w = code // self.size, code % self.size
+        own = self.own(counts)
+        return -np.where(own > 0, np.log(np.maximum(own, 1e-300) / self.history[:, u]), self.log_back[:, u] + self.log_word[:, w])
 
 
 def _pair_counts(model):
+    """Each slice's distinct pairs and their counts in it, packed by group."""
     def run(batches):
-        m, counts = model.value, Counts(2)
-        for b in batches:
-            data, at = W.string_buffers(b.column("text"))
-            target = b.column("target").to_numpy(zero_copy_only=False).astype(float)
-            for i, j in W.slices(at):
-                words = W.find_words(data[at[i]:at[j]], at[i:j + 1] - at[i])
-                code, _ = m.pairs(words)
-                t = np.repeat(target[i:j], words.counts)
-                yield from counts.add(code.view(np.uint64), [t, np.ones(len(t))])
-        yield from counts.flush()
+        m = model.value
+        for part, flags, words in _slices(batches):
+            code, of, cuts = m.pairs(words)
+            t, n = (np.bincount(of, w, len(code)).astype(np.int64) for w in _weights(flags, words.counts))
+            some = np.flatnonzero(np.diff(cuts))
+            spans = [(int(cuts[g]), int(cuts[g + 1])) for g in some]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(some), pa.array(np.full(len(some), part)), pa.array([_planes(np.diff(code[i:j], prepend=0)) for i, j in spans], pa.binary()),
+                pa.array([_planes(t[i:j]) for i, j in spans], pa.binary()), pa.array([_planes(n[i:j]) for i, j in spans], pa.binary())],
+                ["group", "part", "codes", "t", "n"])
     return run
 
 
-def _scores(model):
-    def score(text: pa.Array) -> pa.Array:
+_COUNTED = pa.schema([("group", pa.int64()), ("part", pa.int64()), ("t", pa.binary()), ("n", pa.binary()), ("u", pa.int64()),
+                      *[(c, pa.float64()) for c in _SUMS]])
+
+
+def _add_up(model):
+    """One group of pairs: the corpus counts for every slice that asked, and sums by history."""
+    def run(key, table):
         m = model.value
-        data, at = W.string_buffers(text)
-        n, sums = [np.zeros(0, np.int64)], [np.zeros((2, 0))]
-        for i, j in W.slices(at):
-            words = W.find_words(data[at[i]:at[j]], at[i:j + 1] - at[i])
-            total = np.zeros((2, j - i))
-            row = words.row_of_word()
-            for k, loss in enumerate(m.losses(words) if len(row) else ()):
-                total[k] = np.bincount(row, loss, j - i)
-            n.append(words.counts)
-            sums.append(total)
-        n, sums = np.concatenate(n), np.concatenate(sums, 1)
-        none = n == 0
-        t, b = sums / np.maximum(n, 1)
-        col = lambda x: pa.array(x, pa.float64(), mask=none)
-        return pa.StructArray.from_arrays([pa.array(n), col(t), col(b), col(t - b)], ["n_tokens", "target_loss", "background_loss", "score"])
-    return arrow_udf(score, "n_tokens long, target_loss double, background_loss double, score double")
-
-
-def fit(docs: DataFrame, text_col: str = "text", target_col: str = "target") -> Model:
-    """Target and background bigram models over all rows: the target counts rows with a true ``target_col``.
-
-    Every text is counted in full.  Vocabulary and pairs are chosen by their
-    share of all words, so their number is bounded at every size of the corpus
-    (1 / WORD_SHARE and 1 / PAIR_SHARE) and only they reach the driver; the
-    counts behind them are added up in shuffles.  Target counts are scaled up
-    to the background's total, so both models are smoothed alike.
+        lists = [np.cumsum(_whole(x.as_py())) for x in table.column("codes")]
+        code, of = np.unique(np.concatenate(lists), return_inverse=True)
+        counts = np.stack([np.bincount(of, np.concatenate([_whole(x.as_py()) for x in table.column(c)]), len(code)) for c in ("t", "n")])
+        to = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+        back = [[_planes(c[of[i:j]]) for i, j in zip(to[:-1].tolist(), to[1:].tolist())] for c in counts]
+        u, at = np.unique(code // m.size, return_inverse=True)
+        own = m.own(counts)
+        seen = np.where(own > 0, np.exp(m.log_word[:, code % m.size]), 0)
+        sums = [np.bincount(at, x, len(u)) for x in (*(counts * m.up[:, None]), *own, *seen)]
+        n = table.num_rows
+        answers = [table.column("group").combine_chunks(), table.column("part").combine_chunks(), pa.array(back[0], pa.binary()), pa.array(back[1], pa.binary()),
+                   *[pa.nulls(n, t) for t in (pa.int64(), *[pa.float64()] * 6)]]
+        by_history = [pa.array(np.full(len(u), key[0].as_py())), *[pa.nulls(len(u), t) for t in (pa.int64(), pa.binary(), pa.binary())],
+                      pa.array(u), *[pa.array(x) for x in sums]]
+        return pa.concat_tables([pa.Table.from_arrays(answers, schema=_COUNTED), pa.Table.from_arrays(by_history, schema=_COUNTED)])
+    return run
+
+
+def _score(model):
+    """The documents of one slice, scored from the counts of its pairs."""
+    def run(key, parts, answers):
+        m, out = model.value, []
+        got = {g: (t, n) for g, t, n in zip(*(answers.column(c).to_pylist() for c in ("group", "t", "n")))}
+        for b in parts.to_batches():
+            for k, (_, flags, words) in enumerate(_slices([b])):
+                code, of, cuts = m.pairs(words)
+                spans = [int(g) for g in np.flatnonzero(np.diff(cuts))]
+                counts = np.stack([np.concatenate([np.zeros(0), *[_whole(got[g][x]) for g in spans]]) for x in (0, 1)])
+                row, n = words.row_of_word(), words.counts
+                t, bg = (np.bincount(row, loss[of], len(n)) / np.maximum(n, 1) for loss in m.losses(code, counts))
+                col = lambda x: pa.array(x, pa.float64(), mask=n == 0)  # noqa: B023, E731
+                out.append(pa.table([pa.array(np.frombuffer(unpack_bytes(b.column("ids")[k].as_py()), np.int64)), pa.array(n.astype(np.int64)),
+                                     col(t), col(bg), col(t - bg)], ["id", "n_tokens", "target_loss", "background_loss", "score"]))
+        return pa.concat_tables(out) if out else pa.table(
+            [pa.array([], pa.int64()), pa.array([], pa.int64()), *[pa.array([], pa.float64())] * 3], ["id", "n_tokens", "target_loss", "background_loss", "score"])
+    return run
+
+
+def _vocabulary(slices: DataFrame) -> Model:
+    """The shared vocabulary, its counts, and the cuts of the pair space: at most 1 / WORD_SHARE rows reach the driver."""
+    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(3)]
+    words = cut_lineage(slices.mapInArrow(_word_counts, "k long, n0 long, n1 long, n2 long").groupBy("k").agg(*sums))
+    real = words.where(F.col("k") != int(START_KEY))
+    t, n, m = (x or 0 for x in real.agg(*[F.sum(f"n{i}") for i in range(3)]).first())
+    start = words.where(F.col("k") == int(START_KEY)).first()
+    table = real.where(F.col("n1") >= max(1.0, WORD_SHARE * n)).toArrow()
+    key = table["k"].to_numpy().astype(np.int64).view(np.uint64)
+    by = np.argsort(key)
+    counts = np.zeros((3, len(by) + 2))
+    for k in range(3):
+        counts[k, 2:] = table[f"n{k}"].to_numpy()[by]
+        counts[k, UNKNOWN] = (t, n, m)[k] - counts[k, 2:].sum()
+    return Model(key[by], counts[:2], start["n2"] if start else 0, counts[2].astype(np.int64))
+
+
+def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_col: str = "target",
+                 counted_col: str | None = None) -> DataFrame:
+    """``(id, n_tokens, target_loss, background_loss, score)``: both models fitted on the rows, and every row scored.
+
+    The background model counts all rows (those with a true ``counted_col``,
+    where one is named: the others are only scored), the target model those
+    with a true ``target_col`` among them.  Losses are in nats per word; the
+    lower ``score``, their difference, the closer a text is to the target.
+    Target counts are scaled up to the background's total, so both models are
+    smoothed alike.  Words with a share below WORD_SHARE are one unknown word,
+    so the vocabulary is bounded; all pairs over it are counted, however rare.
+
+    Every whole text travels in packed slices, written once to the shared folder.
+    A slice sends its distinct pairs to groups of the pair space; a group adds
+    them up over all slices and sends each slice the counts of its own pairs.
+
+    Defined results: null, empty and wordless texts have 0 tokens and null
+    losses; null id -> null; without target rows the target model is uniform
+    over the vocabulary; repeated rows count each time and score alike; extra
+    columns are dropped; an empty table gives an empty table.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.coalesce(F.col(f"`{target_col}`"), F.lit(False)).cast("int").alias("target"))
-    words = cut_lineage(rows.select("text").mapInArrow(_word_counts, "k long, n0 long").groupBy("k").agg(F.sum("n0").alias("n")))
-    total = words.agg(F.sum("n")).first()[0] or 0
-    chosen = words.where(F.col("n") >= max(1.0, WORD_SHARE * total)).select("k").toArrow()
-    model = Model(chosen["k"].to_numpy().astype(np.int64).view(np.uint64))
-    size, shared = model.size, spark.sparkContext.broadcast(model)
-    pairs = cut_lineage(rows.mapInArrow(_pair_counts(shared), "k long, n0 long, n1 long")
-                        .groupBy("k").agg(F.sum("n0").alias("t"), F.sum("n1").alias("b")))
-    by_word = pairs.groupBy((F.col("k") % size).alias("w")).agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()
-    by_prev = pairs.groupBy(F.floor(F.col("k") / F.lit(size).cast("long")).cast("long").alias("w")).agg(F.sum("t").alias("t"), F.sum("b").alias("b")).toArrow()
-    kept = pairs.where(F.col("b") >= max(2.0, PAIR_SHARE * total)).toArrow()
-
-    def dense(table):
-        out = np.zeros((2, size))
-        out[:, table["w"].to_numpy()] = table["t"].to_numpy(), table["b"].to_numpy()
-        return out
-
-    single, history = dense(by_word), dense(by_prev)
-    count = np.stack([kept["t"].to_numpy(), kept["b"].to_numpy()]).astype(float) if kept.num_rows else np.zeros((2, 0))
-    if single[0].sum():  # match the totals of both models
-        up = single[1].sum() / single[0].sum()
-        single[0], history[0], count[0] = single[0] * up, history[0] * up, count[0] * up
-    model.fit(single, kept["k"].to_numpy().astype(np.int64), count, history)
-    return model
-
-
-def score_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Add n_tokens, target_loss, background_loss (nats per word) and score, their difference.
-
-    The lower the score, the closer a text is to the target.  Defined results:
-    null, empty and wordless texts have 0 tokens and null losses; without target
-    rows the target model is uniform over the vocabulary; repeated rows score
-    alike; columns with these names are replaced; an empty table gives an empty
-    table.
-    """
-    own = ("n_tokens", "target_loss", "background_loss", "score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       _scores(shared)(F.col(f"`{text_col}`").cast("string")).alias("s"))
-    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in own], *[F.col(f"s.{c}").alias(c) for c in own])
+    true = lambda c: F.coalesce(F.col(f"`{c}`").cast("boolean"), F.lit(False))
+    counted = (true(counted_col) if counted_col else F.lit(True)).cast("int")
+    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("id"),
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+                       (counted * (1 + 2 * true(target_col).cast("int"))).alias("flags"))
+    path = os.path.join(ensure_checkpoint_dir(spark), f"lm-slices-{uuid.uuid4().hex}")
+    rows.mapInArrow(_pack_slices, _SLICE_DDL).write.option("compression", "none").parquet(path)
+    slices = spark.read.schema(_SLICE_DDL).parquet(path)
+    model = _vocabulary(slices)
+    open_model = spark.sparkContext.broadcast(model)
+    asked = slices.mapInArrow(_pair_counts(open_model), "group long, part long, codes binary, t binary, n binary")
+    sums = ", ".join(f"{c} double" for c in _SUMS)
+    done = cut_lineage(asked.groupBy("group").applyInArrow(_add_up(open_model), f"group long, part long, t binary, n binary, u long, {sums}"))
+    found = done.where("u is not null").groupBy("u").agg(*[F.sum(c).alias(c) for c in _SUMS]).toArrow()
+    model.finish(found["u"].to_numpy(), np.stack([found[c].to_numpy() for c in _SUMS]))
+    shared = spark.sparkContext.broadcast(model)
+    answers = done.where("part is not null").select("part", "group", "t", "n")
+    scored = slices.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
+        _score(shared), "id long, n_tokens long, target_loss double, background_loss double, score double")
+    return scored.withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id")))
 
 
 def with_target(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
     """Add ``target``: whether any label of the document is 1 (no label, null id: false)."""
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("_good")).where(F.col("_good").isNotNull()).distinct()
+    if good.count() <= BROADCAST_IDS:
+        good = F.broadcast(good)
     return docs.join(good, docs[id_col] == good["_good"], "left").withColumn("target", F.col("_good").isNotNull()).drop("_good")

@@ -22,10 +22,8 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventlens.llm import lm_score
-    docs = lm_score.with_target(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    model = lm_score.fit(docs)
-    return lm_score.score_documents(read_table(spark, sf_dir, "documents"), model).select(
-        "doc_id", "n_tokens", "target_loss", "background_loss", "score")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score_corpus(lm_score.with_target(docs, read_table(spark, sf_dir, "labels"))).withColumnRenamed("id", "doc_id")
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

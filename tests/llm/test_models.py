@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_helpers import SF_SMALL, near_texts, rows_of
 from eventlens.llm import chat, langid, lattice, lm_score, toxicity
@@ -25,10 +26,8 @@ def test_bigram_models(spark):
     texts = [" ".join(r.choice("the cat dog sat on mat ran".split()) for _ in range(r.randrange(0, 30))) for _ in range(40)]
     rows = [(i, t, i % 3 == 0) for i, t in enumerate(texts)] + [(40, None, True), (41, "unseen words only", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, target boolean")
-    model = lm_score.fit(df)
     vocabulary = sorted({w for _, t, _ in rows for w in (t or "").split()})
     size = len(vocabulary) + 2
-    assert model.size == size
 
     def model_of(keep, total):
         pairs, single, history = Counter(), Counter(), Counter()
@@ -44,13 +43,12 @@ def test_bigram_models(spark):
 
     *back, total = model_of(lambda t: True, None)
     front = model_of(bool, total)[:3]
-    entries = {k for k, v in back[0].items() if v >= max(2, lm_score.PAIR_SHARE * total)}
 
     def loss(m, a, b):
         pairs, single, history = m
         n = sum(single.values())
         word = lambda w: (single.get(w, 0) + 1) / (n + size)
-        own = lambda x, y: max(pairs.get((x, y), 0) - lm_score.DISCOUNT, 0) if (x, y) in entries else 0
+        own = lambda x, y: max(pairs.get((x, y), 0) - lm_score.DISCOUNT, 0)
         h = max(1, history.get(a, 0))
         if own(a, b):
             return -math.log(own(a, b) / h)
@@ -58,7 +56,7 @@ def test_bigram_models(spark):
         seen = sum(word(w) for w in vocabulary if own(a, w))
         return -math.log((1 - mass) / (1 - seen) * word(b))
 
-    got = {x["doc_id"]: x for x in rows_of(lm_score.score_documents(df, model))}
+    got = {x["id"]: x for x in rows_of(lm_score.score_corpus(df))}
     for i, t, _ in rows:
         w = (t or "").split()
         assert got[i]["n_tokens"] == len(w)
@@ -75,11 +73,29 @@ def test_lm_edges(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1)], "doc_id long, quality int")
     marked = lm_score.with_target(df, labels)
     assert sorted(r["target"] for r in rows_of(marked)) == [False, True, True]
-    got = rows_of(lm_score.score_documents(df, lm_score.fit(marked)))
-    assert sorted(r["n_tokens"] for r in got) == [0, 2, 2]
-    empty = lm_score.fit(marked.limit(0))
-    assert lm_score.score_documents(df.limit(0), empty).collect() == []
-    assert len(rows_of(lm_score.score_documents(df, empty))) == 3
+    got = rows_of(lm_score.score_corpus(marked))
+    assert sorted((r["id"] is None, r["n_tokens"]) for r in got) == [(False, 2), (False, 2), (True, 0)]
+    assert lm_score.score_corpus(marked.limit(0)).collect() == []
+    # Without target rows the target model is uniform over the words and the two spare entries.
+    none = rows_of(lm_score.score_corpus(marked.withColumn("target", F.lit(None).cast("boolean"))))
+    assert [r["target_loss"] for r in none if r["n_tokens"]] == pytest.approx([math.log(4)] * 2)
+
+
+def test_lm_rows_only_scored_and_cuts(spark, monkeypatch):
+    """Rows that are not counted change no score; groups of any size give the same ones."""
+    texts = near_texts(9, n=60)
+    df = spark.createDataFrame([(i, t, i % 4 == 0) for i, t in enumerate(texts)], "doc_id long, text string, target boolean")
+    want = {r["id"]: r for r in rows_of(lm_score.score_corpus(df))}
+    more = df.withColumn("counted", F.lit(True)).union(spark.createDataFrame([(1000, "quite unseen words " + texts[0], True, False)],
+                                                                            "doc_id long, text string, target boolean, counted boolean"))
+    monkeypatch.setattr(lm_score, "GROUP_WORDS", 50)
+    got = {r["id"]: r for r in rows_of(lm_score.score_corpus(more.repartition(5), counted_col="counted"))}
+    assert got.pop(1000)["score"] is not None
+    assert got.keys() == want.keys()
+    for i, r in want.items():
+        assert got[i]["n_tokens"] == r["n_tokens"]
+        if r["n_tokens"]:
+            assert [got[i]["target_loss"], got[i]["background_loss"]] == pytest.approx([r["target_loss"], r["background_loss"]], rel=1e-9)
 
 
 # ---- operator 4 ---------------------------------------------------------------
