@@ -35,8 +35,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document left, and whether they decode to the same text."""
-    return lattice.encode(docs).select(F.col("id").alias("doc_id"), "n_tokens", "ids",
-                                       F.col("text").eqNullSafe(F.when(F.col("text").isNotNull(), lattice.decode(F.col("ids")))).alias("exact"))
+    # A null text has no ids, which is its exact form too.
+    return lattice.encode(docs, with_text=False).select(F.col("id").alias("doc_id"), "n_tokens", "ids", F.coalesce("exact", F.lit(True)).alias("exact"))
 
 
 STAGES = [("quality_rules", quality_stage), ("near_duplicates", near_duplicate_stage), ("passages", passage_stage),

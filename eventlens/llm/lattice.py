@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from eventlens.llm import words as W
 from eventlens.llm.pieces import BYTE, NORMAL, read_pieces
@@ -205,8 +206,21 @@ def _packed_answers(batches):
         yield from _by_slice(held)
 
 
-def _apply(parts: pa.Table, answers: pa.Table, signs: bool) -> pa.Table:
-    """The documents of one slice with the ids of their units put together."""
+_DONE = pa.schema([("id", pa.int64()), ("text", pa.string()), ("ids", pa.list_(pa.int32())), ("exact", pa.bool_())])
+
+
+def _exact(decoder: Decoder, ids: np.ndarray, ends: np.ndarray, text: bytes, offsets: np.ndarray) -> list[bool]:
+    """Whether the ids of each document decode to its text, worked out over about OUT_BYTES of text at a time."""
+    out = []
+    for i, j in W.slices(offsets, OUT_BYTES):
+        back, to = decoder.texts(ids[ends[i]:ends[j]], ends[i:j + 1] - ends[i])
+        back = back.tobytes()
+        out += [back[a:b] == text[c:d] for a, b, c, d in zip(to[:-1].tolist(), to[1:].tolist(), offsets[i:j].tolist(), offsets[i + 1:j + 1].tolist())]
+    return out
+
+
+def _apply(parts: pa.Table, answers: pa.Table, signs: bool, decoder: Decoder, with_text: bool) -> pa.Table:
+    """The documents of one slice with the ids of their units put together, and decoded again."""
     read = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(unpack_bytes(x.as_py()), t) for x in answers.column(c))])
     at = np.concatenate(([0], np.cumsum(read("unit_bytes", np.uint16).astype(np.int64))))
     h = W.Words(read("units", np.uint8), at[:-1], at[1:], np.array([0, len(at) - 1])).hashes()
@@ -235,15 +249,17 @@ def _apply(parts: pa.Table, answers: pa.Table, signs: bool) -> pa.Table:
             ids[first:last] = flat[np.repeat(begin[some] - to[a:a + len(some)], size[some]) + np.arange(first, last)]
         ends = to[u.rows]
         nulls = get("nulls", bool)
-        texts = pa.StringArray.from_buffers(len(nulls), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(text))
-        done = pa.table({"id": get("ids", np.int64), "text": pc.if_else(pa.array(nulls), pa.scalar(None, pa.string()), texts),
-                         "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))})
+        texts = pa.StringArray.from_buffers(len(nulls), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(text)) if with_text else pa.nulls(len(nulls), pa.string())
+        done = pa.table([pa.array(get("ids", np.int64)), pc.if_else(pa.array(nulls), pa.scalar(None, pa.string()), texts),
+                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())),
+                         pa.array(_exact(decoder, ids, ends, text, offsets), pa.bool_(), mask=nulls)], schema=_DONE)
         out.append(pa.Table.from_batches(done.to_batches(max(1, done.num_rows * OUT_BYTES // max(OUT_BYTES, len(text)))), done.schema))
-    return pa.concat_tables(out) if out else pa.table({"id": pa.array([], pa.int64()), "text": pa.array([], pa.string()), "ids": pa.array([], pa.list_(pa.int32()))})
+    return pa.concat_tables(out) if out else _DONE.empty_table()
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
-    """``(id, text, ids, n_tokens)``: SentencePiece ids of every whole text.
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
+           with_text: bool = True) -> DataFrame:
+    """``(id, text, ids, n_tokens, exact)``: SentencePiece ids of every whole text, and whether they decode to it.
 
     Rules of the format: one space is put before the text, spaces are pieces'
     own, and a character outside the vocabulary becomes its UTF-8 bytes.  Among
@@ -254,9 +270,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     Texts are cut into units that no piece crosses.  Each distinct unit of the
     corpus is encoded once, by ``encode_units``.  To move little, every slice of
     about 12 MB of text asks for its distinct units only; the answers meet the
-    packed slice again by its id.
+    packed slice again by its id, where the ids are put together and decoded
+    (``exact``).  ``with_text`` false leaves the text column out.
 
-    Defined results: null text -> null text and no ids; empty text -> no ids;
+    Defined results: null text -> null text, no ids and a null ``exact``; empty text -> no ids;
     null id -> null; repeated rows give equal rows; a run of over 512 characters
     without a space is cut every 512 characters; extra columns are dropped; an
     empty table gives an empty table.
@@ -264,7 +281,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.coalesce(text, F.lit("")).alias("text"), text.isNull().alias("null_text"))
-    signs = splits_signs(path)
+    signs, decoder = splits_signs(path), Decoder(path)
     # Both sides of the join read one shuffle by unit; the smallest slice is asked for so that their columns agree.
     asked = rows.mapInArrow(_distinct_units(signs), "part long, unit string").repartition("unit")
     units = asked.groupBy("unit").agg(F.min("part").alias("least")).where("least is not null")
@@ -272,17 +289,49 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         _packed_answers, "part long, units binary, unit_bytes binary, ids binary, id_counts binary")
     packed = rows.mapInArrow(_packed, "part long, ids binary, nulls binary, offsets binary, text binary")
     done = packed.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        lambda key, a, b: _apply(a, b, signs), "id long, text string, ids array<int>")
-    return done.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("id"), "text", "ids", F.size("ids").cast("long").alias("n_tokens"))
+        lambda key, a, b: _apply(a, b, signs, decoder, with_text), "id long, text string, ids array<int>, exact boolean")
+    done = done.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("id"), "text", "ids", F.size("ids").cast("long").alias("n_tokens"), "exact")
+    return done if with_text else done.drop("text")
+
+
+class Decoder:
+    """Bytes of each piece: a normal piece's text, a byte piece's byte, nothing for a control piece."""
+
+    def __init__(self, path: str | None = None):
+        pieces = read_pieces(path)
+        first = min(p.id for p in pieces if p.kind == BYTE)
+        raw = [b""] * (max(p.id for p in pieces) + 2)  # the last stands for ids outside the vocabulary
+        for p in pieces:
+            raw[p.id] = p.text.replace(SPACE, " ").encode() if p.kind == NORMAL else bytes([p.id - first]) if p.kind == BYTE else b""
+        self.size = np.array([len(x) for x in raw], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+        self.raw = np.frombuffer(b"".join(raw), np.uint8)
+
+    def texts(self, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes and offsets of the texts of some lists of ids, each without the space before it."""
+        ids = np.where((ids < 0) | (ids >= len(self.size)), len(self.size) - 1, ids)
+        size = self.size[ids]
+        to = np.concatenate(([0], np.cumsum(size)))
+        buf = np.empty(int(to[-1]), np.uint8)
+        for a in range(0, len(ids), HELD_ROWS):
+            some = slice(a, a + HELD_ROWS)
+            first, last = int(to[a]), int(to[min(a + HELD_ROWS, len(ids))])
+            buf[first:last] = self.raw[np.repeat(self.begin[ids[some]] - to[:-1][some], size[some]) + np.arange(first, last)]
+        at = to[rows]
+        spaced = at[:-1][at[1:] > at[:-1]]
+        spaced = spaced[buf[spaced] == 0x20]
+        gone = np.searchsorted(spaced, at, "left")
+        return np.delete(buf, spaced), at - gone
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
-    """The text of an array of ids, as one native expression; unknown ids and control pieces give nothing."""
-    pieces = read_pieces(path)
-    first = min(p.id for p in pieces if p.kind == BYTE)
-    mark = next(c for c in map(chr, range(1, 32)) if not any(c in p.text for p in pieces))
-    table = F.split(F.lit(mark.join(p.text.replace(SPACE, " ") if p.kind == NORMAL else "" for p in pieces)), mark)
-    one = lambda i: F.when(i.between(first, first + 255), F.unhex(F.lpad(F.hex(i - first), 2, "0")).cast("string")) \
-                     .otherwise(F.coalesce(F.get(table, i), F.lit("")))
-    joined = F.array_join(F.transform(ids, one), "")
-    return F.when(joined.startswith(" "), F.substring(joined, F.lit(2), F.length(joined))).otherwise(joined)
+    """The text of an array of ids; unknown ids, null ids and control pieces give nothing, a null array gives null."""
+    decoder = Decoder(path)
+
+    def run(lists: pa.Array) -> pa.Array:
+        at = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.values.slice(at[0], at[-1] - at[0]).fill_null(-1).to_numpy()
+        text, to = decoder.texts(flat, at - at[0])
+        done = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(to.tobytes()), pa.py_buffer(text.tobytes())])
+        return pc.if_else(lists.is_null(), pa.scalar(None, pa.large_binary()), done).cast(pa.binary())
+    return arrow_udf(run, "binary")(ids).cast("string")

@@ -129,15 +129,24 @@ def test_encode_matches_viterbi_and_decodes(spark):
     assert len(got) == len(rows)
     for r in got:
         if r["text"] is None:
-            assert r["ids"] == [] and r["id"] == 900
+            assert r["ids"] == [] and r["id"] == 900 and r["exact"] is None
             continue
-        assert r["back"] == r["text"], r["text"]
+        assert r["back"] == r["text"] and r["exact"], r["text"]
         assert r["n_tokens"] == len(r["ids"])
         if len(r["text"]) < 500:
             assert r["ids"] == (best_path(" " + r["text"], pieces, longest, unknown) if r["text"] else []), r["text"]
     assert lattice.encode(df.limit(0)).collect() == []
 
 
+def test_exact_notices_a_change():
+    decoder = lattice.Decoder()
+    plain = {p.text: p.id for p in read_pieces()}
+    ids, ends = np.array([plain["▁the"], plain["▁cat"], plain["▁the"]]), np.array([0, 2, 2, 3])
+    assert lattice._exact(decoder, ids, ends, b"the catthe", np.array([0, 7, 7, 10])) == [True, True, True]
+    assert lattice._exact(decoder, ids, ends, b"the cutthe", np.array([0, 7, 7, 10])) == [False, True, True]
+    assert lattice._exact(decoder, ids, ends, b"the catxthe", np.array([0, 7, 8, 11])) == [True, False, True]
+
+
 def test_matches_the_library_as_a_unigram_model(spark):
     """No path of the library, which reads the same pieces and scores as a unigram model, scores better."""
     sentencepiece = pytest.importorskip("sentencepiece")
