@@ -111,17 +111,13 @@ def q_check_embedding_alignment(spark, d):
     return IO.alignment_counts(clean, FX.vectors(spark, d))
 
 
-SQL_CLEAN_ALL_ROWS = SQL_CLEAN.replace("FROM v_dedup)", "FROM v_raw_articles WHERE coalesce(url, '') <> '')")
-
-
-@register("stream_live_dedup", FX.with_views(FX.SQL_RAW_ARTICLES, SQL_CLEAN_ALL_ROWS) +
-          "SELECT DISTINCT url FROM v_clean_all WHERE word_count >= 20")
+@register("stream_live_dedup", W_CLEAN + "SELECT url, title FROM v_clean_all WHERE word_count >= 20")
 def q_stream_live_dedup(spark, d):
     landing = LV.land_articles(FX.raw_articles(spark, d).select(
         *[f.name for f in IO.RAW_ARTICLE.fields], "category", "ord", "category_rank"), IO.scratch_dir(spark, "landing"))
     out, ckpt = IO.scratch_dir(spark, "stream-out"), IO.scratch_dir(spark, "stream-ckpt")
     LV.run_available_now(LV.live_dedup_stream(spark, landing), out, ckpt)
-    return spark.read.parquet(out).select("url")
+    return spark.read.parquet(out).select("url", "title")
 
 
 @register("cluster_payload", FX.with_views(FX.SQL_VECTORS, SQL_PAIRS, SQL_SIL) + """

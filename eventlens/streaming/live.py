@@ -1,17 +1,21 @@
 """K1: continuous live ingest with Structured Streaming.
 
-Landed article files are read as a stream (explicit schema), cleaned with
-the same Column functions as the batch path, and de-duplicated by URL
-within an event-time horizon (``dropDuplicatesWithinWatermark``), so state
-stays bounded no matter how long the stream runs.  The sink is parquet with
+Landed article files are read as a stream (explicit schema) and de-duplicated
+by URL before short articles are dropped, so a longer later copy never replaces
+a short first one.  The choice among copies of one batch follows the batch
+path (category order, then position), which ``dropDuplicatesWithinWatermark``
+leaves open; hence one flag of state per URL, removed after an event-time
+horizon, so state stays bounded no matter how long the stream runs.  The sink is parquet with
 a checkpoint location in the shared folder, which makes the query restartable
 after executor or driver loss (exactly-once file sink).
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from eventlens.operators import clean as C
@@ -38,9 +42,34 @@ def live_dedup_stream(spark: SparkSession, landing: str, horizon: str = "7 days"
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(landing).withColumn("event_time", F.col("_metadata.file_modification_time"))
-    return (C.clean_articles(C.with_url(raw), carry=("event_time",))
-            .withWatermark("event_time", horizon)
-            .dropDuplicatesWithinWatermark(["url"]))
+    # Row-wise cleaning commutes with the choice; only the length filter has to wait for it.
+    flags = C.clean_flags(C.with_url(raw), carry=("event_time",))
+    first = (flags.withWatermark("event_time", horizon).groupBy("url")
+             .applyInPandasWithState(_first_copy(pd.Timedelta(horizon)), flags.schema, "seen boolean", "append",
+                                     GroupStateTimeout.EventTimeTimeout))
+    return first.where("keep").select("ord", "event_time", *C.CLEAN_COLUMNS)
+
+
+def _first_copy(horizon: pd.Timedelta):
+    """The first copy of a URL by category order and position, unless an earlier batch had one."""
+    def choose(key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best, order = None, None
+        for f in frames:
+            if state.exists:
+                continue
+            one = f.sort_values(["category_rank", "ord"]).head(1)
+            own = tuple(one[["category_rank", "ord"]].iloc[0])
+            if best is None or own < order:
+                best, order = one, own
+        if best is not None:
+            state.update((True,))
+            state.setTimeoutTimestamp(max(int((best["event_time"].iloc[0] + horizon).timestamp() * 1000),
+                                          state.getCurrentWatermarkMs() + 1))
+            yield best
+    return choose
 
 
 def run_available_now(stream: DataFrame, out: str, checkpoint: str) -> None:

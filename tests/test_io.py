@@ -55,12 +55,25 @@ def test_stream_earlier_file_wins(spark):
     assert got == {"https://x/1": "First", "https://x/2": "Other"}
 
 
-def test_stream_equals_batch_url_set(spark):
+def test_stream_drops_later_copies_of_short_articles(spark):
+    """A first copy under 20 words is dropped with its URL; a longer later copy does not come through."""
+    base = dict(source={"id": None, "name": "S"}, author=None, description=None, publishedAt="2024-01-01T00:00:00Z", category="business")
+    long = " ".join(["word"] * 25)
+    rows = [dict(base, title="Later", content=long, url="https://x/1", category_rank=1, ord=5),
+            dict(base, title="Short", content="few words", url="https://x/1", category_rank=0, ord=9),
+            dict(base, title="Second", content=long, url="https://x/2", category_rank=1, ord=1),
+            dict(base, title="First", content=long, url="https://x/2", category_rank=0, ord=2)]
+    root, out, ck = (IO.scratch_dir(spark, n) for n in ("landing", "out", "ck"))
+    spark.createDataFrame(rows, LV.LANDED_ARTICLE).repartition(3).write.json(root + "/a")
+    LV.run_available_now(LV.live_dedup_stream(spark, root + "/*"), out, ck)
+    assert {r["url"]: r["title"] for r in spark.read.parquet(out).collect()} == {"https://x/2": "First"}
+
+
+def test_stream_equals_batch(spark):
     raw = FX.raw_articles(spark, SF_SMALL)
     landing = LV.land_articles(raw.select(*[f.name for f in IO.RAW_ARTICLE.fields], "category", "ord", "category_rank"),
                                IO.scratch_dir(spark, "landing"))
     out, ck = IO.scratch_dir(spark, "out"), IO.scratch_dir(spark, "ck")
     LV.run_available_now(LV.live_dedup_stream(spark, landing), out, ck)
-    stream_urls = {r["url"] for r in spark.read.parquet(out).collect()}
-    batch_urls = {r["url"] for r in C.clean_articles(C.with_url(raw)).select("url").distinct().collect()}
-    assert stream_urls == batch_urls
+    stream = sorted((r["url"], r["title"]) for r in spark.read.parquet(out).collect())
+    assert stream == sorted((r["url"], r["title"]) for r in C.clean_unique(raw).collect())
