@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,21 +17,19 @@ from eventlens.llm import words as W
 from eventlens.llm.segments import NULL_ID, pack_bytes, unpack_bytes
 from eventlens.session import cut_lineage, ensure_checkpoint_dir
 
-#: A word enters the shared vocabulary with this share of all words or more: at most 1 / share entries.
-WORD_SHARE = 1e-5
 DISCOUNT = 0.75
-FLUSH = 1 << 20
 SLICE_BYTES = 8 << 20
 #: Pair occurrences counted in one group, and the groups that small inputs are dealt to all the same.
 GROUP_WORDS, LEAST_GROUPS = 1 << 20, 64
+#: Word occurrences a group of distinct words is counted for.
+WORD_GROUP = 1 << 22
 #: Target ids that are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1 << 20
 
-START, UNKNOWN = 0, 1  # ids 2.. are words
-START_KEY = np.uint64(1)  # counts row starts among the words' hashes
+START_KEY = np.uint64(1)  # stands for the start of a row among the words' hashes
 
-_SLICE = pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("flags", pa.binary()), ("offsets", pa.binary()), ("text", pa.binary())])
-_SLICE_DDL = "part long, ids binary, flags binary, offsets binary, text binary"
+_SLICE = pa.schema([("part", pa.int64()), ("words", pa.int64()), ("ids", pa.binary()), ("flags", pa.binary()), ("offsets", pa.binary()), ("text", pa.binary())])
+_SLICE_DDL = "part long, words long, ids binary, flags binary, offsets binary, text binary"
 _SUMS = ["h0", "h1", "own0", "own1", "seen0", "seen1"]
 
 
@@ -53,7 +52,7 @@ def _pack_slices(batches):
             key.update(text)
             flags = b.column("flags").slice(i, j - i).to_numpy().astype(np.uint8)
             yield pa.RecordBatch.from_pydict({
-                "part": [int.from_bytes(key.digest(), "little", signed=True)], "ids": [pack_bytes(ids)], "flags": [pack_bytes(flags.tobytes())],
+                "part": [int.from_bytes(key.digest(), "little", signed=True)], "words": [len(W.find_words(data[at[i]:at[j]], at[i:j + 1] - at[i]).start)], "ids": [pack_bytes(ids)], "flags": [pack_bytes(flags.tobytes())],
                 "offsets": [pack_bytes((at[i:j + 1] - at[i]).tobytes())], "text": [pack_bytes(text)]}, _SLICE)
 
 
@@ -70,175 +69,240 @@ def _weights(flags: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     return [np.repeat(flags == 3, counts).astype(float), np.repeat(flags & 1, counts).astype(float)]
 
 
-class Counts:
-    """Counts of 64-bit keys in a task, flushed when they grow; the shuffle adds up what is left."""
+def _keys(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """START_KEY and the distinct words of a slice, as sorted hashes, and which of them each word is."""
+    key, of = np.unique(words.hashes(), return_inverse=True)
+    return np.append(START_KEY, key), of + 1
 
-    def __init__(self, width: int):
-        self.width, self.parts, self.held = width, [], 0
 
-    def add(self, keys: np.ndarray, weights: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        u, inv = np.unique(keys, return_inverse=True)
-        self.parts.append((u, *[np.bincount(inv, w, len(u)).astype(np.int64) for w in weights]))
-        self.held += len(u)
-        if self.held > FLUSH:
-            self._merge()
-            if self.held > FLUSH // 2:
-                yield from self.flush()
+def _ranges(h: np.ndarray, groups: int) -> np.ndarray:
+    """Which of ``groups`` equal ranges of 64 bits each hash is in."""
+    return ((h >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
 
-    def _merge(self):
-        u, inv = np.unique(np.concatenate([p[0] for p in self.parts]), return_inverse=True)
-        sums = [np.bincount(inv, np.concatenate([p[k + 1] for p in self.parts]), len(u)).astype(np.int64) for k in range(self.width)]
-        self.parts, self.held = [(u, *sums)], len(u)
 
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            self._merge()
-            u, *sums = self.parts[0]
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), *[pa.array(s) for s in sums]],
-                                             ["k", *[f"n{i}" for i in range(self.width)]])
-        self.parts, self.held = [], 0
+def _spans(group: np.ndarray, groups: int) -> list[tuple[int, int, int]]:
+    """(group, from, to) of each group that occurs in sorted ``group``."""
+    cuts = np.searchsorted(group, np.arange(groups + 1))
+    return [(int(g), int(cuts[g]), int(cuts[g + 1])) for g in np.flatnonzero(np.diff(cuts))]
 
 
-def _word_counts(batches):
-    counts = Counts(3)
-    for _, flags, words in _slices(batches):
-        h = words.hashes()
-        yield from counts.add(h, [*_weights(flags, words.counts), np.ones(len(h))])
-        begun = (words.counts > 0).astype(np.int64)
-        first = np.full(int(begun.sum()), START_KEY)
-        yield from counts.add(first, [*_weights(flags, begun), np.ones(len(first))])
-    yield from counts.flush()
+def _word_counts(groups: int):
+    """Each slice's distinct words and their counts in it, packed by group."""
+    def run(batches):
+        for part, flags, words in _slices(batches):
+            key, of = _keys(words)
+            t, n = (np.bincount(of, w, len(key)).astype(np.int64) for w in _weights(flags, words.counts))
+            m = np.bincount(of, minlength=len(key))  # as a history
+            m[0] = (words.counts > 0).sum()
+            spans = _spans(_ranges(key, groups), groups)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([g for g, _, _ in spans], pa.int64()), pa.array([part] * len(spans), pa.int64()),
+                pa.array([_planes(np.diff(key[i:j], prepend=np.uint64(0))) for _, i, j in spans], pa.binary()),
+                *[pa.array([_planes(x[i:j]) for _, i, j in spans], pa.binary()) for x in (t, n, m)]], ["group", "part", "keys", "t", "n", "m"])
+    return run
+
+
+_WORDS = pa.schema([("group", pa.int64()), ("part", pa.int64()), ("rank", pa.binary()), ("t", pa.binary()), ("n", pa.binary()),
+                    ("u", pa.int64()), *[(f"x{i}", pa.int64()) for i in range(4)]])
+_WORDS_DDL = "group long, part long, rank binary, t binary, n binary, u long, x0 long, x1 long, x2 long, x3 long"
+
+
+def _add_words(often: int):
+    """One group of words: ranks and corpus counts for every slice that asked; rows of u = -1 with the group's sums,
+    and of u = rank with the occurrences of a word that has more than ``often``."""
+    def run(key, table):
+        lists = [np.cumsum(_whole(x.as_py())).view(np.uint64) for x in table.column("keys")]
+        k, of = np.unique(np.concatenate(lists), return_inverse=True)
+        t, n, m = (np.bincount(of, np.concatenate([_whole(x.as_py()) for x in table.column(c)]), len(k)).astype(np.int64) for c in ("t", "n", "m"))
+        to = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+        spans = list(zip(to[:-1].tolist(), to[1:].tolist()))
+        rows = table.num_rows
+        answers = [table.column("group").combine_chunks(), table.column("part").combine_chunks(),
+                   pa.array([_planes(np.diff(of[i:j], prepend=0)) for i, j in spans], pa.binary()),
+                   *[pa.array([_planes(x[of[i:j]]) for i, j in spans], pa.binary()) for x in (t, n)], *[pa.nulls(rows, pa.int64())] * 5]
+        hot = np.flatnonzero(m > often)
+        own = len(hot) + 1
+        stats = [np.append(-1, hot), np.append(t.sum(), m[hot]), *[np.append(x, np.zeros(len(hot), np.int64)) for x in (n.sum(), (n > 0).sum(), len(k))]]
+        sums = [pa.array(np.full(own, key[0].as_py())), pa.nulls(own, pa.int64()), *[pa.nulls(own, pa.binary())] * 3, *[pa.array(x, pa.int64()) for x in stats]]
+        return pa.concat_tables([pa.Table.from_arrays(answers, schema=_WORDS), pa.Table.from_arrays(sums, schema=_WORDS)])
+    return run
+
+
+class Pairs:
+    """A slice's distinct pairs (previous word ``u``, word ``w``: indexes of the slice's words), in order of their groups."""
+
+    def __init__(self, model: Model, words: W.Words, answers: dict):
+        key, at = _keys(words)
+        got = [(g, answers[g]) for g, _, _ in _spans(_ranges(key, len(model.begin)), len(model.begin))]
+        self.id = np.concatenate([model.begin[g] + np.cumsum(_whole(x[0])) for g, x in got])
+        self.single = np.stack([np.concatenate([_whole(x[c]) for _, x in got]) for c in (1, 2)])
+        prev = np.empty_like(at)
+        prev[1:] = at[:-1]
+        prev[words.rows[:-1][words.counts > 0]] = 0
+        code, of = np.unique(prev.astype(np.int64) * len(key) + at, return_inverse=True)
+        u, w = np.divmod(code, len(key))
+        pieces = np.ones(len(key), np.uint64)
+        often, i = model.often(self.id)
+        pieces[often] = model.pieces[i]
+        piece = W.mix(self.id.astype(np.uint64))[w] % pieces[u]
+        group = _ranges(W.mix(self.id.astype(np.uint64)[u] * np.uint64(0x9E3779B97F4A7C15) + piece), model.groups)
+        by = np.argsort(group, kind="stable")
+        self.u, self.w = u[by], w[by]
+        back = np.empty(len(by), np.int64)
+        back[by] = np.arange(len(by))
+        self.of = back[of]
+        self.spans = _spans(group[by], model.groups)
 
 
 class Model:
-    """What both bigram models share, as arrays of one entry for each word of the vocabulary (a broadcast of bounded size).
+    """What both bigram models share; no entry for each word.
 
     Absolute discounting with back-off: p(w | u) = (c(u, w) - d) / c(u) for pairs
     that the model has seen, else backoff(u) * p(w); backoff(u) is the mass that
-    the pairs of u leave, and p(w) is the share of w with one added.  Pair counts
-    are no part of it: they are as many as the corpus has pairs, stay dealt out,
-    and each slice of documents is sent those of its own pairs.
+    the pairs of u leave, and p(w) is the share of w with one added, over all
+    distinct words that are counted and two spare entries.  Neither word counts
+    nor pair counts are part of it: they are as many as the corpus has words and
+    pairs, stay dealt out, and each slice of documents is sent those of its own.
+    A history of more than ``limit`` occurrences is cut over groups by its next
+    words; only those histories, 1 / limit of all occurrences at most, are held here.
     """
 
-    def __init__(self, vocabulary: np.ndarray, single: np.ndarray, starts: int, occurrences: np.ndarray):
-        """single: counts of each id as a word under (target, background); occurrences: of each id in all rows."""
-        self.vocabulary = vocabulary
-        self.up = np.array([single[1].sum() / single[0].sum() if single[0].sum() else 1.0, 1.0])
-        scaled = single * self.up[:, None]
-        self.log_word = np.log((scaled + 1.0) / (scaled.sum(1, keepdims=True) + self.size))
-        self.log_back = self.history = None
-        self.bounds = self._cut(occurrences, starts)
-
-    @property
-    def size(self) -> int:
-        return len(self.vocabulary) + 2
-
-    def _cut(self, occurrences: np.ndarray, starts: int) -> np.ndarray:
-        """First pair code of each group but the first, so that a group has about GROUP_WORDS occurrences at most.
-
-        Groups are ranges of codes; a history that fills more than one group is cut by its next words.
-        """
-        as_history = occurrences.copy()
-        as_history[START] = starts
-        total = int(as_history.sum())
-        most = max(1, min(GROUP_WORDS, total // LEAST_GROUPS))
-        before = np.cumsum(as_history) - as_history
-        group = before // most
-        own = np.flatnonzero(np.append(True, group[1:] != group[:-1])) * self.size
-        shares = np.cumsum(occurrences) / max(1, occurrences.sum())
-        split = [own]
-        for u in np.flatnonzero(as_history > most).tolist():  # at most total / most of them
-            k = int(-(-as_history[u] // most))
-            split.append(u * self.size + np.searchsorted(shares, np.arange(1, k) / k, "right"))
-            split.append(np.array([u * self.size, (u + 1) * self.size]))
-        return np.unique(np.concatenate(split))[1:]
-
-    def pairs(self, words: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct codes (previous word, word), sorted; which of them each word has; where the groups cut them."""
-        h = words.hashes()
-        if len(self.vocabulary):
-            i = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
-            ids = np.where(self.vocabulary[i] == h, i + 2, UNKNOWN)
-        else:
-            ids = np.full(len(h), UNKNOWN)
-        prev = np.empty_like(ids)
-        prev[1:] = ids[:-1]
-        prev[words.rows[:-1][words.counts > 0]] = START
-        code, of = np.unique(prev.astype(np.int64) * self.size + ids, return_inverse=True)
-        return code, of, np.concatenate(([0], np.searchsorted(code, self.bounds), [len(code)]))
-
-    def finish(self, u: np.ndarray, sums: np.ndarray) -> None:
-        """Histories' counts, discounted mass and unigram mass of the pairs seen (rows of ``_SUMS``), by history."""
-        dense = np.zeros((6, self.size))
-        dense[:, u] = sums
-        self.history = np.maximum(dense[0:2], 1.0)
-        # What the pairs seen leave goes to the words not seen after u.
-        self.log_back = np.log(np.maximum(1 - dense[2:4] / self.history, 1e-9) / np.maximum(1 - dense[4:6], 1e-9))
+    def __init__(self, found: pa.Table, word_groups: int, groups: int, limit: int):
+        group, u, *x = (found[c].to_numpy() for c in ("group", "u", "x0", "x1", "x2", "x3"))
+        sums = u < 0
+        total = [int(c[sums].sum()) for c in x]
+        self.groups = groups
+        self.up = np.array([total[1] / total[0] if total[0] else 1.0, 1.0])
+        self.mass = np.array(total[:2]) * self.up + total[2] + 2
+        self.ids = total[3]
+        sizes = np.zeros(word_groups, np.int64)
+        sizes[group[sums]] = x[3][sums]
+        self.begin = np.cumsum(sizes) - sizes  # first id of each group of words
+        hot = self.begin[group[~sums]] + u[~sums]
+        by = np.argsort(hot)
+        self.hot, self.pieces = hot[by], (-(-x[0][~sums][by] // limit)).astype(np.uint64)
+        self.history = None
+
+    def often(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which ids are histories cut over groups, and the place of those in ``hot``."""
+        if not len(self.hot):
+            return np.zeros(len(ids), bool), np.zeros(0, np.int64)
+        i = np.minimum(np.searchsorted(self.hot, ids), len(self.hot) - 1)
+        hit = self.hot[i] == ids
+        return hit, i[hit]
+
+    def log_word(self, single: np.ndarray) -> np.ndarray:
+        return np.log((single * self.up[:, None] + 1.0) / self.mass[:, None])
 
     def own(self, counts: np.ndarray) -> np.ndarray:
         return np.maximum(counts * self.up[:, None] - DISCOUNT, 0)
 
-    def losses(self, code: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Loss of a word with each pair code under (target, background), from the pair's counts."""
-        u, w = code // self.size, code % self.size
+    @staticmethod
+    def histories(sums: np.ndarray) -> np.ndarray:
+        """Counts and log back-off (two rows each) of histories, from the rows of ``_SUMS``: count, discounted mass and
+        unigram mass of the pairs seen.  What the pairs seen leave goes to the words not seen after u."""
+        count = np.maximum(sums[0:2], 1.0)
+        return np.concatenate([count, np.log(np.maximum(1 - sums[2:4] / count, 1e-9) / np.maximum(1 - sums[4:6], 1e-9))])
+
+    def finish(self, u: np.ndarray, sums: np.ndarray) -> None:
+        """Sums of the histories that are cut over groups."""
+        dense = np.zeros((6, len(self.hot)))
+        dense[:, np.searchsorted(self.hot, u)] = sums
+        self.history = self.histories(dense)
+
+    def losses(self, counts: np.ndarray, history: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """Loss of a word in each pair under (target, background), from the counts of the pair, its history and the word."""
         own = self.own(counts)
-        return -np.where(own > 0, np.log(np.maximum(own, 1e-300) / self.history[:, u]), self.log_back[:, u] + self.log_word[:, w])
+        return -np.where(own > 0, np.log(np.maximum(own, 1e-300) / history[0:2]), history[2:4] + self.log_word(single))
+
+
+def _by_group(answers: pa.Table, columns: tuple[str, ...]) -> dict:
+    """Packed answers of a slice by group."""
+    return {g: x for g, *x in zip(*(answers.column(c).to_pylist() for c in ("group", *columns)))}
+
+
+_ASKED = pa.schema([("group", pa.int64()), ("part", pa.int64()), *[(c, pa.binary()) for c in ("u", "w", "t", "n", "words", "wt", "wn")]])
 
 
 def _pair_counts(model):
-    """Each slice's distinct pairs and their counts in it, packed by group."""
-    def run(batches):
-        m = model.value
-        for part, flags, words in _slices(batches):
-            code, of, cuts = m.pairs(words)
-            t, n = (np.bincount(of, w, len(code)).astype(np.int64) for w in _weights(flags, words.counts))
-            some = np.flatnonzero(np.diff(cuts))
-            spans = [(int(cuts[g]), int(cuts[g + 1])) for g in some]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(some), pa.array(np.full(len(some), part)), pa.array([_planes(np.diff(code[i:j], prepend=0)) for i, j in spans], pa.binary()),
-                pa.array([_planes(t[i:j]) for i, j in spans], pa.binary()), pa.array([_planes(n[i:j]) for i, j in spans], pa.binary())],
-                ["group", "part", "codes", "t", "n"])
+    """Each slice's distinct pairs, their counts in it and their words' counts in the corpus, packed by group."""
+    def run(key, parts, answers):
+        m, out = model.value, [_ASKED.empty_table()]
+        got = _by_group(answers, ("rank", "t", "n"))
+        for part, flags, words in _slices(parts.to_batches()):
+            p = Pairs(m, words, got)
+            t, n = (np.bincount(p.of, w, len(p.u)).astype(np.int64) for w in _weights(flags, words.counts))
+            u = p.id[p.u]
+            some = [np.unique(p.w[i:j], return_inverse=True) for _, i, j in p.spans]  # words are sent once for each group
+            out.append(pa.Table.from_arrays([
+                pa.array([g for g, _, _ in p.spans], pa.int64()), pa.array([part] * len(p.spans), pa.int64()),
+                pa.array([_planes(np.diff(u[i:j], prepend=0)) for _, i, j in p.spans], pa.binary()),
+                pa.array([_planes(x) for _, x in some], pa.binary()),
+                *[pa.array([_planes(x[i:j]) for _, i, j in p.spans], pa.binary()) for x in (t, n)],
+                pa.array([_planes(np.diff(p.id[x], prepend=0)) for x, _ in some], pa.binary()),
+                *[pa.array([_planes(c[x]) for x, _ in some], pa.binary()) for c in p.single]], schema=_ASKED))
+        return pa.concat_tables(out)
     return run
 
 
-_COUNTED = pa.schema([("group", pa.int64()), ("part", pa.int64()), ("t", pa.binary()), ("n", pa.binary()), ("u", pa.int64()),
+_COUNTED = pa.schema([("group", pa.int64()), ("part", pa.int64()), ("t", pa.binary()), ("n", pa.binary()), ("history", pa.binary()), ("u", pa.int64()),
                       *[(c, pa.float64()) for c in _SUMS]])
 
 
+def _heads(u: np.ndarray) -> np.ndarray:
+    return np.append(True, u[1:] != u[:-1])
+
+
 def _add_up(model):
-    """One group of pairs: the corpus counts for every slice that asked, and sums by history."""
+    """One group of pairs: the corpus counts of pairs and histories for every slice that asked; sums of the histories that are cut over groups."""
     def run(key, table):
         m = model.value
-        lists = [np.cumsum(_whole(x.as_py())) for x in table.column("codes")]
-        code, of = np.unique(np.concatenate(lists), return_inverse=True)
-        counts = np.stack([np.bincount(of, np.concatenate([_whole(x.as_py()) for x in table.column(c)]), len(code)) for c in ("t", "n")])
-        to = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
-        back = [[_planes(c[of[i:j]]) for i, j in zip(to[:-1].tolist(), to[1:].tolist())] for c in counts]
-        u, at = np.unique(code // m.size, return_inverse=True)
+        lists = [np.cumsum(_whole(x.as_py())) for x in table.column("u")]
+        whole = lambda c: np.concatenate([_whole(x.as_py()) for x in table.column(c)])
+        word = [_whole(x.as_py()) for x in table.column("w")]
+        of_word = lambda c, f=lambda x: x: np.concatenate([f(_whole(x.as_py()))[i] for x, i in zip(table.column(c), word)])
+        u, at = np.unique(np.concatenate(lists), return_inverse=True)
+        code, first, of = np.unique(at * m.ids + of_word("words", np.cumsum), return_index=True, return_inverse=True)
+        counts = np.stack([np.bincount(of, whole(c), len(code)) for c in ("t", "n")])
+        single = np.stack([of_word(c)[first] for c in ("wt", "wn")])
         own = m.own(counts)
-        seen = np.where(own > 0, np.exp(m.log_word[:, code % m.size]), 0)
-        sums = [np.bincount(at, x, len(u)) for x in (*(counts * m.up[:, None]), *own, *seen)]
+        seen = np.where(own > 0, np.exp(m.log_word(single)), 0)
+        sums = np.stack([np.bincount(at[first], x, len(u)) for x in (*(counts * m.up[:, None]), *own, *seen)])
+        history = m.histories(sums)
+        to = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
+        spans = list(zip(to[:-1].tolist(), to[1:].tolist()))
         n = table.num_rows
-        answers = [table.column("group").combine_chunks(), table.column("part").combine_chunks(), pa.array(back[0], pa.binary()), pa.array(back[1], pa.binary()),
+        answers = [table.column("group").combine_chunks(), table.column("part").combine_chunks(),
+                   *[pa.array([_planes(c[of[i:j]]) for i, j in spans], pa.binary()) for c in counts],
+                   pa.array([_planes(history[:, at[i:j][_heads(x)]].ravel().view(np.int64)) for (i, j), x in zip(spans, lists)], pa.binary()),
                    *[pa.nulls(n, t) for t in (pa.int64(), *[pa.float64()] * 6)]]
-        by_history = [pa.array(np.full(len(u), key[0].as_py())), *[pa.nulls(len(u), t) for t in (pa.int64(), pa.binary(), pa.binary())],
-                      pa.array(u), *[pa.array(x) for x in sums]]
-        return pa.concat_tables([pa.Table.from_arrays(answers, schema=_COUNTED), pa.Table.from_arrays(by_history, schema=_COUNTED)])
+        hot, _ = m.often(u)
+        k = int(hot.sum())
+        cut = [pa.array(np.full(k, key[0].as_py())), pa.nulls(k, pa.int64()), *[pa.nulls(k, pa.binary())] * 3,
+               pa.array(u[hot]), *[pa.array(x[hot]) for x in sums]]
+        return pa.concat_tables([pa.Table.from_arrays(answers, schema=_COUNTED), pa.Table.from_arrays(cut, schema=_COUNTED)])
     return run
 
 
 def _score(model):
-    """The documents of one slice, scored from the counts of its pairs."""
+    """The documents of one slice, scored from the counts of its words, pairs and histories."""
     def run(key, parts, answers):
         m, out = model.value, []
-        got = {g: (t, n) for g, t, n in zip(*(answers.column(c).to_pylist() for c in ("group", "t", "n")))}
+        of_words = pc.is_null(answers.column("history"))
+        got = _by_group(answers.filter(of_words), ("rank", "t", "n"))
+        paired = _by_group(answers.filter(pc.invert(of_words)), ("t", "n", "history"))
         for b in parts.to_batches():
             for k, (_, flags, words) in enumerate(_slices([b])):
-                code, of, cuts = m.pairs(words)
-                spans = [int(g) for g in np.flatnonzero(np.diff(cuts))]
-                counts = np.stack([np.concatenate([np.zeros(0), *[_whole(got[g][x]) for g in spans]]) for x in (0, 1)])
+                p = Pairs(m, words, got)
+                counts, history = np.zeros((2, len(p.u))), np.zeros((4, len(p.u)))
+                for g, i, j in p.spans:
+                    t, n, h = paired[g]
+                    counts[:, i:j] = _whole(t), _whole(n)
+                    history[:, i:j] = _whole(h).view(float).reshape(4, -1)[:, np.cumsum(_heads(p.u[i:j])) - 1]
+                cut, i = m.often(p.id[p.u])
+                history[:, cut] = m.history[:, i]
                 row, n = words.row_of_word(), words.counts
-                t, bg = (np.bincount(row, loss[of], len(n)) / np.maximum(n, 1) for loss in m.losses(code, counts))
+                t, bg = (np.bincount(row, loss[p.of], len(n)) / np.maximum(n, 1) for loss in m.losses(counts, history, p.single[:, p.w]))
                 col = lambda x: pa.array(x, pa.float64(), mask=n == 0)  # noqa: B023, E731
                 out.append(pa.table([pa.array(np.frombuffer(unpack_bytes(b.column("ids")[k].as_py()), np.int64)), pa.array(n.astype(np.int64)),
                                      col(t), col(bg), col(t - bg)], ["id", "n_tokens", "target_loss", "background_loss", "score"]))
@@ -247,23 +311,6 @@ def _score(model):
     return run
 
 
-def _vocabulary(slices: DataFrame) -> Model:
-    """The shared vocabulary, its counts, and the cuts of the pair space: at most 1 / WORD_SHARE rows reach the driver."""
-    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(3)]
-    words = cut_lineage(slices.mapInArrow(_word_counts, "k long, n0 long, n1 long, n2 long").groupBy("k").agg(*sums))
-    real = words.where(F.col("k") != int(START_KEY))
-    t, n, m = (x or 0 for x in real.agg(*[F.sum(f"n{i}") for i in range(3)]).first())
-    start = words.where(F.col("k") == int(START_KEY)).first()
-    table = real.where(F.col("n1") >= max(1.0, WORD_SHARE * n)).toArrow()
-    key = table["k"].to_numpy().astype(np.int64).view(np.uint64)
-    by = np.argsort(key)
-    counts = np.zeros((3, len(by) + 2))
-    for k in range(3):
-        counts[k, 2:] = table[f"n{k}"].to_numpy()[by]
-        counts[k, UNKNOWN] = (t, n, m)[k] - counts[k, 2:].sum()
-    return Model(key[by], counts[:2], start["n2"] if start else 0, counts[2].astype(np.int64))
-
-
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_col: str = "target",
                  counted_col: str | None = None) -> DataFrame:
     """``(id, n_tokens, target_loss, background_loss, score)``: both models fitted on the rows, and every row scored.
@@ -273,12 +320,13 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with a true ``target_col`` among them.  Losses are in nats per word; the
     lower ``score``, their difference, the closer a text is to the target.
     Target counts are scaled up to the background's total, so both models are
-    smoothed alike.  Words with a share below WORD_SHARE are one unknown word,
-    so the vocabulary is bounded; all pairs over it are counted, however rare.
+    smoothed alike.  Every word and every pair is counted, however rare; words
+    that occur only in rows that are not counted have the probability of a spare entry.
 
     Every whole text travels in packed slices, written once to the shared folder.
-    A slice sends its distinct pairs to groups of the pair space; a group adds
-    them up over all slices and sends each slice the counts of its own pairs.
+    A slice sends its distinct words to groups of the words' hashes, then its
+    distinct pairs to groups of the pair space; a group adds them up over all
+    slices and sends each slice the counts of its own words, or pairs and histories.
 
     Defined results: null, empty and wordless texts have 0 tokens and null
     losses; null id -> null; without target rows the target model is uniform
@@ -294,15 +342,24 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     path = os.path.join(ensure_checkpoint_dir(spark), f"lm-slices-{uuid.uuid4().hex}")
     rows.mapInArrow(_pack_slices, _SLICE_DDL).write.option("compression", "none").parquet(path)
     slices = spark.read.schema(_SLICE_DDL).parquet(path)
-    model = _vocabulary(slices)
+    total = slices.agg(F.sum("words")).first()[0] or 0
+    word_groups = max(LEAST_GROUPS, -(-total // WORD_GROUP))
+    most = max(1, min(GROUP_WORDS, total // LEAST_GROUPS))
+    limit = max(1, most // 8)
+    asked = slices.mapInArrow(_word_counts(word_groups), "group long, part long, keys binary, t binary, n binary, m binary")
+    words = cut_lineage(asked.groupBy("group").applyInArrow(_add_words(limit), _WORDS_DDL))
+    model = Model(words.where("u is not null").toArrow(), word_groups, max(1, -(-total // most)), limit)
     open_model = spark.sparkContext.broadcast(model)
-    asked = slices.mapInArrow(_pair_counts(open_model), "group long, part long, codes binary, t binary, n binary")
+    of_words = words.where("part is not null").select("part", "group", "rank", "t", "n")
+    asked = slices.groupBy("part").cogroup(of_words.groupBy("part")).applyInArrow(
+        _pair_counts(open_model), "group long, part long, u binary, w binary, t binary, n binary, words binary, wt binary, wn binary")
     sums = ", ".join(f"{c} double" for c in _SUMS)
-    done = cut_lineage(asked.groupBy("group").applyInArrow(_add_up(open_model), f"group long, part long, t binary, n binary, u long, {sums}"))
+    done = cut_lineage(asked.groupBy("group").applyInArrow(_add_up(open_model), f"group long, part long, t binary, n binary, history binary, u long, {sums}"))
     found = done.where("u is not null").groupBy("u").agg(*[F.sum(c).alias(c) for c in _SUMS]).toArrow()
     model.finish(found["u"].to_numpy(), np.stack([found[c].to_numpy() for c in _SUMS]))
     shared = spark.sparkContext.broadcast(model)
-    answers = done.where("part is not null").select("part", "group", "t", "n")
+    of_pairs = done.where("part is not null").select("part", "group", F.lit(None).cast("binary").alias("rank"), "t", "n", "history")
+    answers = of_words.withColumn("history", F.lit(None).cast("binary")).unionByName(of_pairs)
     scored = slices.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
         _score(shared), "id long, n_tokens long, target_loss double, background_loss double, score double")
     return scored.withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id")))

@@ -98,6 +98,23 @@ def test_lm_rows_only_scored_and_cuts(spark, monkeypatch):
             assert [got[i]["target_loss"], got[i]["background_loss"]] == pytest.approx([r["target_loss"], r["background_loss"]], rel=1e-9)
 
 
+def test_lm_rare_words_are_kept(spark):
+    """Words that occur once among 150,000 are words of their own, in both models."""
+    texts = [("x y " * 75000, False), ("alpha x", True), ("beta x", False)]
+    df = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, text string, target boolean")
+    got = {r["id"]: r for r in rows_of(lm_score.score_corpus(df))}
+    size, total = 4 + 2, 150004
+    up = total / 2
+    word = lambda n: (n + 1) / (total + size)
+    # The target model saw "alpha x" once, scaled up; "beta" is left to the back-off from the start of a row.
+    alpha = -math.log((up - .75) / up)
+    beta = [-math.log((.75 / up) / (1 - word(up)) * word(0)), -math.log(word(up))]
+    assert got[1]["target_loss"] == pytest.approx(alpha, rel=1e-6, abs=1e-12)
+    assert got[2]["target_loss"] == pytest.approx(sum(beta) / 2, rel=1e-6)
+    # The background saw each of them once, after 1 of 3 starts, and before one x.
+    assert [got[i]["background_loss"] for i in (1, 2)] == pytest.approx([-(math.log(.25 / 3) + math.log(.25)) / 2] * 2, rel=1e-6)
+
+
 # ---- operator 4 ---------------------------------------------------------------
 
 def best_path(unit, pieces, longest, unknown):
