@@ -10,12 +10,10 @@ from pyspark.sql.functions import arrow_udf
 
 from eventlens.llm import words as W
 
-#: Documented bounds of the classifier: examples of each label, and words of its index.
+#: Documented bound of the classifier: examples of each label.
 EXAMPLES = 2048
-TERMS = 4096
 BLOCK = 64
 NEIGHBOURS = 25
-MIN_SHARE = 0.002  # a word is indexed if this share of the examples, and two at least, hold it
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -30,64 +28,94 @@ def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return row[at], h[at], np.diff(np.append(at, len(h)))
 
 
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range, ``count`` long."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
 class Index:
-    """Block-max inverted index of the examples, and exact search by TF-IDF cosine.
+    """Block-max inverted index of all words of the examples, and exact search by TF-IDF cosine.
 
     Examples are ordered so that neighbours have similar labels and words and
-    are cut into blocks of 64.  ``post[block]`` holds the weights of each term in
-    that block's examples, ``most[term, block]`` their maximum.  A query's upper
-    bound for a block is the sum of query weight times block maximum; blocks are
-    opened in order of their bounds until no closed block can beat the k-th
-    score, so the neighbours are exactly those of a full scan.
+    are cut into blocks of 64.  A term has one posting list for each block that
+    holds it: ``begin`` cuts ``doc`` and ``weight`` into lists, ``block`` and
+    ``most`` are a list's block and greatest weight, ``lists`` cuts the lists by
+    term.  A query's upper bound for a block is the sum of query weight times
+    block maximum; blocks are opened in order of their bounds until no closed
+    block can beat the k-th score, so the neighbours are exactly those of a full scan.
     """
 
-    def __init__(self, term: np.ndarray, idf: np.ndarray, vectors: np.ndarray, ids: np.ndarray, toxic: np.ndarray):
-        pad = -len(ids) % BLOCK
-        vectors = np.pad(vectors, ((0, pad), (0, 0)))
-        self.ids, self.toxic = np.pad(ids, (0, pad), constant_values=-1), np.pad(toxic, (0, pad))
-        self.real = np.arange(len(self.ids)) < len(ids)
-        self.term, self.idf = term, idf
-        self.post = np.ascontiguousarray(vectors.reshape(len(vectors) // BLOCK, BLOCK, len(term)).transpose(0, 2, 1)).astype(np.float32)
-        self.most = np.ascontiguousarray(self.post.max(2).T)
+    def __init__(self, term: np.ndarray, idf: np.ndarray, unseen: float, doc: np.ndarray, t: np.ndarray, weight: np.ndarray,
+                 ids: np.ndarray, toxic: np.ndarray):
+        """doc, t, weight: one entry for each word of each example; unseen: idf of a word that no example holds."""
+        self.ids, self.toxic = ids, toxic
+        self.blocks = -(-len(ids) // BLOCK)
+        self.term, self.idf, self.unseen = term, idf, unseen
+        by = np.lexsort((doc, t))
+        self.doc, self.weight, t = doc[by].astype(np.int32), weight[by].astype(np.float32), t[by]
+        block = self.doc // BLOCK
+        head = np.ones(len(t), bool)
+        head[1:] = (t[1:] != t[:-1]) | (block[1:] != block[:-1])
+        at = np.flatnonzero(head)
+        self.begin = np.append(at, len(t))
+        self.block = block[at]
+        self.most = np.maximum.reduceat(self.weight, at) if len(at) else np.zeros(0, np.float32)
+        self.lists = np.searchsorted(t[at], np.arange(len(term) + 1))
         self.prior = 0.5
         self.slope, self.offset = 1.0, 0.0
         self.opened = self.closed = 0
 
+    @property
+    def post(self) -> np.ndarray:
+        """The weights as a dense array (block, term, example of the block); only for small indexes."""
+        dense = np.zeros((self.blocks, len(self.term), BLOCK), np.float32)
+        t = np.repeat(np.repeat(np.arange(len(self.term)), np.diff(self.lists)), np.diff(self.begin))
+        dense[self.doc // BLOCK, t, self.doc % BLOCK] = self.weight
+        return dense
+
     def query(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index terms of a text and their unit-length TF-IDF weights."""
+        """Index terms of a text and their TF-IDF weights; the text has unit length over all its words, unseen ones too."""
         if not len(self.term):
             return np.zeros(0, np.int64), np.zeros(0, np.float32)
         i = np.minimum(np.searchsorted(self.term, hashes), len(self.term) - 1)
         hit = self.term[i] == hashes
-        t = i[hit]
-        w = (1 + np.log(counts[hit])) * self.idf[t]
+        w = (1 + np.log(counts)) * np.where(hit, self.idf[i], self.unseen)
         norm = np.sqrt((w * w).sum())
-        return t, (w / norm if norm else w).astype(np.float32)
+        return i[hit], (w[hit] / norm if norm else w[hit]).astype(np.float32)
 
     def search(self, t: np.ndarray, w: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Examples and cosines of the k nearest with a positive cosine, best first; ties by example order."""
-        bound = w @ self.most[t]
+        count = self.lists[t + 1] - self.lists[t]
+        of, weight = _ranges(self.lists[t], count), np.repeat(w.astype(float), count)
+        block = self.block[of]
+        bound = np.bincount(block, weight * self.most[of], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        found, score, best, at = [], [], 0.0, 0
-        while at < len(order) and bound[order[at]] >= best:
-            take = order[at:at + 4]
-            at += len(take)
-            for b in take:
-                s = w @ self.post[b][t]
-                found.append(b * BLOCK + np.arange(BLOCK))
-                score.append(s)
-            f, s = np.concatenate(found), np.concatenate(score)
-            ok = (s > 0) & self.real[f]
+        score = np.zeros(len(self.ids))
+        found, best, at, step = np.zeros(0, np.int64), 0.0, 0, 4
+        # The bound and the scores are summed in another order, so a bound counts as a little more.
+        while at < len(order) and bound[order[at]] * (1 + 1e-9) >= best:
+            now = np.zeros(self.blocks, bool)
+            take = order[at:at + step]
+            take = take[bound[take] * (1 + 1e-9) >= best]
+            now[take] = True
+            at, step = at + len(take), step * 2
+            pick = np.flatnonzero(now[block])
+            begin = self.begin[of[pick]]
+            count = self.begin[of[pick] + 1] - begin
+            p = _ranges(begin, count)
+            score += np.bincount(self.doc[p], np.repeat(weight[pick], count) * self.weight[p], len(score))
             if skip is not None:
-                ok &= f != skip
-            f, s = f[ok], s[ok]
-            top = np.lexsort((f, -s))[:k]
-            found, score = [f[top]], [s[top]]
-            best = s[top][-1] if len(top) == k else 0.0
+                score[skip] = 0
+            found = np.flatnonzero(score > 0)
+            if len(found) > k:
+                s = score[found]
+                found = found[s >= np.partition(s, len(s) - k)[len(s) - k]]
+            found = found[np.lexsort((found, -score[found]))[:k]]
+            best = score[found[-1]] if len(found) == k else 0.0
         self.opened += at
         self.closed += len(order) - at
-        return (found[0], score[0]) if found else (np.zeros(0, np.int64), np.zeros(0, np.float32))
+        return found, score[found]
 
     def vote(self, found: np.ndarray, score: np.ndarray) -> float:
         """Log odds of the label from neighbours weighted by 1 / distance**2, with one neutral vote."""
@@ -99,10 +127,12 @@ class Index:
     def calibrate(self) -> None:
         """Platt scaling of the vote on the examples themselves, each without itself, at the labelled prior."""
         x, y = [], []
-        for i in np.flatnonzero(self.real).tolist():
-            col = self.post[i // BLOCK][:, i % BLOCK]
-            t = np.flatnonzero(col)
-            x.append(self.vote(*self.search(t, col[t], NEIGHBOURS, skip=i)))
+        term = np.repeat(np.repeat(np.arange(len(self.term)), np.diff(self.lists)), np.diff(self.begin))
+        by = np.argsort(self.doc, kind="stable")
+        cuts = np.searchsorted(self.doc[by], np.arange(len(self.ids) + 1))
+        for i in range(len(self.ids)):
+            own = by[cuts[i]:cuts[i + 1]]
+            x.append(self.vote(*self.search(term[own], self.weight[own], NEIGHBOURS, skip=i)))
             y.append(self.toxic[i])
         x, y = np.array(x), np.array(y, float)
         share = y.mean() if len(y) else 0.0
@@ -129,11 +159,11 @@ class Index:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        examples: int = EXAMPLES, terms: int = TERMS) -> Index:
+        examples: int = EXAMPLES) -> Index:
     """Index of labelled examples: the texts of ``examples`` labels of each kind at most, by smallest hash of the id.
 
-    Both bounds are parameters; TF-IDF is worked out over the examples.  They
-    are drawn from the labels alone, so no text is shuffled: the documents are
+    The bound is a parameter; TF-IDF is worked out over the examples, with every
+    word that any of them holds.  They are drawn from the labels alone, so no text is shuffled: the documents are
     scanned once against a broadcast of 2 x examples ids, and only the examples'
     term counts reach the driver.  An id labelled twice counts once, as toxic if
     any label says so; null ids, labels and texts are left out.
@@ -156,26 +186,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     table = sample.mapInArrow(vectorise, "id long, toxic int, h array<long>, n array<long>").orderBy("toxic", "id").toArrow()
     ids, toxic = table["id"].to_numpy(), table["toxic"].to_numpy().astype(float)
-    hashes = [np.asarray(x, np.int64).view(np.uint64) for x in table["h"].to_pylist()]
-    tf = [np.asarray(x, float) for x in table["n"].to_pylist()]
     n = len(ids)
-    term, df = np.unique(np.concatenate(hashes), return_counts=True) if n else (np.zeros(0, np.uint64), np.zeros(0))
-    least = max(2, MIN_SHARE * n)
-    keep = df >= least
-    term, df = term[keep], df[keep]
-    if len(term) > terms:
-        keep = np.sort(np.argsort(-df, kind="stable")[:terms])
-        term, df = term[keep], df[keep]
+    lists = table["h"].combine_chunks()
+    tf = table["n"].combine_chunks().flatten().to_numpy()
+    doc = np.repeat(np.arange(n), lists.value_lengths().to_numpy())
+    term, t, df = np.unique(lists.flatten().to_numpy().view(np.uint64), return_inverse=True, return_counts=True)
     idf = np.log((1 + n) / (1 + df)) + 0.05
-    probe = Index(term, idf, np.zeros((0, len(term))), ids[:0], toxic[:0])
-    vectors = np.zeros((n, len(term)), np.float32)
-    for i, (h, c) in enumerate(zip(hashes, tf)):
-        t, w = probe.query(h, c)
-        vectors[i, t] = w
-    if n:  # examples next to each other share their label and heaviest term
-        order = np.lexsort((ids, vectors.argmax(1) if len(term) else ids, toxic))
-        ids, toxic, vectors = ids[order], toxic[order], vectors[order]
-    index = Index(term, idf, vectors, ids, toxic)
+    weight = (1 + np.log(tf)) * idf[t]
+    norm = np.sqrt(np.bincount(doc, weight * weight, n))
+    weight = weight / norm[doc]
+    # Examples next to each other share their label and the heaviest term that others have too.
+    heaviest = np.full(n, -1)
+    by = np.argsort(np.where(df[t] > 1, weight, 0), kind="stable")
+    heaviest[doc[by]] = t[by]  # the last one written is the heaviest
+    order = np.lexsort((ids, heaviest, toxic))
+    place = np.empty(n, np.int64)
+    place[order] = np.arange(n)
+    index = Index(term, idf, np.log(1 + n) + 0.05, place[doc], t, weight, ids[order], toxic[order])
     index.prior = counts.get(1, 0) / max(1, sum(counts.values()))
     index.calibrate()
     return index
@@ -211,8 +238,8 @@ def score_toxicity(docs: DataFrame, index: Index, text_col: str = "text") -> Dat
     nearest vote with weight 1 / distance**2, and Platt scaling turns the vote
     into a probability.
 
-    Defined results: null, empty and wordless texts, and texts without an
-    indexed word, have no neighbours and get the score of a neutral vote;
+    Defined results: null, empty and wordless texts, and texts without a
+    word of the examples, have no neighbours and get the score of a neutral vote;
     equal cosines rank by the examples' order; repeated rows score alike;
     columns with these names are replaced; an empty table gives an empty table.
     """

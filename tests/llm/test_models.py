@@ -232,6 +232,30 @@ def test_toxicity_edges(spark, index):
     assert len(rows_of(toxicity.score_toxicity(df, none))) == 4
 
 
+def test_toxicity_counts_every_word(spark):
+    """Cosines over all words, those of one example alone included, equal a plain computation."""
+    r = random.Random(5)
+    common = [f"c{i}" for i in range(40)]
+    texts = [" ".join(r.choices(common, k=30) + [f"own{i}", f"pair{i // 2}"]) for i in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int"))
+    df = Counter(w for t in texts for w in set(t.split()))
+    assert len(index.term) == len(df)
+
+    def vector(text):
+        w = {x: (1 + math.log(c)) * (math.log(301 / (1 + df[x])) + .05) for x, c in Counter(text.split()).items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {x: y / norm for x, y in w.items()}
+
+    asked = ["own7 c1 c2 unheard", "own100", "pair60 c3 c3 nowhere never"]
+    got = {x["doc_id"]: x["evidence"] for x in rows_of(toxicity.score_toxicity(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), index))}
+    for i, q in enumerate(asked):
+        q = vector(q)
+        want = sorted((sum(y * q.get(x, 0) for x, y in vector(t).items()) for t in texts), reverse=True)
+        assert [e["cosine"] for e in got[i]] == pytest.approx([x for x in want[:3] if x > 0], abs=1e-6)
+    assert got[0][0]["id"] == 7 and [e["id"] for e in got[1]] == [100] and {e["id"] for e in got[2][:2]} == {120, 121}
+
+
 # ---- operator 8 ---------------------------------------------------------------
 
 def test_forward_sums_all_segmentations():
