@@ -96,18 +96,19 @@ _SIGN[0x21:0x7F] = True
 _SIGN &= ~_LETTER
 
 
-def splits_signs(path: str | None = None) -> bool:
-    """Whether no piece joins an ASCII letter to an ASCII sign or digit, so that units may end between them."""
+def joined_bytes(path: str | None = None) -> np.ndarray:
+    """Whether some piece holds one byte right before another, as a table of all pairs: no unit may end between those."""
+    joined = np.zeros((256, 256), bool)
     for p in read_pieces(path):
-        raw = np.frombuffer(p.text.encode(), np.uint8)
-        if p.kind == NORMAL and ((_LETTER[raw[1:]] & _SIGN[raw[:-1]]) | (_SIGN[raw[1:]] & _LETTER[raw[:-1]])).any():
-            return False
-    return True
+        if p.kind == NORMAL:
+            raw = np.frombuffer(p.text.replace(SPACE, " ").encode(), np.uint8)
+            joined[raw[:-1], raw[1:]] = True
+    return joined
 
 
-def _units(text: np.ndarray, offsets: np.ndarray, signs: bool) -> W.Words:
-    """Units of each text with a space before it: a run of spaces with the letters after it, a run of signs
-    (``signs``: where no piece joins them to letters), or one control character.
+def _units(text: np.ndarray, offsets: np.ndarray, joined: np.ndarray) -> W.Words:
+    """Units of each text with a space before it: a run of spaces with the letters after it, a run of signs,
+    or one control character; what ``joined`` says that a piece may hold together stays in one unit.
 
     No piece reaches over the start of a unit, so units are encoded one by one.
     """
@@ -119,8 +120,9 @@ def _units(text: np.ndarray, offsets: np.ndarray, signs: bool) -> W.Words:
     prev[1:] = buf[:-1]
     prev[:1] = 0
     head = ((buf == 0x20) & (prev != 0x20)) | (buf < 0x20) | (prev < 0x20)
-    if signs:
-        head |= (_LETTER[buf] & _SIGN[prev]) | (_SIGN[buf] & _LETTER[prev])
+    head |= (_LETTER[buf] & _SIGN[prev]) | (_SIGN[buf] & _LETTER[prev])
+    some_heads = np.flatnonzero(head)
+    head[some_heads] = ~joined[prev[some_heads], buf[some_heads]]
     head[at[:-1][lens > 0]] = True
     start = np.flatnonzero(head)
     rows = np.searchsorted(start, at)
@@ -148,10 +150,10 @@ def _parts(batches):
             yield int.from_bytes(key.digest(), "little", signed=True), b.slice(i, j - i), text, at[i:j + 1] - at[i]
 
 
-def _distinct_units(signs: bool):
+def _distinct_units(joined: np.ndarray):
     def run(batches):
         for part, _, text, offsets in _parts(batches):
-            u = _units(np.frombuffer(text, np.uint8), offsets, signs)
+            u = _units(np.frombuffer(text, np.uint8), offsets, joined)
             h = u.hashes()
             first = np.argsort(h)  # which of equal units comes first does not matter
             h = h[first]
@@ -219,7 +221,7 @@ def _exact(decoder: Decoder, ids: np.ndarray, ends: np.ndarray, text: bytes, off
     return out
 
 
-def _apply(parts: pa.Table, answers: pa.Table, signs: bool, decoder: Decoder, with_text: bool) -> pa.Table:
+def _apply(parts: pa.Table, answers: pa.Table, joined: np.ndarray, decoder: Decoder, with_text: bool) -> pa.Table:
     """The documents of one slice with the ids of their units put together, and decoded again."""
     read = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(unpack_bytes(x.as_py()), t) for x in answers.column(c))])
     at = np.concatenate(([0], np.cumsum(read("unit_bytes", np.uint16).astype(np.int64))))
@@ -232,7 +234,7 @@ def _apply(parts: pa.Table, answers: pa.Table, signs: bool, decoder: Decoder, wi
     for i in range(parts.num_rows):
         get = lambda c, t: np.frombuffer(unpack_bytes(parts.column(c)[i].as_py()), t)  # noqa: B023, E731
         text, offsets = unpack_bytes(parts.column("text")[i].as_py()), get("offsets", np.int64)
-        u = _units(np.frombuffer(text, np.uint8), offsets, signs)
+        u = _units(np.frombuffer(text, np.uint8), offsets, joined)
         mine = u.hashes()
         if len(mine):
             k = np.minimum(np.searchsorted(ordered, mine), max(0, len(by) - 1))
@@ -281,15 +283,15 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.coalesce(text, F.lit("")).alias("text"), text.isNull().alias("null_text"))
-    signs, decoder = splits_signs(path), Decoder(path)
+    joined, decoder = joined_bytes(path), Decoder(path)
     # Both sides of the join read one shuffle by unit; the smallest slice is asked for so that their columns agree.
-    asked = rows.mapInArrow(_distinct_units(signs), "part long, unit string").repartition("unit")
+    asked = rows.mapInArrow(_distinct_units(joined), "part long, unit string").repartition("unit")
     units = asked.groupBy("unit").agg(F.min("part").alias("least")).where("least is not null")
     answers = asked.join(encode_units(units, path), "unit").select("part", "unit", "ids").mapInArrow(
         _packed_answers, "part long, units binary, unit_bytes binary, ids binary, id_counts binary")
     packed = rows.mapInArrow(_packed, "part long, ids binary, nulls binary, offsets binary, text binary")
     done = packed.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        lambda key, a, b: _apply(a, b, signs, decoder, with_text), "id long, text string, ids array<int>, exact boolean")
+        lambda key, a, b: _apply(a, b, joined, decoder, with_text), "id long, text string, ids array<int>, exact boolean")
     done = done.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("id"), "text", "ids", F.size("ids").cast("long").alias("n_tokens"), "exact")
     return done if with_text else done.drop("text")
 

@@ -155,6 +155,19 @@ def test_encode_matches_viterbi_and_decodes(spark):
     assert lattice.encode(df.limit(0)).collect() == []
 
 
+def assert_best_paths(spark, texts):
+    table = [p for p in read_pieces() if p.kind == NORMAL]
+    pieces = {p.text.replace("▁", " "): (p.score, [p.id]) for p in table}
+    longest, unknown = max(map(len, pieces)), min(p.score for p in table) - 10
+    got = {r["id"]: r for r in rows_of(lattice.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))}
+    for i, t in enumerate(texts):
+        assert got[i]["exact"] and got[i]["ids"] == best_path(" " + t, pieces, longest, unknown), t
+
+
+def test_pieces_with_control_characters_are_used(spark):
+    assert_best_paths(spark, [" A line.\r\nNext", "a();\r\n\r\nb }\r\n", "\r\r\r", "x \r", "one,\r\ttwo;\r"])
+
+
 def test_exact_notices_a_change():
     decoder = lattice.Decoder()
     plain = {p.text: p.id for p in read_pieces()}
