@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from eventlens.llm.pieces import BYTE, NORMAL, read_pieces
 from eventlens.llm.segments import NULL_ID, pack_bytes, unpack_bytes
 
 SPACE = "▁"  # the vocabulary's mark for a space
-MAX_UNIT = 512  # characters; a longer run without a space is cut
+MAX_UNIT = 512  # bytes; a longer unit is encoded in its slice
 SLICE_BYTES = 12 << 20
 HELD_ROWS = 1 << 18  # answers packed, or units looked up, at a time
 OUT_BYTES = 2 << 20  # text in one batch of results
@@ -127,18 +128,41 @@ def _units(text: np.ndarray, offsets: np.ndarray, joined: np.ndarray) -> W.Words
     start = np.flatnonzero(head)
     rows = np.searchsorted(start, at)
     end = np.append(start[1:], len(buf)) if len(start) else start
-    long = np.flatnonzero(end - start > MAX_UNIT)  # bytes; only units that may be over the limit in characters
-    if len(long):
-        extra = []
-        for i in long.tolist():
-            chars = np.flatnonzero((buf[start[i]:end[i]] & 0xC0) != 0x80)
-            extra.append(start[i] + chars[MAX_UNIT::MAX_UNIT])
-        start = np.sort(np.concatenate([start, *extra]))
-        rows = np.searchsorted(start, at)
-        end = np.append(start[1:], len(buf))
     return W.Words(buf, start, end, rows)
 
 
+@lru_cache(maxsize=1)
+def _by_text(path: str | None) -> tuple[dict[str, tuple[float, int]], int, float, int]:
+    """Score and id of each normal piece by its text, the longest piece, the score of an unknown character, the first byte piece."""
+    pieces = read_pieces(path)
+    found = {p.text.replace(SPACE, " "): (p.score, p.id) for p in pieces if p.kind == NORMAL}
+    return found, max(map(len, found)), min(x for x, _ in found.values()) - 10.0, min(p.id for p in pieces if p.kind == BYTE)
+
+
+def long_path(unit: str, path: str | None = None) -> list[int]:
+    """The best segmentation of one unit of any length, by the rules of ``encode_units``: one score and one edge for each
+    position, so time and memory are linear."""
+    pieces, longest, unknown, first_byte = _by_text(path)
+    score, back = [0.0], [0]
+    for e in range(1, len(unit) + 1):
+        best, begin = None, e - 1
+        for s in range(max(0, e - longest), e):  # of equal scores the smaller start is kept
+            p = pieces.get(unit[s:e])
+            if p is None and s < e - 1:
+                continue
+            x = score[s] + (p[0] if p else unknown)
+            if best is None or x > best:
+                best, begin = x, s
+        score.append(best)
+        back.append(begin)
+    out, e = [], len(unit)
+    while e:
+        p = pieces.get(unit[back[e]:e])
+        out += [p[1]] if p else [first_byte + b for b in reversed(unit[back[e]:e].encode())]
+        e = back[e]
+    return out[::-1]
+
+
 def _parts(batches):
     """Slices of a task's documents, and an id for each that depends on its content alone."""
     for b in batches:
@@ -154,6 +178,7 @@ def _distinct_units(joined: np.ndarray):
     def run(batches):
         for part, _, text, offsets in _parts(batches):
             u = _units(np.frombuffer(text, np.uint8), offsets, joined)
+            u = W.Words(u.buf, *(x[u.end - u.start <= MAX_UNIT] for x in (u.start, u.end)), u.rows)
             h = u.hashes()
             first = np.argsort(h)  # which of equal units comes first does not matter
             h = h[first]
@@ -221,21 +246,28 @@ def _exact(decoder: Decoder, ids: np.ndarray, ends: np.ndarray, text: bytes, off
     return out
 
 
-def _apply(parts: pa.Table, answers: pa.Table, joined: np.ndarray, decoder: Decoder, with_text: bool) -> pa.Table:
+def _apply(parts: pa.Table, answers: pa.Table, joined: np.ndarray, decoder: Decoder, with_text: bool, path: str | None) -> pa.Table:
     """The documents of one slice with the ids of their units put together, and decoded again."""
     read = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(unpack_bytes(x.as_py()), t) for x in answers.column(c))])
     at = np.concatenate(([0], np.cumsum(read("unit_bytes", np.uint16).astype(np.int64))))
     h = W.Words(read("units", np.uint8), at[:-1], at[1:], np.array([0, len(at) - 1])).hashes()
-    flat, size = read("ids", np.int32), read("id_counts", np.uint16).astype(np.int64)
-    by = np.argsort(h)
-    ordered = h[by]
-    begin = np.cumsum(size) - size
+    asked = h, read("ids", np.int32), read("id_counts", np.uint16).astype(np.int64)
     out = []
     for i in range(parts.num_rows):
         get = lambda c, t: np.frombuffer(unpack_bytes(parts.column(c)[i].as_py()), t)  # noqa: B023, E731
         text, offsets = unpack_bytes(parts.column("text")[i].as_py()), get("offsets", np.int64)
         u = _units(np.frombuffer(text, np.uint8), offsets, joined)
         mine = u.hashes()
+        h, flat, size = asked
+        long = np.flatnonzero(u.end - u.start > MAX_UNIT)
+        if len(long):  # not asked for, but encoded here
+            own, first = np.unique(mine[long], return_index=True)
+            paths = [np.array(long_path(u.buf[u.start[x]:u.end[x]].tobytes().decode(), path), np.int32) for x in long[first].tolist()]
+            h, flat = np.concatenate([h, own]), np.concatenate([flat, *paths])
+            size = np.concatenate([size, [len(x) for x in paths]])
+        by = np.argsort(h)
+        ordered = h[by]
+        begin = np.cumsum(size) - size
         if len(mine):
             k = np.minimum(np.searchsorted(ordered, mine), max(0, len(by) - 1))
             if not len(by) or (ordered[k] != mine).any():
@@ -270,14 +302,15 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     trained.
 
     Texts are cut into units that no piece crosses.  Each distinct unit of the
-    corpus is encoded once, by ``encode_units``.  To move little, every slice of
+    corpus is encoded once, by ``encode_units``; units of over 512 bytes by
+    ``long_path`` in each slice that holds them.  To move little, every slice of
     about 12 MB of text asks for its distinct units only; the answers meet the
     packed slice again by its id, where the ids are put together and decoded
     (``exact``).  ``with_text`` false leaves the text column out.
 
     Defined results: null text -> null text, no ids and a null ``exact``; empty text -> no ids;
-    null id -> null; repeated rows give equal rows; a run of over 512 characters
-    without a space is cut every 512 characters; extra columns are dropped; an
+    null id -> null; repeated rows give equal rows; a run of any length
+    without a space is one unit; extra columns are dropped; an
     empty table gives an empty table.
     """
     text = F.col(f"`{text_col}`").cast("string")
@@ -291,7 +324,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
         _packed_answers, "part long, units binary, unit_bytes binary, ids binary, id_counts binary")
     packed = rows.mapInArrow(_packed, "part long, ids binary, nulls binary, offsets binary, text binary")
     done = packed.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(
-        lambda key, a, b: _apply(a, b, joined, decoder, with_text), "id long, text string, ids array<int>, exact boolean")
+        lambda key, a, b: _apply(a, b, joined, decoder, with_text, path), "id long, text string, ids array<int>, exact boolean")
     done = done.select(F.when(F.col("id") != NULL_ID, F.col("id")).alias("id"), "text", "ids", F.size("ids").cast("long").alias("n_tokens"), "exact")
     return done if with_text else done.drop("text")
 

@@ -168,6 +168,13 @@ def test_pieces_with_control_characters_are_used(spark):
     assert_best_paths(spark, [" A line.\r\nNext", "a();\r\n\r\nb }\r\n", "\r\r\r", "x \r", "one,\r\ttwo;\r"])
 
 
+def test_long_runs_are_one_unit(spark):
+    r = random.Random(7)
+    run = "".join(r.choice("the international segmentation of words which are joined without any space".split()) for _ in range(260))
+    assert len(run) > 1500
+    assert_best_paths(spark, [run, f"a {run} b {run}, c", "漢字仮名交じり文" * 150, "a" + " " * 1300 + "b", "🙂" * 600])
+
+
 def test_exact_notices_a_change():
     decoder = lattice.Decoder()
     plain = {p.text: p.id for p in read_pieces()}
