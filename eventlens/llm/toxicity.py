@@ -99,7 +99,7 @@ class Index:
             take = order[at:at + step]
             take = take[bound[take] * (1 + 1e-9) >= best]
             now[take] = True
-            at, step = at + len(take), step * 2
+            at, step = at + len(take), len(order)
             pick = np.flatnonzero(now[block])
             begin = self.begin[of[pick]]
             count = self.begin[of[pick] + 1] - begin
