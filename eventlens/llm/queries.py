@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from eventlens.sources.tables import read_table
 
@@ -79,13 +81,65 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.llm.simhash import simhash_components
+    return simhash_components(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def _repeat_tail(text: pa.Array, h: pa.Array) -> pa.Array:
+    """Input of operator 12: from word g % n on, every word repeats those of the first p, where g = h // 10."""
+    out = []
+    for t, x in zip(text.to_pylist(), h.to_pylist()):
+        words = (t or "").encode().split()
+        if words:
+            n, g = len(words), x // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]
+        out.append(b" ".join(words).decode())
+    return pa.array(out, pa.string())
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Documents with the periodic tails that the contract of operator 12 plants, where crc32 of the id ends in 0."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"))
+    chosen = F.col("h") % 10 == 0
+    # Only chosen texts go to Python; the rest stay as they are.
+    tail = arrow_udf(_repeat_tail, "string")(F.when(chosen, F.col("text")), "h")
+    return rows.withColumn("tail", tail).select("doc_id", F.when(chosen, F.col("tail")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.llm.squares import periodic_runs
+    docs = with_periods(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return periodic_runs(docs).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"), lines.alias("lines"), "collapsed").select(
+        "doc_id", "n_runs", F.col("top.s").alias("start"), (-F.col("top.l")).alias("length"), F.col("top.p").alias("period"),
+        F.floor(-1000 * F.col("top.l") / F.col("top.p")).alias("exponent_milli"),
+        F.sha2(F.when(F.col("n_runs") == 0, "").otherwise(F.concat(F.array_join("lines", "\n"), F.lit("\n"))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventlens.llm import codebook
+    from eventlens.session import cut_lineage
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    model = codebook.train(vectors)
+    coded = cut_lineage(codebook.compress(vectors, model).select("vec_id", "label", "code", "error"))
+    return codebook.group_error(coded).select("vec_id", "code", "error", "label_error", F.lit(model.sha256()).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_dedup, op3_lm_scoring, op4_sentencepiece, op5_decontaminate, op6_toxicity,
-                                 op7_jaccard_join, op8_language_id, op9_chat_formatting, op10_substring_dedup, pipeline)}
+                                 op7_jaccard_join, op8_language_id, op9_chat_formatting, op10_substring_dedup,
+                                 op11_simhash_dedup, op12_periodic_runs, op13_vector_codes, pipeline)}
 
 _OP1 = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
