@@ -7,7 +7,7 @@ plus two ordering columns: ``category_rank`` (configured category order) and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions import text as T
@@ -23,19 +23,41 @@ def with_url(df: DataFrame) -> DataFrame:
     return df.where(F.coalesce(F.col("url"), F.lit("")) != "")
 
 
+RANK_BITS, POSITION_BITS = 15, 48
+
+
+def arrival_order(rank="category_rank", position="ord") -> Column:
+    """Category order and position as one long that sorts alike (15 and 48 bits; an error beyond them, nulls last).
+
+    A single long is what a hash aggregate can hold in place, so winners are
+    chosen without sorting rows.
+    """
+    r = F.coalesce(F.col(rank).cast("long"), F.lit(2**RANK_BITS - 1))
+    p = F.coalesce(F.col(position).cast("long"), F.lit(2**POSITION_BITS - 1))
+    fits = r.between(0, 2**RANK_BITS - 1) & p.between(0, 2**POSITION_BITS - 1)
+    return F.when(fits, F.shiftleft(r, POSITION_BITS).bitwiseOR(p)).otherwise(
+        F.raise_error(F.lit("category rank or position does not fit the packed order")).cast("long"))
+
+
+def first_copies(df: DataFrame, order_cols=("category_rank", "ord")) -> DataFrame:
+    """The packed order (column ``_order``) of the first copy of each URL; reads keys alone."""
+    return (with_url(df).select("url", arrival_order(*order_cols).alias("_order"))
+            .groupBy("url").agg(F.min("_order").alias("_order")).select("_order"))
+
+
 def dedup_first_url(df: DataFrame, order_cols=("category_rank", "ord")) -> DataFrame:
     """keep the first occurrence of each URL in (category order, position).
 
-    Written as a ``min_by`` aggregate rather than a window: the hash aggregate
-    combines map-side, so a URL repeated across a third of all rows is reduced
-    to one candidate per input partition before the shuffle.
+    Winners are chosen on keys: a hash aggregate over (URL, packed order), which
+    combines map-side, so a URL repeated across a third of all rows is one row
+    for each input partition.  The payload is fetched late, by a semi join on
+    the packed order.  That key is another one for every row, so copies of a hot
+    URL are dealt over all tasks, and a query reads only the payload columns it
+    uses.  ``order_cols`` must tell rows apart, as (category, position in its
+    response) does.
     """
-    cols = [c for c in df.columns if c != "url"]
-    key = F.struct(*[F.col(c) for c in order_cols])
-    winner = F.min_by(F.struct(*[F.col(c) for c in cols]), key).alias("w")
-    return (with_url(df).groupBy("url").agg(winner)
-            .select("url", *[F.col(f"w.{c}").alias(c) for c in cols])
-            .select(*df.columns))
+    rows = with_url(df).withColumn("_order", arrival_order(*order_cols))
+    return rows.join(first_copies(df, order_cols), "_order", "left_semi").select(*df.columns)
 
 
 def clean_flags(df: DataFrame, carry: tuple = ()) -> DataFrame:
@@ -65,14 +87,8 @@ def clean_articles(df: DataFrame, keep_order: bool = True, carry: tuple = ()) ->
 
 
 def unique_flags(raw: DataFrame) -> DataFrame:
-    """F1 then B11, evaluated as B11 then F1 (cleaning is row-wise).
-
-    The text work runs at scan parallelism before the URL shuffle, and the
-    shuffle carries normalised text instead of raw markup.  Winners are
-    chosen on the raw ordering columns, so the result equals cleaning the
-    deduplicated articles.
-    """
-    return dedup_first_url(clean_flags(raw))
+    """F1 then B11: only the first copy of a URL is cleaned."""
+    return clean_flags(dedup_first_url(raw))
 
 
 def clean_unique(raw: DataFrame, carry: tuple = ()) -> DataFrame:

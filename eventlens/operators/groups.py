@@ -1,24 +1,30 @@
 """Event groups: parsing pre-grouped rows, ordering, packing, payloads.
 
-Two packing plans share one semantics (F3):
-
-* ``pack_array`` works on a group that already sits in one row (a parsed
-  multi-article document).  It is a pure projection over arrays: no shuffle.
-* ``pack_rows`` works on a long table (one row per article, many rows per
-  group).  It first keeps the ``budget`` leading rows of every group with a
-  ``row_number() <= budget`` filter, which Spark plans with a partial,
-  map-side group limit, so even a group holding a third of all rows ships at
-  most ``budget`` rows per input partition through the shuffle.  Every kept
-  article contributes at least one token, so no later row can be packed.
+Packing (F3) has one meaning and one tokenizer argument: articles without a
+token are left out, the others follow in order until the budget is used, and
+the article that crosses it is cut to the tokens that remain.
+
+* ``pack_array`` is a fold over the articles of a group that already sits in
+  one row (a parsed multi-article document): no shuffle, one step an article.
+* ``pack_groups`` takes one row for each article.  Token counts are added up by
+  a distributed prefix sum over keys alone (``segmented_scan``), so a group
+  that holds a third of all rows is scanned by many tasks; the texts of the
+  rows that fall inside the budget are fetched afterwards.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from eventlens.functions import text as T
-from eventlens.operators.ordering import rank_within_group
+from eventlens.operators.ordering import rank_within_group, segmented_scan
 
 # ---- fixed values -------------------------------------------------------------
 ARTICLE_SEPARATOR = "|||||"
@@ -48,43 +54,82 @@ def parse_clusters(raw: DataFrame, id_col: str = "conv_id") -> DataFrame:
                       clean_summary("summary").alias("reference_summary"))
 
 
-def pack_array(articles, budget: int = MAX_INPUT_TOKENS) -> Column:
-    """F3 on an in-row array of article texts (whitespace tokenizer).
+@dataclass(frozen=True)
+class Tokenizer:
+    """What packing and truncation need of a tokenizer, as column expressions."""
+
+    count: Callable[[Column], Column]  # text -> number of tokens, 0 for null
+    head: Callable[[Column, Column], Column]  # text, n -> the text of its first n tokens
+
+
+#: Whitespace words; a cut text is joined by single spaces.
+WORDS = Tokenizer(lambda text: F.size(T.word_tokens(text)).cast("long"),
+                  lambda text, n: F.array_join(F.slice(T.word_tokens(text), F.lit(1), n.cast("int")), " "))
+
+
+@lru_cache(maxsize=4)
+def _loaded(factory):
+    """One tokenizer for each worker process."""
+    return factory()
+
+
+def model_tokenizer(factory: Callable) -> Tokenizer:
+    """L3: the tokenizer of a model.  ``factory()``, a module-level function, returns an object with ``encode`` and ``decode``.
+
+    It is loaded once in a worker and runs over Arrow batches, so it suits long
+    tables (``pack_groups``, truncation), not array elements.
+    """
+    def count(text: pa.Array) -> pa.Array:
+        tok = _loaded(factory)
+        return pa.array([len(tok.encode(t)) if t else 0 for t in text.to_pylist()], pa.int64())
+
+    def head(text: pa.Array, n: pa.Array) -> pa.Array:
+        tok = _loaded(factory)
+        return pa.array([t and tok.decode(tok.encode(t)[:k]) for t, k in zip(text.to_pylist(), n.to_pylist())], pa.string())
+
+    return Tokenizer(lambda c: arrow_udf(count, "long")(c), lambda c, n: arrow_udf(head, "string")(c, n))
 
-    Only the first ``budget`` articles that have a token can ever be packed
-    (each uses at least one token), so the array is cut to them first; the
-    per-element prefix sums then cost at most ``budget^2`` per row.
+
+def pack_array(articles, budget: int = MAX_INPUT_TOKENS, tokenizer: Tokenizer = WORDS) -> Column:
+    """F3 on an in-row array of article texts; the tokenizer must be native.
+
+    One fold: each article is counted once, and the pieces kept are ``budget``
+    at most, since each uses a token.
+    """
+    counted = F.transform(T._c(articles), lambda a: F.struct(a.alias("a"), tokenizer.count(a).alias("n")))
+    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc, e):
+        room = F.lit(budget) - acc["used"]
+        piece = F.when(e["n"] <= room, e["a"]).otherwise(tokenizer.head(e["a"], room))
+        return F.when((e["n"] == 0) | (room <= 0), acc).otherwise(
+            F.struct((acc["used"] + e["n"]).alias("used"), F.array_append(acc["out"], piece).alias("out")))
+
+    return F.array_join(F.aggregate(counted, start, step)["out"], PACK_SEPARATOR)
+
+
+def pack_groups(rows: DataFrame, group: str, order_cols: list, key_cols: list[str], text: str = "text",
+                budget: int = MAX_INPUT_TOKENS, tokenizer: Tokenizer = WORDS) -> DataFrame:
+    """F3 on one row for each article: ``group, multi_doc_input, n_packed``.
+
+    ``order_cols`` orders the articles of a group totally; ``key_cols`` names the
+    columns that tell rows apart.  Articles without a token are dropped before
+    anything is ranked, so they use up neither budget nor rank, and groups
+    without any token have no row.  At most ``budget`` rows of a group are
+    packed, whatever its size, so the concatenation is bounded.
     """
-    arts = F.slice(F.filter(T._c(articles), lambda a: F.size(T.word_tokens(a)) > 0), 1, budget)
-    toks = F.transform(arts, lambda a: T.word_tokens(a))
-    counts = F.transform(toks, lambda t: F.size(t).cast("long"))
-    prior = F.transform(counts, lambda _x, i: F.aggregate(F.slice(counts, 1, i), F.lit(0).cast("long"),
-                                                          lambda acc, y: acc + y))
-    z = F.arrays_zip(arts.alias("a"), toks.alias("t"), counts.alias("n"), prior.alias("p"))
-    kept = F.filter(z, lambda e: (e["p"] < budget) & (e["n"] > 0))
-    pieces = F.transform(kept, lambda e: F.when(e["p"] + e["n"] <= budget, e["a"])
-                         .otherwise(F.array_join(F.slice(e["t"], 1, (F.lit(budget) - e["p"]).cast("int")), " ")))
-    return F.array_join(pieces, PACK_SEPARATOR)
-
-
-def pack_rows(long_df: DataFrame, group: str, order_cols: list, text: str = "text",
-              budget: int = MAX_INPUT_TOKENS) -> DataFrame:
-    """F3 on a long table: ``group, multi_doc_input, n_packed`` per group."""
-    x = long_df.withColumn("_text", F.col(text)).withColumn("_toks", T.word_tokens(text))
-    x = x.withColumn("_n", F.size("_toks").cast("long")).where(F.col("_n") > 0)  # C6
-    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    w = Window.partitionBy(group).orderBy(*order)
-    # Map-side group limit: at most ``budget`` leading rows per group survive.
-    x = x.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= budget)
-    prior = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    x = x.withColumn("_p", prior).where(F.col("_p") < budget)
-    piece = F.when(F.col("_p") + F.col("_n") <= budget, F.col("_text")).otherwise(
-        F.array_join(F.slice("_toks", F.lit(1), (F.lit(budget) - F.col("_p")).cast("int")), " "))
-    x = x.withColumn("_piece", piece)
-    # At most ``budget`` rows per group remain: the ordered concat is bounded.
-    return x.groupBy(group).agg(
-        T.ordered_concat("_piece", "_rn", PACK_SEPARATOR).alias("multi_doc_input"),
-        F.count(F.lit(1)).alias("n_packed"))
+    named = [c for c in rows.columns if c != text]
+    keys = rows.select(*named, tokenizer.count(F.col(text)).alias("_n")).where("_n > 0")  # C6
+    scanned = segmented_scan(keys, [group], order_cols, {"_prior": "_n"}, rank="_rank")
+    inside = scanned.where(F.col("_prior") < budget).select(*key_cols, F.col(group).alias("_group"), "_n", "_prior", "_rank")
+    # Late materialisation: the texts of the packed rows only.
+    kept = rows.select(*key_cols, F.col(text).alias("_text")).join(inside, key_cols)
+    room = F.lit(budget) - F.col("_prior")
+    whole = F.col("_n") <= room
+    cut = tokenizer.head(F.when(~whole, F.col("_text")), room)
+    return kept.select("_group", "_rank", F.when(whole, F.col("_text")).otherwise(cut).alias("_piece")) \
+        .groupBy(F.col("_group").alias(group)).agg(T.ordered_concat("_piece", "_rank", PACK_SEPARATOR).alias("multi_doc_input"),
+                                                   F.count(F.lit(1)).alias("n_packed"))
 
 
 def group_inputs(clusters: DataFrame, budget: int = MAX_INPUT_TOKENS) -> DataFrame:
@@ -125,12 +170,13 @@ def published_order() -> list:
 
 
 def rank_by_published(labelled: DataFrame, group: str = "label") -> DataFrame:
-    """position of each article inside its cluster (noise excluded).
+    """``group, ord, publishedAt, position`` of each article inside its cluster (noise excluded).
 
-    Skew-safe: ranks come from a range-partitioned global ordinal, so a
-    cluster holding most articles is still ranked by many tasks.
+    Keys alone are sorted; join other columns by ``ord``, which is another one
+    for every article, so a hot cluster stays dealt over all tasks.
     """
-    return rank_within_group(labelled.where(F.col(group) != -1), [group], published_order(), "position")
+    keys = labelled.where(F.col(group) != -1).select(group, "ord", "publishedAt")
+    return rank_within_group(keys, [group], published_order(), "position")
 
 
 def group_members(labelled: DataFrame, group: str = "label") -> DataFrame:
@@ -144,59 +190,36 @@ def cluster_sizes(labelled: DataFrame, group: str = "label") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("size")))
 
 
-def pack_ranked(ranked: DataFrame, group: str, rank: str, text: str = "text",
-                budget: int = MAX_INPUT_TOKENS) -> DataFrame:
-    """F3 over rows that already carry their in-group rank (1-based).
-
-    Only ranks <= ``budget`` can contribute (every packed article has at
-    least one token), so the running-sum window sees at most ``budget`` rows
-    per group whatever the group size.
-    """
-    x = ranked.where(F.col(rank) <= budget).withColumn("_toks", T.word_tokens(text))
-    x = x.withColumn("_n", F.size("_toks").cast("long")).where(F.col("_n") > 0)
-    w = Window.partitionBy(group).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
-    x = x.withColumn("_p", F.coalesce(F.sum("_n").over(w), F.lit(0).cast("long"))).where(F.col("_p") < budget)
-    piece = F.when(F.col("_p") + F.col("_n") <= budget, F.col(text)).otherwise(
-        F.array_join(F.slice("_toks", F.lit(1), (F.lit(budget) - F.col("_p")).cast("int")), " "))
-    return x.withColumn("_piece", piece).groupBy(group).agg(
-        T.ordered_concat("_piece", rank, PACK_SEPARATOR).alias("multi_doc_input"),
-        F.count(F.lit(1)).alias("n_packed"))
-
-
 def live_cluster_entries(labelled: DataFrame, budget: int = MAX_INPUT_TOKENS, group: str = "label",
-                         ranked: DataFrame | None = None) -> DataFrame:
+                         tokenizer: Tokenizer = WORDS) -> DataFrame:
     """E14 entries: ``cluster_id, size, multi_doc_input`` in published order."""
-    if ranked is None:
-        ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "text"), group)
-    packed = pack_ranked(ranked, group, "position", "text", budget)
+    members = labelled.where(F.col(group) != -1).select(group, "publishedAt", "ord", "text")
+    packed = pack_groups(members, group, published_order(), ["ord"], "text", budget, tokenizer)
     sizes = cluster_sizes(labelled, group)
     return (sizes.join(packed.withColumnRenamed(group, "cluster_id"), "cluster_id", "left")
             .select("cluster_id", "size", F.coalesce("multi_doc_input", F.lit("")).alias("multi_doc_input")))
 
 
 def live_inputs(labelled: DataFrame, budget: int = MAX_INPUT_TOKENS, group: str = "label",
-                ranked: DataFrame | None = None) -> DataFrame:
+                tokenizer: Tokenizer = WORDS) -> DataFrame:
     """One pipeline item per live cluster (packed input, null references).
 
     The per-article title previews are a separate long table
     (``live_previews``): a cluster may hold a large share of all articles,
     so its previews are never folded into one row.
     """
-    if ranked is None:
-        ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "text", "title"), group)
-    entries = live_cluster_entries(labelled, budget, group, ranked)
+    entries = live_cluster_entries(labelled, budget, group, tokenizer)
     return entries.select(
         F.col("cluster_id").cast("string").alias("cluster_id"), F.lit("newsapi").alias("source"),
         F.col("size").alias("n_articles"), "multi_doc_input",
         F.lit(None).cast("string").alias("reference_summary"), F.lit(None).cast("string").alias("reference_headline"))
 
 
-def live_previews(labelled: DataFrame, group: str = "label", ranked: DataFrame | None = None) -> DataFrame:
+def live_previews(labelled: DataFrame, group: str = "label") -> DataFrame:
     """J5 previews in long form: ``cluster_id, position, preview`` (title[:120])."""
-    if ranked is None:
-        ranked = rank_by_published(labelled.select(group, "publishedAt", "ord", "title"), group)
-    return ranked.select(F.col(group).cast("string").alias("cluster_id"), "position",
-                         F.left("title", F.lit(PREVIEW_CHARS)).alias("preview"))
+    ranked = rank_by_published(labelled, group).select("ord", "position")
+    return labelled.where(F.col(group) != -1).select(group, "ord", "title").join(ranked, "ord").select(
+        F.col(group).cast("string").alias("cluster_id"), "position", F.left("title", F.lit(PREVIEW_CHARS)).alias("preview"))
 
 
 def top_cluster_titles(labelled: DataFrame, k: int = 10, chars: int = 85, group: str = "label") -> DataFrame:

@@ -62,17 +62,19 @@ def q_ner_rank_entities(spark, d):
     return EN.rank_entities(entities(spark, d))
 
 
-@register("card_highlight", W + """, v_e AS (SELECT cluster_id, list(DISTINCT {'text': text, 'label': label}) AS es FROM v_ents GROUP BY 1),
-v_o AS (SELECT t.cluster_id, t.text, list_sort(list_transform(coalesce(e.es, []), lambda x: {'neg': -length(x.text), 'text': x.text, 'label': x.label})) AS es
+@register("card_highlight", W + """, v_e AS (SELECT cluster_id, list_sort(list(DISTINCT {'s': start, 'n': -"end", 'l': label})) AS es
+  FROM v_ents GROUP BY 1),
+v_k AS (SELECT t.cluster_id, t.text, list_reduce(coalesce(e.es, []), lambda acc, x: CASE WHEN x.s >= acc.last
+    THEN {'last': -x.n, 'kept': list_append(acc.kept, x)} ELSE acc END,
+    {'last': 0, 'kept': CAST([] AS STRUCT(s INTEGER, n INTEGER, l VARCHAR)[])}) AS k
   FROM v_entity_text t LEFT JOIN v_e e USING (cluster_id))
-SELECT cluster_id, list_reduce(es, lambda acc, x: replace(acc, x.text, '<span class="ent ent-' || x.label || '">' || x.text || '</span>'), text) AS html
-FROM (SELECT cluster_id, text, list_transform(es, lambda x: {'text': x.text, 'label': x.label}) AS es FROM v_o)""")
+SELECT cluster_id, array_to_string(list_transform(k.kept, lambda x, i:
+    substring(text, CASE WHEN i = 1 THEN 0 ELSE -k.kept[i - 1].n END + 1, x.s - CASE WHEN i = 1 THEN 0 ELSE -k.kept[i - 1].n END)
+    || '<span class="ent ent-' || x.l || '">' || substring(text, x.s + 1, -x.n - x.s) || '</span>'), '')
+  || substring(text, k.last + 1) AS html FROM v_k""")
 def q_card_highlight(spark, d):
-    t = FX.entity_texts(spark, d)
-    e = entities(spark, d).groupBy("cluster_id").agg(F.collect_set(F.struct("text", "label")).alias("es"))
-    j = t.join(e, "cluster_id", "left").select(
-        "cluster_id", "text", F.coalesce("es", F.array().cast("array<struct<text:string,label:string>>")).alias("es"))
-    return j.select("cluster_id", EN.highlight(F.col("text"), F.col("es")).alias("html"))
+    t = EN.with_entities(FX.entity_texts(spark, d), FX.gazetteer(spark, d))
+    return t.select("cluster_id", EN.highlight(F.col("text"), F.col("entities")).alias("html"))
 
 
 SQL_CARDS = """v_rank AS (SELECT cluster_id, text, label, count,

@@ -101,7 +101,7 @@ def q_agg_size_distribution(spark, d):
 def q_pack_multidoc(spark, d):
     c = clusters(spark, d)
     long = c.select("cluster_id", F.posexplode("articles").alias("pos", "text"))
-    return G.pack_rows(long, "cluster_id", ["pos"], "text", TEST_BUDGET)
+    return G.pack_groups(long, "cluster_id", ["pos"], ["cluster_id", "pos"], "text", TEST_BUDGET)
 
 
 @register("build_group_inputs", FX.with_views(FX.SQL_GROUPS, SQL_PARSED, sql_pack(1024)) + f"""

@@ -76,8 +76,9 @@ def q_sink_payload_roundtrip(spark, d):
     root = IO.scratch_dir(spark, "payload")
     # Payload as two tables: one row per cluster, one row per member.
     entries = G.live_cluster_entries(lab, G.MAX_INPUT_TOKENS)
-    members = G.rank_by_published(lab).select(F.col("label").alias("cluster_id"), "position", "ord", "title",
-                                              "publishedAt", "source", "url")
+    ranked = G.rank_by_published(lab).select("ord", "position")
+    members = lab.where("label <> -1").join(ranked, "ord").select(F.col("label").alias("cluster_id"), "position", "ord", "title",
+                                                                  "publishedAt", "source", "url")
     IO.save_nested(entries, f"{root}/clusters")
     IO.save_nested(members, f"{root}/members", "json")
     e = spark.read.parquet(f"{root}/clusters")

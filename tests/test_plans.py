@@ -34,9 +34,18 @@ def test_split_read_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(split" in p and "(split" in p
 
 
-def test_packing_limits_before_shuffle(spark):
+def test_packing_holds_no_group_in_a_window(spark):
+    # prefix sums over keys: no window over articles, in any session
     p = plan(Q["pack_multidoc"](spark, SF_MID))
-    assert "WindowGroupLimit" in p
+    assert "WindowGroupLimit" not in p and "row_number()" not in p
+
+
+def test_dedup_chooses_on_keys(spark):
+    p = plan(Q["dedup_first_url"](spark, SF_MID))
+    assert "HashAggregate" in p and "SortAggregate" not in p and "ObjectHashAggregate" not in p
+    for q in ("topk_sources", "agg_category_kept"):
+        schemas = [line for line in plan(Q[q](spark, SF_MID)).splitlines() if "ReadSchema" in line]
+        assert schemas and all("text" not in s for s in schemas), q
 
 
 def test_group_inputs_pack_without_shuffle_of_articles(spark):
