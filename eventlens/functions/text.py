@@ -16,13 +16,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Whitespace class equal to Python's ``str.isspace`` set.
+# All whitespace characters of Python's ``str.isspace``, and the same set as a Java class.
+WS_CHARS = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
 WS = r"[\s\x1c-\x1f]"
 WS_RUN = r"(?U)" + WS + "+"
 
 # ---- fixed values (must equal the reference for identical results) --------
-# Truncation marker appended by the news API free tier.
-TRUNCATION_MARKER = r"(?U)" + WS + r"*…?" + WS + r"*\[\+\d+" + WS + r"*chars?\]" + WS + r"*$"
+# Truncation marker appended by the news API free tier: an ellipsis, then ``[+N chars]``; here what follows ``[+``.
+TRUNCATION_OPEN = "[+"
+TRUNCATION_REST = r"(?U)^\d+" + WS + r"*chars?\]$"
 # Smart punctuation folded to ASCII: left/right single quote, left/right
 # double quote, en dash, em dash.
 SMART_FROM = "‘’“”–—"
@@ -55,15 +57,15 @@ def _c(x) -> Column:
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing whitespace."""
-    return F.regexp_replace(_c(c), r"(?U)^" + WS + "+|" + WS + "+$", "")
+    return F.trim(_c(c), F.lit(WS_CHARS))
 
 
 def rstrip_ws(c) -> Column:
-    return F.regexp_replace(_c(c), r"(?U)" + WS + "+$", "")
+    return F.rtrim(_c(c), F.lit(WS_CHARS))
 
 
 def lstrip_ws(c) -> Column:
-    return F.regexp_replace(_c(c), r"(?U)^" + WS + "+", "")
+    return F.ltrim(_c(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c) -> Column:
@@ -72,9 +74,16 @@ def collapse_ws(c) -> Column:
 
 
 def strip_truncation_marker(c) -> Column:
-    """B1: drop a trailing ``… [+N chars]`` marker, then right-strip; null -> ''."""
-    x = F.coalesce(_c(c), F.lit(""))
-    return rstrip_ws(F.regexp_replace(x, TRUNCATION_MARKER, ""))
+    """B1: drop a trailing ``… [+N chars]`` marker, then right-strip; null -> ''.
+
+    Only what follows the last ``[+`` is matched, so the cost does not grow with the text.
+    """
+    x = rstrip_ws(F.coalesce(_c(c), F.lit("")))
+    rest = F.substring_index(x, TRUNCATION_OPEN, -1)
+    size = F.length(x) - F.length(rest) - len(TRUNCATION_OPEN)  # negative where there is no opening
+    head = rstrip_ws(F.left(x, size))
+    cut = F.when(head.endswith("…"), rstrip_ws(F.left(head, F.length(head) - 1))).otherwise(head)
+    return F.when(x.endswith("]") & (size >= 0) & rest.rlike(TRUNCATION_REST), cut).otherwise(x)
 
 
 @F.pandas_udf(StringType())
@@ -163,14 +172,21 @@ def word_count(c) -> Column:
     return F.size(word_tokens(c))
 
 
-def is_paywall_preview(c) -> Column:
-    """A paywall keyword present AND fewer than 50 words."""
+def single_spaced_count(c) -> Column:
+    """B9 for stripped text whose words are parted by single spaces, as B6 and B8 leave it."""
+    x = _c(c)
+    return F.when(F.coalesce(x, F.lit("")) == "", 0).otherwise(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1)
+
+
+def is_paywall_preview(c, words: Column | None = None) -> Column:
+    """A paywall keyword present AND fewer than 50 words (``words``, counted here if not given)."""
     x = F.coalesce(_c(c), F.lit(""))
     low = F.lower(x)
     hit = F.lit(False)
     for kw in PAYWALL_KEYWORDS:
         hit = hit | low.contains(kw)
-    return (x != "") & hit & (word_count(x) < PAYWALL_MAX_WORDS)
+    # Few texts are that short, so the count goes first.
+    return (x != "") & ((word_count(x) if words is None else words) < PAYWALL_MAX_WORDS) & hit
 
 
 def normalize_punct_spacing(c) -> Column:

@@ -45,7 +45,7 @@ def first_copies(df: DataFrame, order_cols=("category_rank", "ord")) -> DataFram
             .groupBy("url").agg(F.min("_order").alias("_order")).select("_order"))
 
 
-def dedup_first_url(df: DataFrame, order_cols=("category_rank", "ord")) -> DataFrame:
+def dedup_first_url(df: DataFrame, order_cols=("category_rank", "ord"), keys: DataFrame | None = None) -> DataFrame:
     """keep the first occurrence of each URL in (category order, position).
 
     Winners are chosen on keys: a hash aggregate over (URL, packed order), which
@@ -54,10 +54,21 @@ def dedup_first_url(df: DataFrame, order_cols=("category_rank", "ord")) -> DataF
     the packed order.  That key is another one for every row, so copies of a hot
     URL are dealt over all tasks, and a query reads only the payload columns it
     uses.  ``order_cols`` must tell rows apart, as (category, position in its
-    response) does.
+    response) does.  ``keys`` is the table the winners are chosen on, where ``df``
+    was derived from it row by row.
     """
     rows = with_url(df).withColumn("_order", arrival_order(*order_cols))
-    return rows.join(first_copies(df, order_cols), "_order", "left_semi").select(*df.columns)
+    return rows.join(first_copies(df if keys is None else keys, order_cols), "_order", "left_semi").select(*df.columns)
+
+
+def bind(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns that are worked out once.
+
+    ``inline`` of a one-element array is a boundary that Catalyst neither
+    collapses nor pushes a filter through, so text expressions that feed several
+    columns and a filter run once a row.
+    """
+    return df.select(*df.columns, F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
 def clean_flags(df: DataFrame, carry: tuple = ()) -> DataFrame:
@@ -66,18 +77,17 @@ def clean_flags(df: DataFrame, carry: tuple = ()) -> DataFrame:
     ``carry`` names extra input columns passed through unchanged.
     """
     src = F.coalesce(F.col("source.name"), F.lit(""))
-    title = T.strip_title_suffix(T.normalize_text("title"), src)
-    desc = T.normalize_text("description")
-    content = T.normalize_text(T.strip_truncation_marker("content"))
-    staged = df.select(
-        *[c for c in df.columns if c in ("ord", "category_rank") or c in carry],
-        title.alias("title"), desc.alias("description"), content.alias("content"),
-        "url", "publishedAt", src.alias("source"), "category", "author",
-    )
-    staged = staged.withColumn("text", T.assemble_text("title", "description", "content"))
-    staged = staged.withColumn("word_count", T.word_count("text"))
-    staged = staged.withColumn("is_paywall_preview", T.is_paywall_preview("content"))
-    return staged.withColumn("keep", F.col("word_count") >= MIN_TEXT_WORDS)
+    kept = [c for c in df.columns if c in ("ord", "category_rank") or c in carry]
+    staged = bind(df.select(*kept, "title", "description", "content", "url", "publishedAt", src.alias("source"), "category", "author"),
+                  _content=T.strip_truncation_marker("content"))
+    staged = bind(staged.drop("content"), _title=T.normalize_text("title"), _description=T.normalize_text("description"),
+                  content=T.normalize_text("_content")).drop("title", "description", "_content")
+    staged = bind(staged.withColumnRenamed("_description", "description"), title=T.strip_title_suffix("_title", F.col("source"))).drop("_title")
+    staged = bind(staged, text=T.assemble_text("title", "description", "content"))
+    # Cleaned text is single-spaced.
+    staged = bind(staged, word_count=T.single_spaced_count("text"), is_paywall_preview=T.is_paywall_preview("content", T.single_spaced_count("content")))
+    return staged.select(*kept, "title", "description", "content", "url", "publishedAt", "source", "category", "author",
+                         "text", "word_count", "is_paywall_preview", (F.col("word_count") >= MIN_TEXT_WORDS).alias("keep"))
 
 
 def clean_articles(df: DataFrame, keep_order: bool = True, carry: tuple = ()) -> DataFrame:
@@ -87,8 +97,12 @@ def clean_articles(df: DataFrame, keep_order: bool = True, carry: tuple = ()) ->
 
 
 def unique_flags(raw: DataFrame) -> DataFrame:
-    """F1 then B11: only the first copy of a URL is cleaned."""
-    return clean_flags(dedup_first_url(raw))
+    """F1 then B11, evaluated as B11 then F1 (cleaning is row-wise).
+
+    The text work runs at scan parallelism before the join that keeps the first
+    copies, and what is shuffled is normalised text instead of raw markup.
+    """
+    return dedup_first_url(clean_flags(raw), keys=raw)
 
 
 def clean_unique(raw: DataFrame, carry: tuple = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.functions.text import ordered_concat
-from eventlens.sources.tables import read_table
+from eventlens.sources.tables import read_table, spread
 
 CATEGORIES = ("business", "entertainment", "general", "health", "science", "sports", "technology")
 
@@ -36,7 +36,7 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     Extra columns ``ord`` and ``category_rank`` carry the response order and
     the configured category order that first-URL-wins dedup depends on.
     """
-    d = read_table(spark, sf_dir, "documents")
+    d = spread(read_table(spark, sf_dir, "documents"))
     cat = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), (_mod("doc_id", 7) + 1).cast("int"))
     url = (
         F.when(_mod("doc_id", 37) == 3, F.lit(None).cast("string"))
@@ -97,7 +97,7 @@ def raw_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_pairs``: labelled (article, highlights) rows with a split column."""
-    d = read_table(spark, sf_dir, "documents")
+    d = spread(read_table(spark, sf_dir, "documents"))
     split = (F.when(_mod("doc_id", 10) < 8, F.lit("train"))
              .when(_mod("doc_id", 10) == 8, F.lit("validation")).otherwise(F.lit("test")))
     article = (F.when(_mod("doc_id", 6) == 0, F.concat(F.lit("LONDON, England (CNN) -- "), F.col("text")))
@@ -142,7 +142,7 @@ def token_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``v_entity_text``: a place name twice and one ISO date per text."""
-    d = read_table(spark, sf_dir, "documents")
+    d = spread(read_table(spark, sf_dir, "documents"))
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # nation is a fixed 25-row dimension: a broadcast is bounded by construction.
     j = d.join(F.broadcast(n), F.col("n_nationkey") == (F.col("doc_id") % 25))

@@ -22,3 +22,14 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a plain scan over all cores if it comes in fewer partitions than there are.
+
+    A file of one row group is one partition, so its text work would run in one
+    task.  A table of more partitions than cores is left as it is: at scale
+    nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
