@@ -13,7 +13,15 @@ from eventlens.llm import words as W
 #: Documented bound of the classifier: examples of each label.
 EXAMPLES = 2048
 BLOCK = 64
-NEIGHBOURS = 25
+#: Settings among which ``fit`` chooses: neighbours that vote, power of the idf, and whether a word counts 1 + log(tf) or 1.
+NEIGHBOURS = (25, 51, 101, 201)
+POWERS = (0.25, 0.5, 1.0, 2.0)
+LOGARITHMIC = (True, False)
+#: Examples of each label that the settings are compared on, each against all other examples.
+TRIALS = 256
+#: A term held by over one in so many examples stands in a dense row; texts whose products with them are taken at once.
+FREQUENT = 16
+TOGETHER = 64
 
 
 def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,14 +51,21 @@ class Index:
     term.  A query's upper bound for a block is the sum of query weight times
     block maximum; blocks are opened in order of their bounds until no closed
     block can beat the k-th score, so the neighbours are exactly those of a full scan.
+    The few terms that many examples hold are summed first, as a matrix product
+    over several texts, then the short lists, so their part of a bound is exact.
     """
 
-    def __init__(self, term: np.ndarray, idf: np.ndarray, unseen: float, doc: np.ndarray, t: np.ndarray, weight: np.ndarray,
-                 ids: np.ndarray, toxic: np.ndarray):
-        """doc, t, weight: one entry for each word of each example; unseen: idf of a word that no example holds."""
+    def __init__(self, term: np.ndarray, df: np.ndarray, doc: np.ndarray, t: np.ndarray, tf: np.ndarray,
+                 ids: np.ndarray, toxic: np.ndarray, power: float = 1.0, logarithmic: bool = True):
+        """term, df: the words and the examples that hold them; doc, t, tf: one entry for each word of each example."""
         self.ids, self.toxic = ids, toxic
         self.blocks = -(-len(ids) // BLOCK)
-        self.term, self.idf, self.unseen = term, idf, unseen
+        self.logarithmic, self.neighbours = logarithmic, NEIGHBOURS[0]
+        n = len(ids)
+        self.term, self.idf = term, (np.log((1 + n) / (1 + df)) + 0.05) ** power
+        self.unseen = (np.log(1 + n) + 0.05) ** power
+        weight = self.count(tf) * self.idf[t]
+        weight = weight / np.sqrt(np.bincount(doc, weight * weight, n))[doc]
         by = np.lexsort((doc, t))
         self.doc, self.weight, t = doc[by].astype(np.int32), weight[by].astype(np.float32), t[by]
         block = self.doc // BLOCK
@@ -63,7 +78,12 @@ class Index:
         self.lists = np.searchsorted(t[at], np.arange(len(term) + 1))
         self.prior = 0.5
         self.slope, self.offset = 1.0, 0.0
+        self.size = np.diff(self.begin[self.lists])
         self.opened = self.closed = 0
+        self._dense = None
+
+    def count(self, tf: np.ndarray) -> np.ndarray:
+        return 1 + np.log(tf) if self.logarithmic else np.ones(len(tf))
 
     @property
     def post(self) -> np.ndarray:
@@ -79,26 +99,72 @@ class Index:
             return np.zeros(0, np.int64), np.zeros(0, np.float32)
         i = np.minimum(np.searchsorted(self.term, hashes), len(self.term) - 1)
         hit = self.term[i] == hashes
-        w = (1 + np.log(counts)) * np.where(hit, self.idf[i], self.unseen)
+        w = self.count(counts) * np.where(hit, self.idf[i], self.unseen)
         norm = np.sqrt((w * w).sum())
         return i[hit], (w[hit] / norm if norm else w[hit]).astype(np.float32)
 
+    def _frequent(self) -> tuple[np.ndarray, np.ndarray]:
+        """The row of each frequent term in a dense matrix (-1: a rarer term), and the matrix, built where it is first used."""
+        if self._dense is None:
+            size = self.size
+            often = np.flatnonzero(size * FREQUENT > len(self.ids))
+            row = np.full(len(self.term), -1)
+            row[often] = np.arange(len(often))
+            rows = np.zeros((len(often), len(self.ids)), np.float32)
+            p = _ranges(self.begin[self.lists[often]], size[often])
+            rows[np.repeat(np.arange(len(often)), size[often]), self.doc[p]] = self.weight[p]
+            self._dense = row, rows
+        return self._dense
+
+    def __getstate__(self):
+        return self.__dict__ | {"_dense": None}
+
     def search(self, t: np.ndarray, w: np.ndarray, k: int, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Examples and cosines of the k nearest with a positive cosine, best first; ties by example order."""
+        return self.search_many([(t, w)], k, None if skip is None else [skip])[0]
+
+    def search_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip=None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``search`` for several texts; the frequent terms of ``TOGETHER`` texts are one matrix product."""
+        out = []
+        for i in range(0, len(queries), TOGETHER):
+            some = queries[i:i + TOGETHER]
+            row, rows = self._frequent()
+            q = np.zeros((len(some), len(rows)), np.float32)
+            for j, (t, w) in enumerate(some):
+                r = row[t]
+                q[j, r[r >= 0]] = w[r >= 0]
+            part = (q @ rows).astype(np.float64)
+            for j, (t, w) in enumerate(some):
+                rest = row[t] < 0
+                t, w = t[rest], w[rest]
+                # A list of a block's length or less is summed at once: a bound would cost as much.
+                rare = self.size[t] <= BLOCK
+                p = _ranges(self.begin[self.lists[t[rare]]], self.size[t[rare]])
+                score = part[j] + np.bincount(self.doc[p], np.repeat(w[rare], self.size[t[rare]]) * self.weight[p], len(self.ids))
+                out.append(self._open(score, t[~rare], w[~rare], k, None if skip is None else skip[i + j]))
+        return out
+
+    def _open(self, score: np.ndarray, t: np.ndarray, w: np.ndarray, k: int, skip: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Open blocks for some terms of a text; ``score`` holds what its frequent and its rare terms give each example."""
+        if not len(score):
+            return np.zeros(0, np.int64), np.zeros(0)
         count = self.lists[t + 1] - self.lists[t]
         of, weight = _ranges(self.lists[t], count), np.repeat(w.astype(float), count)
         block = self.block[of]
-        bound = np.bincount(block, weight * self.most[of], self.blocks)
+        # A block's bound: the most that other terms give one of its examples, and the greatest weight of each of these.
+        bound = np.maximum.reduceat(score, np.arange(0, len(score), BLOCK)) + np.bincount(block, weight * self.most[of], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        score = np.zeros(len(self.ids))
-        found, best, at, step = np.zeros(0, np.int64), 0.0, 0, 4
+        home = np.arange(len(score)) // BLOCK
+        seen = np.zeros(self.blocks, bool)
+        found, best, at, step = np.zeros(0, np.int64), 0.0, 0, max(4, -(-2 * k // BLOCK))
         # The bound and the scores are summed in another order, so a bound counts as a little more.
         while at < len(order) and bound[order[at]] * (1 + 1e-9) >= best:
-            now = np.zeros(self.blocks, bool)
             take = order[at:at + step]
             take = take[bound[take] * (1 + 1e-9) >= best]
+            now = np.zeros(self.blocks, bool)
             now[take] = True
+            seen |= now
             at, step = at + len(take), len(order)
             pick = np.flatnonzero(now[block])
             begin = self.begin[of[pick]]
@@ -107,7 +173,7 @@ class Index:
             score += np.bincount(self.doc[p], np.repeat(weight[pick], count) * self.weight[p], len(score))
             if skip is not None:
                 score[skip] = 0
-            found = np.flatnonzero(score > 0)
+            found = np.flatnonzero((score > 0) & seen[home])
             if len(found) > k:
                 s = score[found]
                 found = found[s >= np.partition(s, len(s) - k)[len(s) - k]]
@@ -124,17 +190,16 @@ class Index:
         no = (weight * (1 - self.toxic[found])).sum() + 0.5
         return float(np.log(yes / no))
 
-    def calibrate(self) -> None:
-        """Platt scaling of the vote on the examples themselves, each without itself, at the labelled prior."""
-        x, y = [], []
+    def trial(self, cases: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The k nearest other examples of some examples."""
         term = np.repeat(np.repeat(np.arange(len(self.term)), np.diff(self.lists)), np.diff(self.begin))
         by = np.argsort(self.doc, kind="stable")
         cuts = np.searchsorted(self.doc[by], np.arange(len(self.ids) + 1))
-        for i in range(len(self.ids)):
-            own = by[cuts[i]:cuts[i + 1]]
-            x.append(self.vote(*self.search(term[own], self.weight[own], NEIGHBOURS, skip=i)))
-            y.append(self.toxic[i])
-        x, y = np.array(x), np.array(y, float)
+        own = [by[cuts[i]:cuts[i + 1]] for i in cases.tolist()]
+        return self.search_many([(term[p], self.weight[p]) for p in own], k, cases.tolist())
+
+    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
+        """Platt scaling of votes ``x`` on examples with labels ``y``, none among its own neighbours, at the labelled prior."""
         share = y.mean() if len(y) else 0.0
         if not 0 < share < 1:  # one label only, or none
             self.slope, self.offset = 0.0, 8.0 if share else -8.0
@@ -162,7 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         examples: int = EXAMPLES) -> Index:
     """Index of labelled examples: the texts of ``examples`` labels of each kind at most, by smallest hash of the id.
 
-    The bound is a parameter; TF-IDF is worked out over the examples, with every
+    How many neighbours vote, the power of the idf and the count of a repeated
+    word are chosen among fixed settings by leave-one-out trials on the examples
+    themselves (256 of each label); the same trials calibrate the score.  The bound is a parameter; TF-IDF is worked out over the examples, with every
     word that any of them holds.  They are drawn from the labels alone, so no text is shuffled: the documents are
     scanned once against a broadcast of 2 x examples ids, and only the examples'
     term counts reach the driver.  An id labelled twice counts once, as toxic if
@@ -193,8 +260,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     term, t, df = np.unique(lists.flatten().to_numpy().view(np.uint64), return_inverse=True, return_counts=True)
     idf = np.log((1 + n) / (1 + df)) + 0.05
     weight = (1 + np.log(tf)) * idf[t]
-    norm = np.sqrt(np.bincount(doc, weight * weight, n))
-    weight = weight / norm[doc]
     # Examples next to each other share their label and the heaviest term that others have too.
     heaviest = np.full(n, -1)
     by = np.argsort(np.where(df[t] > 1, weight, 0), kind="stable")
@@ -202,12 +267,34 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     order = np.lexsort((ids, heaviest, toxic))
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
-    index = Index(term, idf, np.log(1 + n) + 0.05, place[doc], t, weight, ids[order], toxic[order])
+    ids, toxic = ids[order], toxic[order]
+    # Settings are compared on examples, each against all others, by how well the votes rank the labels.
+    cases = np.concatenate([np.flatnonzero(toxic == k)[np.argsort(W.mix(ids[toxic == k].astype(np.uint64)))[:TRIALS]] for k in (0, 1)])
+    best, index, votes = -1.0, None, np.zeros(0)
+    for logarithmic in LOGARITHMIC:
+        for power in POWERS:
+            one = Index(term, df, place[doc], t, tf, ids, toxic, power, logarithmic)
+            found = one.trial(cases, max(NEIGHBOURS))
+            for k in NEIGHBOURS:
+                x = np.array([one.vote(f[:k], s[:k]) for f, s in found])
+                rank = separation(x, toxic[cases])
+                if rank > best:
+                    best, index, votes = rank, one, x
+                    index.neighbours = k
     index.prior = counts.get(1, 0) / max(1, sum(counts.values()))
-    index.calibrate()
+    index.calibrate(votes, toxic[cases])
+    index.opened = index.closed = 0
     return index
 
 
+def separation(x: np.ndarray, y: np.ndarray) -> float:
+    """Share of (label 1, label 0) pairs that the votes order rightly, ties half (0.5 where a label is missing)."""
+    yes, no = x[y > 0], np.sort(x[y == 0])
+    if not len(yes) or not len(no):
+        return 0.5
+    return float((np.searchsorted(no, yes, "left") + np.searchsorted(no, yes, "right")).mean() / 2 / len(no))
+
+
 def _score(index):
     def score(text: pa.Array) -> pa.Array:
         ix = index.value
@@ -216,8 +303,8 @@ def _score(index):
         for i, j in W.slices(at):
             row, h, n = _terms(data[at[i]:at[j]], at[i:j + 1] - at[i])
             ends = np.searchsorted(row, np.arange(j - i + 1))
-            for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-                f, s = ix.search(*ix.query(h[a:b], n[a:b]), NEIGHBOURS)
+            asked = [ix.query(h[a:b], n[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            for f, s in ix.search_many(asked, ix.neighbours):
                 out.append(ix.probability(ix.vote(f, s)))
                 ev_id.append(ix.ids[f[:3]])
                 ev_cos.append(s[:3].astype(float))
@@ -234,8 +321,8 @@ def _score(index):
 def score_toxicity(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
     """Add ``score`` (0 to 1), ``predicted`` (1 if score >= 0.5) and ``evidence`` (the three nearest examples).
 
-    Each whole text is compared with all examples of the index, exactly; the 25
-    nearest vote with weight 1 / distance**2, and Platt scaling turns the vote
+    Each whole text is compared with all examples of the index, exactly; the nearest
+    (as many as ``fit`` chose) vote with weight 1 / distance**2, and Platt scaling turns the vote
     into a probability.
 
     Defined results: null, empty and wordless texts, and texts without a

@@ -252,8 +252,27 @@ def test_toxicity_edges(spark, index):
     assert len(rows_of(toxicity.score_toxicity(df, none))) == 4
 
 
-def test_toxicity_counts_every_word(spark):
+def test_toxic_documents_rank_above_clean_ones(spark):
+    """Always answering "clean" passes a test of accuracy; here toxic held-out documents must score above nine tenths of the clean ones."""
+    docs, labels = (read_table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    fold = "crc32(cast(cast(doc_id as string) as binary)) % 5"
+    index = toxicity.fit(docs, labels.where(f"{fold} != 0"))
+    asked = docs.join(labels.where(f"{fold} = 0 and toxic is not null").select("doc_id", "toxic").distinct(), "doc_id").where("text is not null")
+    got = toxicity.score_toxicity(asked, index).select("toxic", "score").collect()
+    clean, toxic = sorted(r["score"] for r in got if not r["toxic"]), [r["score"] for r in got if r["toxic"]]
+    assert len(toxic) > 50 and sum(s > clean[int(0.9 * len(clean))] for s in toxic) >= 0.7 * len(toxic)
+
+
+def test_settings_are_chosen_on_the_examples(index):
+    assert index.neighbours in toxicity.NEIGHBOURS
+    x, y = np.array([.1, .4, .4, .9]), np.array([0, 0, 1, 1])
+    assert toxicity.separation(x, y) == 3.5 / 4 and toxicity.separation(x, y * 0) == 0.5
+
+
+def test_toxicity_counts_every_word(spark, monkeypatch):
     """Cosines over all words, those of one example alone included, equal a plain computation."""
+    monkeypatch.setattr(toxicity, "POWERS", (1.0,))
+    monkeypatch.setattr(toxicity, "LOGARITHMIC", (True,))
     r = random.Random(5)
     common = [f"c{i}" for i in range(40)]
     texts = [" ".join(r.choices(common, k=30) + [f"own{i}", f"pair{i // 2}"]) for i in range(300)]
