@@ -250,47 +250,62 @@ def _apply(parts: pa.Table, answers: pa.Table, joined: np.ndarray, decoder: Deco
     """The documents of one slice with the ids of their units put together, and decoded again."""
     read = lambda c, t: np.concatenate([np.zeros(0, t), *(np.frombuffer(unpack_bytes(x.as_py()), t) for x in answers.column(c))])
     at = np.concatenate(([0], np.cumsum(read("unit_bytes", np.uint16).astype(np.int64))))
-    h = W.Words(read("units", np.uint8), at[:-1], at[1:], np.array([0, len(at) - 1])).hashes()
-    asked = h, read("ids", np.int32), read("id_counts", np.uint16).astype(np.int64)
-    out = []
+    known = W.Words(read("units", np.uint8), at[:-1], at[1:], np.array([0, len(at) - 1])).hashes()
+    by = np.argsort(known)
+    known, flat = known[by], read("ids", np.int32)
+    size = read("id_counts", np.uint16).astype(np.int64)
+    begin = (np.cumsum(size) - size)[by]
+    size = size[by]
+    del at, by
+    out, paths = [], {}
     for i in range(parts.num_rows):
         get = lambda c, t: np.frombuffer(unpack_bytes(parts.column(c)[i].as_py()), t)  # noqa: B023, E731
-        text, offsets = unpack_bytes(parts.column("text")[i].as_py()), get("offsets", np.int64)
-        u = _units(np.frombuffer(text, np.uint8), offsets, joined)
-        mine = u.hashes()
-        h, flat, size = asked
-        long = np.flatnonzero(u.end - u.start > MAX_UNIT)
-        if len(long):  # not asked for, but encoded here
-            own, first = np.unique(mine[long], return_index=True)
-            paths = [np.array(long_path(u.buf[u.start[x]:u.end[x]].tobytes().decode(), path), np.int32) for x in long[first].tolist()]
-            h, flat = np.concatenate([h, own]), np.concatenate([flat, *paths])
-            size = np.concatenate([size, [len(x) for x in paths]])
-        by = np.argsort(h)
-        ordered = h[by]
-        begin = np.cumsum(size) - size
-        if len(mine):
-            k = np.minimum(np.searchsorted(ordered, mine), max(0, len(by) - 1))
-            if not len(by) or (ordered[k] != mine).any():
-                raise RuntimeError("the documents changed between two reads; checkpoint them first")
-            k = by[k]
-        else:
-            k = np.zeros(0, np.int64)
-        to = np.concatenate(([0], np.cumsum(size[k])))
-        ids = np.empty(int(to[-1]), np.int32)
-        for a in range(0, len(k), HELD_ROWS):
-            some = k[a:a + HELD_ROWS]
-            first, last = int(to[a]), int(to[a + len(some)])
-            ids[first:last] = flat[np.repeat(begin[some] - to[a:a + len(some)], size[some]) + np.arange(first, last)]
-        ends = to[u.rows]
-        nulls = get("nulls", bool)
-        texts = pa.StringArray.from_buffers(len(nulls), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(text)) if with_text else pa.nulls(len(nulls), pa.string())
-        done = pa.table([pa.array(get("ids", np.int64)), pc.if_else(pa.array(nulls), pa.scalar(None, pa.string()), texts),
-                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())),
-                         pa.array(_exact(decoder, ids, ends, text, offsets), pa.bool_(), mask=nulls)], schema=_DONE)
-        out.append(pa.Table.from_batches(done.to_batches(max(1, done.num_rows * OUT_BYTES // max(OUT_BYTES, len(text)))), done.schema))
+        whole, rows = unpack_bytes(parts.column("text")[i].as_py()), get("offsets", np.int64)
+        nulls, names = get("nulls", bool), get("ids", np.int64)
+        # Some documents at a time, so that what is held besides the slice is bounded by OUT_BYTES or one text.
+        for x, y in W.slices(rows, OUT_BYTES):
+            text, offsets = whole[rows[x]:rows[y]], rows[x:y + 1] - rows[x]
+            ids, ends = _unit_ids(text, offsets, joined, (known, begin, size, flat), paths, path)
+            texts = pa.StringArray.from_buffers(y - x, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(text)) if with_text else pa.nulls(y - x, pa.string())
+            out.append(pa.table([pa.array(names[x:y]), pc.if_else(pa.array(nulls[x:y]), pa.scalar(None, pa.string()), texts),
+                                 pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())),
+                                 pa.array(_exact(decoder, ids, ends, text, offsets), pa.bool_(), mask=nulls[x:y])], schema=_DONE))
     return pa.concat_tables(out) if out else _DONE.empty_table()
 
 
+def _unit_ids(text: bytes, offsets: np.ndarray, joined: np.ndarray, answers: tuple, paths: dict, path: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of some documents, and where each document's ids end; ``paths`` keeps those of long units."""
+    known, begin, size, flat = answers
+    u = _units(np.frombuffer(text, np.uint8), offsets, joined)
+    mine = u.hashes()
+    if not len(mine):
+        return np.zeros(0, np.int32), np.zeros(len(u.rows), np.int64)
+    long = np.flatnonzero(u.end - u.start > MAX_UNIT)
+    k = np.minimum(np.searchsorted(known, mine), max(0, len(known) - 1))
+    hit = known[k] == mine if len(known) else np.zeros(len(mine), bool)
+    hit[long] = True
+    if not hit.all():
+        raise RuntimeError("the documents changed between two reads; checkpoint them first")
+    count = size[k] if len(known) else np.zeros(len(mine), np.int64)
+    for x in long.tolist():  # not asked for, but encoded here
+        own = int(mine[x])
+        if own not in paths:
+            paths[own] = np.array(long_path(u.buf[u.start[x]:u.end[x]].tobytes().decode(), path), np.int32)
+        count[x] = len(paths[own])
+    to = np.concatenate(([0], np.cumsum(count)))
+    ids = np.empty(int(to[-1]), np.int32)
+    short = np.ones(len(mine), bool)
+    short[long] = False
+    some = np.flatnonzero(short)
+    from_, n = begin[k[some]] if len(known) else some, count[some]
+    total = np.cumsum(n) - n
+    at = np.arange(int(n.sum()))
+    ids[np.repeat(to[some] - total, n) + at] = flat[np.repeat(from_ - total, n) + at]
+    for x in long.tolist():
+        ids[to[x]:to[x + 1]] = paths[int(mine[x])]
+    return ids, to[u.rows]
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
            with_text: bool = True) -> DataFrame:
     """``(id, text, ids, n_tokens, exact)``: SentencePiece ids of every whole text, and whether they decode to it.
