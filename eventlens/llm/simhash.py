@@ -214,6 +214,18 @@ def links(prints: DataFrame) -> DataFrame:
         rows = more.mapInArrow(_split, "mask long, fp long")
 
 
+def _by_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each fingerprint of a batch, with the ids that have it."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        fp = batch.column("fp").to_numpy()
+        by = np.argsort(fp, kind="stable")
+        at = np.flatnonzero(np.concatenate(([True], np.diff(fp[by]) != 0)))
+        ids = pa.ListArray.from_arrays(pa.array(np.append(at, len(fp)), pa.int32()), batch.column("id").take(pa.array(by)))
+        yield pa.RecordBatch.from_arrays([pa.array(fp[by][at]), ids], ["fp", "ids"])
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, fingerprint, component_id`` for every row of the documents.
 
@@ -239,4 +251,6 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     classes = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = grouped.join(classes, "component").select("fp", "component_id")
     found = prints.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return base.join(found, "fp").select("id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    # Copies travel as one row a batch, so a fingerprint of most documents is a few rows in its task.
+    packed = base.select("fp", "id").mapInArrow(_by_print, "fp long, ids array<long>")
+    return packed.join(found, "fp").select("fp", "component_id", F.explode("ids").alias("id")).select("id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
