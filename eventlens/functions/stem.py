@@ -1,7 +1,11 @@
-"""Porter stemming (Porter 1980, "An algorithm for suffix stripping").
-
-The published algorithm, applied as ROUGE does: only to tokens longer than
-three characters.  It runs as an Arrow pandas UDF over token arrays with a
+"""Porter stemming in the dialect of the ROUGE scorer.
+
+The rules of Porter (1980) with the changes that the scorer's stemmer is known
+for: a list of irregular words, other endings for ``-ies``, ``-ied``, ``-y``,
+``-bli``, ``-alli``, ``-fulli`` and ``-logi``, and two-letter stems that count
+as closed.  Rules are tables; one interpreter applies the first rule of a table
+whose suffix a word has.  As in ROUGE, only tokens longer than three characters
+are stemmed.  It runs as an Arrow pandas UDF over token arrays with a
 per-worker memo, so each distinct token is stemmed once per Python worker
 and the plan stays map-only (no explode / distinct / join-back shuffle).
 """
@@ -51,90 +55,93 @@ def _double_cons(w: str) -> bool:
     return len(w) >= 2 and w[-1] == w[-2] and _cons(w, len(w) - 1)
 
 
-def _cvc(w: str) -> bool:
+def _closed(w: str) -> bool:
+    """Ends consonant, vowel, consonant other than w, x, y; or is a vowel and a consonant alone."""
     n = len(w)
-    return (n >= 3 and _cons(w, n - 3) and not _cons(w, n - 2) and _cons(w, n - 1)
-            and w[-1] not in "wxy")
+    if n == 2:
+        return not _cons(w, 0) and _cons(w, 1)
+    return n > 2 and _cons(w, n - 3) and not _cons(w, n - 2) and _cons(w, n - 1) and w[-1] not in "wxy"
+
+
+# ---- fixed values: irregular words and suffix rules of the scorer's dialect -----
+# Irregular words: form -> stem.
+IRREGULAR = {"skies": "sky", "sky": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+             "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+             "cannings": "canning", "canning": "canning", "howe": "howe",
+             "proceed": "proceed", "exceed": "exceed", "succeed": "succeed"}
+# Rules: suffix, replacement, condition on what stands before the suffix.
+PLURALS = (("sses", "ss", "any"), ("ies", "i", "any"), ("ss", "ss", "any"), ("s", "", "any"))
+DERIVED = (("ational", "ate", "m>0"), ("tional", "tion", "m>0"), ("enci", "ence", "m>0"), ("anci", "ance", "m>0"),
+           ("izer", "ize", "m>0"), ("bli", "ble", "m>0"), ("alli", "al", "m>0"), ("entli", "ent", "m>0"), ("eli", "e", "m>0"),
+           ("ousli", "ous", "m>0"), ("ization", "ize", "m>0"), ("ation", "ate", "m>0"), ("ator", "ate", "m>0"),
+           ("alism", "al", "m>0"), ("iveness", "ive", "m>0"), ("fulness", "ful", "m>0"), ("ousness", "ous", "m>0"),
+           ("aliti", "al", "m>0"), ("iviti", "ive", "m>0"), ("biliti", "ble", "m>0"), ("fulli", "ful", "m>0"), ("logi", "log", "m>0 with l"))
+ADJECTIVES = (("icate", "ic", "m>0"), ("ative", "", "m>0"), ("alize", "al", "m>0"), ("iciti", "ic", "m>0"),
+              ("ical", "ic", "m>0"), ("ful", "", "m>0"), ("ness", "", "m>0"))
+ENDINGS = tuple((e, "", "m>1 after s or t" if e == "ion" else "m>1") for e in
+                ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion",
+                 "ou", "ism", "ate", "iti", "ous", "ive", "ize"))
+# ----------------------------------------------------------------------------------
+
+_CONDITIONS = {
+    "any": lambda stem: True,
+    "m>0": lambda stem: _measure(stem) > 0,
+    "m>1": lambda stem: _measure(stem) > 1,
+    "m>0 with l": lambda stem: _measure(stem + "l") > 0,
+    "m>1 after s or t": lambda stem: _measure(stem) > 1 and stem[-1] in "st",
+}
+
+
+def _first_rule(w: str, rules) -> str:
+    """The first rule whose suffix the word has decides, whether its condition holds or not."""
+    for suffix, replacement, condition in rules:
+        if w.endswith(suffix):
+            stem = w[:len(w) - len(suffix)]
+            return stem + replacement if _CONDITIONS[condition](stem) else w
+    return w
 
 
-# fixed values: suffix rules of steps 2-4 as published
-_STEP2 = (("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
-          ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
-          ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
-          ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"))
-_STEP3 = (("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""),
-          ("ness", ""))
-_STEP4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
-          "ism", "ate", "iti", "ous", "ive", "ize")
+def _past(w: str) -> str:
+    """-ied, -eed, -ed and -ing."""
+    if w.endswith("ied"):
+        return w[:-1] if len(w) == 4 else w[:-2]
+    if w.endswith("eed"):
+        return w[:-1] if _measure(w[:-3]) > 0 else w
+    for suffix in ("ed", "ing"):
+        stem = w[:len(w) - len(suffix)]
+        if w.endswith(suffix) and _has_vowel(stem):
+            if stem.endswith(("at", "bl", "iz")):
+                return stem + "e"
+            if _double_cons(stem):
+                return stem if stem[-1] in "lsz" else stem[:-1]
+            return stem + "e" if _measure(stem) == 1 and _closed(stem) else stem
+    return w
 
 
-def _replace_longest(w: str, rules, min_m: int) -> str:
-    best = None
-    for suf, rep in rules:
-        if w.endswith(suf) and (best is None or len(suf) > len(best[0])):
-            best = (suf, rep)
-    if best is None:
-        return w
-    stem = w[: len(w) - len(best[0])]
-    return stem + best[1] if _measure(stem) > min_m - 1 else w
+def _derived(w: str) -> str:
+    """-ational and the like; -alli may leave another of these suffixes."""
+    while w.endswith("alli") and _measure(w[:-4]) > 0:
+        w = w[:-2]
+    return _first_rule(w, DERIVED)
 
 
 @lru_cache(maxsize=200_000)
 def porter_stem(word: str) -> str:
-    """Stem one lower-case word (words of 3 or fewer letters pass unchanged)."""
-    w = word
-    if len(w) <= 3:
-        return w
-    # step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ies"):
-        w = w[:-2]
-    elif w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        w = w[:-1]
-    # step 1b
-    extra = False
-    if w.endswith("eed"):
-        if _measure(w[:-3]) > 0:
-            w = w[:-1]
-    elif w.endswith("ed") and _has_vowel(w[:-2]):
-        w, extra = w[:-2], True
-    elif w.endswith("ing") and _has_vowel(w[:-3]):
-        w, extra = w[:-3], True
-    if extra:
-        if w.endswith(("at", "bl", "iz")):
-            w += "e"
-        elif _double_cons(w) and w[-1] not in "lsz":
-            w = w[:-1]
-        elif _measure(w) == 1 and _cvc(w):
-            w += "e"
-    # step 1c
-    if w.endswith("y") and _has_vowel(w[:-1]):
+    """Stem one lower-case word (words of one or two letters pass unchanged)."""
+    if word in IRREGULAR:
+        return IRREGULAR[word]
+    if len(word) <= 2:
+        return word
+    w = word[:-1] if len(word) == 4 and word.endswith("ies") else _first_rule(word, PLURALS)
+    w = _past(w)
+    if w.endswith("y") and len(w) > 2 and _cons(w, len(w) - 2):
         w = w[:-1] + "i"
-    # steps 2 and 3
-    w = _replace_longest(w, _STEP2, 1)
-    w = _replace_longest(w, _STEP3, 1)
-    # step 4
-    best = None
-    for suf in _STEP4:
-        if w.endswith(suf) and (best is None or len(suf) > len(best)):
-            best = suf
-    if best is not None:
-        stem = w[: len(w) - len(best)]
-        if _measure(stem) > 1 and (best != "ion" or (stem and stem[-1] in "st")):
-            w = stem
-    # step 5a
+    w = _first_rule(_first_rule(_derived(w), ADJECTIVES), ENDINGS)
     if w.endswith("e"):
-        stem = w[:-1]
-        m = _measure(stem)
-        if m > 1 or (m == 1 and not _cvc(stem)):
-            w = stem
-    # step 5b
-    if _measure(w) > 1 and _double_cons(w) and w.endswith("l"):
-        w = w[:-1]
-    return w
+        m = _measure(w[:-1])
+        if m > 1 or (m == 1 and not _closed(w[:-1])):
+            w = w[:-1]
+    return w[:-1] if w.endswith("ll") and _measure(w[:-1]) > 1 else w
 
 
 @F.pandas_udf(ArrayType(StringType()))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StringType
 
 from eventlens.functions import text as T
 
@@ -17,6 +18,9 @@ MIN_TEXT_WORDS = 20  # fixed value: articles below this many words are dropped
 CLEAN_COLUMNS = ("title", "description", "content", "text", "url", "publishedAt", "source",
                  "category", "author", "word_count", "is_paywall_preview")
 
+_TYPES = {"word_count": IntegerType(), "is_paywall_preview": BooleanType()}
+CLEAN_SCHEMA = tuple((c, _TYPES.get(c, StringType())) for c in CLEAN_COLUMNS)
+
 
 def with_url(df: DataFrame) -> DataFrame:
     """C4: rows with a null or empty URL never enter the dedup."""

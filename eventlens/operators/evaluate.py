@@ -25,28 +25,33 @@ def long_form(section: str, wide: DataFrame) -> DataFrame:
     return wide.select(st.alias("_m")).select(F.lit(section).alias("section"), "_m.metric", "_m.value")
 
 
-def token_vectors(df: DataFrame, id_col: str, side: str, text: str, table: DataFrame,
-                  table_id: str = "vec_id", table_vec: str = "embedding") -> DataFrame:
-    """Soft-matching inputs: each token's vector looked up in an embedding table.
+PAIRS_PER_BLOCK = 512
+
+
+def greedy_pairs(df: DataFrame, id_col: str, pred: str, ref: str, table: DataFrame,
+                 table_id: str = "vec_id", table_vec: str = "embedding") -> DataFrame:
+    """J13 over text pairs: per-pair P/R/F from looked-up token vectors.
 
     Token -> row ``(first 32 bits of md5(token)) mod size`` of ``table`` (a
     hashing lookup: deterministic, model-free, and reproducible in any SQL
-    engine).  Output ``id, side, pos, vec``.
+    engine).  The distinct tokens of all pairs form a dictionary, and each
+    fetches its vector once.  Pairs are dealt into blocks of about 512; a block
+    gets the vectors of its distinct tokens, once each, and meets its pairs in a
+    co-group, so no vector is shuffled for an occurrence.  A token whose row is
+    missing stays and matches nothing.  Pairs without any token have no row.
     """
+    blocks = max(1, -(-df.count() // PAIRS_PER_BLOCK))
+    pairs = df.select(F.col(id_col), SC.rouge_tokens(pred).alias("_p"), SC.rouge_tokens(ref).alias("_r")) \
+              .where((F.size("_p") > 0) | (F.size("_r") > 0)).withColumn("_block", F.pmod(F.xxhash64(id_col), F.lit(blocks)))
+    need = pairs.select("_block", F.explode(F.array_union("_p", "_r")).alias("tok")).distinct()
     size = table.agg((F.max(table_id) + 1).alias("_size"))
-    toks = df.select(id_col, F.lit(side).alias("side"), F.posexplode(SC.rouge_tokens(text)).alias("pos", "tok"))
-    h = F.conv(F.substring(F.md5("tok"), 1, 8), 16, 10).cast("long")
-    toks = toks.join(F.broadcast(size), how="inner", on=F.lit(True)) \
-        .withColumn("_b", F.pmod(h, F.col("_size")))
-    vecs = table.select(F.col(table_id).alias("_b"), F.col(table_vec).alias("vec"))
-    return toks.join(vecs, "_b").select(id_col, "side", "pos", "vec")
-
-
-def greedy_pairs(df: DataFrame, id_col: str, pred: str, ref: str, table: DataFrame) -> DataFrame:
-    """J13 over text pairs: per-pair P/R/F from looked-up token vectors."""
-    tv = token_vectors(df, id_col, "pred", pred, table).unionByName(token_vectors(df, id_col, "ref", ref, table))
-    g = SC.greedy_match(tv.withColumnRenamed(id_col, "pair_id"), "pair_id")
-    return g.withColumnRenamed("pair_id", id_col)
+    row = F.pmod(F.conv(F.substring(F.md5("tok"), 1, 8), 16, 10).cast("long"), F.col("_size"))
+    words = need.select("tok").distinct().join(F.broadcast(size), how="left", on=F.lit(True)).withColumn("_row", row)  # one-row size
+    vecs = table.select(F.col(table_id).alias("_row"), F.col(table_vec).cast("array<double>").alias("vec"))
+    known = need.join(words.join(vecs, "_row", "left").select("tok", "vec"), "tok").select(F.col("_block").alias("_at"), "tok", "vec")
+    kind = df.schema[id_col].dataType.simpleString()  # ids keep their type
+    return pairs.groupBy("_block").cogroup(known.groupBy("_at")).applyInPandas(
+        SC.greedy_block(id_col), f"{id_col} {kind}, precision double, recall double, f1 double")
 
 
 def soft_means(df: DataFrame, id_col: str, pred: str, ref: str, table: DataFrame, prefix: str = "") -> DataFrame:

@@ -24,7 +24,7 @@ SPLITS = ("train", "validation", "test")
 def check_split(split: str) -> str:
     """A4 allow-list: unknown split names are rejected."""
     if split not in SPLITS:
-        raise ValueError(f"Unsupported split {split!r}. Expected one of {list(SPLITS)}")
+        raise ValueError(f"no split named {split!r}; the splits are {', '.join(SPLITS)}")
     return split
 
 

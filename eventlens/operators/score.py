@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from eventlens.functions import text as T
+from eventlens.operators.hooks import Hook, apply_hook, register_hook
 
 
 def rouge_tokens(c, stem: bool = False) -> Column:
@@ -259,6 +260,38 @@ def _greedy(pred: np.ndarray, ref: np.ndarray) -> tuple[float, float, float]:
     return p, r, f
 
 
+def greedy_block(id_col: str):
+    """Score the pairs of a block (token lists ``_p``, ``_r``) with the vectors of its tokens (``tok``, ``vec``; null: none)."""
+    def run(pairs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        place = {t: i for i, t in enumerate(words["tok"])}
+        width = max((len(v) for v in words["vec"] if v is not None), default=1)
+        unit = np.zeros((len(words) + 1, width))  # the last stands for no vector
+        for i, v in enumerate(words["vec"]):
+            if v is not None:
+                unit[i] = v
+        norm = np.linalg.norm(unit, axis=1, keepdims=True)
+        unit = unit / np.maximum(norm, np.finfo(float).tiny)
+        found = norm[:, 0] > 0
+        out = []
+        for p, r in zip(pairs["_p"], pairs["_r"]):
+            a, b = np.array([place[t] for t in p], int), np.array([place[t] for t in r], int)
+            out.append(_soft(unit, found, a, b))
+        return pd.DataFrame({id_col: pairs[id_col].to_numpy(), "precision": [x[0] for x in out], "recall": [x[1] for x in out],
+                             "f1": [x[2] for x in out]})
+    return run
+
+
+def _soft(unit: np.ndarray, found: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[float, float, float]:
+    """Greedy match of two token lists; a token without a vector is nobody's match and scores 0 itself."""
+    if not len(a) or not len(b) or not found[a].any() or not found[b].any():
+        return 0.0, 0.0, 0.0
+    sim = unit[a] @ unit[b].T
+    best_a = np.where(found[a], np.where(found[b][None, :], sim, -np.inf).max(axis=1), 0.0)
+    best_b = np.where(found[b], np.where(found[a][:, None], sim, -np.inf).max(axis=0), 0.0)
+    p, r = float(best_a.mean()), float(best_b.mean())
+    return p, r, 2 * p * r / (p + r) if p + r != 0 else 0.0
+
+
 def greedy_match(token_vectors: DataFrame, id_col: str = "pair_id", side: str = "side",
                  vec: str = "vec", pred_side: str = "pred") -> DataFrame:
     """Greedy max-cosine matching per pair -> P / R / F.
@@ -279,3 +312,27 @@ def greedy_match(token_vectors: DataFrame, id_col: str = "pair_id", side: str =
     id_type = token_vectors.schema[id_col].dataType.simpleString()  # ids keep their type
     schema = f"{id_col} {id_type}, precision double, recall double, f1 double"
     return token_vectors.select(*cols).groupBy(id_col).applyInPandas(fn, schema)
+
+
+# ---- metrics as hooks (L5) ------------------------------------------------------
+
+def score_with(pairs: DataFrame, metric: Hook, name: str, id_col: str = "pair_id", pred: str = "prediction", ref: str = "reference") -> DataFrame:
+    """``id, name``: a metric hook over (prediction, reference) pairs."""
+    return apply_hook(pairs.select(id_col, pred, ref), metric, [pred, ref], name, "double").select(id_col, name)
+
+
+def _token_f1(pred: Column, ref: Column) -> Column:
+    """F-measure over the distinct tokens of both texts."""
+    p, r = F.array_distinct(rouge_tokens(pred)), F.array_distinct(rouge_tokens(ref))
+    return prf(F.size(F.array_intersect(p, r)), F.size(p), F.size(r))[2]
+
+
+def length_ratio():
+    """A small Python metric: characters of the shorter text to those of the longer one (both empty: 1)."""
+    def call(preds: list[str], refs: list[str]) -> list[float]:
+        return [min(len(p), len(r)) / max(len(p), len(r)) if p or r else 1.0 for p, r in zip(preds, refs)]
+    return call
+
+
+register_hook("metric", "token-f1", Hook(column=_token_f1))
+register_hook("metric", "length-ratio", Hook(factory=length_ratio, batch_size=256))

@@ -5,22 +5,19 @@
   score is the mean TF-IDF weight of its terms, and the summary packs the
   best sentences into the output budget and restores document order.  The
   only windows are per item over its sentences (bounded by the input budget).
-* ``two_stage`` (J6) is the plug-in point for a model: two ``mapInPandas``
-  steps, each loading its generator once per task and running it on Arrow
-  batches.  Stage 2 sees ``headline + separator + input``; outputs are
-  stripped.  ``lead_generator`` is a model-free stand-in.
+* ``two_stage`` (J6) is the plug-in point for a model: two generator hooks
+  (``operators/hooks.py``), each with its own batch size and limits.  Stage 2
+  sees ``headline + separator + input``; outputs are stripped.
+  ``lead_generator`` is a model-free stand-in, a native expression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from eventlens.functions import text as T
+from eventlens.operators.hooks import Hook, apply_hook, register_hook
 from eventlens.operators.score import rouge_tokens
 
 # ---- fixed values (generation limits of the reference configuration) -------
@@ -81,46 +78,24 @@ def extractive(items: DataFrame, id_col: str = "cluster_id", doc: str = "multi_d
 
 # ---- pluggable batch generation (J6) -------------------------------------------
 
-Generator = Callable[[pd.Series], pd.Series]
-
-
-def lead_generator(max_words: int) -> Callable[[], Generator]:
-    """Model-free stand-in: first sentence, then the first ``max_words`` words."""
-    import re
-
-    boundary = re.compile(r"(?<=[.!?])\s+(?=[A-Z0-9\"'])")
-
-    def factory() -> Generator:
-        def gen(batch: pd.Series) -> pd.Series:
-            def one(t):
-                t = (t or "").strip()
-                first = boundary.split(t, maxsplit=1)[0] if t else ""
-                return " ".join(first.split()[:max_words])
-            return batch.map(one)
-        return gen
-    return factory
+def lead_generator(max_tokens: int) -> Hook:
+    """Model-free stand-in: first sentence, then its first ``max_tokens`` words."""
+    return Hook(column=_lead, options=(("max_tokens", max_tokens),))
 
 
-def _stage(df: DataFrame, factory: Callable[[], Generator], src: str, out: str) -> DataFrame:
-    schema = StructType(list(df.schema.fields) + [StructField(out, StringType())])
+def _lead(text: Column, max_tokens: int) -> Column:
+    return first_words(T.first_sentence(text), max_tokens)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gen = factory()  # model loaded once per task, reused for every batch
-        for b in batches:
-            b = b.copy()
-            b[out] = gen(b[src]).astype(object)
-            yield b
 
-    return df.mapInPandas(run, schema)
+register_hook("generator", "lead-headline", lead_generator(HEADLINE_MAX_TOKENS))
+register_hook("generator", "lead-summary", lead_generator(SUMMARY_MAX_TOKENS))
 
 
-def two_stage(items: DataFrame, headline_factory: Callable[[], Generator],
-              summary_factory: Callable[[], Generator], separator: str = STAGE2_SEPARATOR,
+def two_stage(items: DataFrame, headline: Hook, summary: Hook, separator: str = STAGE2_SEPARATOR,
               doc: str = "multi_doc_input") -> DataFrame:
     """Stage 1 headline from the input; stage 2 summary from headline + sep + input."""
-    s1 = _stage(items, headline_factory, doc, "_h_raw")
-    s1 = s1.withColumn("_s2_in", F.concat(F.col("_h_raw"), F.lit(separator), F.col(doc)))
-    s2 = _stage(s1, summary_factory, "_s2_in", "_s_raw")
-    return (s2.withColumn("generated_headline", T.strip_ws("_h_raw"))
+    first = apply_hook(items, headline, doc, "_h_raw")
+    second = apply_hook(first.withColumn("_s2_in", F.concat(F.coalesce("_h_raw", F.lit("")), F.lit(separator), F.col(doc))), summary, "_s2_in", "_s_raw")
+    return (second.withColumn("generated_headline", T.strip_ws("_h_raw"))
             .withColumn("generated_summary", T.strip_ws("_s_raw"))
             .drop("_h_raw", "_s_raw", "_s2_in"))

@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlens.functions import text as T
+from eventlens.operators import cells
+from eventlens.operators.hooks import Hook, apply_hook, register_hook
+from eventlens.session import cut_lineage
 
 BLOCK_ROWS = 4096
 
@@ -109,16 +112,14 @@ def knn(df: DataFrame, k: int, id_col: str = "id", vec: str = "vec", blocks: int
         R = pdf[pdf["_role"] == "R"]
         if not len(L) or not len(R):
             return pd.DataFrame({id_col: [], "nbr": [], "dist": []})
-        d = _distances(_matrix(L[vec]), _matrix(R[vec]))
+        a, b = _matrix(L[vec]), _matrix(R[vec])
+        d = cells.squared(a, b)
         lid = L[id_col].to_numpy()
         rid = R[id_col].to_numpy()
         d[lid[:, None] == rid[None, :]] = np.inf  # never your own neighbour
-        kk = min(k, len(R))
-        idx = np.argsort(d, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(len(L)), kk)
-        dist = d[rows, idx.ravel()]
-        ok = np.isfinite(dist)
-        return pd.DataFrame({id_col: lid[rows][ok], "nbr": rid[idx.ravel()][ok], "dist": dist[ok]})
+        row, col = cells.smallest(d, rid, k)
+        # Exact distances, the same from either side.
+        return pd.DataFrame({id_col: lid[row], "nbr": rid[col], "dist": cells.exact(a[row], b[col])})
 
     cand = pairs.groupBy("_bi", "_bj").applyInPandas(fn, f"{id_col} bigint, nbr bigint, dist double")
     w = Window.partitionBy(id_col).orderBy("dist", "nbr")
@@ -187,7 +188,8 @@ def kmeans_labels(df: DataFrame, k: int = 20, n_init: int = 10, seed: int = 42,
 
     from concurrent.futures import ThreadPoolExecutor
 
-    data = df.select(id_col, array_to_vector(F.col(vec).cast("array<double>")).alias("features")).cache()
+    data = df.select(id_col, array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
+    data = cut_lineage(data)  # read by every fit; shared storage, so a lost executor costs nothing
 
     def fit(s):
         model = KMeans(k=k, seed=s, maxIter=max_iter, tol=1e-4).fit(data)
@@ -222,22 +224,19 @@ def encode_hashing(df: DataFrame, text: str = "text", id_col: str = "id", dim: i
     return model.transform(toks).select(id_col, vector_to_array("_n", "float32").alias("vec"))
 
 
-def encode_with(df: DataFrame, factory, text: str = "text", id_col: str = "id") -> DataFrame:
-    """I1 / L2 plug-in: ``factory()`` returns ``encode(list[str]) -> ndarray (n, d)``.
+def encode_with(df: DataFrame, hook: Hook, text: str = "text", id_col: str = "id") -> DataFrame:
+    """I1 / L2 plug-in: unit vectors ``id, vec`` (float32) from an encoder hook, one list of numbers for each text."""
+    raw = apply_hook(df.select(id_col, text), hook, text, "_raw", "array<double>")
+    return raw.select(id_col, l2_normalize("_raw").alias("vec"))
 
-    The encoder is built once per task (model load) and applied to Arrow
-    batches; rows are L2-normalised to float32 unit vectors.
-    """
-    from pyspark.sql.types import ArrayType, FloatType, LongType, StructField, StructType
 
-    schema = StructType([StructField(id_col, LongType()), StructField("vec", ArrayType(FloatType()))])
+def letter_profile():
+    """A small encoder: how often each of the letters a-z occurs in the lower-cased text."""
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+
+    def encode(texts: list[str]) -> list[list[float]]:
+        return [[float(low.count(c)) for c in letters] for low in map(str.lower, texts)]
+    return encode
 
-    def run(batches):
-        enc = factory()
-        for b in batches:
-            m = np.asarray(enc(b[text].fillna("").tolist()), dtype=np.float64)
-            norms = np.linalg.norm(m, axis=1, keepdims=True)
-            m = np.where(norms > 0, m / np.where(norms > 0, norms, 1), 0.0).astype(np.float32)
-            yield pd.DataFrame({id_col: b[id_col].astype("int64"), "vec": list(m)})
 
-    return df.select(id_col, text).mapInPandas(run, schema)
+register_hook("encoder", "letter-profile", Hook(factory=letter_profile, batch_size=64))

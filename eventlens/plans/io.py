@@ -9,10 +9,12 @@ from eventlens.operators import clean as C
 from eventlens.operators import groups as G
 from eventlens.operators import prep as PR
 from eventlens.operators import vectors as V
-from eventlens.plans.groups import W_LIVE, labelled
+from eventlens.operators.hooks import get_hook
+from eventlens.plans.groups import W_LIVE, labelled, sql_live_pack
 from eventlens.plans.ingest import SQL_CLEAN, SQL_DEDUP, W_CLEAN
 from eventlens.plans.prep import W_HEAD
 from eventlens.plans.vectors import SQL_PAIRS, SQL_SIL
+from eventlens.session import cut_lineage
 from eventlens.sources import files as IO
 from eventlens.sources import fixtures as FX
 from eventlens.streaming import live as LV
@@ -121,23 +123,52 @@ def q_stream_live_dedup(spark, d):
     return spark.read.parquet(out).select("url", "title")
 
 
-@register("cluster_payload", FX.with_views(FX.SQL_VECTORS, SQL_PAIRS, SQL_SIL) + """
-SELECT 'labels' AS method, (SELECT count(DISTINCT label) FROM v_vectors WHERE label <> -1) AS n_clusters,
-  (SELECT count(*) FROM v_vectors WHERE label = -1) AS n_noise, (SELECT count(*) FROM v_vectors) AS n_articles,
-  round(CASE WHEN (SELECT count(DISTINCT label) FROM v_vectors WHERE label <> -1) >= 2 THEN (SELECT avg(sv) FROM v_sil) END, 6) AS silhouette_score,
-  '{"source": "fixture labels"}' AS params""")
+SQL_LABELLED_VECTORS = "v_lvec AS (SELECT v.* FROM v_vectors v JOIN v_labelled l ON l.ord = v.id)"
+MEMBER_SCHEMA = "cluster_id int, position int, ord bigint, title string, publishedAt string, source string, url string"
+
+
+@register("cluster_payload", W_LIVE + ", " + sql_live_pack(G.MAX_INPUT_TOKENS) + ", " + ", ".join(
+    (SQL_LABELLED_VECTORS, SQL_PAIRS.replace("v_vectors", "v_lvec"), SQL_SIL.replace("v_vectors", "v_lvec"))) + """,
+v_pos AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY "publishedAt" ASC NULLS LAST, ord) AS position FROM v_labelled WHERE label <> -1),
+v_mem AS (SELECT label, bit_xor(('0x' || left(md5(concat_ws('|', cast(position AS varchar), cast(ord AS varchar), title, coalesce("publishedAt", '-'), source, url)), 15))::BIGINT) AS members
+  FROM v_pos GROUP BY label)
+SELECT 'labels' AS method, (SELECT count(DISTINCT label) FROM v_labelled WHERE label <> -1) AS n_clusters,
+  (SELECT count(*) FROM v_labelled WHERE label = -1) AS n_noise, (SELECT count(*) FROM v_labelled) AS n_articles,
+  round(CASE WHEN (SELECT count(DISTINCT label) FROM v_labelled WHERE label <> -1) >= 2 THEN (SELECT avg(sv) FROM v_sil) END, 6) AS silhouette_score,
+  '1024' AS budget, 'fixture labels' AS labels_from, v.label AS cluster_id, v.size, coalesce(p.multi_doc_input, '') AS multi_doc_input, m.members
+FROM v_prev v LEFT JOIN v_lpacked p USING (label) JOIN v_mem m USING (label)""")
 def q_cluster_payload(spark, d):
-    v = FX.vectors(spark, d)
-    rep = v.agg(F.count_distinct(F.when(F.col("label") != -1, F.col("label"))).alias("n_clusters"),
-                F.count_if(F.col("label") == -1).alias("n_noise"), F.count(F.lit(1)).alias("n_articles"))
-    sil = V.silhouette(v)
-    return rep.join(sil, how="inner", on=F.lit(True)).select(
-        F.lit("labels").alias("method"), "n_clusters", "n_noise", "n_articles",
-        F.round("silhouette", 6).alias("silhouette_score"), F.lit('{"source": "fixture labels"}').alias("params"))
+    """Entries, members and metadata of one labelling, written, read back and compared by content."""
+    lab = cut_lineage(labelled(spark, d).select("ord", "label", "title", "text", "publishedAt", "source", "url"))
+    ranked = G.rank_by_published(lab).select("ord", "position")
+    members = lab.join(ranked, "ord", "left").select(F.col("label").alias("cluster_id"), "position", "ord", "title", "publishedAt", "source", "url")
+    # The labelling is the fixture's; its silhouette is measured on the same articles' vectors.
+    sil = V.silhouette(FX.vectors(spark, d).join(lab.select(F.col("ord").alias("id")), "id")).first()["silhouette"]
+    root = IO.save_payload(G.live_cluster_entries(lab), members, IO.scratch_dir(spark, "payload"), "labels",
+                           {"budget": G.MAX_INPUT_TOKENS, "labels_from": "fixture labels"}, sil)
+    meta, clusters, rows = IO.read_payload(spark, root, MEMBER_SCHEMA)
+    line = F.concat_ws("|", F.col("position").cast("string"), F.col("ord").cast("string"), "title", F.coalesce("publishedAt", F.lit("-")), "source", "url")
+    digest = rows.where("cluster_id <> -1").groupBy("cluster_id").agg(
+        F.bit_xor(F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")).alias("members"))
+    return clusters.join(digest, "cluster_id").join(F.broadcast(meta), F.lit(True)).select(  # one-row metadata
+        "method", "n_clusters", "n_noise", "n_articles", F.round("silhouette_score", 6).alias("silhouette_score"),
+        F.col("params")["budget"].alias("budget"), F.col("params")["labels_from"].alias("labels_from"),
+        "cluster_id", "size", "multi_doc_input", "members")
+
+
+@register("vec_encode_hook", W_CLEAN + """, c AS (SELECT ord, list_transform(range(97, 123), lambda x: length(lower(text)) - length(replace(lower(text), chr(CAST(x AS INTEGER)), ''))) AS n
+  FROM v_clean_all WHERE word_count >= 20),
+v AS (SELECT ord, n, sqrt(list_sum(list_transform(n, lambda x: x * x))) AS norm FROM c)
+SELECT ord, CAST(len(n) AS INTEGER) AS dim, round(n[1] / norm, 4) AS a, round(n[5] / norm, 4) AS e, round(n[26] / norm, 4) AS z FROM v""")
+def q_vec_encode_hook(spark, d):
+    """An encoder hook over whole cleaned texts."""
+    enc = V.encode_with(C.clean_unique(FX.raw_articles(spark, d)), get_hook("encoder", "letter-profile"), "text", "ord")
+    at = lambda i, name: F.round(F.col("vec")[i].cast("double"), 4).alias(name)
+    return enc.select("ord", F.size("vec").alias("dim"), at(0, "a"), at(4, "e"), at(25, "z"))
 
 
 @register("vec_encode")
 def q_vec_encode(spark, d):
     clean = C.clean_unique(FX.raw_articles(spark, d))
     enc = V.encode_hashing(clean, "text", "ord", 384)
-    return enc.select("ord", F.size("vec").alias("dim"), F.round(V.l2_norm("vec"), 4).alias("norm"))
+    return enc.select("ord", F.size("vec").alias("dim"), F.round(V.l2_norm("vec"), 4).alias("norm"), "vec")

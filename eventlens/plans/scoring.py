@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventlens.operators import score as SC
+from eventlens.operators.hooks import get_hook
+from eventlens.session import cut_lineage
 from eventlens.sources import fixtures as FX
 
 QUERIES = {}
@@ -79,7 +81,21 @@ def q_rouge_mean(spark, d):
     return m.select(r6("rouge1"), r6("rouge2"))
 
 
-@register("rouge_l")
+# LCS as the longest increasing run of match positions: reading matches by prediction
+# position and, inside one, by falling reference position, each position replaces the
+# first greater-or-equal end of the runs kept so far.
+SQL_LCS = f"""l0 AS (SELECT pair_id, {sql_toks('prediction')} AS pt, {sql_toks('reference')} AS rt FROM v_scored),
+lp AS (SELECT pair_id, unnest(pt) AS tok, generate_subscripts(pt, 1) AS i FROM l0),
+lr AS (SELECT pair_id, unnest(rt) AS tok, generate_subscripts(rt, 1) AS j FROM l0),
+lm AS (SELECT pair_id, list(j ORDER BY i, j DESC) AS js FROM lp JOIN lr USING (pair_id, tok) GROUP BY pair_id),
+lc AS (SELECT pair_id, len(list_reduce(js, lambda ends, j: list_concat(list_filter(ends, lambda e: e < j), [j],
+    list_slice(ends, len(list_filter(ends, lambda e: e < j)) + 2, len(ends))), CAST([] AS BIGINT[]))) AS n FROM lm),
+lf AS (SELECT pair_id, coalesce(n, 0) / greatest(len(pt), 1) AS pr, coalesce(n, 0) / greatest(len(rt), 1) AS rc FROM l0 LEFT JOIN lc USING (pair_id)),
+rl AS (SELECT pair_id, pr, rc, CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END AS f FROM lf)"""
+
+
+@register("rouge_l", W + ", " + SQL_LCS + """
+SELECT pair_id, round(pr, 6) AS precision, round(rc, 6) AS recall, round(f, 6) AS fmeasure FROM rl""")
 def q_rouge_l(spark, d):
     return SC.rouge_l(scored(spark, d)).select("pair_id", r6("precision"), r6("recall"), r6("fmeasure"))
 
@@ -89,9 +105,12 @@ def q_rouge_lsum(spark, d):
     return SC.rouge_lsum(scored(spark, d)).select("pair_id", r6("precision"), r6("recall"), r6("fmeasure"))
 
 
-@register("topk_best_worst")
+@register("topk_best_worst", W + ", " + SQL_LCS + """
+SELECT "end", pair_id, "rougeL" FROM (SELECT 'worst' AS "end", pair_id, round(f, 6) AS "rougeL" FROM rl ORDER BY f, pair_id LIMIT 5)
+UNION ALL SELECT "end", pair_id, "rougeL" FROM (SELECT 'best' AS "end", pair_id, round(f, 6) AS "rougeL" FROM rl ORDER BY f DESC, pair_id DESC LIMIT 5)""")
 def q_topk_best_worst(spark, d):
-    s = SC.rouge_l(scored(spark, d)).select("pair_id", F.col("fmeasure").alias("rougeL"))
+    # Read twice, for the best and for the worst: the scores are written once.
+    s = cut_lineage(SC.rouge_l(scored(spark, d)).select("pair_id", F.col("fmeasure").alias("rougeL")))
     return SC.best_worst(s, "rougeL", "pair_id", 5).select("end", "pair_id", r6("rougeL"))
 
 
@@ -124,3 +143,16 @@ def q_rouge_stemmed(spark, d):
     """J9-J12 with Porter stemming (the reference's scoring mode)."""
     r = SC.rouge_all(scored(spark, d), stem=True)
     return r.select("pair_id", r6("rouge1"), r6("rouge2"), r6("rougeL"), r6("rougeLsum"))
+
+
+@register("score_metric_hooks", W + f""", m AS (SELECT pair_id, list_distinct({sql_toks('prediction')}) AS p, list_distinct({sql_toks('reference')}) AS r,
+    length(coalesce(prediction, '')) AS lp, length(coalesce(reference, '')) AS lr FROM v_scored),
+o AS (SELECT *, len(list_intersect(p, r)) / greatest(len(p), 1) AS pr, len(list_intersect(p, r)) / greatest(len(r), 1) AS rc FROM m)
+SELECT pair_id, round(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END, 6) AS token_f1,
+  round(CASE WHEN greatest(lp, lr) = 0 THEN 1.0 ELSE least(lp, lr) / greatest(lp, lr) END, 6) AS length_ratio FROM o""")
+def q_score_metric_hooks(spark, d):
+    """A native and a Python metric through the same hook contract."""
+    s = scored(spark, d)
+    native = SC.score_with(s, get_hook("metric", "token-f1"), "token_f1")
+    python = SC.score_with(s, get_hook("metric", "length-ratio"), "length_ratio")
+    return native.join(python, "pair_id").select("pair_id", r6("token_f1"), r6("length_ratio"))

@@ -9,8 +9,10 @@ from eventlens.operators import groups as G
 from eventlens.operators import prep as PR
 from eventlens.operators import score as SC
 from eventlens.operators import summarize as SU
+from eventlens.operators.hooks import get_hook
 from eventlens.plans import sqlparts as S
 from eventlens.plans.groups import SQL_PARSED, sql_pack
+from eventlens.sources import files as IO
 from eventlens.sources import fixtures as FX
 from eventlens.sources.tables import read_table
 
@@ -79,7 +81,7 @@ SELECT cluster_id, n_articles, generated_headline,
   FROM v_parsed v LEFT JOIN v_packed p USING (cluster_id))""")
 def q_sum_two_stage(spark, d):
     items = group_items(spark, d)
-    out = SU.two_stage(items, SU.lead_generator(SU.HEADLINE_MAX_TOKENS), SU.lead_generator(SU.SUMMARY_MAX_TOKENS))
+    out = SU.two_stage(items, get_hook("generator", "lead-headline"), get_hook("generator", "lead-summary"))
     return out.select("cluster_id", "n_articles", "generated_headline", "generated_summary")
 
 
@@ -142,6 +144,28 @@ def chained_results(spark, d):
     return items.join(gen, "cluster_id")
 
 
+@register("sum_chained", FX.with_views(FX.SQL_PAIRS) + f"""SELECT cluster_id, generated_headline,
+  {_lead_sql("generated_headline || chr(10) || article", 96)} AS generated_summary, reference_headline, reference_summary FROM (
+  SELECT cast(s1.id AS varchar) AS cluster_id, {_lead_sql("s1.article", 32)} AS generated_headline, s1.article,
+    s1.headline AS reference_headline, coalesce(s2.target, '') AS reference_summary
+  FROM (SELECT id, article, {S.headline('highlights')} AS headline FROM v_pairs
+        WHERE split = 'test' AND {S.word_count('article')} >= 50 AND highlights <> '') s1
+  LEFT JOIN (SELECT id, max_by(target, ord) AS target FROM
+        (SELECT id, ord, {S.headline('highlights')} AS headline, {S.summary_target('highlights')} AS target FROM v_pairs
+         WHERE split = 'test' AND {S.word_count('article')} >= 50 AND highlights <> '')
+        WHERE headline <> '' AND target <> '' GROUP BY id) s2 ON s1.id = s2.id
+  WHERE s1.headline <> '')""")
+def q_sum_chained(spark, d):
+    """Chained run on the labelled test split, with limits of its own for each stage, written to the results sink and read back."""
+    pairs = FX.labelled_pairs(spark, d)
+    test = PR.filter_by_length(pairs.where(F.col("split") == "test"))
+    items = PR.stage_targets(PR.stage1_rows(test), PR.stage2_rows(test))
+    out = SU.two_stage(items, get_hook("generator", "lead-headline").with_options(max_tokens=32),
+                       get_hook("generator", "lead-summary").with_options(max_tokens=96))
+    path = IO.save_nested(out, IO.scratch_dir(spark, "chained"))
+    return spark.read.parquet(path).select("cluster_id", "generated_headline", "generated_summary", "reference_headline", "reference_summary")
+
+
 @register("eval_chained")
 def q_eval_chained(spark, d):
     rep = EV.evaluate_chained(chained_results(spark, d), embeddings(spark, d))

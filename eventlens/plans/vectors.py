@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from eventlens.operators import cells as CE
 from eventlens.operators import cluster as CL
+from eventlens.operators import forest as FO
 from eventlens.operators import vectors as V
+from eventlens.session import cut_lineage
 from eventlens.sources import fixtures as FX
 
 QUERIES = {}
@@ -57,6 +60,22 @@ def q_vec_pair_distance(spark, d):
     return k.select("id", "nbr", r6("dist"), "rank")
 
 
+@register("vec_cell_knn")
+def q_vec_cell_knn(spark, d):
+    """Neighbours by the cell index; ``sample_recall`` is what the probes reached on the sample queries."""
+    v = vectors(spark, d).select("id", "vec")
+    model = CE.fit_cells(v, 5)
+    return CE.cell_knn(v, 5, model).select("id", "nbr", r6("dist"), "rank", F.lit(model.recall).alias("sample_recall"))
+
+
+@register("vec_cell_recall")
+def q_vec_cell_recall(spark, d):
+    """Share of the true five neighbours of every vector that the cell index finds."""
+    v = vectors(spark, d).select("id", "vec")
+    found = CE.cell_knn(v, 5, CE.fit_cells(v, 5))
+    return CE.knn_recall(found, V.knn(v, 5)).select("n_true", r6("recall"), (F.col("recall") >= 0.95).alias("reached"))
+
+
 SQL_CORE = """v_core AS (SELECT id, dist AS core FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nbr) AS rk FROM v_d) WHERE rk = 2)"""
 
 
@@ -70,9 +89,8 @@ SELECT d.id, d.nbr, round(greatest(a.core, b.core, d.dist), 6) AS mreach
 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nbr) AS rk FROM v_d) d
 JOIN v_core a ON a.id = d.id JOIN v_core b ON b.id = d.nbr WHERE d.rk <= 2""")
 def q_clu_mutual_reach(spark, d):
-    v = vectors(spark, d)
-    core = CL.core_distances(v, 2)
-    nn = V.knn(v, 2)
+    nn = cut_lineage(V.knn(vectors(spark, d), 2))  # one search gives cores and neighbours
+    core = CL.core_of(nn, 2)
     j = (nn.join(core, "id").join(core.select(F.col("id").alias("nbr"), F.col("core").alias("core_b")), "nbr"))
     return j.select("id", "nbr", r6(F.greatest("core", "core_b", "dist"), "mreach"))
 
@@ -101,33 +119,73 @@ def q_clu_kmeans(spark, d):
 MCS_SWEEP = (2, 3, 5)
 
 
-def _hdbscan(spark, d, mcs):
-    v = vectors(spark, d).select("id", "vec")
-    return CL.hdbscan_labels(v, mcs)
+def cell_neighbours(v, k):
+    """Neighbours by the cell index, written once."""
+    return cut_lineage(CE.cell_knn(v, k, CE.fit_cells(v, k)))
+
+
+NEIGHBOURS = 15
+
+
+def sql_tree(edges: str, nodes: str) -> str:
+    """Minimum spanning forest of ``v_e (u, v, w)``: edges no heavier than the lightest worst edge of any other path.
 
+    Edges are numbered by (w, u, v); nine squarings of the path closure cover paths of up to 512 edges.
+    """
+    steps = "".join(f""",
+v_b{i + 1} AS MATERIALIZED (SELECT a.u, b.v, min(greatest(a.r, b.r)) AS r FROM v_b{i} a JOIN v_b{i} b ON a.v = b.u GROUP BY 1, 2)""" for i in range(9))
+    return f"""v_e AS ({edges}),
+v_r AS MATERIALIZED (SELECT u, v, w, CAST(row_number() OVER (ORDER BY w, u, v) AS INTEGER) AS r FROM v_e),
+v_b0 AS MATERIALIZED (SELECT u, v, r FROM v_r UNION ALL SELECT v, u, r FROM v_r UNION ALL SELECT id, id, 0 FROM ({nodes})){steps}
+SELECT e.u, e.v, round(e.w, 6) AS w FROM v_r e JOIN v_b9 b ON b.u = e.u AND b.v = e.v WHERE b.r = e.r"""
 
-@register("clu_mst")
+
+SQL_EXACT = """v_core2 AS MATERIALIZED (SELECT id, dist AS core FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nbr) AS rk FROM v_d) WHERE rk = 2)"""
+SQL_NEAR = f"""v_near AS MATERIALIZED (SELECT id, nbr, dist, rk FROM (SELECT id, nbr, dist, row_number() OVER (PARTITION BY id ORDER BY dist, nbr) AS rk FROM v_d)
+  WHERE rk <= {NEIGHBOURS}),
+v_core2 AS MATERIALIZED (SELECT id, dist AS core FROM v_near WHERE rk = 2)"""
+
+
+@register("clu_mst", FX.with_views(FX.SQL_VECTORS, SQL_PAIRS, SQL_EXACT) + ", " + sql_tree(
+    "SELECT d.id AS u, d.nbr AS v, greatest(a.core, b.core, d.dist) AS w FROM v_d d JOIN v_core2 a ON a.id = d.id JOIN v_core2 b ON b.id = d.nbr WHERE d.id < d.nbr",
+    "SELECT id FROM v_vectors"))
 def q_clu_mst(spark, d):
     v = vectors(spark, d).select("id", "vec")
     pts = v.join(CL.core_distances(v, 2), "id")
     return CL.boruvka_mst(pts).select("u", "v", r6("w"))
 
 
+@register("clu_forest", FX.with_views(FX.SQL_VECTORS, SQL_PAIRS, SQL_NEAR) + ", " + sql_tree(
+    """SELECT least(n.id, n.nbr) AS u, greatest(n.id, n.nbr) AS v, min(greatest(a.core, b.core, n.dist)) AS w
+    FROM v_near n JOIN v_core2 a ON a.id = n.id JOIN v_core2 b ON b.id = n.nbr GROUP BY 1, 2""", "SELECT id FROM v_vectors"))
+def q_clu_forest(spark, d):
+    """Spanning forest of the graph of each vector's 15 nearest neighbours: rounds read the edge table alone."""
+    v = vectors(spark, d).select("id", "vec")
+    return FO.spanning_forest(FO.reachability_edges(V.knn(v, NEIGHBOURS), 2)).select("u", "v", r6("w"))
+
+
+@register("clu_forest_cells")
+def q_clu_forest_cells(spark, d):
+    """The same forest over neighbours that the cell index finds: nothing compares all vectors."""
+    v = vectors(spark, d).select("id", "vec")
+    found = CE.cell_knn(v, NEIGHBOURS, CE.fit_cells(v, NEIGHBOURS))
+    return FO.spanning_forest(FO.reachability_edges(found, 2)).select("u", "v", r6("w"))
+
+
 @register("clu_hdbscan")
 def q_clu_hdbscan(spark, d):
-    return _hdbscan(spark, d, 2)
+    v = vectors(spark, d).select("id", "vec")
+    return CL.hdbscan_labels(v, 5, neighbours=cell_neighbours(v, NEIGHBOURS))
 
 
 def sweep(spark, d):
-    from eventlens.session import cut_lineage
     v = vectors(spark, d).select("id", "vec")
     n = v.count()
-    # one exact k-NN pass serves every min_cluster_size of the sweep
-    nn = cut_lineage(V.knn(v, max(MCS_SWEEP)))
+    # one search serves every min_cluster_size of the sweep
+    nn = cell_neighbours(v, NEIGHBOURS)
     rows = None
     for mcs in MCS_SWEEP:
-        core = nn.where(F.col("rank") == mcs).select("id", F.col("dist").alias("core"))
-        lab = CL.hdbscan_labels(v, mcs, core=core)
+        lab = cut_lineage(CL.hdbscan_labels(v, mcs, neighbours=nn))
         rep = CL.cluster_report(lab)
         sil = V.silhouette(lab.join(v, "id"))
         r = rep.join(sil, how="inner", on=F.lit(True)).select(
@@ -148,7 +206,7 @@ def q_clu_compare(spark, d):
     s = sweep(spark, d).select(F.concat(F.lit("HDBSCAN (mcs="), F.col("min_cluster_size").cast("string"), F.lit(")"))
                                .alias("method"), "n_clusters", "n_noise", "silhouette")
     v = vectors(spark, d).select("id", "vec")
-    km, _ = V.kmeans_labels(v, k=20)
+    km = cut_lineage(V.kmeans_labels(v, k=20)[0])
     rep = CL.cluster_report(km)
     sil = V.silhouette(km.join(v, "id"))
     k = rep.join(sil, how="inner", on=F.lit(True)).select(

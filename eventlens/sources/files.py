@@ -10,9 +10,9 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, MapType, StringType, StructField, StructType
 
 from eventlens.session import ensure_checkpoint_dir
 
@@ -111,6 +111,32 @@ def save_nested(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return path
 
 
+METADATA = StructType([StructField("method", StringType()), StructField("n_clusters", LongType()), StructField("n_noise", LongType()),
+                       StructField("n_articles", LongType()), StructField("silhouette_score", DoubleType()),
+                       StructField("params", MapType(StringType(), StringType()))])
+
+
+def save_payload(entries: DataFrame, members: DataFrame, root: str, method: str, params: dict, silhouette: float | None = None) -> str:
+    """A clustering as ``clusters`` (one row a cluster), ``members`` (one row an article) and ``metadata`` (one row).
+
+    ``members`` holds all articles of the labelling, noise under cluster -1;
+    the metadata are counted while the two tables are written, so they describe
+    what was written and cost no pass of their own.
+    """
+    clusters, articles = Observation(), Observation()
+    save_nested(entries.observe(clusters, F.count(F.lit(1)).alias("n")), f"{root}/clusters")
+    save_nested(members.observe(articles, F.count(F.lit(1)).alias("n"), F.count_if(F.col("cluster_id") == -1).alias("noise")), f"{root}/members", "json")
+    row = (method, clusters.get["n"], articles.get["noise"], articles.get["n"], silhouette, {k: str(v) for k, v in params.items()})
+    save_nested(entries.sparkSession.createDataFrame([row], METADATA), f"{root}/metadata", "json")
+    return root
+
+
+def read_payload(spark: SparkSession, root: str, member_schema: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables of ``save_payload``: metadata, clusters, members."""
+    return (spark.read.schema(METADATA).json(f"{root}/metadata"), spark.read.parquet(f"{root}/clusters"),
+            spark.read.schema(member_schema).json(f"{root}/members"))
+
+
 def save_split_dataset(df: DataFrame, path: str) -> str:
     """One folder per split (``split=<name>``), parquet."""
     df.write.mode("overwrite").partitionBy("split").parquet(path)
@@ -140,5 +166,5 @@ def check_alignment(articles: DataFrame, vectors: DataFrame, key: str = "ord", v
     """Raise unless every article has a vector and every vector an article."""
     r = alignment_counts(articles, vectors, key, vkey).first()
     if r["missing_vectors"] or r["missing_articles"]:
-        raise ValueError(f"Row count mismatch: {r['n_articles']} articles vs {r['n_vectors']} vectors "
-                         f"({r['missing_vectors']} without vector, {r['missing_articles']} without article)")
+        raise ValueError(f"articles and vectors do not pair up: {r['missing_vectors']} of {r['n_articles']} articles lack a vector, "
+                         f"{r['missing_articles']} of {r['n_vectors']} vectors lack an article")
