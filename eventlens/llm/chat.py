@@ -107,24 +107,37 @@ def _format(template: Template, chunk_bytes: int):
             conv = batch.column("conv_id").to_pylist()
             buf, at, text_to = assemble(roles, texts, template)
             chars = _char_counts(buf)
-            trained = pc.is_in(roles, pa.array(template.loss, pa.string())).to_numpy(zero_copy_only=False)
             text_end = at[1:] - len(template.end.encode())
-            raw, rows, i = buf.tobytes(), [], 0
-            while i < len(conv):  # a chunk: turns of one conversation, of bounded size
-                j = i + 1
-                while j < len(conv) and conv[j] == conv[i] and at[j + 1] - at[i] <= chunk_bytes:
-                    j += 1
-                chunk = chunk + 1 if last is not None and last == (conv[i],) else 0
-                last = (conv[i],)
-                base = chars[at[i]]
-                rows.append({"conv_id": conv[i], "chunk": chunk, "n_turns": j - i, "formatted": raw[at[i]:at[j]].decode(),
-                             "loss": [{"start": int(chars[text_to[k]] - base), "end": int(chars[text_end[k]] - base)}
-                                      for k in range(i, j) if trained[k]]})
-                i = j
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            # A chunk: turns of one conversation, of bounded size.
+            cut, numbers = [], []
+            for a, b in _runs(conv):
+                chunk = chunk + 1 if last is not None and last == (conv[a],) else 0
+                last = (conv[a],)
+                while a < b:
+                    cut.append(a)
+                    numbers.append(chunk)
+                    a = min(b, max(a + 1, int(np.searchsorted(at, at[a] + chunk_bytes, "right")) - 1))
+                    chunk += 1
+                chunk -= 1
+            cut, ends = np.array(cut), np.array([*cut[1:], len(conv)])
+            # The buffer itself is the column's data; only offsets are made.
+            edge = np.append(cut, len(conv))
+            formatted = pa.StringArray.from_buffers(len(cut), pa.py_buffer(at[edge].astype(np.int32).tobytes()), pa.py_buffer(buf))
+            turn = np.flatnonzero(pc.is_in(roles, pa.array(template.loss, pa.string())).to_numpy(zero_copy_only=False))
+            base = chars[at[cut[np.searchsorted(cut, turn, "right") - 1]]]
+            spans = pa.StructArray.from_arrays([pa.array(chars[text_to[turn]] - base, pa.int64()), pa.array(chars[text_end[turn]] - base, pa.int64())], ["start", "end"])
+            loss = pa.ListArray.from_arrays(pa.array(np.searchsorted(turn, edge).astype(np.int32)), spans)
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id").take(pa.array(cut)), pa.array(numbers, pa.int64()), pa.array(ends - cut, pa.int64()),
+                                              formatted, loss], schema=schema)
     return run
 
 
+def _runs(values: list) -> list[tuple[int, int]]:
+    """Ranges of equal neighbours."""
+    cuts = [i for i in range(1, len(values)) if values[i] != values[i - 1]]
+    return list(zip([0, *cuts], [*cuts, len(values)]))
+
+
 def format_chats(turns: DataFrame, template: Template = Template(), chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Conversations as training text: ``conv_id, chunk, n_turns, formatted, loss``.
 

@@ -38,7 +38,8 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventlens.llm.decontaminate import contamination
     found = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
-    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    doc_id = F.when(F.col("id") != -(2**63), F.col("id"))  # the operator's mark of a null id
+    return found.select(doc_id.alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
