@@ -8,7 +8,8 @@ combined with ``unionByName``.  Formatting (B23) and side-by-side comparison
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlens.operators import score as SC
@@ -98,6 +99,29 @@ def evaluate_chained(results: DataFrame, table: DataFrame, id_col: str = "cluste
             .unionByName(long_form("headline_summary_consistency", cons)))
 
 
+FINAL_PREFIX = "final_test_"  # fixed value: keys of a stage's test metrics
+
+
+def save_stage_metrics(metrics: DataFrame, path: str) -> str:
+    """Metrics of a training stage ``(metric, value)`` as one JSON object."""
+    one = metrics.agg(F.map_from_entries(F.collect_list(F.struct("metric", F.col("value").cast("double")))).alias("metrics"))
+    one.write.mode("overwrite").json(path)
+    return path
+
+
+def read_stage_metrics(spark: SparkSession, path: str | None, stage: str) -> DataFrame | None:
+    """A10: a stage's metrics as report rows; None where there is no such file."""
+    if path is None:
+        return None
+    try:
+        read = spark.read.schema("metrics map<string,double>").json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return read.select(F.lit(stage).alias("section"), F.explode("metrics").alias("metric", "value"))
+
+
 def fmt(value: Column) -> Column:
     """Four decimals; missing -> em dash."""
     return F.coalesce(F.format_string("%.4f", value), F.lit(EM_DASH))
@@ -124,7 +148,7 @@ def final_table(reports: dict[str, DataFrame | None]) -> DataFrame:
             continue
         r = rep.select(F.lit(name).alias("report"), "section", "metric", "value")
         if name.startswith("stage"):
-            r = r.where(F.col("metric").startswith("final_test_"))
+            r = r.where(F.col("metric").startswith(FINAL_PREFIX))
         out = r if out is None else out.unionByName(r)
     return out.withColumn("value_fmt", fmt(F.col("value")))
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from eventlens.functions import text as T
 from eventlens.operators.hooks import Hook, apply_hook, register_hook
 from eventlens.operators.score import rouge_tokens
+from eventlens.session import cut_lineage
 
 # ---- fixed values (generation limits of the reference configuration) -------
 HEADLINE_MAX_TOKENS = 48
@@ -61,6 +62,8 @@ def extractive(items: DataFrame, id_col: str = "cluster_id", doc: str = "multi_d
     overflows is cut to the remainder, later ones are dropped; the kept
     sentences are joined in document order.
     """
+    # Sentences, document frequencies and headlines all read the items: they are written once.
+    items = cut_lineage(items.select(id_col, doc))
     sc = sentence_scores(items, id_col, doc).withColumn("_toks", T.word_tokens("sent"))
     sc = sc.withColumn("_n", F.size("_toks").cast("long")).where(F.col("_n") > 0)
     w = Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("pos").asc())

@@ -54,6 +54,13 @@ def q_scan_articles_json(spark, d):
     return IO.read_articles(spark, path, FLAT_ARTICLE).select("ord", "url", "title", "category")
 
 
+@register("scan_articles_json_arrays", W_RAW + "SELECT ord, url, title, category FROM v_raw_articles")
+def q_scan_articles_json_arrays(spark, d):
+    """A1: files that hold a JSON array of articles each."""
+    path = IO.save_article_arrays(FX.raw_articles(spark, d).drop("category_rank"), IO.scratch_dir(spark, "arrays"))
+    return IO.read_articles(spark, path, FLAT_ARTICLE, multi_line=True).select("ord", "url", "title", "category")
+
+
 @register("scan_latest_snapshot", W_CLEAN + "SELECT ord, url FROM v_clean_all WHERE word_count >= 20")
 def q_scan_latest_snapshot(spark, d):
     root = IO.scratch_dir(spark, "snapshots")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from eventlens.operators import evaluate as EV
 from eventlens.operators import score as SC
 from eventlens.operators.hooks import get_hook
 from eventlens.session import cut_lineage
+from eventlens.sources import files as IO
 from eventlens.sources import fixtures as FX
 
 QUERIES = {}
@@ -156,3 +158,37 @@ def q_score_metric_hooks(spark, d):
     native = SC.score_with(s, get_hook("metric", "token-f1"), "token_f1")
     python = SC.score_with(s, get_hook("metric", "length-ratio"), "length_ratio")
     return native.join(python, "pair_id").select("pair_id", r6("token_f1"), r6("length_ratio"))
+
+
+# ---- stage metrics (A10, J17, D6, H2) -------------------------------------------
+
+def stage_reports(spark, d):
+    """Two stages' metric files: stage 1 written from the scored pairs, stage 2 with other keys; a third path has no file."""
+    m = q_rouge_mean(spark, d).selectExpr("rouge1 AS final_test_rouge1", "rouge2 AS final_test_rouge2", "1.5 AS train_loss")
+    one = EV.long_form("stage1", m).select("metric", "value")
+    two = EV.long_form("stage2", m.selectExpr("final_test_rouge2 / 2 AS final_test_rouge2", "final_test_rouge1 AS final_test_rouge1_best")).select("metric", "value")
+    paths = [EV.save_stage_metrics(x, IO.scratch_dir(spark, "metrics")) for x in (one, two)]
+    paths.append(IO.scratch_dir(spark, "no-metrics"))
+    return {f"stage{i + 1}_test_metrics": EV.read_stage_metrics(spark, p, f"stage{i + 1}") for i, p in enumerate(paths)}
+
+
+W_STAGES = W + ", " + sql_rouge_n(1, "1") + ", " + sql_rouge_n(2, "2") + """, mm AS (
+SELECT round(sum(r1.f) / greatest(count(*), 1), 6) AS m1, round(sum(r2.f) / greatest(count(*), 1), 6) AS m2 FROM r1 JOIN r2 USING (pair_id)),
+st AS (SELECT 1 AS stage, 'final_test_rouge1' AS metric, m1 AS value FROM mm UNION ALL SELECT 1, 'final_test_rouge2', m2 FROM mm
+  UNION ALL SELECT 2, 'final_test_rouge2', m2 / 2 FROM mm UNION ALL SELECT 2, 'final_test_rouge1_best', m1 FROM mm)"""
+
+
+@register("eval_stage_metrics", W_STAGES + """
+SELECT 'stage' || stage || '_test_metrics' AS report, 'stage' || stage AS section, metric, round(value, 6) AS value, printf('%.4f', value) AS value_fmt FROM st""")
+def q_eval_stage_metrics(spark, d):
+    t = EV.final_table(stage_reports(spark, d))
+    return t.select("report", "section", "metric", F.round("value", 6).alias("value"), "value_fmt")
+
+
+@register("eval_compare_stages", W_STAGES + """
+SELECT metric, coalesce(max(printf('%.4f', value)) FILTER (WHERE stage = 1), '—') AS stage1,
+  coalesce(max(printf('%.4f', value)) FILTER (WHERE stage = 2), '—') AS stage2 FROM st GROUP BY metric""")
+def q_eval_compare_stages(spark, d):
+    """Metric names of both stages, an em dash where one has none."""
+    r = {k: v.where(F.col("metric").startswith(EV.FINAL_PREFIX)) for k, v in stage_reports(spark, d).items() if v is not None}
+    return EV.compare_reports(r["stage1_test_metrics"], r["stage2_test_metrics"], "stage1", "stage2")

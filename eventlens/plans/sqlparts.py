@@ -82,6 +82,7 @@ def word_count(x: str) -> str:
     return f"CAST(len({tokens(x)}) AS INTEGER)"
 
 
+# The same paywall keywords as eventlens.functions.text, spelled out so that the oracle does not import the code it checks.
 PAYWALL = ("per month", "subscribe", "sign in", "cancel anytime", "unlimited access",
            "complete digital access", "start your free trial")
 

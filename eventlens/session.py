@@ -62,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     # Unset: local/test session only.
     path = tempfile.mkdtemp(prefix="eventlens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)

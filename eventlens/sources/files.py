@@ -92,12 +92,26 @@ def read_articles(spark: SparkSession, path: str, schema: StructType, multi_line
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def read_latest_snapshot(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """A2: rows of the snapshot whose files were modified last; none -> error."""
+def save_article_arrays(raw: DataFrame, root: str) -> str:
+    """Articles as JSON arrays, one file for each page of a category (``PAGE_SIZE`` articles at most)."""
+    page = F.floor(F.col("ord") / PAGE_SIZE).cast("long")
+    art = F.struct(F.col("ord").alias("k"), F.struct(*[F.col(c) for c in raw.columns]).alias("a"))
+    arrays = raw.groupBy(F.col("category").alias("folder"), page.alias("page")).agg(F.array_sort(F.collect_list(art)).alias("s"))
+    arrays.select("folder", "page", F.to_json(F.transform("s", lambda e: e["a"])).alias("value")) \
+          .write.mode("overwrite").partitionBy("folder", "page").text(root)
+    return root
+
+
+def read_latest_snapshot(spark: SparkSession, root: str, schema: StructType, by_name: bool = False) -> DataFrame:
+    """A2: rows of the snapshot that was modified last (equal times: the later name); none -> error.
+
+    ``by_name`` goes by the UTC time in the names alone, for stores that keep no
+    folder times.  A snapshot without articles counts like any other.
+    """
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     pattern = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/articles_*")
     found = pattern.getFileSystem(conf).globStatus(pattern) or []
-    newest = max(((f.getModificationTime(), f.getPath().toString()) for f in found if f.isDirectory()), default=None)
+    newest = max(((0 if by_name else f.getModificationTime(), f.getPath().toString()) for f in found if f.isDirectory()), default=None)
     if newest is None:
         raise FileNotFoundError(f"No articles_* snapshots in {root}")
     return spark.read.schema(schema).json(newest[1])

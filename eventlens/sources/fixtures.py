@@ -160,13 +160,12 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``v_ratings``: two 1-5 criteria derived from labels."""
+    """``v_ratings``: 1-5 ratings of five criteria, one row each, derived from labels and ids."""
     lab = read_table(spark, sf_dir, "labels")
-    a = lab.select(F.col("doc_id").alias("item_id"), F.lit("accuracy").alias("criterion"),
-                   (1 + 4 * F.col("quality")).alias("rating"))
-    f = lab.select(F.col("doc_id").alias("item_id"), F.lit("fluency").alias("criterion"),
-                   (5 - 4 * F.col("toxic")).alias("rating"))
-    return a.unionByName(f)
+    rated = {"accuracy": 1 + 4 * F.col("quality"), "fluency": 5 - 4 * F.col("toxic"), "conciseness": 1 + F.col("doc_id") % 5,
+             "coherence": 2 + F.col("quality") + F.col("doc_id") % 3, "coverage": 5 - F.col("doc_id") % 4}
+    rows = F.array(*[F.struct(F.lit(k).alias("criterion"), v.cast("long").alias("rating")) for k, v in rated.items()])
+    return lab.select(F.col("doc_id").alias("item_id"), F.explode(rows).alias("r")).select("item_id", "r.criterion", "r.rating")
 
 
 # --------------------------------------------------------------------------
@@ -224,7 +223,10 @@ FROM documents d JOIN nation n ON n.n_nationkey = d.doc_id % 25)"""
 
 SQL_RATINGS = """v_ratings AS (
 SELECT doc_id AS item_id, 'accuracy' AS criterion, 1 + 4 * quality AS rating FROM labels
-UNION ALL SELECT doc_id, 'fluency', 5 - 4 * toxic FROM labels)"""
+UNION ALL SELECT doc_id, 'fluency', 5 - 4 * toxic FROM labels
+UNION ALL SELECT doc_id, 'conciseness', 1 + doc_id % 5 FROM labels
+UNION ALL SELECT doc_id, 'coherence', 2 + quality + doc_id % 3 FROM labels
+UNION ALL SELECT doc_id, 'coverage', 5 - doc_id % 4 FROM labels)"""
 
 
 def with_views(*fragments: str) -> str:
