@@ -175,6 +175,7 @@ def _parts(batches):
 
 
 def _distinct_units(joined: np.ndarray):
+    @W.handing_back
     def run(batches):
         for part, _, text, offsets in _parts(batches):
             u = _units(np.frombuffer(text, np.uint8), offsets, joined)
@@ -192,6 +193,7 @@ def _distinct_units(joined: np.ndarray):
     return run
 
 
+@W.handing_back
 def _packed(batches):
     for part, b, text, offsets in _parts(batches):
         yield pa.RecordBatch.from_pydict({
@@ -219,6 +221,7 @@ def _by_slice(batches: list[pa.RecordBatch]):
             "ids": [pack_bytes(flat[to[i]:to[j]].astype(np.int32).tobytes())], "id_counts": [pack_bytes(np.diff(to[i:j + 1]).astype(np.uint16).tobytes())]}, _ANSWERS)
 
 
+@W.handing_back
 def _packed_answers(batches):
     """Answers packed by slice, a bounded number of rows at a time, so that the way back moves little."""
     held, rows = [], 0
@@ -270,6 +273,7 @@ def _apply(parts: pa.Table, answers: pa.Table, joined: np.ndarray, decoder: Deco
             out.append(pa.table([pa.array(names[x:y]), pc.if_else(pa.array(nulls[x:y]), pa.scalar(None, pa.string()), texts),
                                  pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())),
                                  pa.array(_exact(decoder, ids, ends, text, offsets), pa.bool_(), mask=nulls[x:y])], schema=_DONE))
+    W.hand_back()
     return pa.concat_tables(out) if out else _DONE.empty_table()
 
 

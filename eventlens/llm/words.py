@@ -11,6 +11,8 @@ does not grow with the batch; a single longer text forms a slice by itself.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +39,24 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 
+def hand_back() -> None:
+    """Give memory that a task has freed back to the system: workers wait between tasks, next to the executor's own memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def handing_back(run):
+    """``run`` over the batches of a partition, and ``hand_back`` at its end."""
+    @functools.wraps(run)
+    def done(batches):
+        yield from run(batches)
+        hand_back()
+    return done
+
+
 class Powers:
     """Powers of an odd number and of its inverse modulo 2**64, grown on demand."""
 
