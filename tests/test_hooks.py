@@ -33,7 +33,7 @@ def test_each_stage_has_its_batch_size_and_limits(spark):
     got = SU.two_stage(frame(spark), head, summ).collect()
     heads = [r["generated_headline"].split(":")[0] for r in got]
     assert heads.count("4/2/3") == 20 and heads.count("3/2/3") == 3  # 23 rows in fours
-    assert sum(r["generated_summary"].startswith("9/1/1: ") for r in got) == 18
+    assert sum(r["generated_summary"].startswith("9/1/1:") for r in got) == 18
     one = [r for r in got if r["cluster_id"] == 7][0]
     assert one["generated_headline"] == "4/2/3: One two" and one["generated_summary"] == "9/1/1: 4/2/3:"
     assert [r for r in got if r["cluster_id"] == 5][0]["generated_headline"].strip().endswith(":")  # null text: an empty string
