@@ -21,6 +21,7 @@ MAX_UNIT = 512  # bytes; a longer unit is encoded in its slice
 SLICE_BYTES = 12 << 20
 HELD_ROWS = 1 << 18  # answers packed, or units looked up, at a time
 OUT_BYTES = 2 << 20  # text in one batch of results
+UNIT_PARTITIONS = 8  # partitions of units for each partition of documents
 
 
 def piece_table(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -337,7 +338,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                        F.coalesce(text, F.lit("")).alias("text"), text.isNull().alias("null_text"))
     joined, decoder = joined_bytes(path), Decoder(path)
     # Both sides of the join read one shuffle by unit; the smallest slice is asked for so that their columns agree.
-    asked = rows.mapInArrow(_distinct_units(joined), "part long, unit string").repartition("unit")
+    # A unit's lattice takes many times the room of the unit, so their partitions follow the input, not the bytes shuffled.
+    dealt = UNIT_PARTITIONS * max(1, docs.rdd.getNumPartitions())
+    asked = rows.mapInArrow(_distinct_units(joined), "part long, unit string").repartition(dealt, "unit")
     units = asked.groupBy("unit").agg(F.min("part").alias("least")).where("least is not null")
     answers = asked.join(encode_units(units, path), "unit").select("part", "unit", "ids").mapInArrow(
         _packed_answers, "part long, units binary, unit_bytes binary, ids binary, id_counts binary")
