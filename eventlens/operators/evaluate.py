@@ -124,7 +124,8 @@ def read_stage_metrics(spark: SparkSession, path: str | None, stage: str) -> Dat
 
 def fmt(value: Column) -> Column:
     """Four decimals; missing -> em dash."""
-    return F.coalesce(F.format_string("%.4f", value), F.lit(EM_DASH))
+    # format_string renders a null as the word "null".
+    return F.when(value.isNull(), F.lit(EM_DASH)).otherwise(F.format_string("%.4f", value))
 
 
 def compare_reports(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
