@@ -16,8 +16,8 @@ from eventlens.session import cut_lineage
 SAMPLE = 3000
 ROUNDS = 3
 FLOOR = 1e-7  # probability of a piece or byte that a language never showed
-MAX_PIECE = 16  # longest piece in bytes
-BLOCK = 32  # longest word handled in one vectorised block, in bytes
+MAX_PIECE = 64  # bytes; a vocabulary with a longer piece is refused, none is left out
+EVEN = 32  # words up to this many bytes meet words of their own length; longer ones words of about their length
 UNKNOWN_LANGUAGE = "und"
 
 
@@ -28,37 +28,45 @@ class Pieces:
         found = {}
         for p in read_pieces(path):
             raw = p.text.replace("▁", " ").encode()
-            if p.kind == NORMAL and len(raw) <= MAX_PIECE and (" " not in p.text.replace("▁", " ")[1:]):
+            if p.kind == NORMAL and (" " not in p.text.replace("▁", " ")[1:]):
                 found.setdefault(raw, len(found))
         for b in range(256):
             found.setdefault(bytes([b]), len(found))
         self.n = len(found)
         keys = list(found)
+        self.lengths = sorted({len(k) for k in keys})
+        if self.lengths[-1] > MAX_PIECE:
+            raise ValueError(f"a piece of {self.lengths[-1]} bytes; at most {MAX_PIECE} are handled")
         buf = np.frombuffer(b"".join(keys), np.uint8)
         ends = np.cumsum([len(k) for k in keys])
         h = W.Words(buf, ends - np.array([len(k) for k in keys]), ends, np.array([0, len(keys)])).hashes()
         bits = 20
         self.shift = np.uint64(64 - bits)
-        # Open addressing: slots hold (hash, piece + 1); a key sits at most `probes` slots after its own.
+        # Open addressing: slots hold (hash, piece).
         self.slots = np.zeros((1 << bits) + 64, np.uint64)
         self.piece = np.full((1 << bits) + 64, -1, np.int32)
-        self.probes = 1
         for i, x in enumerate(h):
             s = int(x >> self.shift)
             k = 0
             while self.piece[s + k] >= 0:
                 k += 1
             self.slots[s + k], self.piece[s + k] = x, i
-            self.probes = max(self.probes, k + 1)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Piece of each hash, or -1."""
         s = (h >> self.shift).astype(np.int64)
-        out = np.where(self.slots[s] == h, self.piece[s], -1)
-        for k in range(1, self.probes):
-            miss = np.flatnonzero(out < 0)
-            at = s[miss] + k
-            out[miss] = np.where(self.slots[at] == h[miss], self.piece[at], -1)
+        held = self.piece[s]
+        same = self.slots[s] == h
+        out = np.where(same, held, -1)
+        # A key lies before the first empty slot after its own.
+        go = np.flatnonzero((held >= 0) & ~same)
+        k = 0
+        while go.size:
+            k += 1
+            at = s[go] + k
+            held, same = self.piece[at], self.slots[at] == h[go]
+            out[go[same]] = held[same]
+            go = go[(held >= 0) & ~same]
         return out
 
 
@@ -69,81 +77,96 @@ def distinct_words(data: np.ndarray, offsets: np.ndarray) -> tuple[W.Words, np.n
     return words, first, inverse
 
 
-def _lattice(buf: np.ndarray, start: np.ndarray, n: int, pieces: Pieces):
-    """Pieces inside words of ``n`` bytes, each with a space before it: list of (from, to, piece of each word or -1)."""
-    m = len(start)
-    text = np.empty((m, n + 1), np.uint8)
-    text[:, 0] = 0x20
-    text[:, 1:] = buf[start[:, None] + np.arange(n)]
-    flat = W.Spans(W.BYTE_CODE[text].ravel(), W._BYTES)
-    base = np.arange(m) * (n + 1)
-    for j in range(1, n + 2):
-        for i in range(max(0, j - MAX_PIECE), j):
-            p = pieces.find(flat.hash(base + i, base + j))
-            if i == j - 1 or (p >= 0).any():
-                yield i, j, p
+class Lattice:
+    """Pieces inside words of ``n`` bytes at most, each with a space before it.
 
+    What follows a shorter word is read along and left aside by its reader.
+    """
 
-def forward(buf: np.ndarray, start: np.ndarray, n: int, pieces: Pieces, prob: np.ndarray,
-            expect: np.ndarray | None = None, weight: np.ndarray | None = None, lang: np.ndarray | None = None) -> np.ndarray:
+    def __init__(self, buf: np.ndarray, start: np.ndarray, n: int, pieces: Pieces):
+        m = len(start)
+        text = np.empty((m, n + 1), np.uint8)
+        text[:, 0] = 0x20
+        text[:, 1:] = buf[np.minimum(start[:, None] + np.arange(n), len(buf) - 1)]
+        flat = W.Spans(W.BYTE_CODE[text].ravel(), W._BYTES)
+        base = np.arange(m) * (n + 1)
+        self.sizes = [size for size in reversed(pieces.lengths) if size <= n + 1]
+        self.held = {}
+        step = max(1, (1 << 18) // max(1, m))  # positions at a time
+        for size in self.sizes:
+            words, found, counts = [], [], []
+            for a in range(0, n + 2 - size, step):
+                at = (np.arange(a, min(n + 2 - size, a + step))[:, None] + base[None, :]).ravel()
+                p = pieces.find(flat.hash(at, at + size))
+                hit = np.flatnonzero(p >= 0)
+                words.append((hit % m).astype(np.int32))
+                found.append(p[hit])
+                counts.append(np.bincount(hit // m, minlength=len(at) // m))
+            self.held[size] = np.concatenate(words), np.concatenate(found), [0, *np.cumsum(np.concatenate(counts)).tolist()]
+
+    def ends(self, j: int):
+        """By ascending beginning: (beginning, words that hold a piece from there to ``j``, the pieces)."""
+        for size in self.sizes:
+            if size <= j:
+                words, found, first = self.held[size]
+                lo, hi = first[j - size], first[j - size + 1]
+                if lo < hi:
+                    yield j - size, words[lo:hi], found[lo:hi]
+
+
+def forward(buf: np.ndarray, start: np.ndarray, lens: np.ndarray, pieces: Pieces, prob: np.ndarray,
+            expect: np.ndarray | None = None, weight: np.ndarray | None = None) -> np.ndarray:
     """Log probability of each word under every language, summed over all segmentations.
 
-    ``prob`` is (pieces, languages).  Position 0 is the space before the word.
-    Forward values are rescaled after each step, so long words do not
-    underflow.  With ``expect``, backward values are formed too and the expected
-    piece counts, times ``weight`` (words x languages), are added to it.
+    ``prob`` is (pieces, languages).  Position 0 is the space before the word;
+    a word is read at its own end, whatever the longest of the batch.  Forward
+    values are held as logs, so long words do not underflow.  With ``expect``,
+    backward values are formed too and the expected piece counts, times
+    ``weight`` (words x languages), are added to it.
     """
-    m, k = len(start), prob.shape[1]
-    edges = list(_lattice(buf, start, n, pieces))
-    alpha = np.zeros((n + 2, m, k))
-    alpha[0] = 1
-    scale = np.zeros((m, k))  # log of what has been divided out
-    at = 0
+    m, k, n = len(start), prob.shape[1], int(lens.max())
+    lattice = Lattice(buf, start, n, pieces)
     scales = np.zeros((n + 2, m, k))
     for j in range(1, n + 2):
         total = np.zeros((m, k))
-        while at < len(edges) and edges[at][1] == j:
-            i, _, p = edges[at]
-            hit = np.flatnonzero(p >= 0)
-            # alpha[i] was scaled by scales[i]; bring it to the scale of the step before.
-            total[hit] += alpha[i][hit] * np.exp(scales[i][hit] - scales[j - 1][hit]) * prob[p[hit]]
-            at += 1
+        for i, hit, p in lattice.ends(j):
+            total[hit] += np.exp(scales[i][hit] - scales[j - 1][hit]) * prob[p]
         scales[j] = scales[j - 1] + np.log(total)
-        alpha[j] = 1
-    out = scales[n + 1]
+    out = scales[lens + 1, np.arange(m)]
     if expect is not None:
-        beta = np.zeros((n + 2, m, k))  # log backward
-        beta[:] = -np.inf
-        beta[n + 1] = 0
-        for i, j, p in sorted(edges, key=lambda e: -e[0]):
-            hit = np.flatnonzero(p >= 0)
-            beta[i][hit] = np.logaddexp(beta[i][hit], beta[j][hit] + np.log(prob[p[hit]]))
-        for i, j, p in edges:
-            hit = np.flatnonzero(p >= 0)
-            share = np.exp(scales[i][hit] + np.log(prob[p[hit]]) + beta[j][hit] - out[hit]) * weight[hit]
-            for c in range(k):
-                expect[:, c] += np.bincount(p[hit], share[:, c], len(expect))
+        beta = np.full((n + 2, m, k), -np.inf)  # log backward
+        beta[lens + 1, np.arange(m)] = 0
+        for j in range(n + 1, 0, -1):
+            for i, hit, p in lattice.ends(j):
+                beta[i][hit] = np.logaddexp(beta[i][hit], beta[j][hit] + np.log(prob[p]))
+        found, shares, size = [], [], 0
+        for j in range(1, n + 2):
+            for i, hit, p in lattice.ends(j):
+                found.append(p)
+                shares.append(np.exp(scales[i][hit] + np.log(prob[p]) + beta[j][hit] - out[hit]) * weight[hit])
+                size += len(p)
+            if size and (size > 1 << 18 or j == n + 1):
+                p, share = np.concatenate(found), np.concatenate(shares)
+                for c in range(k):
+                    expect[:, c] += np.bincount(p, share[:, c], len(expect))
+                found, shares, size = [], [], 0
     return out
 
 
 def word_scores(words: W.Words, pick: np.ndarray, pieces: Pieces, prob: np.ndarray,
                 expect: np.ndarray | None = None, weight: np.ndarray | None = None) -> np.ndarray:
-    """``forward`` for words of any length: grouped by length; longer ones are cut every BLOCK bytes."""
+    """``forward`` for whole words of any length, in batches of one length or, over ``EVEN`` bytes, of about one length."""
     start, lens = words.start[pick], (words.end - words.start)[pick]
     out = np.zeros((len(pick), prob.shape[1]))
-    owner = np.arange(len(pick))
-    parts = np.maximum(1, -(-lens // BLOCK))
-    if (parts > 1).any():  # a cut adds a space; such words carry no language anyway
-        owner = np.repeat(owner, parts)
-        k = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
-        start, lens = start[owner] + k * BLOCK, np.minimum(BLOCK, lens[owner] - k * BLOCK)
-    for n in np.unique(lens).tolist():
-        group = np.flatnonzero(lens == n)
-        step = max(64, (1 << 20) // ((n + 2) * 8 * prob.shape[1]))
-        for a in range(0, len(group), step):
-            g = group[a:a + step]
-            got = forward(words.buf, start[g], n, pieces, prob, expect, None if weight is None else weight[owner[g]])
-            np.add.at(out, owner[g], got)
+    order = np.argsort(lens, kind="stable")
+    a = 0
+    while a < len(order):
+        n = int(lens[order[a]])
+        most = n if n <= EVEN else n + n // 4
+        step = max(64 if n <= EVEN else 1, (1 << 20) // ((most + 2) * 8 * prob.shape[1]))
+        g = order[a:min(a + step, int(np.searchsorted(lens[order], most, "right")))]
+        out[g] = forward(words.buf, start[g], lens[g], pieces, prob, expect, None if weight is None else weight[g])
+        a += len(g)
     return out
 
 

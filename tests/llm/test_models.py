@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -380,3 +381,35 @@ def test_chat_edges(spark):
     assert got[None]["n_turns"] == 1 and got[None]["turns_sha256"] == hashlib.sha256(b"\n\n").hexdigest()
     assert got[1]["n_turns"] == 4 and got[1]["loss_sha256"] == hashlib.sha256(b"aab").hexdigest()
     assert chat.format_chats(turns_of(spark, rows).limit(0)).collect() == []
+
+
+def test_long_words_and_pieces_are_whole():
+    """Words of over 32 bytes are not cut, batches of unlike lengths agree with words alone, and no piece is left out."""
+    pieces = langid.Pieces()
+    assert sum(p.kind == langid.NORMAL and " " not in p.text.replace("▁", " ")[1:] and len(p.text.replace("▁", " ").encode()) > 16
+               for p in langid.read_pieces()) and pieces.lengths[-1] > 16
+    rng = np.random.default_rng(3)
+    prob = rng.random((pieces.n, 2))
+    prob /= prob.sum(0)
+    texts = ["internationalization" * 2, "x" * 33, "administration" * 3 + "s", "communication" * 30]
+    data, at = langid.W.string_buffers(pa.array(texts))
+    words = langid.W.find_words(data, at)
+    expect = np.zeros((pieces.n, 2))
+    got = langid.word_scores(words, np.arange(4), pieces, prob, expect, np.ones((4, 2)))
+    number = {}
+    for p in langid.read_pieces():
+        raw = p.text.replace("▁", " ").encode()
+        if p.kind == langid.NORMAL and " " not in p.text.replace("▁", " ")[1:]:
+            number.setdefault(raw, len(number))
+    for b in range(256):
+        number.setdefault(bytes([b]), len(number))
+    for i, text in enumerate(texts):
+        w = b" " + text.encode()
+        total, shift = [np.ones(2)], 0.0
+        for j in range(1, len(w) + 1):
+            total.append(sum(total[a] * prob[number[w[a:j]]] for a in range(max(0, j - 64), j) if w[a:j] in number))
+            if total[-1].max() < 1e-100:
+                total, shift = [t * 1e100 for t in total], shift - np.log(1e100)
+        assert np.allclose(got[i], np.log(total[-1]) + shift, rtol=1e-9)
+    lens = np.array([len(p) for p in number])
+    assert np.allclose(lens @ expect, sum(len(t) + 1 for t in texts))  # each byte is in one piece
