@@ -81,7 +81,8 @@ def q_sink_snapshot_roundtrip(spark, d):
 @register("sink_payload_roundtrip", W_LIVE + """SELECT label AS cluster_id, count(*) AS size, count(*) AS n_members
 FROM v_labelled WHERE label <> -1 GROUP BY label""")
 def q_sink_payload_roundtrip(spark, d):
-    lab = labelled(spark, d)
+    # Cleaned and labelled once; entries, positions and members all read it.
+    lab = cut_lineage(labelled(spark, d).select("ord", "label", "title", "text", "publishedAt", "source", "url"))
     root = IO.scratch_dir(spark, "payload")
     # Payload as two tables: one row per cluster, one row per member.
     entries = G.live_cluster_entries(lab, G.MAX_INPUT_TOKENS)
