@@ -18,9 +18,11 @@ from eventlens.llm.segments import NULL_ID, pack_bytes, unpack_bytes
 from eventlens.session import cut_lineage, ensure_checkpoint_dir
 
 DISCOUNT = 0.75
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 12 << 20
 #: Pair occurrences counted in one group, and the groups that small inputs are dealt to all the same.
 GROUP_WORDS, LEAST_GROUPS = 1 << 20, 64
+#: Buckets of slices for each partition of documents.
+BUCKETS = 2
 #: Word occurrences a group of distinct words is counted for.
 WORD_GROUP = 1 << 22
 #: Target ids that are broadcast (8 bytes each); more are joined by a shuffle.
@@ -30,7 +32,9 @@ START_KEY = np.uint64(1)  # stands for the start of a row among the words' hashe
 
 _SLICE = pa.schema([("part", pa.int64()), ("words", pa.int64()), ("ids", pa.binary()), ("flags", pa.binary()), ("offsets", pa.binary()), ("text", pa.binary())])
 _SLICE_DDL = "part long, words long, ids binary, flags binary, offsets binary, text binary"
-_SUMS = ["h0", "h1", "own0", "own1", "seen0", "seen1"]
+#: Of a history, under (target, background): its occurrences, its distinct pairs, and the counts of these pairs' words.
+#: Whole numbers: they add up alike in any order, and travel in few bytes.
+_SUMS = ["h0", "h1", "types0", "types1", "seen0", "seen1"]
 
 
 def _planes(x: np.ndarray) -> bytes:
@@ -42,11 +46,12 @@ def _whole(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(unpack_bytes(b), np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
+@W.handing_back
 def _pack_slices(batches):
     """Slices of a task's documents; flags: 1 counted, 2 target (and counted)."""
-    for b in batches:
+    for b in W.merged(batches, "text", SLICE_BYTES):
         data, at = W.string_buffers(b.column("text"))
-        for i, j in W.slices(at, SLICE_BYTES):
+        for i, j in W.even_slices(at, SLICE_BYTES):
             text, ids = data[at[i]:at[j]].tobytes(), b.column("id").slice(i, j - i).to_numpy().tobytes()
             key = hashlib.blake2b(ids, digest_size=8)
             key.update(text)
@@ -88,6 +93,7 @@ def _spans(group: np.ndarray, groups: int) -> list[tuple[int, int, int]]:
 
 def _word_counts(groups: int):
     """Each slice's distinct words and their counts in it, packed by group."""
+    @W.handing_back
     def run(batches):
         for part, flags, words in _slices(batches):
             key, of = _keys(words)
@@ -197,16 +203,17 @@ class Model:
     def own(self, counts: np.ndarray) -> np.ndarray:
         return np.maximum(counts * self.up[:, None] - DISCOUNT, 0)
 
-    @staticmethod
-    def histories(sums: np.ndarray) -> np.ndarray:
-        """Counts and log back-off (two rows each) of histories, from the rows of ``_SUMS``: count, discounted mass and
-        unigram mass of the pairs seen.  What the pairs seen leave goes to the words not seen after u."""
-        count = np.maximum(sums[0:2], 1.0)
-        return np.concatenate([count, np.log(np.maximum(1 - sums[2:4] / count, 1e-9) / np.maximum(1 - sums[4:6], 1e-9))])
+    def histories(self, sums: np.ndarray) -> np.ndarray:
+        """Counts and log back-off (two rows each) of histories, from the rows of ``_SUMS``.  What the pairs seen leave
+        goes to the words not seen after u."""
+        count, types, seen = sums[0:2] * self.up[:, None], sums[2:4], sums[4:6]
+        own, unigram = count - DISCOUNT * types, (seen * self.up[:, None] + types) / self.mass[:, None]
+        count = np.maximum(count, 1.0)
+        return np.concatenate([count, np.log(np.maximum(1 - own / count, 1e-9) / np.maximum(1 - unigram, 1e-9))])
 
     def finish(self, u: np.ndarray, sums: np.ndarray) -> None:
         """Sums of the histories that are cut over groups."""
-        dense = np.zeros((6, len(self.hot)))
+        dense = np.zeros((6, len(self.hot)), np.int64)
         dense[:, np.searchsorted(self.hot, u)] = sums
         self.history = self.histories(dense)
 
@@ -241,12 +248,14 @@ def _pair_counts(model):
                 *[pa.array([_planes(x[i:j]) for _, i, j in p.spans], pa.binary()) for x in (t, n)],
                 pa.array([_planes(np.diff(p.id[x], prepend=0)) for x, _ in some], pa.binary()),
                 *[pa.array([_planes(c[x]) for x, _ in some], pa.binary()) for c in p.single]], schema=_ASKED))
+            del p, t, n, u, some, words
+        W.hand_back()
         return pa.concat_tables(out)
     return run
 
 
 _COUNTED = pa.schema([("group", pa.int64()), ("part", pa.int64()), ("t", pa.binary()), ("n", pa.binary()), ("history", pa.binary()), ("u", pa.int64()),
-                      *[(c, pa.float64()) for c in _SUMS]])
+                      *[(c, pa.int64()) for c in _SUMS]])
 
 
 def _heads(u: np.ndarray) -> np.ndarray:
@@ -254,7 +263,7 @@ def _heads(u: np.ndarray) -> np.ndarray:
 
 
 def _add_up(model):
-    """One group of pairs: the corpus counts of pairs and histories for every slice that asked; sums of the histories that are cut over groups."""
+    """One group of pairs: how often the other slices have its pairs, and the histories' sums, for every slice that asked; sums of the histories that are cut over groups."""
     def run(key, table):
         m = model.value
         lists = [np.cumsum(_whole(x.as_py())) for x in table.column("u")]
@@ -263,19 +272,18 @@ def _add_up(model):
         of_word = lambda c, f=lambda x: x: np.concatenate([f(_whole(x.as_py()))[i] for x, i in zip(table.column(c), word)])
         u, at = np.unique(np.concatenate(lists), return_inverse=True)
         code, first, of = np.unique(at * m.ids + of_word("words", np.cumsum), return_index=True, return_inverse=True)
-        counts = np.stack([np.bincount(of, whole(c), len(code)) for c in ("t", "n")])
+        mine = [whole(c) for c in ("t", "n")]
+        counts = np.stack([np.bincount(of, x, len(code)) for x in mine]).astype(np.int64)
         single = np.stack([of_word(c)[first] for c in ("wt", "wn")])
-        own = m.own(counts)
-        seen = np.where(own > 0, np.exp(m.log_word(single)), 0)
-        sums = np.stack([np.bincount(at[first], x, len(u)) for x in (*(counts * m.up[:, None]), *own, *seen)])
-        history = m.histories(sums)
+        seen = counts > 0
+        sums = np.stack([np.bincount(at[first], x, len(u)) for x in (*counts, *seen, *(single * seen))]).astype(np.int64)
         to = np.concatenate(([0], np.cumsum([len(x) for x in lists])))
         spans = list(zip(to[:-1].tolist(), to[1:].tolist()))
         n = table.num_rows
         answers = [table.column("group").combine_chunks(), table.column("part").combine_chunks(),
-                   *[pa.array([_planes(c[of[i:j]]) for i, j in spans], pa.binary()) for c in counts],
-                   pa.array([_planes(history[:, at[i:j][_heads(x)]].ravel().view(np.int64)) for (i, j), x in zip(spans, lists)], pa.binary()),
-                   *[pa.nulls(n, t) for t in (pa.int64(), *[pa.float64()] * 6)]]
+                   *[pa.array([_planes(c[of[i:j]] - x[i:j]) for i, j in spans], pa.binary()) for c, x in zip(counts, mine)],
+                   pa.array([_planes(sums[:, at[i:j][_heads(x)]].ravel()) for (i, j), x in zip(spans, lists)], pa.binary()),
+                   *[pa.nulls(n, pa.int64())] * 7]
         hot, _ = m.often(u)
         k = int(hot.sum())
         cut = [pa.array(np.full(k, key[0].as_py())), pa.nulls(k, pa.int64()), *[pa.nulls(k, pa.binary())] * 3,
@@ -294,11 +302,11 @@ def _score(model):
         for b in parts.to_batches():
             for k, (_, flags, words) in enumerate(_slices([b])):
                 p = Pairs(m, words, got)
-                counts, history = np.zeros((2, len(p.u))), np.zeros((4, len(p.u)))
+                counts, history = np.stack([np.bincount(p.of, x, len(p.u)) for x in _weights(flags, words.counts)]), np.zeros((4, len(p.u)))
                 for g, i, j in p.spans:
                     t, n, h = paired[g]
-                    counts[:, i:j] = _whole(t), _whole(n)
-                    history[:, i:j] = _whole(h).view(float).reshape(4, -1)[:, np.cumsum(_heads(p.u[i:j])) - 1]
+                    counts[:, i:j] += _whole(t), _whole(n)  # the other slices'
+                    history[:, i:j] = m.histories(_whole(h).reshape(6, -1))[:, np.cumsum(_heads(p.u[i:j])) - 1]
                 cut, i = m.often(p.id[p.u])
                 history[:, cut] = m.history[:, i]
                 row, n = words.row_of_word(), words.counts
@@ -306,11 +314,23 @@ def _score(model):
                 col = lambda x: pa.array(x, pa.float64(), mask=n == 0)  # noqa: B023, E731
                 out.append(pa.table([pa.array(np.frombuffer(unpack_bytes(b.column("ids")[k].as_py()), np.int64)), pa.array(n.astype(np.int64)),
                                      col(t), col(bg), col(t - bg)], ["id", "n_tokens", "target_loss", "background_loss", "score"]))
+                del p, counts, history, row, t, bg, words
+        W.hand_back()
         return pa.concat_tables(out) if out else pa.table(
             [pa.array([], pa.int64()), pa.array([], pa.int64()), *[pa.array([], pa.float64())] * 3], ["id", "n_tokens", "target_loss", "background_loss", "score"])
     return run
 
 
+def _bucketed(df: DataFrame, buckets: int, column: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``column`` and read back; the catalog forgets the table at once, the files stay."""
+    spark = df.sparkSession
+    name = f"eventlens_buckets_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).option("path", os.path.join(ensure_checkpoint_dir(spark), name)).option("compression", "none").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", target_col: str = "target",
                  counted_col: str | None = None) -> DataFrame:
     """``(id, n_tokens, target_loss, background_loss, score)``: both models fitted on the rows, and every row scored.
@@ -323,7 +343,7 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     smoothed alike.  Every word and every pair is counted, however rare; words
     that occur only in rows that are not counted have the probability of a spare entry.
 
-    Every whole text travels in packed slices, written once to the shared folder.
+    Every whole text travels in packed slices, written once to the shared folder, in buckets that both co-groups read without a shuffle.
     A slice sends its distinct words to groups of the words' hashes, then its
     distinct pairs to groups of the pair space; a group adds them up over all
     slices and sends each slice the counts of its own words, or pairs and histories.
@@ -339,9 +359,7 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NULL_ID)).alias("id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                        (counted * (1 + 2 * true(target_col).cast("int"))).alias("flags"))
-    path = os.path.join(ensure_checkpoint_dir(spark), f"lm-slices-{uuid.uuid4().hex}")
-    rows.mapInArrow(_pack_slices, _SLICE_DDL).write.option("compression", "none").parquet(path)
-    slices = spark.read.schema(_SLICE_DDL).parquet(path)
+    slices = _bucketed(rows.mapInArrow(_pack_slices, _SLICE_DDL), BUCKETS * max(1, docs.rdd.getNumPartitions()), "part")
     total = slices.agg(F.sum("words")).first()[0] or 0
     word_groups = max(LEAST_GROUPS, -(-total // WORD_GROUP))
     most = max(1, min(GROUP_WORDS, total // LEAST_GROUPS))
@@ -353,7 +371,7 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of_words = words.where("part is not null").select("part", "group", "rank", "t", "n")
     asked = slices.groupBy("part").cogroup(of_words.groupBy("part")).applyInArrow(
         _pair_counts(open_model), "group long, part long, u binary, w binary, t binary, n binary, words binary, wt binary, wn binary")
-    sums = ", ".join(f"{c} double" for c in _SUMS)
+    sums = ", ".join(f"{c} long" for c in _SUMS)
     done = cut_lineage(asked.groupBy("group").applyInArrow(_add_up(open_model), f"group long, part long, t binary, n binary, history binary, u long, {sums}"))
     found = done.where("u is not null").groupBy("u").agg(*[F.sum(c).alias(c) for c in _SUMS]).toArrow()
     model.finish(found["u"].to_numpy(), np.stack([found[c].to_numpy() for c in _SUMS]))

@@ -124,6 +124,28 @@ def slices(offsets: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int,
         i = min(j, n)
 
 
+def merged(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches as one, up to ``most`` bytes of ``column`` together, so that a batch's end does not cut a slice short."""
+    held, size = [], 0
+    for b in batches:
+        n = b.column(column).nbytes
+        if held and size + n > most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        if b.num_rows:
+            held.append(b)
+            size += n
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def even_slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Row ranges as few as ``slices`` of ``most`` bytes need, of about equal bytes: none is a small rest."""
+    total = int(offsets[-1] - offsets[0])
+    longest = int(np.diff(offsets).max(initial=0))
+    return slices(offsets, min(most, total // max(1, -(-total // most)) + longest))
+
+
 @dataclass
 class Words:
     """Words of some rows: byte spans in ``buf`` and ``rows`` (first word of each row, and the end)."""

@@ -99,6 +99,18 @@ def test_lm_rows_only_scored_and_cuts(spark, monkeypatch):
             assert [got[i]["target_loss"], got[i]["background_loss"]] == pytest.approx([r["target_loss"], r["background_loss"]], rel=1e-9)
 
 
+def test_lm_slices_stay_where_they_are(spark, monkeypatch):
+    """Only what answers a slice is shuffled to it, not the slice; cut otherwise, the same rows score alike to the last bit."""
+    df = spark.createDataFrame([(i, t, i % 4 == 0) for i, t in enumerate(near_texts(5, n=60))], "doc_id long, text string, target boolean").repartition(3, "doc_id")
+    scored = lm_score.score_corpus(df)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(part") == 1
+    want = sorted(scored.collect())
+    monkeypatch.setattr(lm_score, "SLICE_BYTES", 2000)
+    assert sorted(lm_score.score_corpus(df).collect()) == want
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("eventlens_buckets")]
+
+
 def test_lm_rare_words_are_kept(spark):
     """Words that occur once among 150,000 are words of their own, in both models."""
     texts = [("x y " * 75000, False), ("alpha x", True), ("beta x", False)]
