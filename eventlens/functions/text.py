@@ -2,7 +2,7 @@
 
 Everything here stays inside the JVM (whole-stage codegen) except
 ``html_unescape``, which needs the HTML5 entity table and runs as an Arrow
-pandas UDF.  Regexes are Java regexes; ``(?U)`` makes ``\\s`` Unicode aware,
+UDF.  Regexes are Java regexes; ``(?U)`` makes ``\\s`` Unicode aware,
 and the ``\\x1c-\\x1f`` separators are added so whitespace matches the
 behaviour of Python's ``str.split()``.
 """
@@ -11,11 +11,14 @@ from __future__ import annotations
 
 import html
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
+from eventlens.functions.stem import ROWS_HELD
+
 # All whitespace characters of Python's ``str.isspace``, and the same set as a Java class.
 WS_CHARS = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
 WS = r"[\s\x1c-\x1f]"
@@ -86,13 +89,11 @@ def strip_truncation_marker(c) -> Column:
     return F.when(x.endswith("]") & (size >= 0) & rest.rlike(TRUNCATION_REST), cut).otherwise(x)
 
 
-@F.pandas_udf(StringType())
-def _html_unescape_udf(s: pd.Series) -> pd.Series:
-    mask = s.notna() & s.fillna("").str.contains("&", regex=False)
-    if mask.any():
-        s = s.copy()
-        s[mask] = s[mask].map(html.unescape)
-    return s
+@arrow_udf(StringType())
+def _html_unescape_udf(s: pa.Array) -> pa.Array:
+    # Some rows are Python objects at a time, however large the batch.
+    parts = [pa.array([x and html.unescape(x) for x in s.slice(i, ROWS_HELD).to_pylist()], pa.string()) for i in range(0, len(s), ROWS_HELD)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def html_unescape(c) -> Column:
