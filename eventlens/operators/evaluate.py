@@ -48,10 +48,13 @@ def greedy_pairs(df: DataFrame, id_col: str, pred: str, ref: str, table: DataFra
     size = table.agg((F.max(table_id) + 1).alias("_size"))
     row = F.pmod(F.conv(F.substring(F.md5("tok"), 1, 8), 16, 10).cast("long"), F.col("_size"))
     words = need.select("tok").distinct().join(F.broadcast(size), how="left", on=F.lit(True)).withColumn("_row", row)  # one-row size
-    vecs = table.select(F.col(table_id).alias("_row"), F.col(table_vec).cast("array<double>").alias("vec"))
+    vec = F.col(table_vec)
+    if table.schema[table_vec].dataType.simpleString() != "array<float>":  # floats stay so on the way and are widened in the block
+        vec = vec.cast("array<double>")
+    vecs = table.select(F.col(table_id).alias("_row"), vec.alias("vec"))
     known = need.join(words.join(vecs, "_row", "left").select("tok", "vec"), "tok").select(F.col("_block").alias("_at"), "tok", "vec")
     kind = df.schema[id_col].dataType.simpleString()  # ids keep their type
-    return pairs.groupBy("_block").cogroup(known.groupBy("_at")).applyInPandas(
+    return pairs.groupBy("_block").cogroup(known.groupBy("_at")).applyInArrow(
         SC.greedy_block(id_col), f"{id_col} {kind}, precision double, recall double, f1 double")
 
 

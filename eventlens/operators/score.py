@@ -3,19 +3,23 @@
 ROUGE-N is relational: n-grams of both sides are exploded, counted per
 (pair, gram) in ONE conditional aggregate (map-side combined), and clipped
 overlaps summed per pair.  The longest common subsequence (ROUGE-L/Lsum) is
-a dynamic program per pair and runs as an Arrow pandas UDF over token
-arrays, one row-vectorised DP row at a time.
+a dynamic program per pair and runs as an Arrow UDF over token arrays, a
+bounded number of pairs as Python objects at a time.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
 from eventlens.functions import text as T
+from eventlens.functions.stem import in_lists
 from eventlens.operators.hooks import Hook, apply_hook, register_hook
 
 
@@ -83,17 +87,21 @@ def rouge_n(pairs: DataFrame, n: int, id_col: str = "pair_id", pred: str = "pred
 # ---- longest common subsequence ---------------------------------------------
 
 def lcs_length(a: list, b: list) -> int:
-    """LCS length with one vectorised DP row per token of ``a``."""
-    if not len(a) or not len(b):
-        return 0
-    vocab: dict = {}
-    ai = np.array([vocab.setdefault(x, len(vocab)) for x in a])
-    bi = np.array([vocab.setdefault(x, len(vocab)) for x in b])
-    row = np.zeros(len(bi) + 1, dtype=np.int64)
-    for t in ai:
-        cand = np.maximum(row[1:], row[:-1] + (bi == t))
-        row = np.concatenate(([0], np.maximum.accumulate(cand)))
-    return int(row[-1])
+    """LCS length: the zero bits of the last bit-parallel row."""
+    match = _places(b)
+    v = full = (1 << len(b)) - 1
+    for t in a:
+        u = v & match.get(t, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(b) - v.bit_count()
+
+
+def _places(b: list) -> dict:
+    """Token -> bits of its positions."""
+    match: dict = {}
+    for j, t in enumerate(b):
+        match[t] = match.get(t, 0) | (1 << j)
+    return match
 
 
 def _lcs_rows(a, b) -> list[int]:
@@ -102,12 +110,8 @@ def _lcs_rows(a, b) -> list[int]:
     A zero bit j in ``V_i`` marks a step of the DP row, so the table cell is
     ``T[i][j] = j - popcount(V_i & (2^j - 1))``.
     """
-    n = len(b)
-    full = (1 << n) - 1
-    match: dict = {}
-    for j, t in enumerate(b):
-        match[t] = match.get(t, 0) | (1 << j)
-    v = full
+    match = _places(b)
+    v = full = (1 << len(b)) - 1
     rows = [v]
     for t in a:
         u = v & match.get(t, 0)
@@ -130,7 +134,7 @@ def _lcs_indices(a, b):
             out.append(i - 1)
             i -= 1
             j -= 1
-        elif cell(i, j - 1) > cell(i - 1, j):
+        elif rows[i] >> (j - 1) & 1 and cell(i, j - 1) > cell(i - 1, j):  # a zero bit: the cell to the left is less than this one
             j -= 1
         else:
             i -= 1
@@ -146,11 +150,13 @@ def summary_lcs_hits(ref_sents: list, pred_sents: list) -> tuple[int, int, int]:
     from collections import Counter
     cnt_r = Counter(t for s in ref_sents for t in s)
     cnt_p = Counter(t for s in pred_sents for t in s)
+    known = [set(p) for p in pred_sents]
     hits = 0
     for r in ref_sents:
         union = set()
-        for p in pred_sents:
-            union.update(_lcs_indices(r, p))
+        for p, words in zip(pred_sents, known):
+            if not words.isdisjoint(r):
+                union.update(_lcs_indices(r, p))
         for k in sorted(union):
             t = r[k]
             if cnt_p[t] > 0 and cnt_r[t] > 0:
@@ -160,15 +166,14 @@ def summary_lcs_hits(ref_sents: list, pred_sents: list) -> tuple[int, int, int]:
     return hits, m, n
 
 
-@F.pandas_udf(LongType())
-def _lcs_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([lcs_length(list(x), list(y)) for x, y in zip(a, b)], dtype="int64")
+@arrow_udf(LongType())
+def _lcs_udf(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([lcs_length(x, y) for x, y in zip(in_lists(a), in_lists(b))], pa.int64())
 
 
-@F.pandas_udf(LongType())
-def _lsum_udf(r: pd.Series, p: pd.Series) -> pd.Series:
-    return pd.Series([summary_lcs_hits([list(s) for s in x], [list(s) for s in y])[0] for x, y in zip(r, p)],
-                     dtype="int64")
+@arrow_udf(LongType())
+def _lsum_udf(r: pa.Array, p: pa.Array) -> pa.Array:
+    return pa.array([summary_lcs_hits(x, y)[0] for x, y in zip(in_lists(r), in_lists(p))], pa.int64())
 
 
 def _rouge_l_tokens(base: DataFrame, id_col: str) -> DataFrame:
@@ -262,22 +267,22 @@ def _greedy(pred: np.ndarray, ref: np.ndarray) -> tuple[float, float, float]:
 
 def greedy_block(id_col: str):
     """Score the pairs of a block (token lists ``_p``, ``_r``) with the vectors of its tokens (``tok``, ``vec``; null: none)."""
-    def run(pairs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        place = {t: i for i, t in enumerate(words["tok"])}
-        width = max((len(v) for v in words["vec"] if v is not None), default=1)
-        unit = np.zeros((len(words) + 1, width))  # the last stands for no vector
-        for i, v in enumerate(words["vec"]):
-            if v is not None:
-                unit[i] = v
+    def run(pairs: pa.Table, words: pa.Table) -> pa.Table:
+        names, vecs = words["tok"].combine_chunks(), words["vec"].combine_chunks()
+        some = np.flatnonzero(vecs.is_valid().to_numpy(zero_copy_only=False))
+        width = pc.max(pc.list_value_length(vecs)).as_py() or 1
+        unit = np.zeros((len(names) + 1, width))  # the last stands for no vector
+        unit[some] = vecs.flatten().to_numpy(zero_copy_only=False).reshape(len(some), width)
         norm = np.linalg.norm(unit, axis=1, keepdims=True)
-        unit = unit / np.maximum(norm, np.finfo(float).tiny)
+        unit /= np.maximum(norm, np.finfo(float).tiny)
         found = norm[:, 0] > 0
-        out = []
-        for p, r in zip(pairs["_p"], pairs["_r"]):
-            a, b = np.array([place[t] for t in p], int), np.array([place[t] for t in r], int)
-            out.append(_soft(unit, found, a, b))
-        return pd.DataFrame({id_col: pairs[id_col].to_numpy(), "precision": [x[0] for x in out], "recall": [x[1] for x in out],
-                             "f1": [x[2] for x in out]})
+        sides = []
+        for c in ("_p", "_r"):
+            lists = pairs[c].combine_chunks()
+            at = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+            sides.append(np.split(pc.index_in(lists.flatten(), names).to_numpy(zero_copy_only=False).astype(int), at[1:-1]))
+        out = np.array([_soft(unit, found, a, b) for a, b in zip(*sides)]).reshape(-1, 3)
+        return pa.table([pairs[id_col], *(pa.array(x) for x in out.T)], [id_col, "precision", "recall", "f1"])
     return run
 
 
