@@ -42,13 +42,14 @@ def sentence_scores(items: DataFrame, id_col: str = "cluster_id", doc: str = "mu
     """
     sents = items.select(id_col, F.posexplode(T.sentences(doc)).alias("pos", "sent"))
     toks = sents.select(id_col, "pos", F.explode(rouge_tokens("sent")).alias("term"))
-    tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    # Where a term stands travels with its frequency, so the tokens themselves are shuffled once.
+    tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"), F.collect_list("pos").alias("at"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_items = items.agg(F.count(F.lit(1)).alias("n_items"))
     idf = dfreq.join(F.broadcast(n_items), how="inner", on=F.lit(True)).select(
         "term", (F.log(F.col("n_items") / F.col("df")) + 1).alias("idf"))
-    w = tf.join(idf, "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("weight"))
-    per = toks.join(w, [id_col, "term"]).groupBy(id_col, "pos").agg(F.avg("weight").alias("score"))
+    w = tf.join(idf, "term").select(id_col, F.explode("at").alias("pos"), (F.col("tf") * F.col("idf")).alias("weight"))
+    per = w.groupBy(id_col, "pos").agg(F.avg("weight").alias("score"))
     return (sents.join(per, [id_col, "pos"], "left")
             .select(id_col, "pos", "sent", F.round(F.coalesce("score", F.lit(0.0)), SCORE_DECIMALS).alias("score")))
 
