@@ -220,6 +220,25 @@ def test_matches_the_library_as_a_unigram_model(spark):
         assert total(got[i]) >= total(theirs) and abs(total(got[i]) - total(theirs)) <= 1e-3 * abs(total(theirs)), t
 
 
+def test_units_are_found_by_ranges_of_hashes():
+    """The place that a binary search gives, also for no hashes, one hash and hashes beyond the last."""
+    r = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000):
+        known = np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+        h = np.concatenate([known, r.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        assert (lattice._find(known, lattice._ranges(known), h) == np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))).all()
+
+
+def test_slices_reach_over_batches(spark):
+    """Batches of few rows are put together, and slices are about equal."""
+    batches = [pa.RecordBatch.from_pydict({"text": ["x" * 10] * 3}) for _ in range(7)]
+    assert [b.num_rows for b in W.merged(iter(batches), "text", 100)] == [6, 6, 6, 3]
+    assert [b.num_rows for b in W.merged(iter(batches), "text", 10000)] == [21]
+    at = np.arange(0, 1300, 10)
+    sizes = [j - i for i, j in W.even_slices(at, 1000)]
+    assert sum(sizes) == 129 and len(sizes) == 2 and min(sizes) > 60
+
+
 # ---- operator 6 ---------------------------------------------------------------
 
 def held(doc_id, parts):

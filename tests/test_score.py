@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventlens.operators import score as SC
 
@@ -92,3 +93,48 @@ def test_stemmer_examples():
     for a, b in [("caresses", "caress"), ("ponies", "poni"), ("motoring", "motor"), ("relational", "relat"),
                  ("hopping", "hop"), ("generalizations", "gener"), ("agreed", "agre"), ("sky", "sky")]:
         assert s(a) == b
+
+
+def test_soft_match_moves_floats(spark):
+    """Vectors of floats are not widened on the way; a token without a vector, a repeated one and no token score as defined."""
+    from eventlens.operators import evaluate as EV
+    table = spark.createDataFrame([(i, [float(i % 3), 1.0]) for i in range(5)], "vec_id long, embedding array<float>")
+    pairs = spark.createDataFrame([(1, "a b a", "b c"), (2, "a b", "a b"), (3, "", ""), (4, "a", "")], "id long, p string, r string")
+    got = EV.greedy_pairs(pairs, "id", "p", "r", table)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "array<double>" not in plan
+    by = {x["id"]: x for x in got.collect()}
+    assert sorted(by) == [1, 2, 4] and by[2]["f1"] == pytest.approx(1) and by[4]["f1"] == 0
+    wide = EV.greedy_pairs(pairs, "id", "p", "r", table.withColumn("embedding", F.col("embedding").cast("array<double>")))
+    assert sorted(wide.collect()) == sorted(got.collect())
+
+
+def test_stems_of_lists_keep_nulls_and_shape():
+    import pyarrow as pa
+    from eventlens.functions import stem
+    rows = [["running", "cats", "the"], None, [], ["running"]]
+    assert stem._stem_arrays.func(pa.array(rows, pa.list_(pa.string()))).to_pylist() == [["run", "cat", "the"], None, [], ["run"]]
+    nested = [[["running"], []], None, [["cats", "the"]]]
+    assert stem._stem_nested.func(pa.array(nested, pa.list_(pa.list_(pa.string())))).to_pylist() == [[["run"], []], None, [["cat", "the"]]]
+
+
+def test_html_is_decoded_some_rows_at_a_time():
+    import pyarrow as pa
+    from eventlens.functions import text as T
+    rows = ["a &amp; b", None, "", "x &lt;"] * 200
+    assert T._html_unescape_udf.func(pa.array(rows)).to_pylist() == ["a & b", None, "", "x <"] * 200
+
+
+def test_sentence_tokens_are_shuffled_once(spark):
+    """Tokens meet their weights without a second shuffle by item and term; null and repeated ids score as before."""
+    import re
+    from eventlens.operators import summarize as SU
+    items = spark.createDataFrame([("a", "Red fox. Red dog."), ("b", "Blue dog."), ("b", "Blue dog."), (None, "Red fox.")], "cluster_id string, multi_doc_input string")
+    scores = SU.sentence_scores(items)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(cluster_id#\d+, term#\d+", plan)) == 2
+    got = sorted((x["cluster_id"] or "", x["pos"], x["score"]) for x in scores.collect())
+    from math import log
+    idf = {w: log(4 / n) + 1 for w, n in {"red": 2, "fox": 2, "dog": 2, "blue": 1}.items()}
+    want = [("", 0, 0.0), ("a", 0, (2 * idf["red"] + idf["fox"]) / 2), ("a", 1, (2 * idf["red"] + idf["dog"]) / 2)] + [("b", 0, (2 * idf["blue"] + 2 * idf["dog"]) / 2)] * 2
+    assert [(a, b, round(c, 6)) for a, b, c in got] == [(a, b, round(c, 6)) for a, b, c in want]
