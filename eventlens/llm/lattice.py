@@ -14,11 +14,11 @@ from pyspark.sql.functions import arrow_udf
 
 from eventlens.llm import words as W
 from eventlens.llm.pieces import BYTE, NORMAL, read_pieces
-from eventlens.llm.segments import NULL_ID, pack_bytes, unpack_bytes
+from eventlens.llm.segments import NULL_ID, TEXT_CODEC, pack_bytes, unpack_bytes
 
 SPACE = "▁"  # the vocabulary's mark for a space
 MAX_UNIT = 512  # bytes; a longer unit is encoded in its slice
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 28 << 20
 HELD_ROWS = 1 << 18  # answers packed, or units looked up, at a time
 OUT_BYTES = 2 << 20  # text in one batch of results
 UNIT_PARTITIONS = 8  # partitions of units for each partition of documents
@@ -166,9 +166,9 @@ def long_path(unit: str, path: str | None = None) -> list[int]:
 
 def _parts(batches):
     """Slices of a task's documents, and an id for each that depends on its content alone."""
-    for b in batches:
+    for b in W.merged(batches, "text", SLICE_BYTES):
         data, at = W.string_buffers(b.column("text"))
-        for i, j in W.slices(at, SLICE_BYTES):
+        for i, j in W.even_slices(at, SLICE_BYTES):
             text = data[at[i]:at[j]].tobytes()
             key = hashlib.blake2b(text, digest_size=8)
             key.update(b.column("id").slice(i, j - i).to_numpy().tobytes())
@@ -186,10 +186,12 @@ def _distinct_units(joined: np.ndarray):
             h = h[first]
             first = first[np.append(True, h[1:] != h[:-1])] if len(h) else first
             del h
-            raw = memoryview(u.buf)
             for a in range(0, len(first), 1 << 17):
                 f = first[a:a + (1 << 17)]
-                found = pa.array([bytes(raw[s:e]) for s, e in zip(u.start[f].tolist(), u.end[f].tolist())], pa.binary()).cast(pa.string())
+                size = u.end[f] - u.start[f]
+                to = np.concatenate(([0], np.cumsum(size)))
+                body = u.buf[np.repeat(u.start[f] - to[:-1], size) + np.arange(to[-1])]
+                found = pa.StringArray.from_buffers(len(f), pa.py_buffer(to.astype(np.int32).tobytes()), pa.py_buffer(body.tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(f), part)), found], ["part", "unit"])
     return run
 
@@ -199,7 +201,7 @@ def _packed(batches):
     for part, b, text, offsets in _parts(batches):
         yield pa.RecordBatch.from_pydict({
             "part": [part], "ids": [pack_bytes(b.column("id").to_numpy().tobytes())], "nulls": [pack_bytes(b.column("null_text").to_numpy(zero_copy_only=False).tobytes())],
-            "offsets": [pack_bytes(offsets.tobytes())], "text": [pack_bytes(text)]},
+            "offsets": [pack_bytes(offsets.tobytes())], "text": [pack_bytes(text, TEXT_CODEC)]},
             pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("nulls", pa.binary()), ("offsets", pa.binary()), ("text", pa.binary())]))
 
 
@@ -261,6 +263,7 @@ def _apply(parts: pa.Table, answers: pa.Table, joined: np.ndarray, decoder: Deco
     begin = (np.cumsum(size) - size)[by]
     size = size[by]
     del at, by
+    ranges = _ranges(known)
     out, paths = [], {}
     for i in range(parts.num_rows):
         get = lambda c, t: np.frombuffer(unpack_bytes(parts.column(c)[i].as_py()), t)  # noqa: B023, E731
@@ -269,7 +272,7 @@ def _apply(parts: pa.Table, answers: pa.Table, joined: np.ndarray, decoder: Deco
         # Some documents at a time, so that what is held besides the slice is bounded by OUT_BYTES or one text.
         for x, y in W.slices(rows, OUT_BYTES):
             text, offsets = whole[rows[x]:rows[y]], rows[x:y + 1] - rows[x]
-            ids, ends = _unit_ids(text, offsets, joined, (known, begin, size, flat), paths, path)
+            ids, ends = _unit_ids(text, offsets, joined, (known, ranges, begin, size, flat), paths, path)
             texts = pa.StringArray.from_buffers(y - x, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(text)) if with_text else pa.nulls(y - x, pa.string())
             out.append(pa.table([pa.array(names[x:y]), pc.if_else(pa.array(nulls[x:y]), pa.scalar(None, pa.string()), texts),
                                  pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())),
@@ -278,15 +281,34 @@ def _apply(parts: pa.Table, answers: pa.Table, joined: np.ndarray, decoder: Deco
     return pa.concat_tables(out) if out else _DONE.empty_table()
 
 
+def _ranges(known: np.ndarray) -> tuple[np.uint64, np.ndarray]:
+    """How far to shift a hash, and where hashes with the leading bits that this leaves begin in sorted ``known``."""
+    bits = len(known).bit_length() + 1
+    shift = np.uint64(64 - bits)
+    return shift, np.searchsorted(known >> shift, np.arange(1 << bits, dtype=np.uint64))
+
+
+def _find(known: np.ndarray, ranges: tuple[np.uint64, np.ndarray], h: np.ndarray) -> np.ndarray:
+    """Place of the first of sorted ``known`` that is not less than each ``h`` (the last place at most): a range holds about one hash, so it is a step or two away."""
+    last = max(0, len(known) - 1)
+    k = np.minimum(ranges[1][h >> ranges[0]], last)
+    left = np.flatnonzero(known[k] < h) if len(known) else k[:0]
+    left = left[k[left] < last]
+    while len(left):
+        k[left] += 1
+        left = left[(known[k[left]] < h[left]) & (k[left] < last)]
+    return k
+
+
 def _unit_ids(text: bytes, offsets: np.ndarray, joined: np.ndarray, answers: tuple, paths: dict, path: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of some documents, and where each document's ids end; ``paths`` keeps those of long units."""
-    known, begin, size, flat = answers
+    known, ranges, begin, size, flat = answers
     u = _units(np.frombuffer(text, np.uint8), offsets, joined)
     mine = u.hashes()
     if not len(mine):
         return np.zeros(0, np.int32), np.zeros(len(u.rows), np.int64)
     long = np.flatnonzero(u.end - u.start > MAX_UNIT)
-    k = np.minimum(np.searchsorted(known, mine), max(0, len(known) - 1))
+    k = _find(known, ranges, mine)
     hit = known[k] == mine if len(known) else np.zeros(len(mine), bool)
     hit[long] = True
     if not hit.all():
@@ -324,7 +346,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     Texts are cut into units that no piece crosses.  Each distinct unit of the
     corpus is encoded once, by ``encode_units``; units of over 512 bytes by
     ``long_path`` in each slice that holds them.  To move little, every slice of
-    about 12 MB of text asks for its distinct units only; the answers meet the
+    up to 28 MB of text asks for its distinct units only; the answers meet the
     packed slice again by its id, where the ids are put together and decoded
     (``exact``).  ``with_text`` false leaves the text column out.
 
@@ -342,7 +364,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     dealt = UNIT_PARTITIONS * max(1, docs.rdd.getNumPartitions())
     asked = rows.mapInArrow(_distinct_units(joined), "part long, unit string").repartition(dealt, "unit")
     units = asked.groupBy("unit").agg(F.min("part").alias("least")).where("least is not null")
-    answers = asked.join(encode_units(units, path), "unit").select("part", "unit", "ids").mapInArrow(
+    answers = asked.join(encode_units(units, path).hint("shuffle_hash"), "unit").select("part", "unit", "ids").mapInArrow(
         _packed_answers, "part long, units binary, unit_bytes binary, ids binary, id_counts binary")
     packed = rows.mapInArrow(_packed, "part long, ids binary, nulls binary, offsets binary, text binary")
     done = packed.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(

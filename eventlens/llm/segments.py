@@ -40,10 +40,12 @@ HIT_SCHEMA = "id long, th int, lo int, hi int"
 NULL_ID = -(2**63)
 
 _codec = pa.Codec("zstd", compression_level=9)
+#: Whole texts: a few percent larger, in less than half the time.
+TEXT_CODEC = pa.Codec("zstd", compression_level=5)
 
 
-def pack_bytes(b: bytes) -> bytes:
-    return len(b).to_bytes(8, "little") + _codec.compress(b, asbytes=True)
+def pack_bytes(b: bytes, codec: pa.Codec = _codec) -> bytes:
+    return len(b).to_bytes(8, "little") + codec.compress(b, asbytes=True)
 
 
 def unpack_bytes(b: bytes) -> bytes:
